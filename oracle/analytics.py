@@ -59,7 +59,8 @@ def _histogram(column: str, bins: int, upper: int | None, by: str | None = None)
     key, comma = (by or "0"), f"{by}, " if by else ""
     return f"""WITH base AS ({BASE_FEATURES}),
       v AS (SELECT {key} AS k, {v} AS x FROM base),
-      span AS (SELECT k, min(x) AS lo, max(x) AS hi FROM v GROUP BY k),
+      span AS (SELECT k, lo - pad AS lo, hi + pad AS hi FROM (
+        SELECT k, min(x) AS lo, max(x) AS hi, CASE WHEN min(x) = max(x) THEN 0.5 ELSE 0 END AS pad FROM v GROUP BY k)),
       filled AS (SELECT v.k, least(cast(floor((x - lo) * {bins} / (hi - lo)) AS bigint) + 1, {bins}) AS bin, count(*) AS n
         FROM v JOIN span ON v.k = span.k GROUP BY ALL),
       grid AS (SELECT k, lo, hi, unnest(range(1, {bins + 1})) AS bin FROM span)
@@ -149,8 +150,8 @@ SQL = {
     "describe_features": f"WITH base AS ({BASE_FEATURES}) " + " UNION ALL ".join(_describe(c) for c in _FEATURES),
     "histogram": _histogram("recency_days", 50, None),
     "histogram_frequency": _histogram("frequency", 10, 10),
-    "histogram_monetary": _histogram("monetary", 50, 2000),
-    "histogram_by_class": _histogram("monetary", 40, 2000, "churned"),
+    "histogram_monetary": _histogram("monetary", 50, 2000000),
+    "histogram_by_class": _histogram("monetary", 40, 2000000, "churned"),
     "correlation_matrix": f"WITH base AS ({BASE_FEATURES}) " + " UNION ALL ".join(
         f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM base" for a in _FEATURES for b in _FEATURES
     ),

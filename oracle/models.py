@@ -1 +1,273 @@
-SQL = {}
+"""Features, preparation, evaluation and forecast inputs."""
+
+import numpy as np
+
+from oracle.star import mean, rounded, total
+
+_AS_OF = "DATE '2001-08-02'"
+
+_CHURN = f"""WITH recent AS (
+  SELECT customer_id, order_id, order_item_id, order_date, revenue,
+    row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC NULLS FIRST, order_id, order_item_id) AS order_rank,
+    count(*) OVER (PARTITION BY customer_id) AS total_orders
+  FROM fact_orders WHERE is_delivered = 1
+),
+last_orders AS (
+  SELECT customer_id, max(CASE WHEN order_rank = 1 THEN order_date END) AS d1, max(CASE WHEN order_rank = 2 THEN order_date END) AS d2,
+    max(CASE WHEN order_rank = 3 THEN order_date END) AS d3
+  FROM recent GROUP BY customer_id
+),
+recent_revenue AS (
+  SELECT customer_id, sum(CASE WHEN order_rank <= 3 THEN revenue ELSE 0 END) AS last_3_revenue,
+    sum(CASE WHEN order_rank > 3 THEN revenue ELSE 0 END) AS older_revenue,
+    count(CASE WHEN order_rank <= 3 THEN 1 END) AS last_3_count, count(CASE WHEN order_rank > 3 THEN 1 END) AS older_count
+  FROM recent GROUP BY customer_id
+),
+spend AS (
+  SELECT customer_id, count(DISTINCT order_id) AS frequency, {total('revenue')} AS monetary, {mean('price', 2)} AS avg_order_value,
+    {mean('review_score', 2)} AS avg_review_score,
+    {mean('cast(cast(freight_value AS double) / nullif(cast(revenue AS double), 0) AS decimal(20,10))', 4)} AS avg_freight_pct,
+    {mean('payment_installments', 2)} AS avg_installments,
+    cast(sum(CASE WHEN delivery_delay_days > 0 THEN 1 ELSE 0 END) AS bigint) AS late_deliveries,
+    {mean('delivery_delay_days', 1)} AS avg_delay_days, count(DISTINCT category) AS unique_categories,
+    count(DISTINCT product_id) AS unique_products, cast(max(price) AS double) AS max_order_value, cast(min(price) AS double) AS min_order_value,
+    cast(sum(CASE WHEN review_score >= 4 THEN 1 ELSE 0 END) AS bigint) AS positive_reviews,
+    cast(sum(CASE WHEN review_score <= 2 THEN 1 ELSE 0 END) AS bigint) AS negative_reviews,
+    count(DISTINCT order_year) AS active_years, count(DISTINCT order_month) AS active_months,
+    date_diff('day', min(order_date), max(order_date)) AS customer_lifetime_days,
+    date_diff('day', max(order_date), {_AS_OF}) AS recency_days
+  FROM fact_orders WHERE is_delivered = 1 GROUP BY customer_id
+),
+churn AS (
+  SELECT s.* EXCLUDE (recency_days),
+    CASE WHEN frequency > 1 THEN customer_lifetime_days // (frequency - 1) ELSE 0 END AS avg_days_between_orders,
+    unique_categories AS category_diversity, {rounded('monetary / frequency', 2)} AS revenue_per_order,
+    CASE WHEN older_revenue > 0 THEN {rounded('cast(last_3_revenue AS double) / cast(older_revenue AS double)', 4)}
+         WHEN last_3_revenue > 0 THEN 2.0 ELSE 1.0 END AS revenue_trend,
+    CASE WHEN d2 IS NOT NULL THEN date_diff('day', d2, {_AS_OF}) ELSE 999 END AS days_since_second_last,
+    CASE WHEN d2 IS NOT NULL AND d3 IS NOT NULL THEN
+      {rounded("cast(date_diff('day', d2, d1) AS double) / nullif(cast(customer_lifetime_days AS double) / nullif(frequency - 1, 0), 0)", 4)}
+      ELSE 1.0 END AS velocity_change,
+    recency_days
+  FROM spend s JOIN last_orders USING (customer_id) JOIN recent_revenue USING (customer_id)
+)"""
+
+_LABELLED = f"""{_CHURN}, span AS (SELECT min(monetary) AS lo, max(monetary) AS hi FROM churn),
+labelled AS (
+  SELECT * EXCLUDE (recency_days, lo, hi) REPLACE (
+      greatest(0, least(10, cast(revenue_trend AS double))) AS revenue_trend,
+      CASE WHEN velocity_change IS NOT NULL THEN greatest(0, least(10, cast(velocity_change AS double))) END AS velocity_change),
+    CASE WHEN recency_days > 180 THEN 1 ELSE 0 END AS churned,
+    CASE WHEN recency_days > 180 THEN 1.0 + (monetary - lo) / (hi - lo + cast(1e-9 AS double))
+      * greatest(1, least(3, 1 + cast(recency_days - 180 AS double) / 365)) ELSE 1 END AS sample_weight
+  FROM churn, span
+)"""
+
+_DELIVERY = f"""WITH delivery AS (
+  SELECT f.order_id, f.order_item_id, cast(f.price AS double) AS price, cast(f.freight_value AS double) AS freight_value, f.order_month,
+    f.order_quarter, f.order_year, f.payment_installments, f.state AS customer_state, s.seller_state, p.weight_g, p.length_cm,
+    p.height_cm, p.width_cm, CASE WHEN s.seller_state != f.state THEN 1 ELSE 0 END AS cross_state,
+    {rounded('cast(f.freight_value AS double) / nullif(cast(f.price + f.freight_value AS double), 0)', 4)} AS freight_ratio,
+    {rounded('nullif(p.length_cm, 0) * nullif(p.height_cm, 0) * nullif(p.width_cm, 0)', 2)} AS volume_cm3,
+    CASE WHEN f.order_month IN (11, 12) THEN 1 ELSE 0 END AS peak_season,
+    CASE WHEN dayofweek(f.order_date) IN (0, 6) THEN 1 ELSE 0 END AS weekend_order,
+    CASE WHEN f.delivery_delay_days > 0 THEN 1 ELSE 0 END AS is_late
+  FROM fact_orders f JOIN dim_products p ON f.product_id = p.product_id JOIN dim_sellers s ON f.seller_id = s.seller_id
+  WHERE f.is_delivered = 1 AND f.delivery_delay_days IS NOT NULL
+)"""
+
+_SENTIMENT = f"""WITH sentiment AS (
+  SELECT order_id, order_item_id, cast(price AS double) AS price, cast(freight_value AS double) AS freight_value, delivery_delay_days,
+    payment_installments, is_delivered, order_month, order_quarter, order_year, review_score,
+    CASE WHEN delivery_delay_days > 0 THEN 1 ELSE 0 END AS is_late,
+    {rounded('cast(freight_value AS double) / nullif(cast(price + freight_value AS double), 0)', 4)} AS freight_ratio,
+    {rounded('cast(price AS double) / nullif(payment_installments, 0)', 2)} AS price_per_installment,
+    CASE WHEN delivery_delay_days > 7 THEN 1 ELSE 0 END AS very_late, CASE WHEN delivery_delay_days <= 0 THEN 1 ELSE 0 END AS early_delivery,
+    cast(abs(delivery_delay_days) AS double) AS abs_delay_days,
+    CASE WHEN delivery_delay_days > 0 AND price > 200 THEN 1 ELSE 0 END AS late_and_expensive,
+    CASE WHEN delivery_delay_days > 14 THEN 1 ELSE 0 END AS very_very_late,
+    CASE WHEN review_score >= 4 THEN 'Positive' ELSE 'Not Positive' END AS sentiment
+  FROM fact_orders WHERE review_score IS NOT NULL
+)"""
+
+_REG = ["n_sellers", "n_products", "n_orders", "month_num"]
+
+
+def _monthly(key: str) -> str:
+    norms = ", ".join(
+        f"({c} - min({c}) OVER s) / (max({c}) OVER s - min({c}) OVER s + cast(1e-9 AS double)) AS {c}_norm" for c in _REG
+    )
+    return f"""WITH months AS (
+      SELECT {key} AS series_key, cast(date_trunc('month', order_date) AS date) AS ds, {total('revenue')} AS y,
+        count(DISTINCT seller_id) AS n_sellers, count(DISTINCT product_id) AS n_products, count(DISTINCT order_id) AS n_orders
+      FROM fact_orders WHERE {key} IS NOT NULL GROUP BY 1, 2
+    ),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY ds) AS month_num FROM months),
+    monthly AS (SELECT *, {norms} FROM numbered WINDOW s AS (PARTITION BY series_key)),
+    recent AS (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY ds DESC) AS back FROM monthly) WHERE back <= 6
+    ),
+    lines AS (
+      SELECT series_key, max(ds) AS last_ds, {', '.join(f'regr_slope({c}, -back) AS s_{c}, regr_intercept({c}, -back) AS i_{c}' for c in _REG[:3])}
+      FROM recent GROUP BY series_key
+    ),
+    ranges AS (SELECT series_key, {', '.join(f'min({c}) AS lo_{c}, max({c}) AS hi_{c}' for c in _REG)} FROM monthly GROUP BY series_key),
+    ahead AS (SELECT *, unnest(range(1, 7)) AS months_ahead FROM lines JOIN ranges USING (series_key)),
+    projected AS (
+      SELECT *, {', '.join(f'greatest(0, coalesce(i_{c} + s_{c} * (months_ahead - 1), cast(hi_{c} AS double))) AS {c}' for c in _REG[:3])},
+        cast(hi_month_num + months_ahead AS double) AS month_num, cast(last_ds + to_months(cast(months_ahead AS integer)) AS date) AS ds
+      FROM ahead
+    ),
+    scaled AS (
+      SELECT series_key, months_ahead, ds, {', '.join(_REG)},
+        {', '.join(f'greatest(0, least(2, ({c} - lo_{c}) / (hi_{c} - lo_{c} + cast(1e-9 AS double)))) AS {c}_norm' for c in _REG)}
+      FROM projected
+    )"""
+
+
+def _monthly_out(extra: str = "") -> str:
+    return f"""SELECT series_key, cast(ds AS varchar) AS ds, y, {', '.join(_REG)},
+      {', '.join(f'round({c}_norm, 6) AS {c}_norm' for c in _REG)} FROM monthly"""
+
+
+_PROJECTED = f"""SELECT series_key, months_ahead, cast(ds AS varchar) AS ds, {', '.join(f'round({c}, 6) AS {c}' for c in _REG)},
+  {', '.join(f'round({c}_norm, 6) AS {c}_norm' for c in _REG)} FROM scaled"""
+_FUTURE = """SELECT series_key, cast(ds AS varchar) AS ds, y, round(n_sellers_norm, 6) AS n_sellers_norm,
+    round(n_products_norm, 6) AS n_products_norm, round(month_num_norm, 6) AS month_num_norm FROM (
+    SELECT series_key, ds, y, n_sellers_norm, n_products_norm, month_num_norm FROM monthly
+    UNION ALL SELECT series_key, ds, NULL, n_sellers_norm, n_products_norm, month_num_norm FROM scaled)"""
+
+_SPLIT = f"""{_SENTIMENT}, hashed AS (
+  SELECT *, md5(concat_ws('|', order_id, order_item_id, '42')) AS h, CASE WHEN review_score >= 4 THEN 1 ELSE 0 END AS label FROM sentiment
+),
+split AS (
+  SELECT order_id, order_item_id, label, price, freight_value,
+    CASE WHEN row_number() OVER (PARTITION BY label ORDER BY h) <= ceil(0.8 * count(*) OVER (PARTITION BY label)) THEN 1 ELSE 0 END AS is_train
+  FROM hashed
+)"""
+
+_SCORED = """WITH scored AS (
+  SELECT label, ((product_id * 7 + seller_id * 3 + order_item_id * 11) % 100 + 25 * label) / cast(130 AS double) AS probability
+  FROM (SELECT *, CASE WHEN review_score >= 4 THEN 1 ELSE 0 END AS label FROM fact_orders)
+),
+cells AS (
+  SELECT cast(sum(CASE WHEN label = 1 AND probability >= 0.5 THEN 1 ELSE 0 END) AS double) AS tp,
+    cast(sum(CASE WHEN label = 0 AND probability >= 0.5 THEN 1 ELSE 0 END) AS double) AS fp,
+    cast(sum(CASE WHEN label = 1 AND probability < 0.5 THEN 1 ELSE 0 END) AS double) AS fn,
+    cast(sum(CASE WHEN label = 0 AND probability < 0.5 THEN 1 ELSE 0 END) AS double) AS tn
+  FROM scored
+),
+measured AS (
+  SELECT (tp + tn) / (tp + fp + fn + tn) AS accuracy, tn / (tn + fp) AS recall_0, tp / (tp + fn) AS recall_1,
+    tp / (tp + fp) AS precision_1, tn / (tn + fn) AS precision_0, 2 * tp / (2 * tp + fp + fn) AS f1, 2 * tn / (2 * tn + fp + fn) AS f0,
+    tp + fn AS n1, tn + fp AS n0, tp + fp + fn + tn AS n
+  FROM cells
+),
+counts AS (
+  SELECT probability, sum(label) AS pos, sum(1 - label) AS neg FROM scored GROUP BY probability
+),
+running AS (
+  SELECT *, sum(pos) OVER (ORDER BY probability DESC) AS cum_pos, sum(neg) OVER (ORDER BY probability DESC) AS cum_neg FROM counts
+),
+area AS (
+  SELECT round(cast(sum(neg * (cum_pos - cast(pos AS double) / 2)) AS double) / (cast(sum(pos) AS double) * cast(sum(neg) AS double)), 9) AS roc_auc FROM running
+)"""
+
+
+def _curve(grid) -> str:
+    values = ", ".join(f"cast({float(t)!r} AS double)" for t in grid)
+    return f"""curve AS (
+      SELECT t AS threshold, cast(sum(CASE WHEN label = 0 AND probability < t THEN 1 ELSE 0 END) AS double) / sum(1 - label) AS recall_0,
+        cast(sum(CASE WHEN label = 1 AND probability >= t THEN 1 ELSE 0 END) AS double) / sum(label) AS recall_1
+      FROM scored, (SELECT unnest([{values}]) AS t) GROUP BY t)"""
+
+
+_BALANCE = np.arange(0.2, 0.8, 0.01)
+_RECALL = np.arange(0.1, 0.6, 0.01)
+
+_REPORT = """
+  SELECT 'Not Positive' AS name, precision_0 AS precision, recall_0 AS recall, f0 AS f1, cast(n0 AS bigint) AS support FROM measured
+  UNION ALL SELECT 'Positive', precision_1, recall_1, f1, cast(n1 AS bigint) FROM measured
+  UNION ALL SELECT 'accuracy', accuracy, accuracy, accuracy, cast(n AS bigint) FROM measured
+  UNION ALL SELECT 'macro avg', (precision_0 + precision_1) / 2, (recall_0 + recall_1) / 2, (f0 + f1) / 2, cast(n AS bigint) FROM measured
+  UNION ALL SELECT 'weighted avg', (precision_0 * n0 + precision_1 * n1) / n, (recall_0 * n0 + recall_1 * n1) / n,
+    (f0 * n0 + f1 * n1) / n, cast(n AS bigint) FROM measured"""
+
+SQL = {
+    "churn_recent_orders": f"{_CHURN} SELECT * REPLACE (cast(order_date AS varchar) AS order_date, cast(revenue AS double) AS revenue) FROM recent",
+    "churn_last_orders": f"""{_CHURN} SELECT customer_id, cast(d1 AS varchar) AS last_order_date, cast(d2 AS varchar) AS second_last_order_date,
+        cast(d3 AS varchar) AS third_last_order_date FROM last_orders""",
+    "churn_recent_revenue": f"""{_CHURN} SELECT customer_id, cast(last_3_revenue AS double) AS last_3_revenue,
+        cast(older_revenue AS double) AS older_revenue, last_3_count, older_count FROM recent_revenue""",
+    "churn_features": f"{_CHURN} SELECT * FROM churn",
+    "churn_labels_weights": f"{_LABELLED} SELECT * REPLACE (round(sample_weight, 6) AS sample_weight) FROM labelled",
+    "churn_class_balance": f"""{_LABELLED} SELECT count(*) AS rows, cast(sum(churned) AS bigint) AS positives,
+        {rounded('cast(sum(churned) * 100 AS double) / count(*)', 1)} AS positive_pct FROM labelled""",
+    "value_weights": f"{_LABELLED} SELECT customer_id, churned, round(sample_weight, 6) AS sample_weight FROM labelled",
+    "delivery_features": f"{_DELIVERY} SELECT * FROM delivery",
+    "delivery_class_balance": f"""{_DELIVERY} SELECT count(*) AS rows, cast(sum(is_late) AS bigint) AS positives,
+        {rounded('cast(sum(is_late) * 100 AS double) / count(*)', 1)} AS positive_pct FROM delivery""",
+    "sentiment_features": f"{_SENTIMENT} SELECT * FROM sentiment",
+    "forecast_monthly": f"{_monthly(chr(39) + 'all' + chr(39))} {_monthly_out()}",
+    "forecast_monthly_by_state": f"{_monthly('state')} {_monthly_out()}",
+    "project_regressors": f"{_monthly('state')} {_PROJECTED}",
+    "future_frame": f"{_monthly('state')} {_FUTURE}",
+    "stratified_split": f"{_SPLIT} SELECT order_id, order_item_id, label, is_train FROM split",
+    "standardize": f"""{_SPLIT}, fitted AS (
+        SELECT avg(price) AS mp, stddev_pop(price) AS sp, avg(freight_value) AS mf, stddev_pop(freight_value) AS sf FROM split WHERE is_train = 1)
+        SELECT order_id, order_item_id, round((price - mp) / sp, 6) AS price, round((freight_value - mf) / sf, 6) AS freight_value
+        FROM split, fitted""",
+    "label_encode": f"""{_DELIVERY}, codes AS (
+        SELECT value, dense_rank() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT coalesce(customer_state, 'unknown') AS value FROM delivery))
+        SELECT order_id, order_item_id, customer_state, coalesce(a.code, 0) AS customer_state_enc, seller_state, coalesce(b.code, 0) AS seller_state_enc
+        FROM delivery LEFT JOIN codes a ON a.value = coalesce(customer_state, 'unknown') LEFT JOIN codes b ON b.value = coalesce(seller_state, 'unknown')""",
+    "fill_zero": f"""{_DELIVERY} SELECT order_id, order_item_id, coalesce(weight_g, 0) AS weight_g, coalesce(volume_cm3, 0) AS volume_cm3,
+        coalesce(freight_ratio, 0) AS freight_ratio FROM delivery""",
+    "balanced_weights": f"""{_DELIVERY}, c AS (SELECT is_late, count(*) AS n FROM delivery GROUP BY is_late)
+        SELECT d.order_id, d.order_item_id, d.is_late, round(cast((SELECT sum(n) FROM c) AS double) / ((SELECT count(*) FROM c) * c.n), 9) AS weight
+        FROM delivery d JOIN c USING (is_late)""",
+    "scale_pos_weight": f"{_DELIVERY} SELECT round(cast(sum(1 - is_late) AS double) / sum(is_late), 9) AS scale_pos_weight FROM delivery",
+    "accuracy": f"{_SCORED} SELECT round(accuracy, 9) AS accuracy FROM measured",
+    "recall_by_class": f"{_SCORED} SELECT round(recall_0, 9) AS recall_0, round(recall_1, 9) AS recall_1 FROM measured",
+    "f1": f"{_SCORED} SELECT round(f1, 9) AS f1 FROM measured",
+    "f1_macro": f"{_SCORED} SELECT round((f0 + f1) / 2, 9) AS f1_macro FROM measured",
+    "roc_auc": f"{_SCORED} SELECT roc_auc FROM area",
+    "roc_curve": f"""{_SCORED} SELECT round(probability, 9) AS threshold, round(cast(cum_neg AS double) / (SELECT sum(neg) FROM counts), 9) AS fpr,
+        round(cast(cum_pos AS double) / (SELECT sum(pos) FROM counts), 9) AS tpr FROM running UNION ALL SELECT NULL, 0, 0""",
+    "confusion_matrix": f"""{_SCORED} SELECT 0 AS label, 0 AS prediction, cast(tn AS bigint) AS count FROM cells
+        UNION ALL SELECT 0, 1, cast(fp AS bigint) FROM cells UNION ALL SELECT 1, 0, cast(fn AS bigint) FROM cells
+        UNION ALL SELECT 1, 1, cast(tp AS bigint) FROM cells""",
+    "classification_report": f"""{_SCORED} SELECT name, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, support
+        FROM ({_REPORT})""",
+    "threshold_curve": f"""{_SCORED}, {_curve(_BALANCE)} SELECT round(threshold, 9) AS threshold, round(recall_0, 9) AS recall_0,
+        round(recall_1, 9) AS recall_1 FROM curve""",
+    "threshold_balanced": f"""{_SCORED}, {_curve(_BALANCE)} SELECT round(threshold, 9) AS threshold, round(least(recall_0, recall_1), 9) AS balance
+        FROM curve ORDER BY least(recall_0, recall_1) DESC, threshold LIMIT 1""",
+    "threshold_target_recall": f"""{_SCORED}, {_curve(_RECALL)}
+        SELECT round(coalesce(min(CASE WHEN recall_1 >= 0.55 THEN threshold END), 0.5), 9) AS threshold FROM curve""",
+    "evaluation_report": f"""{_SCORED}
+        SELECT 'confusion' AS section, '0/0' AS name, tn AS value FROM cells UNION ALL SELECT 'confusion', '0/1', fp FROM cells
+        UNION ALL SELECT 'confusion', '1/0', fn FROM cells UNION ALL SELECT 'confusion', '1/1', tp FROM cells
+        UNION ALL SELECT 'metric', 'accuracy', round(accuracy, 9) FROM measured UNION ALL SELECT 'metric', 'recall_0', round(recall_0, 9) FROM measured
+        UNION ALL SELECT 'metric', 'recall_1', round(recall_1, 9) FROM measured UNION ALL SELECT 'metric', 'f1', round(f1, 9) FROM measured
+        UNION ALL SELECT 'metric', 'f1_macro', round((f0 + f1) / 2, 9) FROM measured UNION ALL SELECT 'metric', 'roc_auc', roc_auc FROM area""",
+    "select_best": f"""{_CHURN} SELECT category AS name, {mean('review_score', 4)} AS value FROM fact_orders WHERE category IS NOT NULL
+        GROUP BY category ORDER BY value DESC, name LIMIT 1""",
+    "forecast_metrics": f"""{_monthly("'all'")}, e AS (
+        SELECT month_num % 3 AS horizon, y, lag(y) OVER (ORDER BY ds) AS yhat FROM monthly)
+        SELECT horizon, round(avg(abs(y - yhat)), 4) AS mae, round(sqrt(avg((y - yhat) * (y - yhat))), 4) AS rmse,
+          round(avg(abs(y - yhat) / nullif(abs(y), 0)), 6) AS mape FROM e WHERE yhat IS NOT NULL GROUP BY horizon""",
+    "forecast_fit_error": f"""{_monthly("'all'")}, e AS (SELECT ds, y, lag(y) OVER (ORDER BY ds) AS yhat FROM monthly)
+        SELECT cast(ds AS varchar) AS ds, y, yhat, round(abs(yhat - y) / y * 100, 6) AS error_pct FROM e WHERE yhat IS NOT NULL""",
+    "scoring_inputs": """SELECT f.order_id, f.order_item_id, cast(payment_installments AS double) AS payment_installments,
+        coalesce(f.state, 'SP') AS customer_state, coalesce(s.seller_state, 'SP') AS seller_state, coalesce(p.weight_g, 500) AS weight_g,
+        coalesce(p.length_cm, 20) AS length_cm, coalesce(p.height_cm, 10) AS height_cm, coalesce(p.width_cm, 15) AS width_cm
+        FROM fact_orders f LEFT JOIN dim_products p USING (product_id) LEFT JOIN dim_sellers s USING (seller_id)""",
+    "knn": """WITH pairs AS (
+        SELECT a.vec_id AS id, b.vec_id AS neighbour, list_distance(cast(a.embedding AS double[]), cast(b.embedding AS double[])) AS distance
+        FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
+        SELECT id, neighbour, round(distance, 6) AS distance, rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) AS rank FROM pairs) WHERE rank <= 5""",
+    "smote_balance": f"""{_DELIVERY}, c AS (SELECT is_late, count(*) AS n FROM delivery GROUP BY is_late)
+        SELECT is_late AS label, (SELECT max(n) FROM c) AS rows FROM c""",
+}

@@ -35,6 +35,8 @@ def describe(df: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int, upper: float | None = None, by: str | None = None) -> DataFrame:
     """Equal-width bins, empty ones included; values above ``upper`` count as ``upper``.
 
+    A constant column gets a range of width one around its value.
+
     With ``by``, every class has its own range, as when each class is plotted on its own.
     """
     value = F.col(column).cast("double")
@@ -42,14 +44,14 @@ def histogram(df: DataFrame, column: str, bins: int, upper: float | None = None,
         value = F.when(value.isNotNull(), F.least(value, F.lit(float(upper))))
     keys = [by] if by else []
     values = df.select(*keys, value.alias("value")).filter(F.col("value").isNotNull())
-    span = values.groupBy(*keys).agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    pad = F.when(F.min("value") == F.max("value"), 0.5).otherwise(0.0)
+    span = values.groupBy(*keys).agg((F.min("value") - pad).alias("low"), (F.max("value") + pad).alias("high"))
     if by:
         placed = values.join(span.withColumnRenamed(by, "_by"), F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
     else:
         one = span.select(F.struct("low", "high")).scalar()
         placed = values.withColumns({"low": one["low"], "high": one["high"]})
-    width = F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
-    position = F.coalesce(F.floor((F.col("value") - F.col("low")) * bins / width), F.lit(0)) + 1
+    position = F.floor((F.col("value") - F.col("low")) * bins / (F.col("high") - F.col("low"))) + 1
     filled = placed.groupBy(*keys, F.least(position, F.lit(bins)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = span.select(*keys, "low", "high", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))).alias("bin"))
     step = (F.col("high") - F.col("low")) / bins

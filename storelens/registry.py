@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storelens.plans import customers, dims, etl, explore, fact, reports
+from storelens.operators import neighbours
+from storelens.plans import customers, dims, etl, evaluate, explore, fact, features, forecast, prep, reports, scoring, training
 from storelens.session import shared_dir
 from storelens.shared_warehouse import warehouse_for
 from storelens.sources import raw as raw_source
@@ -18,7 +19,8 @@ from storelens.sources.binding import bind_test_tables
 from storelens.sources.raw import RawTables
 from storelens.sources.warehouse import Warehouse
 
-# The test tables cover other years than the real dump.
+# The test tables cover other years and a thousand times larger prices than the real dump.
+SPEND_LIMIT = 2_000_000
 AS_OF = "2001-08-02"
 CALENDAR = ("1995-01-01", "2001-12-31")
 
@@ -185,11 +187,171 @@ def _customer_queries() -> dict[str, Query]:
         "describe_features": _stored(lambda w: explore.describe(_base(w), BASE_COLUMNS)),
         "histogram": _stored(lambda w: explore.histogram(_base(w), "recency_days", 50)),
         "histogram_frequency": _stored(lambda w: explore.histogram(_base(w), "frequency", 10, 10)),
-        "histogram_monetary": _stored(lambda w: explore.histogram(_base(w), "monetary", 50, 2000)),
-        "histogram_by_class": _stored(lambda w: explore.histogram(_base(w), "monetary", 40, 2000, "churned")),
+        "histogram_monetary": _stored(lambda w: explore.histogram(_base(w), "monetary", 50, SPEND_LIMIT)),
+        "histogram_by_class": _stored(lambda w: explore.histogram(_base(w), "monetary", 40, SPEND_LIMIT, "churned")),
         "correlation_matrix": _stored(lambda w: explore.correlation_matrix(_base(w), BASE_COLUMNS)),
     }
 
 
+def _rounded(df: DataFrame, columns: list[str], digits: int) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def _churn(w: Warehouse) -> DataFrame:
+    return features.churn_features(w.fact_orders, AS_OF)
+
+
+def _churn_labelled(w: Warehouse) -> DataFrame:
+    return features.churn_labels_weights(_churn(w))
+
+
+def _delivery(w: Warehouse) -> DataFrame:
+    return features.delivery_features(w.fact_orders, w.dim_products, w.dim_sellers)
+
+
+def _monthly(w: Warehouse, key: str | None = "state") -> DataFrame:
+    return features.forecast_monthly(w.fact_orders, key)
+
+
+NORMS = [f"{c}_norm" for c in features.REGRESSORS]
+USED_NORMS = ["n_sellers_norm", "n_products_norm", "month_num_norm"]
+
+
+def _feature_queries() -> dict[str, Query]:
+    return {
+        "churn_recent_orders": _stored(lambda w: features.churn_recent_orders(w.fact_orders)),
+        "churn_last_orders": _stored(lambda w: features.churn_last_orders(w.fact_orders)),
+        "churn_recent_revenue": _stored(lambda w: features.churn_recent_revenue(w.fact_orders)),
+        "churn_features": _stored(_churn),
+        "churn_labels_weights": _stored(lambda w: _rounded(_churn_labelled(w), ["sample_weight"], 6)),
+        "churn_class_balance": _stored(lambda w: features.class_balance(_churn_labelled(w), "churned")),
+        "value_weights": _stored(lambda w: _rounded(_churn_labelled(w).select("customer_id", "churned", "sample_weight"), ["sample_weight"], 6)),
+        "delivery_features": _stored(_delivery),
+        "delivery_class_balance": _stored(lambda w: features.class_balance(_delivery(w), "is_late")),
+        "sentiment_features": _stored(lambda w: features.sentiment_features(w.fact_orders)),
+        "forecast_monthly": _stored(lambda w: _rounded(_monthly(w, None), NORMS, 6)),
+        "forecast_monthly_by_state": _stored(lambda w: _rounded(_monthly(w), NORMS, 6)),
+        "project_regressors": _stored(lambda w: _rounded(features.project_regressors(_monthly(w)), [*features.REGRESSORS, *NORMS], 6)),
+        "future_frame": _stored(lambda w: _rounded(features.future_frame(_monthly(w)), USED_NORMS, 6)),
+    }
+
+
+ITEM = ["order_id", "order_item_id"]
+
+
+def _split(w: Warehouse) -> DataFrame:
+    rows = features.sentiment_features(w.fact_orders).withColumn("label", (F.col("sentiment") == "Positive").cast("int"))
+    return prep.stratified_split(rows, "label", ITEM)
+
+
+def _standardized(w: Warehouse) -> DataFrame:
+    split = _split(w)
+    scaled = prep.standardize(split, ["price", "freight_value"], split.filter("is_train = 1"))
+    return _rounded(scaled.select(*ITEM, "price", "freight_value"), ["price", "freight_value"], 6)
+
+
+def _encoded(w: Warehouse) -> DataFrame:
+    rows = _delivery(w).select(*ITEM, "customer_state", "seller_state")
+    for c in ("customer_state", "seller_state"):
+        rows = prep.label_encode(rows, c, prep.label_codes(rows, c), f"{c}_enc")
+    return rows
+
+
+def _knn(spark: SparkSession, directory: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{directory}/embeddings.parquet")
+    points = neighbours.distinct_points(vectors, "vec_id", "embedding")
+    return portable(_rounded(neighbours.nearest_neighbours(points, 5), ["distance"], 6))
+
+
+SMOTE_INPUTS = ["price", "freight_value", "freight_ratio", "order_month", "order_year", "payment_installments", "volume_cm3"]
+
+
+def _balanced(w: Warehouse) -> DataFrame:
+    rows = prep.fill_zero(_delivery(w), SMOTE_INPUTS)
+    rows = rows.select(F.xxhash64(*ITEM).alias("id"), "is_late", F.array(*SMOTE_INPUTS).alias("vec"))
+    return neighbours.smote(rows, "is_late", "vec", "id")
+
+
+def _prep_queries() -> dict[str, Query]:
+    zeroed = ["weight_g", "volume_cm3", "freight_ratio"]
+    return {
+        "stratified_split": _stored(lambda w: _split(w).select(*ITEM, "label", "is_train")),
+        "standardize": _stored(_standardized),
+        "label_encode": _stored(_encoded),
+        "fill_zero": _stored(lambda w: prep.fill_zero(_delivery(w).select(*ITEM, *zeroed), zeroed)),
+        "balanced_weights": _stored(lambda w: _rounded(prep.balanced_weights(_delivery(w).select(*ITEM, "is_late"), "is_late"), ["weight"], 9)),
+        "scale_pos_weight": _stored(lambda w: _rounded(prep.scale_pos_weight(_delivery(w), "is_late"), ["scale_pos_weight"], 9)),
+        "knn": _knn,
+        "smote": _stored(lambda w: _balanced(w).select("label", "synthetic", F.concat_ws(",", F.transform("vec", lambda v: F.round(v, 6).cast("string"))).alias("vec"))),
+        "smote_balance": _stored(lambda w: _balanced(w).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))),
+    }
+
+
+def fixed_scores(w: Warehouse) -> DataFrame:
+    """Scores from a formula over every fact row, so that the metrics can be checked in SQL."""
+    label = (F.col("review_score") >= 4).cast("int")
+    mixed = (F.col("product_id") * 7 + F.col("seller_id") * 3 + F.col("order_item_id") * 11) % 100
+    return w.fact_orders.select(label.alias("label"), ((mixed + 25 * label) / F.lit(130.0)).alias("probability"))
+
+
+def _scored(build: Callable[[DataFrame], DataFrame], digits: int = 9) -> Query:
+    def run(w: Warehouse) -> DataFrame:
+        out = build(fixed_scores(w))
+        return _rounded(out, [c for c, kind in out.dtypes if kind == "double"], digits)
+
+    return _stored(run)
+
+
+def _predicted(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return _scored(lambda scored: build(evaluate.with_prediction(scored)))
+
+
+def _best_category(w: Warehouse) -> DataFrame:
+    candidates = w.fact_orders.filter("category IS NOT NULL").groupBy(F.col("category").alias("name")).agg(
+        F.round((F.sum("review_score").cast("double") / F.count("review_score")).cast("decimal(28,8)"), 4).cast("double").alias("value")
+    )
+    return evaluate.select_best(candidates, "name", "value", "name")
+
+
+def _naive_forecast(w: Warehouse) -> DataFrame:
+    """Last month's value as the forecast: a fixed table to check error measures on."""
+    monthly = _monthly(w, None)
+    shifted = monthly.select("series_key", (F.col("month_num") + 1).alias("month_num"), F.col("y").alias("yhat"))
+    return monthly.select("series_key", "ds", "y", "month_num").join(shifted, ["series_key", "month_num"])
+
+
+def _forecast_errors(w: Warehouse) -> DataFrame:
+    errors = _naive_forecast(w).withColumn("horizon", F.col("month_num") % 3)
+    return _rounded(_rounded(evaluate.forecast_metrics(errors, ["horizon"]), ["mae", "rmse"], 4), ["mape"], 6)
+
+
+def _fit_error(w: Warehouse) -> DataFrame:
+    naive = _naive_forecast(w)
+    return _rounded(forecast.fit_error(naive, naive).select("ds", "y", "yhat", "error_pct"), ["error_pct"], 6)
+
+
+def _evaluation_queries() -> dict[str, Query]:
+    names = ["Not Positive", "Positive"]
+    return {
+        "accuracy": _predicted(evaluate.accuracy),
+        "recall_by_class": _predicted(evaluate.recall_by_class),
+        "f1": _predicted(evaluate.f1),
+        "f1_macro": _predicted(evaluate.f1_macro),
+        "confusion_matrix": _predicted(evaluate.confusion_matrix),
+        "classification_report": _predicted(lambda p: evaluate.classification_report(p, names)),
+        "roc_auc": _scored(evaluate.roc_auc),
+        "roc_curve": _scored(evaluate.roc_curve),
+        "threshold_curve": _scored(evaluate.threshold_curve),
+        "threshold_balanced": _scored(evaluate.threshold_balanced),
+        "threshold_target_recall": _scored(evaluate.threshold_target_recall),
+        "evaluation_report": _scored(evaluate.evaluation_report),
+        "select_best": _stored(_best_category),
+        "forecast_metrics": _stored(_forecast_errors),
+        "forecast_fit_error": _stored(_fit_error),
+    }
+
+
 def registered() -> dict[str, Query]:
-    return {**_etl_queries(), **_report_queries(), **_customer_queries()}
+    return {
+        **_etl_queries(), **_report_queries(), **_customer_queries(), **_feature_queries(), **_prep_queries(), **_evaluation_queries(),
+    }
