@@ -351,7 +351,106 @@ def _evaluation_queries() -> dict[str, Query]:
     }
 
 
+# Searches of the registered training queries: few draws and small ensembles over the whole tables.
+TRIAL = training.Search(n_iter=2, folds=2, cap={"maxIter": 10, "numTrees": 20, "maxDepth": 5})
+_trained: dict[tuple, object] = {}
+
+
+def _once(w: Warehouse, name: str, build: Callable[[], object]):
+    """Fit once per application and warehouse, however many queries use the model."""
+    key = (w.fact_orders.sparkSession.sparkContext.applicationId, w.fact_orders.inputFiles()[0].rsplit("/fact_orders/", 1)[0], name)
+    if key not in _trained:
+        _trained[key] = build()
+    return _trained[key]
+
+
+def _churn_model(w: Warehouse) -> training.Trained:
+    return _once(w, "churn", lambda: training.train_churn(_churn_labelled(w), TRIAL))
+
+
+def _delivery_model(w: Warehouse):
+    return _once(w, "delivery", lambda: training.train_delivery(_delivery(w), TRIAL))
+
+
+def _sentiment_model(w: Warehouse) -> training.Trained:
+    return _once(w, "sentiment", lambda: training.train_sentiment(features.sentiment_features(w.fact_orders), TRIAL))
+
+
+def _logged(w: Warehouse, trained: training.Trained, inputs: list[str]) -> DataFrame:
+    """Metrics as written to and read back from the metrics table."""
+    spark = w.fact_orders.sparkSession
+    path = _fresh_path(spark, "metrics")
+    params = {"threshold": trained.threshold, "features_count": len(inputs)}
+    training.log_metrics(spark, path, uuid.uuid4().hex, trained.name, params, trained.metrics)
+    return training.read_metrics(spark, path).drop("run_id")
+
+
+def _reloaded(w: Warehouse, trained: training.Trained):
+    path = _fresh_path(w.fact_orders.sparkSession, "model")
+    training.save_model(trained.model, path)
+    return training.load_model(path)
+
+
+def _requests(w: Warehouse) -> DataFrame:
+    """Every fact row as a delivery request."""
+    items = w.fact_orders.select(*ITEM, "product_id", "seller_id", "price", "freight_value", "order_month", "order_quarter", "order_year",
+                                 "payment_installments", F.col("state").alias("customer_state"))
+    return items.join(w.dim_products.drop("category"), "product_id", "left").join(w.dim_sellers.select("seller_id", "seller_state"), "seller_id", "left")
+
+
+def _scoring_inputs(w: Warehouse) -> DataFrame:
+    filled = scoring.scoring_inputs(_requests(w), scoring.DELIVERY_DEFAULTS)
+    return filled.select(*ITEM, *scoring.DELIVERY_DEFAULTS)
+
+
+def _score_delivery(w: Warehouse) -> DataFrame:
+    trained, indexer = _delivery_model(w)
+    return scoring.score_delivery(_reloaded(w, trained), indexer, _requests(w), ITEM)
+
+
+def _score_sentiment(w: Warehouse) -> DataFrame:
+    requests = w.fact_orders.select(*ITEM, "price", "freight_value", "delivery_delay_days", "payment_installments", "is_delivered",
+                                    "order_month", "order_quarter", "order_year")
+    scored = scoring.score_sentiment(_sentiment_model(w).model, requests, ITEM)
+    positive = F.element_at("probabilities", F.lit("Positive"))
+    return scored.withColumn("positive_probability", positive).drop("probabilities")
+
+
+def _importance(w: Warehouse) -> DataFrame:
+    return training.feature_importance(w.fact_orders.sparkSession, _churn_model(w).model, features.CHURN_FEATURES, 5)
+
+
+def _forecast_rows(w: Warehouse) -> DataFrame:
+    return forecast.forecast(_monthly(w))
+
+
+def _score_forecast(w: Warehouse) -> DataFrame:
+    """Coefficients are stored as rows and read back before scoring."""
+    spark, monthly = w.fact_orders.sparkSession, _monthly(w)
+    path = _fresh_path(spark, "forecast")
+    forecast.fit(monthly).write.parquet(path)
+    return forecast.score_forecast(spark.read.parquet(path), monthly, 6)
+
+
+def _model_queries() -> dict[str, Query]:
+    return {
+        "train_churn": _stored(lambda w: _logged(w, _churn_model(w), features.CHURN_FEATURES)),
+        "train_delivery": _stored(lambda w: _logged(w, _delivery_model(w)[0], features.DELIVERY_FEATURES)),
+        "train_sentiment": _stored(lambda w: _logged(w, _sentiment_model(w), features.SENTIMENT_FEATURES)),
+        "feature_importance": _stored(_importance),
+        "evaluation_report_churn": _stored(lambda w: evaluate.evaluation_report(_churn_model(w).scored)),
+        "scoring_inputs": _stored(_scoring_inputs),
+        "score_churn": _stored(lambda w: scoring.score_churn(_reloaded(w, _churn_model(w)), _churn(w), ["customer_id"])),
+        "score_delivery": _stored(_score_delivery),
+        "score_sentiment": _stored(_score_sentiment),
+        "train_forecast": _stored(_forecast_rows),
+        "forecast_cv": _stored(lambda w: forecast.forecast_cv(_monthly(w))),
+        "score_forecast": _stored(_score_forecast),
+    }
+
+
 def registered() -> dict[str, Query]:
     return {
         **_etl_queries(), **_report_queries(), **_customer_queries(), **_feature_queries(), **_prep_queries(), **_evaluation_queries(),
+        **_model_queries(),
     }
