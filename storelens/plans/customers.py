@@ -96,17 +96,19 @@ def rfm_segment_summary(scores: DataFrame) -> DataFrame:
 
 def rfm_base_features(fact: DataFrame, as_of: str = AS_OF, churn_days: int = CHURN_DAYS) -> DataFrame:
     """Customer features of delivered rows, without the customer dimension, plus the churn flag."""
-    base = (
-        fact.filter(F.col("is_delivered") == 1)
-        .groupBy("customer_id")
-        .agg(
-            days_since(as_of, F.max("order_date")).alias("recency_days"),
-            F.count_distinct("order_id").alias("frequency"),
-            round_to(F.sum("revenue"), 2).alias("monetary"),
-            round_to(mean_of(F.col("review_score")), 2).alias("avg_review_score"),
-            F.sum(F.when(F.col("delivery_delay_days") > 0, 1).otherwise(0)).alias("late_deliveries"),
-            F.count_distinct("category").alias("unique_categories"),
-            F.datediff(F.max("order_date"), F.min("order_date")).alias("customer_lifetime_days"),
-        )
+    delivered = fact.filter(F.col("is_delivered") == 1)
+    totals = delivered.groupBy("customer_id").agg(
+        days_since(as_of, F.max("order_date")).alias("recency_days"),
+        round_to(F.sum("revenue"), 2).alias("monetary"),
+        round_to(mean_of(F.col("review_score")), 2).alias("avg_review_score"),
+        F.sum(F.when(F.col("delivery_delay_days") > 0, 1).otherwise(0)).alias("late_deliveries"),
+        F.datediff(F.max("order_date"), F.min("order_date")).alias("customer_lifetime_days"),
+    )
+    # distinct counts repeat rows per counted column, so they run apart from the measures
+    variety = delivered.groupBy("customer_id").agg(
+        F.count_distinct("order_id").alias("frequency"), F.count_distinct("category").alias("unique_categories")
     )
-    return base.withColumn("churned", (F.col("recency_days") > churn_days).cast("int"))
+    return totals.join(variety, "customer_id").select(
+        "customer_id", "recency_days", "frequency", "monetary", "avg_review_score", "late_deliveries", "unique_categories",
+        "customer_lifetime_days", (F.col("recency_days") > churn_days).cast("int").alias("churned"),
+    )

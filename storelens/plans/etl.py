@@ -7,29 +7,36 @@ from pyspark.sql import functions as F
 
 from storelens.plans import dims, fact
 from storelens.sources.raw import RawTables
-from storelens.sources.warehouse import Warehouse, open_warehouse, write_warehouse
+from storelens.sources.warehouse import Warehouse, write_table
+
+
+def dimensions(spark: SparkSession, raw: RawTables, start: str = "2016-01-01", end: str = "2018-12-31") -> dict[str, DataFrame]:
+    geo = dims.dim_geolocation(dims.geolocation_groups(raw.geolocation))
+    return {
+        "dim_geolocation": geo,
+        "dim_customers": dims.dim_customers(raw.customers, geo),
+        "dim_products": dims.dim_products(raw.products, raw.category_translation),
+        "dim_sellers": dims.dim_sellers(raw.sellers, geo),
+        "dim_date": dims.dim_date(spark, start, end),
+    }
 
 
 def transform(spark: SparkSession, raw: RawTables, start: str = "2016-01-01", end: str = "2018-12-31",
               with_key: bool = True) -> Warehouse:
-    """All six tables. The fact is checkpointed once while its surrogate key is assigned."""
-    geo = dims.dim_geolocation(dims.geolocation_groups(raw.geolocation))
-    customers = dims.dim_customers(raw.customers, geo)
-    products = dims.dim_products(raw.products, raw.category_translation)
-    return Warehouse(
-        fact_orders=fact.fact_orders(raw, customers, products, with_key),
-        dim_customers=customers,
-        dim_products=products,
-        dim_sellers=dims.dim_sellers(raw.sellers, geo),
-        dim_date=dims.dim_date(spark, start, end),
-        dim_geolocation=geo,
-    )
+    """All six tables, unwritten. With a key, the fact is checkpointed once while it is assigned."""
+    found = dimensions(spark, raw, start, end)
+    return Warehouse(fact_orders=fact.fact_orders(raw, found["dim_customers"], found["dim_products"], with_key), **found)
 
 
 def run_etl(spark: SparkSession, raw: RawTables, path: str, start: str = "2016-01-01", end: str = "2018-12-31") -> Warehouse:
-    """Transform, write, and return the tables as read back from storage."""
-    write_warehouse(transform(spark, raw, start, end), path)
-    return open_warehouse(spark, path)
+    """Transform, write, and return the tables as read back from storage.
+
+    The dimensions are stored first and the fact joins the stored ones: they are computed
+    once, and their real sizes decide how they are joined.
+    """
+    stored = {name: write_table(df, path, name) for name, df in dimensions(spark, raw, start, end).items()}
+    facts = fact.fact_orders(raw, stored["dim_customers"], stored["dim_products"])
+    return Warehouse(fact_orders=write_table(facts, path, "fact_orders"), **stored)
 
 
 def etl_audit(raw: RawTables, tables: Warehouse) -> DataFrame:

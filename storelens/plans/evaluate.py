@@ -38,41 +38,38 @@ def confusion_matrix(predicted: DataFrame, classes: list[int] | None = None) ->
     return predicted.agg(F.array(*grid).alias("cells")).select(F.inline("cells"))
 
 
-def _per_class(predicted: DataFrame, classes: list[int]) -> DataFrame:
-    cells = confusion_matrix(predicted, classes)
-    hits, count = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0), F.col("count")
-    by_label = cells.groupBy(F.col("label").alias("class")).agg(F.sum(hits).alias("tp"), F.sum(count).alias("support"))
-    by_guess = cells.groupBy(F.col("prediction").alias("class")).agg(F.sum(count).alias("guessed"))
-    both = by_label.join(by_guess, "class")
-    zero = F.lit(0.0)
-    scores = both.withColumns({
-        "precision": F.coalesce(safe_div(F.col("tp"), F.col("guessed")), zero),
-        "recall": F.coalesce(safe_div(F.col("tp"), F.col("support")), zero),
-        "f1": F.coalesce(safe_div(2 * F.col("tp"), F.col("support") + F.col("guessed")), zero),
-    })
-    return scores.select("class", "precision", "recall", "f1", "support", "tp")
+def classification_report(predicted: DataFrame, names: list[str]) -> DataFrame:
+    """Precision, recall, F1 and support per class, then accuracy, macro and weighted averages.
+
+    One pass counts the confusion cells; the report is arithmetic on that single row.
+    """
+    classes = range(len(names))
+    cell = {(a, p): F.col(f"n_{a}_{p}") for a in classes for p in classes}
+    counts = predicted.agg(
+        *[
+            F.sum(F.when((F.col("label") == a) & (F.col("prediction") == p), 1).otherwise(0)).alias(f"n_{a}_{p}")
+            for a in classes
+            for p in classes
+        ]
+    )
 
+    def ratio(part: Column, whole: Column) -> Column:
+        return F.coalesce(safe_div(part, whole), F.lit(0.0))
 
-def classification_report(predicted: DataFrame, names: list[str]) -> DataFrame:
-    """Precision, recall, F1 and support per class, then accuracy, macro and weighted averages."""
-    per_class = _per_class(predicted, list(range(len(names))))
-    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("class") + 1)
-    measures = ["precision", "recall", "f1"]
-    rows = per_class.select(label.alias("name"), *measures, "support")
-    total = F.sum("support")
-    accuracy = safe_div(F.sum("tp"), total)
-    averages = per_class.agg(
-        F.array(
-            F.struct(F.lit("accuracy").alias("name"), *[accuracy.alias(m) for m in measures], total.alias("support")),
-            F.struct(F.lit("macro avg").alias("name"), *[F.avg(m).alias(m) for m in measures], total.alias("support")),
-            F.struct(
-                F.lit("weighted avg").alias("name"),
-                *[safe_div(F.sum(F.col(m) * F.col("support")), total).alias(m) for m in measures],
-                total.alias("support"),
-            ),
-        ).alias("r")
-    ).select(F.inline("r"))
-    return rows.unionByName(averages)
+    def row(name: str, precision: Column, recall: Column, f1_score: Column, support: Column) -> Column:
+        return F.struct(F.lit(name).alias("name"), precision.alias("precision"), recall.alias("recall"), f1_score.alias("f1"), support.alias("support"))
+
+    total = sum(cell.values(), F.lit(0))
+    per_class = []
+    for c in classes:
+        support, guessed = sum((cell[c, p] for p in classes), F.lit(0)), sum((cell[a, c] for a in classes), F.lit(0))
+        per_class.append((ratio(cell[c, c], guessed), ratio(cell[c, c], support), ratio(2 * cell[c, c], support + guessed), support))
+    hits = ratio(sum((cell[c, c] for c in classes), F.lit(0)), total)
+    macro = [sum((m[i] for m in per_class), F.lit(0.0)) / len(names) for i in range(3)]
+    weighted = [ratio(sum((m[i] * m[3] for m in per_class), F.lit(0.0)), total) for i in range(3)]
+    rows = [row(n, *m) for n, m in zip(names, per_class)]
+    rows += [row("accuracy", hits, hits, hits, total), row("macro avg", *macro, total), row("weighted avg", *weighted, total)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def metrics(predicted: DataFrame) -> DataFrame:
@@ -111,10 +108,20 @@ def f1_macro(predicted: DataFrame) -> DataFrame:
     return metrics(predicted).select("f1_macro")
 
 
+def _grid_points_up_to(score: Column, grid: list[float]) -> Column:
+    """How many points of an evenly spaced grid are <= score: computed, then settled on the stored points."""
+    points, size = F.array(*[F.lit(t) for t in grid]), len(grid)
+    width = (grid[-1] - grid[0]) / (size - 1)
+    guess = F.greatest(F.lit(0), F.least(F.lit(size), F.floor((score - grid[0]) / width).cast("int") + 1))
+    too_low = (guess < size) & (F.get(points, guess) <= score)
+    too_high = (guess > 0) & (F.get(points, guess - 1) > score)
+    return guess + F.when(too_low, 1).when(too_high, -1).otherwise(0)
+
+
 def threshold_curve(scored: DataFrame, grid: list[float] | None = None) -> DataFrame:
     """Recall of both classes at every threshold, from one pass that counts rows per gap of the grid."""
     grid = grid or BALANCE_GRID
-    passed = F.size(F.filter(F.array(*[F.lit(t) for t in grid]), lambda t: t <= F.col("probability")))
+    passed = _grid_points_up_to(F.col("probability"), grid)
     positive = F.col("label") == 1
     buckets = scored.groupBy(passed.alias("passed")).agg(
         F.sum(F.when(positive, 1).otherwise(0)).alias("pos"), F.sum(F.when(positive, 0).otherwise(1)).alias("neg")

@@ -91,20 +91,13 @@ def churn_recent_revenue(fact: DataFrame) -> DataFrame:
     )
 
 
-def churn_features(fact: DataFrame, as_of: str = AS_OF) -> DataFrame:
-    """The churn inputs plus ``recency_days``, one row per customer with a delivered item.
-
-    One aggregate over the items and one over the three latest rows per customer, both
-    hash-partitioned on the customer, so that joining them moves nothing. Months are
-    counted as bits and years as a small set; only orders, products and categories need
-    distinct counting, which Spark spreads over (customer, value) before it counts.
-    """
+def _spend_totals(fact: DataFrame, as_of: str) -> DataFrame:
+    """Additive measures per customer. Months and years are counted as bits (a customer's years span less than 64)."""
     delay, score = F.col("delivery_delay_days"), F.col("review_score")
-    totals = (
+    return (
         _delivered(fact)
         .groupBy("customer_id")
         .agg(
-            F.count_distinct("order_id").alias("frequency"),
             F.sum("revenue").alias("spent"),
             round_to(mean_of(F.col("price")), 2).alias("avg_order_value"),
             round_to(mean_of(score), 2).alias("avg_review_score"),
@@ -112,24 +105,44 @@ def churn_features(fact: DataFrame, as_of: str = AS_OF) -> DataFrame:
             round_to(mean_of(F.col("payment_installments")), 2).alias("avg_installments"),
             F.sum(_flag(delay > 0)).alias("late_deliveries"),
             round_to(mean_of(delay), 1).alias("avg_delay_days"),
-            F.count_distinct("category").alias("unique_categories"),
-            F.count_distinct("product_id").alias("unique_products"),
             round_to(F.max("price"), 2).alias("max_order_value"),
             round_to(F.min("price"), 2).alias("min_order_value"),
             F.sum(_flag(score >= 4)).alias("positive_reviews"),
             F.sum(_flag(score <= 2)).alias("negative_reviews"),
-            F.size(F.collect_set("order_year")).alias("active_years"),
+            F.bit_count(F.bit_or(F.expr("shiftleft(1L, pmod(order_year, 64))"))).alias("active_years"),
             F.bit_count(F.bit_or(F.expr("shiftleft(1, order_month)"))).alias("active_months"),
             F.datediff(F.max("order_date"), F.min("order_date")).alias("customer_lifetime_days"),
             days_since(as_of, F.max("order_date")).alias("recency_days"),
         )
     )
+
+
+def _variety(fact: DataFrame) -> DataFrame:
+    """Distinct orders, products and categories per customer, over just those columns.
+
+    Spark repeats each row once per distinct column, so the measures are kept out of this
+    aggregate; the values are spread over (customer, value) before they are counted.
+    """
+    return _delivered(fact).groupBy("customer_id").agg(
+        F.count_distinct("order_id").alias("frequency"),
+        F.count_distinct("category").alias("unique_categories"),
+        F.count_distinct("product_id").alias("unique_products"),
+    )
+
+
+def churn_features(fact: DataFrame, as_of: str = AS_OF) -> DataFrame:
+    """The churn inputs plus ``recency_days``, one row per customer with a delivered item.
+
+    Totals, distinct counts and the three latest rows are separate aggregates, all
+    hash-partitioned on the customer, so that joining them moves nothing.
+    """
     orders, lifetime = F.col("frequency"), F.col("customer_lifetime_days")
     second, third = F.col("second_last_order_date"), F.col("third_last_order_date")
     older = F.col("spent") - F.col("recent_sum")
     usual_gap = safe_div(lifetime, orders - 1)
     recent_gap = F.datediff("last_order_date", second)
-    return totals.join(_pivot_last_three(fact), "customer_id").select(
+    joined = _spend_totals(fact, as_of).join(_variety(fact), "customer_id").join(_pivot_last_three(fact), "customer_id")
+    return joined.select(
         "customer_id",
         "frequency",
         round_to(F.col("spent"), 2).alias("monetary"),

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from storelens.operators.joins import broadcast_if_small
 from storelens.operators.ranking import distributed_rank
 
-# Hex digits of the hash that are counted before the cut is located: about a million cells.
-_PREFIX = 5
+# Hex digits of the hash that are counted before the cut is located: 65,536 cells per class.
+_PREFIX = 4
 
 
 def row_hash(keys: list[str], seed: int) -> Column:
