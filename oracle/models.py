@@ -210,6 +210,7 @@ SQL = {
     "sentiment_features": f"{_SENTIMENT} SELECT * FROM sentiment",
     "forecast_monthly": f"{_monthly(chr(39) + 'all' + chr(39))} {_monthly_out()}",
     "forecast_monthly_by_state": f"{_monthly('state')} {_monthly_out()}",
+    "write_csv": f"{_monthly('state')} {_monthly_out()}",
     "project_regressors": f"{_monthly('state')} {_PROJECTED}",
     "future_frame": f"{_monthly('state')} {_FUTURE}",
     "stratified_split": f"{_SPLIT} SELECT order_id, order_item_id, label, is_train FROM split",

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from storelens.operators.ranking import running_totals
+from storelens.operators.ranking import distributed_rank, running_totals
 from storelens.session import shared_dir
 
 MAX_PIVOTS = 1024
@@ -165,7 +165,7 @@ def uniform(*parts: Column | str) -> Column:
 _ROWS_PER_CHUNK = 10_000
 
 
-def smote(df: DataFrame, label: str, vec: str, id_col: str, k: int = 5, seed: int = 42) -> DataFrame:
+def smote(df: DataFrame, label: str, vec: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Add synthetic rows of the rarer class until both classes are equally large.
 
     Each synthetic row lies on the line from a minority row to one of its k nearest
@@ -180,7 +180,9 @@ def smote(df: DataFrame, label: str, vec: str, id_col: str, k: int = 5, seed: in
     missing = sizes[common] - sizes[rare]
     rounds, extra = divmod(missing, sizes[rare])
 
-    points = distinct_points(df.filter(F.col(label) == rare), id_col, vec).checkpoint()
+    # distinct vectors are numbered in their own order, so the draws do not depend on partitioning
+    distinct = original.filter(F.col("label") == rare).groupBy("vec").agg(F.count(F.lit(1)).alias("copies"))
+    points = distributed_rank(distinct, ["vec"], "id").checkpoint()
     near = nearest_neighbours(points, k)
     known = near.join(points.select(F.col("id").alias("neighbour"), F.col("vec").alias("n_vec"), F.col("copies").alias("n_copies")), "neighbour")
     lists = known.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "n_copies", "n_vec"))).alias("near"))

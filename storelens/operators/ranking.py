@@ -76,6 +76,7 @@ def exact_quantiles(long: DataFrame, probs: dict[str, float], column: str = "col
     """Linear-interpolation quantiles of every ``column`` of a (column, value) table.
 
     Equal values are counted before the shuffle; the sorted distinct values stay distributed.
+    ``column`` holds column names, so the sizes that are broadcast are one row per unpivoted column.
     """
     counts = long.filter(F.col(value).isNotNull()).groupBy(column, value).agg(F.count(F.lit(1)).alias("n"))
     cum = running_totals(counts, [column, value], ["n"])
@@ -95,7 +96,7 @@ def exact_quantiles(long: DataFrame, probs: dict[str, float], column: str = "col
             at(F.least(low + 1, F.col("_size") - 1)).alias(f"_hi_{name}"),
             F.max(h - low).alias(f"_w_{name}"),
         ]
-    picked = cum.join(sizes, column).groupBy(column).agg(*found)
+    picked = cum.join(F.broadcast(sizes), column).groupBy(column).agg(*found)
     return picked.select(
         column,
         *[

@@ -106,15 +106,14 @@ def random_search(estimator, grid: dict[str, list], evaluator: Evaluator, train:
 def split_sets(df: DataFrame, label: str, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Stratified 80/20 sets, written once so that every later pass reads the same rows."""
     shared_dir(df.sparkSession)
-    split = prep.stratified_split(df.withColumn("label", F.col(label).cast("double")), "label", keys).checkpoint()
+    rows = df.withColumn("label", F.col(label).cast("double")).checkpoint()
+    split = prep.stratified_split(rows, "label", keys).checkpoint()
     return split.filter("is_train = 1"), split.filter("is_train = 0")
 
 
-def oversample(prepared: DataFrame, keys: list[str]) -> DataFrame:
+def oversample(prepared: DataFrame) -> DataFrame:
     """Balance the training vectors; returns (label, features)."""
-    row_id = F.xxhash64(*[F.col(k).cast("string") for k in keys])
-    rows = prepared.select(row_id.alias("_id"), "label", vector_to_array("features").alias("vec"))
-    balanced = smote(rows, "label", "vec", "_id")
+    balanced = smote(prepared.select("label", vector_to_array("features").alias("vec")), "label", "vec")
     return balanced.select("label", array_to_vector("vec").alias("features")).checkpoint()
 
 
@@ -154,7 +153,7 @@ def train_churn(features: DataFrame, search: Search | None = None, use_value_wei
     if use_value_weights:
         rows, trees = prepared.select("label", "features", "sample_weight"), trees.setWeightCol("sample_weight")
     else:
-        rows = oversample(prepared, ["customer_id"])
+        rows = oversample(prepared)
     best, cv = random_search(trees, CHURN_GRID, BinaryClassificationEvaluator(metricName="areaUnderROC"), rows, search)
     model = PipelineModel(stages=[*prepare.stages, best])
     scored = score(model, test, ["customer_id"]).checkpoint()
@@ -189,7 +188,7 @@ def train_delivery(features: DataFrame, search: Search | None = None) -> tuple[T
     indexer = _state_indexer(features)
     train, test = split_sets(prep.fill_zero(encode_states(indexer, features), DELIVERY_FEATURES), "is_late", keys)
     assembler = _assembled(DELIVERY_FEATURES)
-    balanced = oversample(assembler.transform(train), keys)
+    balanced = oversample(assembler.transform(train))
     weighted = prep.balanced_weights(balanced, "label").checkpoint()
     f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
 
@@ -215,7 +214,7 @@ def train_sentiment(features: DataFrame, search: Search | None = None) -> Traine
     labelled = features.withColumn("positive", (F.col("sentiment") == "Positive").cast("int"))
     train, test = split_sets(prep.fill_zero(labelled, SENTIMENT_FEATURES), "positive", keys)
     assembler = _assembled(SENTIMENT_FEATURES)
-    balanced = oversample(assembler.transform(train), keys)
+    balanced = oversample(assembler.transform(train))
     weighted = prep.balanced_weights(balanced, "label").checkpoint()
     macro = MacroF1()
     candidates = {

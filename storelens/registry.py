@@ -213,6 +213,14 @@ def _monthly(w: Warehouse, key: str | None = "state") -> DataFrame:
     return features.forecast_monthly(w.fact_orders, key)
 
 
+def _csv_regressors(w: Warehouse) -> DataFrame:
+    """The regressor table written as CSV and read back."""
+    spark, rows = w.fact_orders.sparkSession, _rounded(_monthly(w), NORMS, 6)
+    path = _fresh_path(spark, "csv")
+    wh.write_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
 NORMS = [f"{c}_norm" for c in features.REGRESSORS]
 USED_NORMS = ["n_sellers_norm", "n_products_norm", "month_num_norm"]
 
@@ -231,6 +239,7 @@ def _feature_queries() -> dict[str, Query]:
         "sentiment_features": _stored(lambda w: features.sentiment_features(w.fact_orders)),
         "forecast_monthly": _stored(lambda w: _rounded(_monthly(w, None), NORMS, 6)),
         "forecast_monthly_by_state": _stored(lambda w: _rounded(_monthly(w), NORMS, 6)),
+        "write_csv": _stored(_csv_regressors),
         "project_regressors": _stored(lambda w: _rounded(features.project_regressors(_monthly(w)), [*features.REGRESSORS, *NORMS], 6)),
         "future_frame": _stored(lambda w: _rounded(features.future_frame(_monthly(w)), USED_NORMS, 6)),
     }
@@ -268,8 +277,7 @@ SMOTE_INPUTS = ["price", "freight_value", "freight_ratio", "order_month", "order
 
 def _balanced(w: Warehouse) -> DataFrame:
     rows = prep.fill_zero(_delivery(w), SMOTE_INPUTS)
-    rows = rows.select(F.xxhash64(*ITEM).alias("id"), "is_late", F.array(*SMOTE_INPUTS).alias("vec"))
-    return neighbours.smote(rows, "is_late", "vec", "id")
+    return neighbours.smote(rows.select("is_late", F.array(*SMOTE_INPUTS).alias("vec")), "is_late", "vec")
 
 
 def _prep_queries() -> dict[str, Query]:
