@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from storelens.operators.joins import skew_join
 from storelens.session import shared_dir
 
 # monotonically_increasing_id: partition number above bit 33, row number below.
@@ -51,7 +52,8 @@ def grouped_rank(df: DataFrame, group: Sequence[str], order_by: Sequence[Column
     """Rank 1..n inside each group (and optionally the group size); a group may span many partitions."""
     ranked = distributed_rank(df, [*group, *order_by], "_global")
     starts = ranked.groupBy(*group).agg(F.min("_global").alias("_start"), F.count(F.lit(1)).alias("_size"))
-    out = ranked.join(starts, list(group)).withColumn(name, F.col("_global") - F.col("_start") + 1)
+    sizes = starts.select(*group, F.col("_size").alias("n"))
+    out = skew_join(ranked, starts, list(group), "inner", sizes).withColumn(name, F.col("_global") - F.col("_start") + 1)
     if size:
         out = out.withColumn(size, F.col("_size"))
     return out.select(*df.columns, name, *([size] if size else []))

@@ -41,23 +41,28 @@ def run_etl(spark: SparkSession, raw: RawTables, path: str, start: str = "2016-0
 
 def etl_audit(raw: RawTables, tables: Warehouse) -> DataFrame:
     """Row counts before and after cleaning, as (measure, value) rows."""
-    orders = raw.orders.filter(F.col("customer_id").isNotNull()).select("order_id")
-    scored = fact.best_review_per_order(raw.order_reviews).select("order_id")
-    facts = tables.fact_orders
     count = F.count(F.lit(1))
+    facts = tables.fact_orders
+
+    def one(name: str, counted: DataFrame) -> DataFrame:
+        return counted.select(F.lit(name).alias("measure"), F.coalesce(counted.columns[0], F.lit(0)).alias("value"))
+
+    # rows are counted per order before the joins, so that a large order is one row there
+    fact_sizes = facts.groupBy("order_id").agg(count.alias("n"))
+    item_sizes = fact.drop_null_keys(raw.order_items).groupBy("order_id").agg(count.alias("n"))
+    owned = raw.orders.filter(F.col("customer_id").isNotNull()).select("order_id")
+    scored = fact.best_review_per_order(raw.order_reviews).select("order_id")
     measures = [
-        raw.geolocation.agg(count.alias("value")).select(F.lit("geolocation_raw_rows").alias("measure"), "value"),
-        tables.dim_geolocation.agg(count.alias("value")).select(F.lit("geolocation_rows").alias("measure"), "value"),
-        raw.order_items.agg(count.alias("value")).select(F.lit("item_rows").alias("measure"), "value"),
-        facts.agg(count.alias("value")).select(F.lit("fact_rows").alias("measure"), "value"),
-        facts.agg(F.count_distinct("order_id").alias("value")).select(F.lit("fact_orders_distinct").alias("measure"), "value"),
-        facts.join(scored, "order_id", "left_anti").agg(count.alias("value")).select(F.lit("scores_imputed").alias("measure"), "value"),
-        fact.drop_null_keys(raw.order_items).join(orders, "order_id", "left_semi").agg(count.alias("value"))
-        .select(F.lit("item_rows_with_keys").alias("measure"), "value"),
+        one("geolocation_raw_rows", raw.geolocation.agg(count)),
+        one("geolocation_rows", tables.dim_geolocation.agg(count)),
+        one("item_rows", raw.order_items.agg(count)),
+        one("item_rows_with_keys", item_sizes.join(owned, "order_id", "left_semi").agg(F.sum("n"))),
+        one("fact_rows", facts.agg(count)),
+        one("fact_orders_distinct", fact_sizes.agg(count)),
+        one("scores_imputed", fact_sizes.join(scored, "order_id", "left_anti").agg(F.sum("n"))),
     ]
     out = measures[0]
     for m in measures[1:]:
         out = out.unionByName(m)
-    wide = out.groupBy().pivot("measure", ["item_rows", "fact_rows"]).agg(F.first("value"))
-    dropped = wide.select(F.lit("rows_dropped").alias("measure"), (F.col("item_rows") - F.col("fact_rows")).alias("value"))
-    return out.unionByName(dropped)
+    sign = F.when(F.col("measure") == "item_rows", F.col("value")).when(F.col("measure") == "fact_rows", -F.col("value"))
+    return out.unionByName(out.agg(F.lit("rows_dropped").alias("measure"), F.sum(sign).alias("value")))

@@ -1,9 +1,9 @@
 """The order-item fact table.
 
 Order-level inputs are joined first, at order grain, and the item table joins that header
-once: the item side of each join then comes straight from a shuffle, which lets adaptive
-execution split a hot order, product or customer. Items are reduced to their key columns,
-cleaned and deduplicated before any join.
+once, with very large orders split. Joins to stored dimensions read both sides straight
+from a shuffle, which lets adaptive execution split a hot product or customer. Items are
+reduced to their key columns, cleaned and deduplicated before any join.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.time import coerce_timestamp, floor_days
+from storelens.operators.joins import skew_join
 from storelens.operators.keep_first import READ_ORDER, keep_first
 from storelens.operators.ranking import distributed_rank
 from storelens.sources.raw import RawTables
@@ -73,7 +74,7 @@ def order_header(orders: DataFrame, reviews: DataFrame, payments: DataFrame, cus
 
 def fact_join(items: DataFrame, header: DataFrame, products: DataFrame) -> DataFrame:
     """Every item row with its order header and category (null where unknown)."""
-    return items.join(header, "order_id", "left").join(products.select("product_id", "category"), "product_id", "left")
+    return skew_join(items, header, ["order_id"]).join(products.select("product_id", "category"), "product_id", "left")
 
 
 def add_date_parts(df: DataFrame) -> DataFrame:

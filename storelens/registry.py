@@ -37,10 +37,8 @@ def portable(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
-        elif isinstance(kind, T.DateType):
+        elif isinstance(kind, (T.DateType, T.TimestampNTZType, T.TimestampType)):
             c = c.cast("string")
-        elif isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         return c.alias(field.name)
 
     return df.select([cast(f) for f in df.schema.fields])

@@ -11,6 +11,7 @@ from storelens.functions.numeric import clip, finite_or_null, round_to, safe_div
 from storelens.functions.text import risk_band, title_case
 from storelens.functions.time import coerce_timestamp, floor_days
 from storelens.operators.growth import add_growth
+from storelens.operators.joins import skew_join
 from storelens.operators.keep_first import keep_first
 from storelens.operators.ranking import (
     distributed_rank, exact_quantiles, grouped_rank, rank_quantile, running_totals, value_quantile, value_quantile_edges,
@@ -118,3 +119,19 @@ def test_exact_quantiles_match_pandas(spark):
     for name, values in (("a", a), ("b", b)):
         want = pd.Series(values).quantile([0.25, 0.5, 0.99])
         assert [got[name][p] for p in ("p25", "p50", "p99")] == pytest.approx(list(want))
+
+
+def test_hot_keys_are_split_and_results_whole(spark, many_partitions):
+    """One key holds a third of the rows; with a small limit it spreads over several tasks."""
+    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 50).alias("k"))
+    right = spark.range(-1, 45).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    plain = left.join(right, "k", "left").select("id", "k", "v")
+    split = skew_join(left, right, ["k"], rows_per_task=100).select("id", "k", "v")
+    assert split.count() == 3000 and split.exceptAll(plain).isEmpty()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spread = skew_join(left, right, ["k"], rows_per_task=100).filter("k = -1").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spread > 1
+    assert skew_join(left, right, ["k"], "inner").count() == plain.filter("v is not null").count()
