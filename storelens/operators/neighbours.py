@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storelens.operators.ranking import distributed_rank, running_totals
-from storelens.session import shared_dir
+from storelens.session import materialize
 
 MAX_PIVOTS = 1024
 BLOCK = 1024
@@ -126,14 +126,13 @@ def nearest_neighbours(points: DataFrame, k: int = 5, block: int = BLOCK) -> Dat
     Equal distances are ordered by the neighbour's id. The driver sees pivots and per-cell
     counts only, at most MAX_PIVOTS rows.
     """
-    shared_dir(points.sparkSession)
-    stored = points.select("id", "vec").checkpoint()
+    stored = materialize(points.select("id", "vec"))
     n = stored.count()
     if n == 0:
         return stored.sparkSession.createDataFrame([], _CANDIDATES + ", rank int")
     pivot_rows = stored.orderBy(F.md5(F.col("id").cast("string"))).limit(min(MAX_PIVOTS, math.ceil(n / block))).collect()
     pivots = np.array([r["vec"] for r in pivot_rows], dtype="float64")
-    placed = stored.withColumn("_at", _assign(pivots)("vec")).select("id", "vec", "_at.*").checkpoint()
+    placed = materialize(stored.withColumn("_at", _assign(pivots)("vec")).select("id", "vec", "_at.*"))
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius")).collect()
     radius = np.full(len(pivots), -np.inf)
     for c in cells:
@@ -143,11 +142,11 @@ def nearest_neighbours(points: DataFrame, k: int = 5, block: int = BLOCK) -> Dat
     own = _best(_tiles(placed, placed, point_blocks, point_blocks, k), k)
     if len(pivots) == 1:
         return own
-    own = own.checkpoint()
+    own = materialize(own)
     limits = own.groupBy("id").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).otherwise(float("inf")).alias("limit"))
     searching = placed.join(limits, "id", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
     reach = _reachable(pivots, radius)(F.col("vec"), F.col("cell"), F.col("limit"))
-    visits = searching.select("id", "vec", F.explode(reach).alias("cell")).checkpoint()
+    visits = materialize(searching.select("id", "vec", F.explode(reach).alias("cell")))
     query_blocks = {r["cell"]: math.ceil(r["count"] / block) for r in visits.groupBy("cell").count().collect() if r["cell"] in point_blocks}
     if not query_blocks:
         return own
@@ -182,7 +181,7 @@ def smote(df: DataFrame, label: str, vec: str, k: int = 5, seed: int = 42) -> Da
 
     # distinct vectors are numbered in their own order, so the draws do not depend on partitioning
     distinct = original.filter(F.col("label") == rare).groupBy("vec").agg(F.count(F.lit(1)).alias("copies"))
-    points = distributed_rank(distinct, ["vec"], "id").checkpoint()
+    points = materialize(distributed_rank(distinct, ["vec"], "id"))
     near = nearest_neighbours(points, k)
     known = near.join(points.select(F.col("id").alias("neighbour"), F.col("vec").alias("n_vec"), F.col("copies").alias("n_copies")), "neighbour")
     lists = known.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "n_copies", "n_vec"))).alias("near"))

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storelens.operators.joins import skew_join
-from storelens.session import shared_dir
+from storelens.session import materialize
 
 # monotonically_increasing_id: partition number above bit 33, row number below.
 _ROW_BITS = 33
@@ -30,12 +30,8 @@ def _before(slots: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def distributed_rank(df: DataFrame, order_by: Sequence[Column | str], name: str = "rank") -> DataFrame:
     """Add 1..n in the given order. Ties must be broken by ``order_by`` itself."""
-    shared_dir(df.sparkSession)
-    ordered = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .checkpoint()
+    ordered = materialize(
+        df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn("_pos", F.monotonically_increasing_id())
     )
     slotted = ordered.withColumn("_slot", F.shiftright("_pos", _ROW_BITS))
     sizes = slotted.groupBy("_slot").agg(F.count(F.lit(1)).alias("n"))
@@ -64,8 +60,7 @@ def running_totals(df: DataFrame, order_by: Sequence[Column | str], sums: Sequen
 
     Rows must be unique on ``order_by`` (aggregate first).
     """
-    shared_dir(df.sparkSession)
-    slotted = df.repartitionByRange(*order_by).withColumn("_slot", F.spark_partition_id()).checkpoint()
+    slotted = materialize(df.repartitionByRange(*order_by).withColumn("_slot", F.spark_partition_id()))
     totals = slotted.groupBy("_slot").agg(*[F.sum(c).alias(c) for c in sums])
     inside = W.partitionBy("_slot").orderBy(*order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
     out = slotted.join(F.broadcast(_before(totals, sums)), "_slot")

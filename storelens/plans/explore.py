@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from storelens.operators.joins import broadcast_if_small
 from storelens.operators.ranking import exact_quantiles
-from storelens.session import shared_dir
+from storelens.session import materialize
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -49,8 +49,7 @@ def histogram(df: DataFrame, column: str, bins: int, upper: float | None = None,
     pad = F.when(F.min("value") == F.max("value"), 0.5).otherwise(0.0)
     span = values.groupBy(*keys).agg((F.min("value") - pad).alias("low"), (F.max("value") + pad).alias("high"))
     if by:
-        shared_dir(df.sparkSession)
-        span = span.checkpoint()  # one row per class, used for placing and for the grid
+        span = materialize(span)  # one row per class, used for placing and for the grid
         ranges = broadcast_if_small(span.withColumnRenamed(by, "_by"))
         placed = values.join(ranges, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
     else:

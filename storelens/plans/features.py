@@ -11,6 +11,7 @@ from storelens.functions.time import days_since
 from storelens.operators.ranking import grouped_rank
 from storelens.plans.customers import AS_OF, CHURN_DAYS
 from storelens.plans.reports import sentiment_label
+from storelens.session import materialize
 
 # Model inputs in the order the models use them.
 CHURN_FEATURES = [
@@ -162,7 +163,11 @@ def churn_features(fact: DataFrame, as_of: str = AS_OF) -> DataFrame:
 
 
 def churn_labels_weights(features: DataFrame, churn_days: int = CHURN_DAYS) -> DataFrame:
-    """Add the churn flag and value-based weight, limit the trend features, drop recency."""
+    """Add the churn flag and value-based weight, limit the trend features, drop recency.
+
+    The weight needs the range of all spending, so the customer table is computed once and read twice.
+    """
+    features = materialize(features)
     churned = F.col("recency_days") > churn_days
     urgency = clip(1 + (F.col("recency_days") - churn_days) / 365, 1.0, 3.0)
     span = features.agg(F.struct(F.min("monetary").alias("low"), F.max("monetary").alias("high"))).scalar()
@@ -253,25 +258,32 @@ def forecast_monthly(fact: DataFrame, series_key: str | None = None) -> DataFram
 
 
 def project_regressors(monthly: DataFrame, periods: int = 6) -> DataFrame:
-    """Straight line through the last six months of each regressor, extended and scaled like the history."""
+    """Straight line through the last six months of each regressor, extended and scaled like the history.
+
+    One aggregate per series: the line only looks at its last six rows, the range at all of them.
+    """
     latest = W.partitionBy("series_key").orderBy(F.desc("ds"))
-    recent = monthly.withColumn("_back", F.row_number().over(latest)).filter(F.col("_back") <= 6)
     counted = [c for c in REGRESSORS if c != "month_num"]
-    lines = recent.groupBy("series_key").agg(
-        *[F.regr_slope(c, -F.col("_back").cast("double")).alias(f"_s_{c}") for c in counted],
-        *[F.regr_intercept(c, -F.col("_back").cast("double")).alias(f"_i_{c}") for c in counted],
-        F.max("ds").alias("_last"),
-    )
-    ranges = monthly.groupBy("series_key").agg(
-        *[f(c).alias(f"_{n}_{c}") for c in REGRESSORS for n, f in (("lo", F.min), ("hi", F.max))]
+    x = -F.col("_back").cast("double")
+
+    def recent(c: str) -> Column:
+        return F.when(F.col("_back") <= 6, F.col(c).cast("double"))
+
+    lines = (
+        monthly.withColumn("_back", F.row_number().over(latest))
+        .groupBy("series_key")
+        .agg(
+            *[F.regr_slope(recent(c), x).alias(f"_s_{c}") for c in counted],
+            *[F.regr_intercept(recent(c), x).alias(f"_i_{c}") for c in counted],
+            *[f(c).alias(f"_{n}_{c}") for c in REGRESSORS for n, f in (("lo", F.min), ("hi", F.max))],
+            F.max("ds").alias("_last"),
+        )
     )
-    ahead = F.explode(F.sequence(F.lit(1), F.lit(periods))).alias("months_ahead")
-    future = lines.join(ranges, "series_key").select("*", ahead)
+    future = lines.select("*", F.explode(F.sequence(F.lit(1), F.lit(periods))).alias("months_ahead"))
     step = F.col("months_ahead")
     values = {c: F.greatest(F.lit(0.0), F.coalesce(F.col(f"_i_{c}") + F.col(f"_s_{c}") * (step - 1), F.col(f"_hi_{c}").cast("double"))) for c in counted}
     values["month_num"] = (F.col("_hi_month_num") + step).cast("double")
-    projected = future.withColumns(values)
-    return projected.select(
+    return future.withColumns(values).select(
         "series_key",
         "months_ahead",
         F.add_months("_last", step).alias("ds"),
@@ -282,6 +294,7 @@ def project_regressors(monthly: DataFrame, periods: int = 6) -> DataFrame:
 
 def future_frame(monthly: DataFrame, periods: int = 6) -> DataFrame:
     """History and the next months with their regressors, gaps filled from the neighbours."""
+    monthly = materialize(monthly)
     names = [f"{c}_norm" for c in ("n_sellers", "n_products", "month_num")]
     history = monthly.select("series_key", "ds", "y", *names)
     ahead = project_regressors(monthly, periods).select("series_key", "ds", F.lit(None).cast("double").alias("y"), *names)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from storelens.functions.numeric import round_to
 from storelens.plans.evaluate import forecast_metrics
 from storelens.plans.features import future_frame
+from storelens.session import materialize
 from storelens.sources.warehouse import bounded_n
 
 # Season length and order, trend flexibility, interval width, CV windows in days.
@@ -108,6 +109,7 @@ def predict(model: DataFrame, frame: DataFrame, keys: list[str] | None = None) -
 
 def forecast(monthly: DataFrame, periods: int = 6) -> DataFrame:
     """Fit on the history and predict history and future."""
+    monthly = materialize(monthly)
     return predict(fit(monthly), future_frame(monthly, periods))
 
 
@@ -129,6 +131,7 @@ def rolling_origin(monthly: DataFrame, initial: int = INITIAL, step: int = STEP,
     Cut-offs go back in steps from one horizon before the end, as long as the initial
     window fits; every (series, cut-off) is fitted independently.
     """
+    monthly = materialize(monthly)
     span = monthly.groupBy("series_key").agg(F.min("ds").alias("_from"), F.max("ds").alias("_to"))
     room = F.datediff("_to", "_from") - initial - horizon
     back = F.explode(F.sequence(F.lit(0), F.floor(room / step).cast("int")))
@@ -144,6 +147,7 @@ def rolling_origin(monthly: DataFrame, initial: int = INITIAL, step: int = STEP,
 
 def forecast_cv(monthly: DataFrame, initial: int = INITIAL, step: int = STEP, horizon: int = HORIZON) -> DataFrame:
     """MAE, RMSE and MAPE per series, averaged over the horizons; zeros where no cut-off fits."""
+    monthly = materialize(monthly)
     errors = rolling_origin(monthly, initial, step, horizon)
     per_horizon = forecast_metrics(errors, ["series_key", "horizon"])
     averaged = per_horizon.groupBy("series_key").agg(*[F.avg(m).alias(m) for m in ("mae", "rmse", "mape")])

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from storelens.operators.neighbours import smote
 from storelens.plans import evaluate, prep
 from storelens.plans.features import CHURN_FEATURES, DELIVERY_FEATURES, SENTIMENT_FEATURES
-from storelens.session import shared_dir
+from storelens.session import materialize
 
 # The searched settings, with Spark ML's names. An unlimited tree depth is Spark's
 # maximum; penalties on leaf weights have no counterpart.
@@ -105,16 +105,15 @@ def random_search(estimator, grid: dict[str, list], evaluator: Evaluator, train:
 
 def split_sets(df: DataFrame, label: str, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Stratified 80/20 sets, written once so that every later pass reads the same rows."""
-    shared_dir(df.sparkSession)
-    rows = df.withColumn("label", F.col(label).cast("double")).checkpoint()
-    split = prep.stratified_split(rows, "label", keys).checkpoint()
+    rows = materialize(df.withColumn("label", F.col(label).cast("double")))
+    split = materialize(prep.stratified_split(rows, "label", keys))
     return split.filter("is_train = 1"), split.filter("is_train = 0")
 
 
 def oversample(prepared: DataFrame) -> DataFrame:
     """Balance the training vectors; returns (label, features)."""
     balanced = smote(prepared.select("label", vector_to_array("features").alias("vec")), "label", "vec")
-    return balanced.select("label", array_to_vector("vec").alias("features")).checkpoint()
+    return materialize(balanced.select("label", array_to_vector("vec").alias("features")))
 
 
 def score(model, prepared: DataFrame, keys: list[str]) -> DataFrame:
@@ -156,7 +155,7 @@ def train_churn(features: DataFrame, search: Search | None = None, use_value_wei
         rows = oversample(prepared)
     best, cv = random_search(trees, CHURN_GRID, BinaryClassificationEvaluator(metricName="areaUnderROC"), rows, search)
     model = PipelineModel(stages=[*prepare.stages, best])
-    scored = score(model, test, ["customer_id"]).checkpoint()
+    scored = materialize(score(model, test, ["customer_id"]))
     threshold = evaluate.threshold_balanced(scored).first()["threshold"]
     measured = _measure(scored, threshold)
     measured.update(cv_auc=cv, cv_test_gap=evaluate.cv_test_gap(cv, measured["roc_auc"]), best_threshold=threshold)
@@ -189,7 +188,7 @@ def train_delivery(features: DataFrame, search: Search | None = None) -> tuple[T
     train, test = split_sets(prep.fill_zero(encode_states(indexer, features), DELIVERY_FEATURES), "is_late", keys)
     assembler = _assembled(DELIVERY_FEATURES)
     balanced = oversample(assembler.transform(train))
-    weighted = prep.balanced_weights(balanced, "label").checkpoint()
+    weighted = materialize(prep.balanced_weights(balanced, "label"))
     f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
 
     candidates: dict[str, tuple[object, float]] = {}
@@ -198,7 +197,7 @@ def train_delivery(features: DataFrame, search: Search | None = None) -> tuple[T
     fixed = GBTClassifier(seed=SEED, weightCol="weight", **search.limit(DELIVERY_FIXED))
     candidates["WeightedBoosting"] = (fixed.fit(prep.positive_weight(balanced, "label")), float("nan"))
 
-    scored = {n: score(PipelineModel(stages=[assembler, m]), test, keys).checkpoint() for n, (m, _) in candidates.items()}
+    scored = {n: materialize(score(PipelineModel(stages=[assembler, m]), test, keys)) for n, (m, _) in candidates.items()}
     auc = {n: evaluate.roc_auc(s).first()["roc_auc"] for n, s in scored.items()}
     name = max(auc, key=lambda n: auc[n])
     threshold = evaluate.threshold_target_recall(scored[name]).first()["threshold"]
@@ -215,13 +214,13 @@ def train_sentiment(features: DataFrame, search: Search | None = None) -> Traine
     train, test = split_sets(prep.fill_zero(labelled, SENTIMENT_FEATURES), "positive", keys)
     assembler = _assembled(SENTIMENT_FEATURES)
     balanced = oversample(assembler.transform(train))
-    weighted = prep.balanced_weights(balanced, "label").checkpoint()
+    weighted = materialize(prep.balanced_weights(balanced, "label"))
     macro = MacroF1()
     candidates = {
         "RandomForest": random_search(RandomForestClassifier(seed=SEED, weightCol="weight"), SENTIMENT_FOREST_GRID, macro, weighted, search),
         "GradientBoosting": random_search(GBTClassifier(seed=SEED), SENTIMENT_GBT_GRID, macro, balanced, search),
     }
-    scored = {n: score(PipelineModel(stages=[assembler, m]), test, keys).checkpoint() for n, (m, _) in candidates.items()}
+    scored = {n: materialize(score(PipelineModel(stages=[assembler, m]), test, keys)) for n, (m, _) in candidates.items()}
     quality = {n: evaluate.f1_macro(s).first()["f1_macro"] for n, s in scored.items()}
     name = max(quality, key=lambda n: quality[n])
     measured = {**_measure(scored[name], 0.5), "cv_best_f1": candidates[name][1]}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,3 +22,9 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="storelens-"))
     return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a reduced table once into the shared folder, for plans that read it several times."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
