@@ -218,10 +218,13 @@ SQL = {
         SELECT avg(price) AS mp, stddev_pop(price) AS sp, avg(freight_value) AS mf, stddev_pop(freight_value) AS sf FROM split WHERE is_train = 1)
         SELECT order_id, order_item_id, round((price - mp) / sp, 6) AS price, round((freight_value - mf) / sf, 6) AS freight_value
         FROM split, fitted""",
-    "label_encode": f"""{_DELIVERY}, codes AS (
-        SELECT value, dense_rank() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT coalesce(customer_state, 'unknown') AS value FROM delivery))
+    "label_encode": f"""{_DELIVERY}, customer_codes AS (
+        SELECT value, dense_rank() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT coalesce(customer_state, 'unknown') AS value FROM delivery)),
+        seller_codes AS (
+        SELECT value, dense_rank() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT coalesce(seller_state, 'unknown') AS value FROM delivery))
         SELECT order_id, order_item_id, customer_state, coalesce(a.code, 0) AS customer_state_enc, seller_state, coalesce(b.code, 0) AS seller_state_enc
-        FROM delivery LEFT JOIN codes a ON a.value = coalesce(customer_state, 'unknown') LEFT JOIN codes b ON b.value = coalesce(seller_state, 'unknown')""",
+        FROM delivery LEFT JOIN customer_codes a ON a.value = coalesce(customer_state, 'unknown')
+        LEFT JOIN seller_codes b ON b.value = coalesce(seller_state, 'unknown')""",
     "fill_zero": f"""{_DELIVERY} SELECT order_id, order_item_id, coalesce(weight_g, 0) AS weight_g, coalesce(volume_cm3, 0) AS volume_cm3,
         coalesce(freight_ratio, 0) AS freight_ratio FROM delivery""",
     "balanced_weights": f"""{_DELIVERY}, c AS (SELECT is_late, count(*) AS n FROM delivery GROUP BY is_late)
