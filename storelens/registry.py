@@ -364,7 +364,7 @@ _trained: dict[tuple, object] = {}
 
 def _once(w: Warehouse, name: str, build: Callable[[], object]):
     """Fit once per application and warehouse, however many queries use the model."""
-    key = (w.fact_orders.sparkSession.sparkContext.applicationId, w.fact_orders.inputFiles()[0].rsplit("/fact_orders/", 1)[0], name)
+    key = (w.fact_orders.sparkSession.sparkContext.applicationId, w.fact_orders.semanticHash(), name)
     if key not in _trained:
         _trained[key] = build()
     return _trained[key]
@@ -422,8 +422,8 @@ def _score_sentiment(w: Warehouse) -> DataFrame:
     return scored.withColumn("positive_probability", positive).drop("probabilities")
 
 
-def _importance(w: Warehouse) -> DataFrame:
-    return training.feature_importance(w.fact_orders.sparkSession, _churn_model(w).model, features.CHURN_FEATURES, 5)
+def _importance(w: Warehouse, trained: training.Trained, inputs: list[str]) -> DataFrame:
+    return training.feature_importance(w.fact_orders.sparkSession, trained.model, inputs, 5)
 
 
 def _forecast_rows(w: Warehouse) -> DataFrame:
@@ -443,8 +443,12 @@ def _model_queries() -> dict[str, Query]:
         "train_churn": _stored(lambda w: _logged(w, _churn_model(w), features.CHURN_FEATURES)),
         "train_delivery": _stored(lambda w: _logged(w, _delivery_model(w)[0], features.DELIVERY_FEATURES)),
         "train_sentiment": _stored(lambda w: _logged(w, _sentiment_model(w), features.SENTIMENT_FEATURES)),
-        "feature_importance": _stored(_importance),
+        "feature_importance": _stored(lambda w: _importance(w, _churn_model(w), features.CHURN_FEATURES)),
+        "feature_importance_delivery": _stored(lambda w: _importance(w, _delivery_model(w)[0], features.DELIVERY_FEATURES)),
+        "feature_importance_sentiment": _stored(lambda w: _importance(w, _sentiment_model(w), features.SENTIMENT_FEATURES)),
         "evaluation_report_churn": _stored(lambda w: evaluate.evaluation_report(_churn_model(w).scored)),
+        "evaluation_report_delivery": _stored(lambda w: evaluate.evaluation_report(_delivery_model(w)[0].scored)),
+        "evaluation_report_sentiment": _stored(lambda w: evaluate.evaluation_report(_sentiment_model(w).scored)),
         "scoring_inputs": _stored(_scoring_inputs),
         "score_churn": _stored(lambda w: scoring.score_churn(_reloaded(w, _churn_model(w)), _churn(w), ["customer_id"])),
         "score_delivery": _stored(_score_delivery),

@@ -33,6 +33,7 @@ class Warehouse:
 
 
 PARTITION_BY = {"fact_orders": ["order_year"]}
+BUCKETED = ("fact_orders", "dim_customers")
 
 
 def write_table(df: DataFrame, path: str, name: str, max_records_per_file: int = 50_000_000) -> DataFrame:
@@ -56,14 +57,27 @@ def write_warehouse(tables: Warehouse, path: str) -> None:
         write_table(df, path, name)
 
 
-def save_warehouse(spark: SparkSession, tables: Warehouse, database: str) -> None:
-    """The same, as catalog tables in a database created on demand."""
+def save_warehouse(spark: SparkSession, tables: Warehouse, database: str, buckets: int | None = None) -> None:
+    """The same, as catalog tables in a database created on demand.
+
+    With ``buckets``, the fact and the customers are both bucketed by customer, so that
+    joining and grouping them by customer needs no shuffle. A customer stays in one bucket:
+    use it where no customer dominates.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for name, df in tables.items():
-        writer = df.write.mode("overwrite").format("parquet")
-        if name in PARTITION_BY:
-            writer = writer.partitionBy(*PARTITION_BY[name])
-        writer.saveAsTable(f"`{database}`.`{name}`")
+        keys = PARTITION_BY.get(name, [])
+        if buckets and name in BUCKETED:
+            writer = df.repartition(buckets, "customer_id").write.bucketBy(buckets, "customer_id").sortBy("customer_id")
+        else:
+            writer = (df.hint("rebalance", *keys) if keys else df).write
+        if keys:
+            writer = writer.partitionBy(*keys)
+        writer.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{name}`")
+
+
+def open_database(spark: SparkSession, database: str) -> Warehouse:
+    return Warehouse(**{f.name: spark.table(f"`{database}`.`{f.name}`") for f in fields(Warehouse)})
 
 
 def open_warehouse(spark: SparkSession, path: str) -> Warehouse:

@@ -158,6 +158,33 @@ def test_catalog_tables(spark, stored):
     assert wh.query(spark, "SELECT count(*) AS n FROM shop.fact_orders").first()["n"] == stored.fact_orders.count()
 
 
+def test_bucketed_tables_join_without_shuffling_customers(spark, stored):
+    wh.save_warehouse(spark, stored, "bucketed", buckets=4)
+    tables = wh.open_database(spark, "bucketed")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = reports.state_performance(tables.fact_orders, tables.dim_customers)
+        assert "Exchange hashpartitioning(customer_id" not in report._jdf.queryExecution().executedPlan().toString()
+        assert report.exceptAll(reports.state_performance(stored.fact_orders, stored.dim_customers)).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_csv_files_to_stored_tables(spark, raw, tables, tmp_path):
+    """The hand-made inputs as CSV files, through extraction and the whole load."""
+    for name, df in raw.items():
+        columns = [c.split()[0] for c in RAW_SCHEMAS[name].split(", ")]
+        ordered = df.orderBy("_order") if "_order" in df.columns else df
+        ordered.toPandas().convert_dtypes().reindex(columns=columns).to_csv(tmp_path / f"{name}.csv", index=False)
+    loaded = etl.run_etl(spark, extract(spark, str(tmp_path)), str(tmp_path / "out"))
+    names = [c for c in tables.fact_orders.columns if c not in ("total_payment", "payment_installments")]
+    want = sorted(map(str, tables.fact_orders.select(names).collect()))
+    assert sorted(map(str, loaded.fact_orders.select(names).collect())) == want
+    assert {r["table_name"]: r["row_count"] for r in loaded.row_counts().collect()} == {
+        "fact_orders": 5, "dim_customers": 2, "dim_products": 3, "dim_sellers": 2, "dim_date": 1096, "dim_geolocation": 2,
+    }
+
+
 def test_records_and_bounds(spark):
     df = spark.createDataFrame([("a", float("nan"), 1.5)], "k string, x double, y double")
     assert wh.to_records(df).first()["record"] == '{"k":"a","x":null,"y":1.5}'
