@@ -22,6 +22,59 @@ def op8_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
     return judged.select(F.col("_row.doc_id").alias("doc_id"), *RESULT)
 
 
+def op1_quality(spark: SparkSession, directory: str) -> DataFrame:
+    from storelens.llm.quality import score_quality
+
+    scored = score_quality(_table(spark, directory, "documents").select("doc_id", "text"), _table(spark, directory, "labels"), carry=("_row",))
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("_row.doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
+    return scored.select(F.col("_row.doc_id").alias("doc_id"), held_out.alias("held_out"), "score", "predicted")
+
+
+def op3_licenses(spark: SparkSession, directory: str) -> DataFrame:
+    from storelens.llm.licenses import RESULT, scan_licenses
+
+    found = scan_licenses(_table(spark, directory, "documents").select("doc_id", "text"), carry=("_row",))
+    return found.select(F.col("_row.doc_id").alias("doc_id"), *RESULT)
+
+
+def op4_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
+    from storelens.llm.rules import judge
+
+    docs = _table(spark, directory, "documents").select("doc_id", "text", "lang")
+    judged = judge(docs, _table(spark, directory, "labels"), carry=("_row",))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select(F.col("_row.doc_id").alias("doc_id"), *base, F.concat_ws(",", "failed_rules").alias("failed_rules"))
+
+
+def op5_pack(spark: SparkSession, directory: str) -> DataFrame:
+    from storelens.llm.packing import pack
+
+    return pack(_table(spark, directory, "documents").select("doc_id", "text"))
+
+
+#: Three edits of each document: its source inserted in the middle, a passage deleted, its beginning replaced by its language.
+OP9_EDITS = """array(
+    named_struct('pos', char_length(_text) div 2, 'deleted', 0L, 'inserted', concat(' [', coalesce(_row.source, ''), ']')),
+    named_struct('pos', char_length(_text) div 4, 'deleted', 25L, 'inserted', ''),
+    named_struct('pos', 0L, 'deleted', 5L, 'inserted', coalesce(_row.lang, '')))"""
+
+
+def op7_language(spark: SparkSession, directory: str) -> DataFrame:
+    from storelens.llm.language import identify
+
+    found = identify(_table(spark, directory, "documents").select("doc_id", "text", "lang"), carry=())
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(4)) == 2, F.lit(False))
+    return found.select(F.col("_id").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op9_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    from storelens.llm.token_counts import apply_edits, count_tokens
+
+    docs = _table(spark, directory, "documents").select("doc_id", "text", "lang", "source")
+    edited = apply_edits(count_tokens(docs), OP9_EDITS, carry=("_row",))
+    return edited.select(F.col("_row.doc_id").alias("doc_id"), "n_tokens", "n_tokens_edited", "n_chars_edited", "n_chars_encoded", "n_leaves")
+
+
 def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
     from storelens.llm.simhash import near_copies
 
@@ -30,4 +83,4 @@ def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {"op8_decontaminate": op8_decontaminate, "op10_simhash": op10_simhash}
+    return {"op1_quality": op1_quality, "op3_licenses": op3_licenses, "op4_quality_rules": op4_quality_rules, "op5_pack": op5_pack, "op7_language": op7_language, "op8_decontaminate": op8_decontaminate, "op9_token_counts": op9_token_counts, "op10_simhash": op10_simhash}
