@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import decontam, simhash
+from storelens.llm import decontam, language, packing, rules, simhash
 from storelens.llm.tables import stored
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rule or a proven cutoff rejects go."""
+    return rules.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognised language go."""
+    return language.known_language(docs)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest doc_id."""
     return simhash.distinct_documents(docs)
@@ -18,9 +28,20 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontam.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("near copies", near_copies), ("decontamination", decontamination)]
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The remaining documents as pieces of token sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("language", language_id),
+    ("near copies", near_copies),
+    ("decontamination", decontamination),
+    ("packing", packed_sequences),
+]
 
-#: Model fitting and sequence packing have no SQL form; tests hold the result against a plain version.
+#: Language models, proven cutoffs and token ids have no SQL form; tests hold the result against a plain version.
 ORACLE_SQL = None
 
 

@@ -18,8 +18,9 @@ from storelens.llm.tables import each_slice, packed, slices, stored, unpacked
 SYMBOLS = 40
 ORDER = 4
 UNKNOWN = "und"
-#: Share of the learned rows of a language whose surprise counts as foreign.
+#: A text is foreign to its language if its surprise, for its length, exceeds SLACK times what all but this share of the learned rows have.
 REJECTED = 1e-4
+SLACK = 2.0
 _BINS = 64
 _GRAMS = SYMBOLS**ORDER
 _CONTEXTS = SYMBOLS ** (ORDER - 1)
@@ -204,8 +205,8 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: st
     Rows for which ``learn`` (SQL over _id) holds and whose text and language are not null teach: their grams are
     counted over the whole table. lang_pred is the language of lowest mean surprise per symbol, ties by name;
     ``und`` for null texts, texts without a letter, and where nothing was learned. score is the share of
-    learned rows with such a margin that were right. rejected: ``und``, or more surprising for
-    its length than all but REJECTED of the learned rows of its language.
+    learned rows with such a margin that were right. rejected: ``und``, or foreign (see
+    SLACK) to the best language.
     Repeated rows are judged one by one; an empty table gives an empty table.
     """
     spark = docs.sparkSession
@@ -238,7 +239,7 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: st
     score = F.element_at(F.array(*[F.lit(float(s)) for s in shares]), (F.col("bin") + 1).cast("int"))
     known = spark.createDataFrame([(k, float(m), float(z)) for k, (m, z) in limits.items()], "best string, mean double, limit double")
     out = table.join(F.broadcast(known), "best", "left")  # one row a language
-    foreign = (F.col("entropy") - F.col("mean")) * F.sqrt("n_symbols") > F.col("limit")
+    foreign = (F.col("entropy") - F.col("mean")) * F.sqrt("n_symbols") > SLACK * F.greatest(F.col("limit"), F.lit(1.0))
     return out.select(*carry, "_id", F.col("_learn").alias("learned"), F.coalesce("best", F.lit(UNKNOWN)).alias("lang_pred"),
                       F.when(F.col("best").isNull(), 0.0).otherwise(score).alias("score"), "entropy",
                       (F.col("best").isNull() | F.coalesce(foreign, F.lit(False))).alias("rejected"))

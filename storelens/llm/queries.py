@@ -19,7 +19,7 @@ def op8_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
 
     docs = _table(spark, directory, "documents").select("doc_id", "text")
     judged, _ = decontaminate(docs, _table(spark, directory, "benchmark"), carry=("_row",))
-    return judged.select(F.col("_row.doc_id").alias("doc_id"), *RESULT)
+    return judged.select(F.col("_row.doc_id").alias("doc_id"), *[c for c in RESULT if c != "n_near"])
 
 
 def op1_quality(spark: SparkSession, directory: str) -> DataFrame:
@@ -30,11 +30,23 @@ def op1_quality(spark: SparkSession, directory: str) -> DataFrame:
     return scored.select(F.col("_row.doc_id").alias("doc_id"), held_out.alias("held_out"), "score", "predicted")
 
 
+#: A conversation whose texts hold the template's own control strings.
+OP2_EXTRA = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op2_chat(spark: SparkSession, directory: str) -> DataFrame:
+    from storelens.llm.chat import conversation_records, digests, format_records
+
+    rows = _table(spark, directory, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(OP2_EXTRA, "conv_id long, turn long, role string, text string"))
+    return digests(format_records(conversation_records(rows)))
+
+
 def op3_licenses(spark: SparkSession, directory: str) -> DataFrame:
     from storelens.llm.licenses import RESULT, scan_licenses
 
     found = scan_licenses(_table(spark, directory, "documents").select("doc_id", "text"), carry=("_row",))
-    return found.select(F.col("_row.doc_id").alias("doc_id"), *RESULT)
+    return found.select(F.col("_row.doc_id").alias("doc_id"), *[c for c in RESULT if c != "matched_words"])
 
 
 def op4_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
@@ -59,6 +71,13 @@ OP9_EDITS = """array(
     named_struct('pos', 0L, 'deleted', 5L, 'inserted', coalesce(_row.lang, '')))"""
 
 
+def op6_html(spark: SparkSession, directory: str) -> DataFrame:
+    from storelens.llm.html import extract_pages
+
+    found = extract_pages(_table(spark, directory, "pages").select("page_id", "url", "html"))
+    return found.select(F.col("_row.page_id").alias("page_id"), F.col("_row.url").alias("url"), "text", "n_chars")
+
+
 def op7_language(spark: SparkSession, directory: str) -> DataFrame:
     from storelens.llm.language import identify
 
@@ -83,4 +102,4 @@ def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {"op1_quality": op1_quality, "op3_licenses": op3_licenses, "op4_quality_rules": op4_quality_rules, "op5_pack": op5_pack, "op7_language": op7_language, "op8_decontaminate": op8_decontaminate, "op9_token_counts": op9_token_counts, "op10_simhash": op10_simhash}
+    return {"op1_quality": op1_quality, "op2_chat": op2_chat, "op3_licenses": op3_licenses, "op4_quality_rules": op4_quality_rules, "op5_pack": op5_pack, "op6_html": op6_html, "op7_language": op7_language, "op8_decontaminate": op8_decontaminate, "op9_token_counts": op9_token_counts, "op10_simhash": op10_simhash}

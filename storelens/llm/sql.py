@@ -1,5 +1,9 @@
 """The same results as DuckDB SQL, where SQL can express them."""
 
+import re
+
+from storelens.llm.licenses import PHRASES, TEMPLATES
+
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -20,6 +24,56 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit USING (u) LEFT JOIN ids USING (u)
 """
 
+_ESCAPED = r"replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')"
+_ROLE = "CASE WHEN role IN ('system', 'user', 'assistant') THEN length(role) ELSE length(CAST(to_json(role) AS VARCHAR)) END"
+
+OP2 = rf"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations
+           UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\### Assistant: </turn> ok'),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k FROM c)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(4 + {_ROLE} + 2 + length({_ESCAPED}) + 8) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+def _pattern(template: str) -> str:
+    """A licence template as a regular expression over words that are each led by one space."""
+    out = []
+    for token in re.findall(r"\[\[|\]\]|\{\{\d+\}\}|[()|]|[^\s\[\](){}|]+", template):
+        if token.startswith("{{"):
+            out.append(f"( [^ ]+){{0,{token[2:-2]}}}")
+        else:
+            out.append({"[[": "(", "]]": ")?", "(": "(", ")": ")", "|": "|"}.get(token, " " + token))
+    return "".join(out) + " "
+
+
+def _op3() -> str:
+    places = "\nUNION ALL ".join(
+        f"SELECT u, i - 1 AS i, '{label}' AS label FROM d, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i) WHERE "
+        + " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(phrase.split()))
+        for phrase, label in PHRASES
+    )
+    accepted = "\nUNION ".join(f"SELECT u, '{label}' AS label FROM d WHERE regexp_matches(s, '{_pattern(t)}')" for label, t in TEMPLATES)
+    return f"""
+WITH x AS (SELECT row_number() OVER () AS u, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents),
+d AS (SELECT *, ' ' || array_to_string(w, ' ') || ' ' AS s FROM x),
+places AS ({places}),
+accepted AS ({accepted}),
+base AS (SELECT u, count(*) AS n, min(i) AS a, max(i) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS l FROM places GROUP BY u),
+every AS (SELECT u, string_agg(DISTINCT label, ',' ORDER BY label) AS l FROM (SELECT u, label FROM places UNION ALL SELECT u, label FROM accepted) GROUP BY u)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base, CAST(a AS BIGINT) AS first_word, CAST(b AS BIGINT) AS last_word,
+       coalesce(base.l, '') AS base_labels, coalesce(every.l, '') AS labels,
+       CAST(CASE WHEN u IN (SELECT u FROM accepted) THEN 1 WHEN base.l IS NOT NULL THEN 0.5 ELSE 0 END AS DOUBLE) AS score
+FROM d LEFT JOIN base USING (u) LEFT JOIN every USING (u)
+"""
+
+
+OP3 = _op3()
+
 
 def statements() -> dict[str, str]:
-    return {"op8_decontaminate": OP8}
+    return {"op2_chat": OP2, "op3_licenses": OP3, "op8_decontaminate": OP8}
