@@ -21,6 +21,7 @@ SENT_TEMPLATES = 2_000_000
 
 #: Elements by their part in a page.
 RAW = ["script", "style"]
+UNSEEN = ["script", "style", "template", "noscript", "link", "meta", "input"]  # nothing is shown, so no word ends there
 VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"]
 DROPPED = ["head", "script", "style", "noscript", "template", "iframe", "object", "svg", "canvas", "form", "button", "select", "textarea", "input", "label",
            "fieldset", "nav", "footer", "aside", "menu", "dialog", "audio", "video"]
@@ -37,7 +38,7 @@ COMMENTS = ["comment", "comments", "disqus", "replies", "reply"]
 CLOSES = {"li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "tr": ["tr", "td", "th"], "td": ["td", "th"], "th": ["td", "th"], "option": ["option"]}
 SCOPES = ["ul", "ol", "dl", "table", "select", "html", "body", "article", "section", "div"]
 
-_RAW, _VOID, _DROPPED, _CONTAINERS, _INLINE, _NOISE = map(frozenset, (RAW, VOID, DROPPED, CONTAINERS, INLINE, NOISE))
+_RAW, _VOID, _DROPPED, _CONTAINERS, _INLINE, _UNSEEN, _NOISE = map(frozenset, (RAW, VOID, DROPPED, CONTAINERS, INLINE, UNSEEN, NOISE))
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"']++)*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
@@ -81,7 +82,7 @@ def parse(html: str) -> Node:
                 if name in _INLINE and open_[k].tag not in _INLINE:  # an inline end tag closes no block
                     break
             continue
-        if name not in _INLINE and name not in _VOID or name == "hr":
+        if name not in _INLINE and name not in _VOID and name not in _UNSEEN or name == "hr":
             _end_paragraph(open_)
         for k in range(len(open_) - 1, 0, -1):
             if open_[k].tag in CLOSES.get(name, ()):
@@ -174,9 +175,9 @@ def main_text(html: str | None, templates: set[int] = frozenset()) -> str:
                 parts.append(unescape(x) if "&" in x else x)
                 continue
             if x is not root and (_is_noise(x, inside) or hashes.get(id(x)) in templates):
-                parts.append("" if x.tag in _INLINE else " ")
+                parts.append("" if x.tag in _INLINE or x.tag in _UNSEEN else " ")
                 continue
-            edge = "" if x.tag in _INLINE else " "
+            edge = "" if x.tag in _INLINE or x.tag in _UNSEEN else " "
             parts.append(edge)
             todo.append(edge)
             todo.extend(reversed(x.items))
