@@ -1,21 +1,72 @@
 """Reports, customer segments and exploration."""
 
-from oracle.star import mean, pct, rounded, total
+from oracle.star import rounded
 
 _AS_OF = "DATE '2001-08-02'"
 _DELIVERED = "is_delivered = 1 AND delivery_delay_days IS NOT NULL"
-_SENTIMENT = "CASE WHEN review_score >= 4 THEN 'Positive' ELSE 'Not Positive' END"
-_KPI = f"""count(DISTINCT order_id) AS total_orders, count(DISTINCT customer_id) AS unique_customers,
-  {total('revenue')} AS total_revenue, {mean('price', 2)} AS avg_order_value, {mean('review_score', 2)} AS avg_review_score,
-  {pct('is_delivered = 1', 2)} AS delivery_rate_pct"""
-_GROWTH = rounded("(revenue / nullif(lag(revenue) OVER (ORDER BY {by}), 0) - 1) * 100", 2)
-_PAYMENTS = f"""payment_type, count(DISTINCT order_id) AS orders, {total('revenue')} AS revenue, {mean('payment_installments', 1)} AS avg_installments"""
+_SENTIMENT = "if(review_score >= 4, 'Positive', 'Not Positive')"
+
+# Every report is rolled up from cells: one row for each key and order, with sums and counts.
+_CELL = """order_id, min(customer_id) AS customer_id, count(*) AS n, sum(revenue) AS revenue, sum(freight_value) AS freight,
+  sum(price) AS price, count(price) AS priced, sum(review_score) AS stars, count(review_score) AS starred,
+  sum(delivery_delay_days) AS delay, count(delivery_delay_days) AS measured, count_if(delivery_delay_days > 0) AS late,
+  count_if(delivery_delay_days <= 0) AS punctual, count_if(is_delivered = 1) AS arrived, count_if(review_score >= 4) AS liked,
+  sum(payment_installments) AS parts, count(payment_installments) AS paid"""
+_ADDED = ["n", "revenue", "freight", "price", "priced", "stars", "starred", "delay", "measured", "late", "punctual", "arrived", "liked", "parts", "paid"]
+
+
+def _ratio(part: str, whole: str, digits: int, times: int = 1) -> str:
+    return rounded(f"cast(sum({part}) AS double) * {times} / sum({whole})", digits)
+
+
+def _mean(part: str, digits: int) -> str:
+    return _ratio(part, {"price": "priced", "stars": "starred", "delay": "measured", "parts": "paid"}.get(part, "n"), digits)
+
+
+def _share(part: str, digits: int) -> str:
+    return _ratio(part, "n", digits, 100)
+
+
+_ORDERS, _BUYERS, _LINES, _SALES, _FREIGHT = (
+    "count(*)", "count(DISTINCT customer_id)", "cast(sum(n) AS bigint)", "cast(sum(revenue) AS double)", "cast(sum(freight) AS double)",
+)
+
+
+def _rollup(keys: dict[str, str], out: dict[str, str], where: str = "true", tail: str = "") -> str:
+    """``out`` columns by the given keys (alias to expression), through the cells."""
+    made = "".join(f"{e} AS {k}, " for k, e in keys.items())
+    grouped = f"GROUP BY {', '.join(keys)}" if keys else ""
+    columns = ", ".join([*keys, *(f"{e} AS {k}" for k, e in out.items())])
+    return f"""WITH cells AS (SELECT {made}{_CELL} FROM fact_orders WHERE {where} GROUP BY {', '.join([*keys.values(), 'order_id'])})
+      SELECT {columns} FROM cells {grouped} {tail}"""
+
+
+def _through(key: str, dim: str, keys: list[str], out: dict[str, str], where: str = "true", tail: str = "") -> str:
+    """The same by columns of a dimension: cells are added up by the dimension's key before it is looked up."""
+    added = ", ".join(f"sum({c}) AS {c}" for c in _ADDED)
+    columns = ", ".join([*keys, *(f"{e} AS {k}" for k, e in out.items())])
+    return f"""WITH cells AS (SELECT {key} AS entity, {_CELL} FROM fact_orders WHERE {where} GROUP BY {key}, order_id),
+      entities AS (SELECT entity AS {key}, count(*) AS order_count, {added} FROM cells GROUP BY entity)
+      SELECT {columns} FROM {dim} JOIN entities USING ({key}) GROUP BY {', '.join(keys)} {tail}"""
+
+
+_KPI = {"total_orders": _ORDERS, "unique_customers": _BUYERS, "total_revenue": _SALES, "avg_order_value": _mean("price", 2),
+        "avg_review_score": _mean("stars", 2), "delivery_rate_pct": _share("arrived", 2)}
+_PAYMENTS = {"orders": _ORDERS, "revenue": _SALES, "avg_installments": _mean("parts", 1)}
+
+
+def _growth(report: str, order: str, name: str) -> str:
+    """Change of revenue against the row before, in per cent."""
+    return f"""WITH report AS ({report}), numbered AS (SELECT *, row_number() OVER (ORDER BY {order}) AS k FROM report)
+      SELECT a.* EXCLUDE (k), {rounded("(a.revenue / nullif(b.revenue, 0) - 1) * 100", 2)} AS {name}
+      FROM numbered a LEFT JOIN numbered b ON b.k = a.k - 1"""
+
 
 RFM = f"""WITH base AS (
-  SELECT f.customer_id, c.customer_unique_id, date_diff('day', max(f.order_date), {_AS_OF}) AS recency_days,
-    count(DISTINCT f.order_id) AS frequency, {total('f.revenue')} AS monetary
-  FROM fact_orders f JOIN dim_customers c ON f.customer_id = c.customer_id
-  WHERE f.is_delivered = 1 GROUP BY f.customer_id, c.customer_unique_id
+  SELECT customer_id, customer_unique_id, recency_days, frequency, monetary FROM dim_customers JOIN (
+    SELECT customer_id, {_AS_OF} - max(day) AS recency_days, count(*) AS frequency, cast(sum(spent) AS double) AS monetary
+    FROM (SELECT customer_id, order_id, max(order_date) AS day, sum(revenue) AS spent FROM fact_orders WHERE is_delivered = 1 GROUP BY ALL)
+    GROUP BY customer_id) USING (customer_id)
 ),
 edges AS (SELECT quantile_cont(recency_days, [0.2, 0.4, 0.6, 0.8]) AS e, count(*) AS n FROM base),
 ranked AS (
@@ -31,16 +82,21 @@ scored AS (
 rfm AS (SELECT *, r_score + f_score + m_score AS rfm FROM scored)"""
 
 
+def _of(value: str) -> str:
+    return rounded(f"cast(sum({value}) AS double) / count({value})", 2)
+
+
 def _segments(loyal: str, potential: str) -> str:
-    return f"""CASE WHEN rfm >= 13 THEN 'Champions' WHEN rfm >= 10 THEN '{loyal}' WHEN rfm >= 7 THEN '{potential}'
-      WHEN rfm >= 5 THEN 'At Risk' ELSE 'Lost' END AS segment"""
+    names = f"['Lost', 'At Risk', '{potential}', '{loyal}', 'Champions']"
+    return f"{names}[1 + len(list_filter([5, 7, 10, 13], lambda least: rfm >= least))] AS segment"
 
 
-BASE_FEATURES = f"""SELECT *, CASE WHEN recency_days > 180 THEN 1 ELSE 0 END AS churned FROM (
-  SELECT customer_id, date_diff('day', max(order_date), {_AS_OF}) AS recency_days, count(DISTINCT order_id) AS frequency,
-    {total('revenue')} AS monetary, {mean('review_score', 2)} AS avg_review_score,
-    cast(sum(CASE WHEN delivery_delay_days > 0 THEN 1 ELSE 0 END) AS bigint) AS late_deliveries,
-    count(DISTINCT category) AS unique_categories, date_diff('day', min(order_date), max(order_date)) AS customer_lifetime_days
+BASE_FEATURES = f"""SELECT customer_id, {_AS_OF} - newest AS recency_days, len(baskets) AS frequency, cast(spent AS double) AS monetary,
+    {rounded("cast(stars AS double) / starred", 2)} AS avg_review_score, cast(late AS bigint) AS late_deliveries, len(kinds) AS unique_categories,
+    newest - oldest AS customer_lifetime_days, cast({_AS_OF} - newest > 180 AS integer) AS churned FROM (
+  SELECT customer_id, max(order_date) AS newest, min(order_date) AS oldest, list(DISTINCT order_id) AS baskets, sum(revenue) AS spent,
+    sum(review_score) AS stars, count(review_score) AS starred, count_if(delivery_delay_days > 0) AS late,
+    coalesce(list(DISTINCT category) FILTER (category IS NOT NULL), []) AS kinds
   FROM fact_orders WHERE is_delivered = 1 GROUP BY customer_id)"""
 
 _FEATURES = ["recency_days", "frequency", "monetary", "avg_review_score", "late_deliveries", "unique_categories",
@@ -69,83 +125,63 @@ def _histogram(column: str, bins: int, upper: int | None, by: str | None = None)
       FROM grid LEFT JOIN filled ON grid.k = filled.k AND grid.bin = filled.bin"""
 
 
+_NULL_AS_ZERO = ", ".join(f"coalesce(cast({c} AS double), 0) AS {c}" for c in [*_KPI, "total_freight"])
+_PUNCTUALITY = {"avg_delay_days": _mean("delay", 1), "late_pct": _share("late", 2), "on_time_pct": _share("punctual", 2)}
+_BEST = "ORDER BY revenue DESC, {} LIMIT {}"
+
 SQL = {
-    "kpi_summary": f"""SELECT {', '.join(f'coalesce(cast({c} AS double), 0) AS {c}' for c in
-        ['total_orders', 'unique_customers', 'total_revenue', 'avg_order_value', 'avg_review_score', 'total_freight', 'delivery_rate_pct'])}
-        FROM (SELECT {_KPI}, {total('freight_value')} AS total_freight FROM fact_orders)""",
-    "eda_kpis": f"SELECT {_KPI} FROM fact_orders",
-    "monthly_revenue": f"""SELECT *, {_GROWTH.format(by='year, month')} AS mom_growth_pct FROM (
-        SELECT order_year AS year, order_month AS month, yyyymm, {total('revenue')} AS revenue, {total('freight_value')} AS freight,
-          count(DISTINCT order_id) AS orders, count(DISTINCT customer_id) AS customers
-        FROM fact_orders GROUP BY order_year, order_month, yyyymm)""",
-    "yoy_comparison": f"""SELECT *, {_GROWTH.format(by='year')} AS yoy_growth FROM (
-        SELECT order_year AS year, {total('revenue')} AS revenue, count(DISTINCT order_id) AS orders,
-          count(DISTINCT customer_id) AS customers, {mean('review_score', 2)} AS avg_review
-        FROM fact_orders GROUP BY order_year)""",
-    "category_performance": f"""SELECT category, count(DISTINCT order_id) AS orders, {total('revenue')} AS revenue,
-        {mean('price', 2)} AS avg_price, {mean('review_score', 2)} AS avg_review,
-        {rounded("cast(sum(revenue) AS double) * 100 / (SELECT cast(sum(revenue) AS double) FROM fact_orders)", 2)} AS revenue_share_pct
-        FROM fact_orders WHERE category IS NOT NULL GROUP BY category""",
-    "top_products": f"""SELECT f.product_id, p.category, count(f.order_id) AS orders, {total('f.revenue')} AS revenue,
-        {mean('f.price', 2)} AS avg_price, {mean('f.review_score', 2)} AS avg_review
-        FROM fact_orders f JOIN dim_products p ON f.product_id = p.product_id GROUP BY f.product_id, p.category
-        ORDER BY revenue DESC, f.product_id LIMIT 10""",
-    "seller_leaderboard": f"""SELECT f.seller_id, s.seller_state, count(DISTINCT f.order_id) AS orders, {total('f.revenue')} AS revenue,
-        {mean('f.review_score', 2)} AS avg_review, {mean('f.delivery_delay_days', 1)} AS avg_delay_days
-        FROM fact_orders f JOIN dim_sellers s ON f.seller_id = s.seller_id GROUP BY f.seller_id, s.seller_state
-        ORDER BY revenue DESC, f.seller_id LIMIT 10""",
-    "state_performance": f"""SELECT c.state, count(DISTINCT f.order_id) AS orders, count(DISTINCT f.customer_id) AS customers,
-        {total('f.revenue')} AS revenue, {mean('f.review_score', 2)} AS avg_review, {mean('f.delivery_delay_days', 1)} AS avg_delay_days
-        FROM fact_orders f JOIN dim_customers c ON f.customer_id = c.customer_id GROUP BY c.state""",
-    "top_states": f"""SELECT c.state, count(DISTINCT f.order_id) AS orders, {total('f.revenue')} AS revenue
-        FROM fact_orders f JOIN dim_customers c ON f.customer_id = c.customer_id GROUP BY c.state
-        ORDER BY revenue DESC, c.state LIMIT 12""",
-    "payment_analysis": f"""SELECT {_PAYMENTS}, {mean('price', 2)} AS avg_order_value
-        FROM fact_orders WHERE payment_type IS NOT NULL GROUP BY payment_type""",
-    "eda_payments": f"SELECT {_PAYMENTS} FROM fact_orders WHERE payment_type IS NOT NULL GROUP BY payment_type",
-    "delivery_performance": f"""SELECT coalesce(avg_delay_days, 0) AS avg_delay_days, coalesce(late_pct, 0) AS late_pct,
-        coalesce(on_time_pct, 0) AS on_time_pct FROM (
-        SELECT {mean('delivery_delay_days', 1)} AS avg_delay_days, {pct('delivery_delay_days > 0', 2)} AS late_pct,
-          {pct('delivery_delay_days <= 0', 2)} AS on_time_pct FROM fact_orders WHERE {_DELIVERED})""",
-    "delivery_counts": f"""SELECT {mean('delivery_delay_days', 1)} AS avg_delay,
-        cast(sum(CASE WHEN delivery_delay_days > 0 THEN 1 ELSE 0 END) AS bigint) AS late,
-        cast(sum(CASE WHEN delivery_delay_days <= 0 THEN 1 ELSE 0 END) AS bigint) AS ontime, count(*) AS total,
-        {pct('delivery_delay_days > 0', 1)} AS late_pct, {pct('delivery_delay_days <= 0', 1)} AS ontime_pct
-        FROM fact_orders WHERE {_DELIVERED}""",
-    "late_by_state": f"""SELECT c.state, count(*) AS total_orders,
-        cast(sum(CASE WHEN delivery_delay_days > 0 THEN 1 ELSE 0 END) AS bigint) AS late_orders,
-        {mean('delivery_delay_days', 1)} AS avg_delay_days, {pct('delivery_delay_days > 0', 1)} AS late_pct
-        FROM fact_orders f JOIN dim_customers c ON f.customer_id = c.customer_id WHERE {_DELIVERED}
-        GROUP BY c.state ORDER BY late_pct DESC, c.state LIMIT 15""",
-    "late_by_month": f"""SELECT order_month, {mean('delivery_delay_days', 1)} AS avg_delay, {pct('delivery_delay_days > 0', 1)} AS late_pct,
-        strftime(make_date(2000, order_month, 1), '%b') AS month_name FROM fact_orders WHERE {_DELIVERED} GROUP BY order_month""",
-    "eda_monthly": f"SELECT yyyymm, {total('revenue')} AS revenue, count(DISTINCT order_id) AS orders FROM fact_orders GROUP BY yyyymm",
-    "peak_month": f"SELECT yyyymm, {total('revenue')} AS revenue FROM fact_orders GROUP BY yyyymm ORDER BY revenue DESC, yyyymm LIMIT 1",
-    "top_categories": f"""SELECT category, {total('revenue')} AS revenue, {mean('review_score', 2)} AS avg_review,
-        count(DISTINCT order_id) AS orders, category[1:12] AS label FROM fact_orders WHERE category IS NOT NULL
-        GROUP BY category ORDER BY revenue DESC, category LIMIT 15""",
-    "review_distribution": "SELECT review_score, count(*) AS count FROM fact_orders GROUP BY review_score",
-    "sentiment_distribution": f"""SELECT {_SENTIMENT} AS sentiment, count(*) AS count,
-        {rounded("cast(count(*) * 100 AS double) / (SELECT count(*) FROM fact_orders WHERE review_score IS NOT NULL)", 1)} AS share_pct
-        FROM fact_orders WHERE review_score IS NOT NULL GROUP BY 1""",
-    "sentiment_vs_delay": f"""SELECT {_SENTIMENT} AS sentiment, {mean('delivery_delay_days', 1)} AS avg_delay, {mean('price', 2)} AS avg_price,
-        {mean('freight_value', 2)} AS avg_freight FROM fact_orders
-        WHERE review_score IS NOT NULL AND delivery_delay_days IS NOT NULL GROUP BY 1""",
-    "category_sentiment": f"""SELECT *, CASE WHEN avg_score < 3.5 THEN 'low' WHEN avg_score < 4.2 THEN 'medium' ELSE 'high' END AS band FROM (
-        SELECT category, {mean('review_score', 2)} AS avg_score, {pct('review_score >= 4', 1)} AS positive_pct, count(*) AS orders
-        FROM fact_orders WHERE review_score IS NOT NULL AND category IS NOT NULL GROUP BY category
-        ORDER BY avg_score, category LIMIT 15)""",
-    "monthly_series": f"""SELECT cast(cast(date_trunc('month', order_date) AS date) AS varchar) AS ds, {total('revenue')} AS y
-        FROM fact_orders GROUP BY 1""",
-    "to_records": f"""SELECT state, {total('revenue')} AS revenue FROM fact_orders WHERE state IS NOT NULL GROUP BY state""",
+    "kpi_summary": f"SELECT {_NULL_AS_ZERO} FROM ({_rollup({}, {**_KPI, 'total_freight': _FREIGHT})})",
+    "eda_kpis": _rollup({}, _KPI),
+    "monthly_revenue": _growth(
+        _rollup({"year": "order_year", "month": "order_month", "yyyymm": "yyyymm"}, {"revenue": _SALES, "freight": _FREIGHT, "orders": _ORDERS, "customers": _BUYERS}),
+        "year, month", "mom_growth_pct",
+    ),
+    "yoy_comparison": _growth(
+        _rollup({"year": "order_year"}, {"revenue": _SALES, "orders": _ORDERS, "customers": _BUYERS, "avg_review": _mean("stars", 2)}), "year", "yoy_growth"
+    ),
+    "category_performance": f"""WITH shares AS (SELECT category, sum(revenue) AS part, sum(sum(revenue)) OVER () AS whole FROM fact_orders GROUP BY category),
+      report AS ({_rollup({"category": "category"}, {"orders": _ORDERS, "revenue": _SALES, "avg_price": _mean("price", 2), "avg_review": _mean("stars", 2)})})
+      SELECT report.*, {rounded("cast(part AS double) * 100 / cast(whole AS double)", 2)} AS revenue_share_pct FROM report JOIN shares USING (category)""",
+    "top_products": _through("product_id", "dim_products", ["product_id", "category"],
+        {"orders": _LINES, "revenue": _SALES, "avg_price": _mean("price", 2), "avg_review": _mean("stars", 2)}, tail=_BEST.format("product_id", 10)),
+    "seller_leaderboard": _through("seller_id", "dim_sellers", ["seller_id", "seller_state"],
+        {"orders": "cast(sum(order_count) AS bigint)", "revenue": _SALES, "avg_review": _mean("stars", 2), "avg_delay_days": _mean("delay", 1)},
+        tail=_BEST.format("seller_id", 10)),
+    "state_performance": _through("customer_id", "dim_customers", ["state"],
+        {"orders": "cast(sum(order_count) AS bigint)", "customers": "count(*)", "revenue": _SALES, "avg_review": _mean("stars", 2), "avg_delay_days": _mean("delay", 1)}),
+    "top_states": _through("customer_id", "dim_customers", ["state"], {"orders": "cast(sum(order_count) AS bigint)", "revenue": _SALES}, tail=_BEST.format("state", 12)),
+    "payment_analysis": _rollup({"payment_type": "payment_type"}, {**_PAYMENTS, "avg_order_value": _mean("price", 2)}, "payment_type IS NOT NULL"),
+    "eda_payments": _rollup({"payment_type": "payment_type"}, _PAYMENTS, "payment_type IS NOT NULL"),
+    "delivery_performance": f"SELECT {', '.join(f'coalesce({c}, 0) AS {c}' for c in _PUNCTUALITY)} FROM ({_rollup({}, _PUNCTUALITY, _DELIVERED)})",
+    "delivery_counts": _rollup({}, {"avg_delay": _mean("delay", 1), "late": "cast(sum(late) AS bigint)", "ontime": "cast(sum(punctual) AS bigint)",
+        "total": _LINES, "late_pct": _share("late", 1), "ontime_pct": _share("punctual", 1)}, _DELIVERED),
+    "late_by_state": _through("customer_id", "dim_customers", ["state"],
+        {"total_orders": _LINES, "late_orders": "cast(sum(late) AS bigint)", "avg_delay_days": _mean("delay", 1), "late_pct": _share("late", 1)},
+        _DELIVERED, "ORDER BY late_pct DESC, state LIMIT 15"),
+    "late_by_month": f"""SELECT *, ['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'][order_month] AS month_name
+      FROM ({_rollup({"order_month": "order_month"}, {"avg_delay": _mean("delay", 1), "late_pct": _share("late", 1)}, _DELIVERED)})""",
+    "eda_monthly": _rollup({"yyyymm": "yyyymm"}, {"revenue": _SALES, "orders": _ORDERS}),
+    "peak_month": _rollup({"yyyymm": "yyyymm"}, {"revenue": _SALES}, tail=_BEST.format("yyyymm", 1)),
+    "top_categories": f"""SELECT *, left(category, 12) AS label FROM ({_rollup({"category": "category"},
+        {"revenue": _SALES, "avg_review": _mean("stars", 2), "orders": _ORDERS}, "category IS NOT NULL", _BEST.format("category", 15))})""",
+    "review_distribution": _rollup({"review_score": "review_score"}, {"count": _LINES}),
+    "sentiment_distribution": f"""SELECT sentiment, count, {rounded("cast(count AS double) * 100 / sum(count) OVER ()", 1)} AS share_pct
+      FROM ({_rollup({"sentiment": _SENTIMENT}, {"count": _LINES}, "review_score IS NOT NULL")})""",
+    "sentiment_vs_delay": _rollup({"sentiment": _SENTIMENT}, {"avg_delay": _mean("delay", 1), "avg_price": _mean("price", 2), "avg_freight": _mean("freight", 2)},
+        "review_score IS NOT NULL AND delivery_delay_days IS NOT NULL"),
+    "category_sentiment": f"""SELECT *, ['low', 'medium', 'high'][1 + cast(avg_score >= 3.5 AS integer) + cast(avg_score >= 4.2 AS integer)] AS band
+      FROM ({_rollup({"category": "category"}, {"avg_score": _mean("stars", 2), "positive_pct": _share("liked", 1), "orders": _LINES},
+        "review_score IS NOT NULL AND category IS NOT NULL", "ORDER BY avg_score, category LIMIT 15")})""",
+    "monthly_series": _rollup({"ds": "strftime(order_date, '%Y-%m-01')"}, {"y": _SALES}),
+    "to_records": _rollup({"state": "state"}, {"revenue": _SALES}, "state IS NOT NULL"),
     "rfm_customers": f"{RFM} SELECT * FROM base",
     "rfm_scores": f"{RFM} SELECT * FROM rfm",
     "rfm_segmentation": f"""{RFM}, labelled AS (SELECT *, {_segments('Loyal Customers', 'Potential Loyalists')} FROM rfm)
-        SELECT segment, count(*) AS customers, {mean('cast(monetary AS decimal(20,10))', 2)} AS avg_monetary,
-        {mean('frequency', 2)} AS avg_frequency, {mean('recency_days', 2)} AS avg_recency FROM labelled GROUP BY segment""",
+        SELECT segment, count(*) AS customers, {_of('cast(monetary AS decimal(20,10))')} AS avg_monetary,
+        {_of('frequency')} AS avg_frequency, {_of('recency_days')} AS avg_recency FROM labelled GROUP BY segment""",
     "rfm_segment_summary": f"""{RFM}, labelled AS (SELECT *, {_segments('Loyal', 'Potential')} FROM rfm)
-        SELECT segment, count(*) AS customers, {mean('cast(monetary AS decimal(20,10))', 2)} AS avg_spend,
-        {mean('recency_days', 2)} AS avg_recency FROM labelled GROUP BY segment""",
+        SELECT segment, count(*) AS customers, {_of('cast(monetary AS decimal(20,10))')} AS avg_spend,
+        {_of('recency_days')} AS avg_recency FROM labelled GROUP BY segment""",
     "rfm_base_features": BASE_FEATURES,
     "describe_features": f"WITH base AS ({BASE_FEATURES}) " + " UNION ALL ".join(_describe(c) for c in _FEATURES),
     "histogram": _histogram("recency_days", 50, None),
