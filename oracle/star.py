@@ -77,7 +77,8 @@ dim_date AS (
   SELECT cast(strftime(d, '%Y%m%d') AS bigint) AS date_id, d AS date, year(d) AS year, quarter(d) AS quarter, month(d) AS month,
     monthname(d) AS month_name, weekofyear(d) AS week, dayname(d) AS day_name,
     CASE WHEN isodow(d) >= 6 THEN 1 ELSE 0 END AS is_weekend, strftime(d, '%Y-%m') AS yyyymm
-  FROM (SELECT cast(unnest(generate_series(timestamp '1995-01-01', timestamp '2001-12-31', interval 1 day)) AS date) AS d)
+  FROM (SELECT cast(unnest(generate_series(date_trunc('year', min(o_orderdate)), date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR - INTERVAL 1 DAY,
+    INTERVAL 1 DAY)) AS date) AS d FROM orders)
 ),
 pay AS (
   SELECT order_id, sum(payment_value) AS total_payment, max(payment_installments) AS payment_installments,

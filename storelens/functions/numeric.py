@@ -18,7 +18,7 @@ def mean_of(col: Column) -> Column:
 
 def exact_mean(col: Column) -> Column:
     """Mean of a double column, summed as decimals so that the order of rows is irrelevant."""
-    return mean_of(col.cast("decimal(20,10)"))
+    return mean_of(col.cast("decimal(28,10)"))
 
 
 def pct_of_rows(condition: Column, rows: Column | None = None) -> Column:

@@ -1,27 +1,17 @@
-"""Joins that check sizes before they broadcast, and split keys too large for one task."""
+"""Joins that split keys too large for one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 100_000
 ROWS_PER_TASK = 2_000_000
-MAX_HOT_KEYS = 10_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark a cheap-to-count table for broadcast if it is small; else leave the join to a shuffle."""
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
-
-
-def hot_keys(counts: DataFrame, count: str, rows_per_task: int = ROWS_PER_TASK) -> list:
-    """Keys with more rows than a task should take, largest first.
-
-    At most MAX_HOT_KEYS come back: a key left out holds less than a MAX_HOT_KEYS-th of all rows.
-    """
-    return counts.filter(F.col(count) > rows_per_task).orderBy(F.desc(count)).limit(MAX_HOT_KEYS).collect()
+def hot_keys(counts: DataFrame, count: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Every key with more rows than a task should take, and in how many ``_parts`` it is dealt. It stays a table:
+    of n rows at most n / rows_per_task keys are hot, and its size decides how it is joined."""
+    return counts.filter(F.col(count) > rows_per_task).withColumn("_parts", F.ceil(F.col(count) / F.lit(rows_per_task))).drop(count)
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", counts: DataFrame | None = None,
@@ -36,13 +26,10 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "le
     """
     if counts is None:
         counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(counts, "n", rows_per_task)
-    if not hot:
+    parts = hot_keys(counts, "n", rows_per_task)
+    if parts.isEmpty():
         return left.join(right, keys, how)
-    fields = ", ".join(f"{k} {counts.schema[k].dataType.simpleString()}" for k in keys)
-    rows = [(*[r[k] for k in keys], -(-r["n"] // rows_per_task)) for r in hot]
-    parts = F.broadcast(left.sparkSession.createDataFrame(rows, f"{fields}, _parts bigint"))  # at most MAX_HOT_KEYS rows
-    share = F.coalesce("_parts", F.lit(1))
+    share = F.coalesce("_parts", F.lit(1).cast("bigint"))
     salted = left.join(parts, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), share)).drop("_parts")
     repeated = right.join(parts, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), share - 1))).drop("_parts")
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -165,22 +165,29 @@ _ROWS_PER_CHUNK = 10_000
 
 
 def smote(df: DataFrame, label: str, vec: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """Add synthetic rows of the rarer class until both classes are equally large.
+    """Add synthetic rows to every class below the largest until all are equally large.
 
-    Each synthetic row lies on the line from a minority row to one of its k nearest
-    minority neighbours; base rows take turns, neighbour and position come from a hash.
-    Returns (label, vec, synthetic).
+    Each synthetic row lies on the line from a row of the class to one of its k nearest neighbours of
+    the class; base rows take turns, neighbour and position come from a hash. With one class, or classes of
+    equal size, the rows come back as they are. A null label raises. Returns (label, vec, synthetic).
     """
-    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}  # a row a class
+    if None in sizes:
+        raise ValueError(f"{label} has null values")
     original = df.select(F.col(label).alias("label"), F.col(vec).cast("array<double>").alias("vec"), F.lit(0).alias("synthetic"))
-    if len(sizes) != 2 or len(set(sizes.values())) == 1:
-        return original
-    rare, common = sorted(sizes, key=lambda c: (sizes[c], c))
-    missing = sizes[common] - sizes[rare]
-    rounds, extra = divmod(missing, sizes[rare])
+    out, largest = original, max(sizes.values(), default=0)
+    for rare in sorted(c for c in sizes if sizes[c] < largest):
+        own = original.filter(F.col("label") == rare)
+        out = out.unionByName(_synthetic(own, sizes[rare], largest - sizes[rare], F.lit(rare).cast(df.schema[label].dataType), k, seed))
+    return out
+
+
+def _synthetic(own: DataFrame, size: int, missing: int, label: Column, k: int, seed: int) -> DataFrame:
+    """``missing`` new rows from the ``size`` rows of one class."""
+    rounds, extra = divmod(missing, size)
 
     # distinct vectors are numbered in their own order, so the draws do not depend on partitioning
-    distinct = original.filter(F.col("label") == rare).groupBy("vec").agg(F.count(F.lit(1)).alias("copies"))
+    distinct = own.groupBy("vec").agg(F.count(F.lit(1)).alias("copies"))
     points = materialize(distributed_rank(distinct, ["vec"], "id"))
     near = nearest_neighbours(points, k)
     known = near.join(points.select(F.col("id").alias("neighbour"), F.col("vec").alias("n_vec"), F.col("copies").alias("n_copies")), "neighbour")
@@ -201,9 +208,8 @@ def smote(df: DataFrame, label: str, vec: str, k: int = 5, seed: int = 42) -> Da
     pick = uniform(F.col("id").cast("string"), F.col("turn").cast("string"), F.lit(f"n{seed}"))
     step = uniform(F.col("id").cast("string"), F.col("turn").cast("string"), F.lit(f"u{seed}"))
     chosen = F.coalesce(F.get("slots", F.floor(pick * F.size("slots")).cast("int")), F.col("vec"))
-    synthetic = drawn.withColumns({"_to": chosen, "_step": step}).select(
-        F.lit(rare).cast(df.schema[label].dataType).alias("label"),
+    return drawn.withColumns({"_to": chosen, "_step": step}).select(
+        label.alias("label"),
         F.expr("zip_with(vec, _to, (a, b) -> a + _step * (b - a))").alias("vec"),
         F.lit(1).alias("synthetic"),
     )
-    return original.unionByName(synthetic)

@@ -1,7 +1,7 @@
 """Exact global ranks, running totals and quantiles without a single-partition window.
 
-Rows are range-partitioned on the full sort key and checkpointed, so partition numbers
-are fixed; only one row per partition takes part in the prefix sum, and that small table
+Rows are range-partitioned on the full sort key and stored once (as Parquet where they are
+wide, so that later steps read the columns they need), so partition numbers are fixed; only one row per partition takes part in the prefix sum, and that small table
 (bounded by the number of shuffle partitions) is what gets broadcast.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storelens.operators.joins import skew_join
-from storelens.session import materialize
+from storelens.session import materialize, stored
 
 # monotonically_increasing_id: partition number above bit 33, row number below.
 _ROW_BITS = 33
@@ -30,9 +30,7 @@ def _before(slots: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def distributed_rank(df: DataFrame, order_by: Sequence[Column | str], name: str = "rank") -> DataFrame:
     """Add 1..n in the given order. Ties must be broken by ``order_by`` itself."""
-    ordered = materialize(
-        df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn("_pos", F.monotonically_increasing_id())
-    )
+    ordered = stored(df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn("_pos", F.monotonically_increasing_id()), "ranked")
     slotted = ordered.withColumn("_slot", F.shiftright("_pos", _ROW_BITS))
     sizes = slotted.groupBy("_slot").agg(F.count(F.lit(1)).alias("n"))
     in_slot = F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storelens.functions.numeric import exact_mean, round_to
 from storelens.functions.text import title_case
+from storelens.functions.time import coerce_timestamp
 from storelens.operators.keep_first import keep_first, row_order
 
 
@@ -78,11 +79,21 @@ def dim_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(spark: SparkSession, start: str = "2016-01-01", end: str = "2018-12-31") -> DataFrame:
-    """Calendar with ISO week and weekend flag."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))).alias("date")
+def calendar_range(orders: DataFrame) -> DataFrame:
+    """One row (start, end): whole years around all purchases. Texts that are no timestamp do not count."""
+    bought = coerce_timestamp("order_purchase_timestamp").cast("date")
+    return orders.select(bought.alias("day")).agg(
+        F.make_date(F.year(F.min("day")), F.lit(1), F.lit(1)).alias("start"), F.make_date(F.year(F.max("day")), F.lit(12), F.lit(31)).alias("end")
     )
+
+
+def fixed_range(spark: SparkSession, start: str, end: str) -> DataFrame:
+    return spark.range(1).select(F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end"))
+
+
+def dim_date(bounds: DataFrame) -> DataFrame:
+    """Calendar with ISO week and weekend flag, from one row (start, end); empty where that is null."""
+    days = bounds.where("start is not null").select(F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("date"))
     return days.select(
         F.date_format("date", "yyyyMMdd").cast("int").alias("date_id"),
         "date",

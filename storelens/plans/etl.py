@@ -6,29 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.plans import dims, fact
-from storelens.sources.raw import RawTables
+from storelens.sources.raw import RawTables, corrupt_counts
 from storelens.sources.warehouse import Warehouse, write_table
 
 
-def dimensions(spark: SparkSession, raw: RawTables, start: str = "2016-01-01", end: str = "2018-12-31") -> dict[str, DataFrame]:
+def dimensions(spark: SparkSession, raw: RawTables, start: str | None = None, end: str | None = None) -> dict[str, DataFrame]:
+    """The five dimensions. Without ``start`` and ``end`` the calendar covers the years of the orders."""
     geo = dims.dim_geolocation(dims.geolocation_groups(raw.geolocation))
     return {
         "dim_geolocation": geo,
         "dim_customers": dims.dim_customers(raw.customers, geo),
         "dim_products": dims.dim_products(raw.products, raw.category_translation),
         "dim_sellers": dims.dim_sellers(raw.sellers, geo),
-        "dim_date": dims.dim_date(spark, start, end),
+        "dim_date": dims.dim_date(dims.fixed_range(spark, start, end) if start and end else dims.calendar_range(raw.orders)),
     }
 
 
-def transform(spark: SparkSession, raw: RawTables, start: str = "2016-01-01", end: str = "2018-12-31",
+def transform(spark: SparkSession, raw: RawTables, start: str | None = None, end: str | None = None,
               with_key: bool = True) -> Warehouse:
     """All six tables, unwritten. With a key, the fact is checkpointed once while it is assigned."""
     found = dimensions(spark, raw, start, end)
     return Warehouse(fact_orders=fact.fact_orders(raw, found["dim_customers"], found["dim_products"], with_key), **found)
 
 
-def run_etl(spark: SparkSession, raw: RawTables, path: str, start: str = "2016-01-01", end: str = "2018-12-31") -> Warehouse:
+def run_etl(spark: SparkSession, raw: RawTables, path: str, start: str | None = None, end: str | None = None) -> Warehouse:
     """Transform, write, and return the tables as read back from storage.
 
     The dimensions are stored first and the fact joins the stored ones: they are computed
@@ -61,6 +62,9 @@ def etl_audit(raw: RawTables, tables: Warehouse) -> DataFrame:
         one("fact_orders_distinct", fact_sizes.agg(count)),
         one("scores_imputed", fact_sizes.join(scored, "order_id", "left_anti").agg(F.sum("n"))),
     ]
+    broken = corrupt_counts(raw.items())
+    if broken is not None:
+        measures.append(broken.select(F.concat(F.lit("corrupt_rows_"), "table_name").alias("measure"), F.col("row_count").alias("value")))
     out = measures[0]
     for m in measures[1:]:
         out = out.unionByName(m)

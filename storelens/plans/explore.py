@@ -7,9 +7,8 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.operators.joins import broadcast_if_small
 from storelens.operators.ranking import exact_quantiles
-from storelens.session import materialize
+from storelens.session import materialize, stored
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -21,7 +20,7 @@ def to_long(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
     """count, mean, sample deviation, min, quartiles, max per column; the quartiles are exact."""
-    long = to_long(df, columns)
+    long = to_long(stored(df.select(*columns)), columns)  # read twice
     moments = long.groupBy("column").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
@@ -50,7 +49,7 @@ def histogram(df: DataFrame, column: str, bins: int, upper: float | None = None,
     span = values.groupBy(*keys).agg((F.min("value") - pad).alias("low"), (F.max("value") + pad).alias("high"))
     if by:
         span = materialize(span)  # one row per class, used for placing and for the grid
-        ranges = broadcast_if_small(span.withColumnRenamed(by, "_by"))
+        ranges = span.withColumnRenamed(by, "_by")
         placed = values.join(ranges, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
     else:
         one = span.select(F.struct("low", "high")).scalar()

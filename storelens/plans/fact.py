@@ -8,7 +8,7 @@ reduced to their key columns, cleaned and deduplicated before any join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.time import coerce_timestamp, floor_days
@@ -18,6 +18,7 @@ from storelens.operators.ranking import distributed_rank
 from storelens.sources.raw import RawTables
 from storelens.plans import dims
 
+# Names of columns and keys of the fact table.
 ITEM_KEYS = ["order_id", "order_item_id"]
 REQUIRED_KEYS = ["order_id", "customer_id", "product_id", "seller_id"]
 TIMESTAMPS = ["order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date"]
@@ -101,9 +102,19 @@ def add_delivery_delay(df: DataFrame) -> DataFrame:
     return df.withColumn("delivery_delay_days", delay)
 
 
-def impute_review(df: DataFrame) -> DataFrame:
-    """Null review scores become the median score of the table (a handful of distinct values)."""
-    median = df.agg(F.percentile("review_score", F.lit(0.5))).scalar()
+def review_median(raw: RawTables) -> Column:
+    """Median score over the fact's rows, from one row per order: its best score counts once for each of its items."""
+    items = drop_null_keys(raw.order_items.select("order_id", "order_item_id", "product_id", "seller_id")).select(*ITEM_KEYS).distinct()
+    sizes = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+    owned = raw.orders.filter(F.col("customer_id").isNotNull()).select("order_id")
+    scored = best_review_per_order(raw.order_reviews).join(sizes, "order_id").join(owned, "order_id")
+    return scored.agg(F.percentile("review_score", F.lit(0.5), F.col("n"))).scalar()
+
+
+def impute_review(df: DataFrame, median: Column | None = None) -> DataFrame:
+    """Null review scores become the median score, of the table itself unless it is given."""
+    if median is None:
+        median = df.agg(F.percentile("review_score", F.lit(0.5))).scalar()  # a handful of distinct values
     return df.withColumn("review_score", F.coalesce(F.col("review_score").cast("double"), median))
 
 
@@ -136,9 +147,9 @@ def fact_rows(raw: RawTables, customers: DataFrame, products: DataFrame) -> Data
 
 
 def fact_orders(raw: RawTables, customers: DataFrame, products: DataFrame, with_key: bool = True) -> DataFrame:
-    """The fact table. With a key, the joined rows are checkpointed once and imputed from there."""
+    """The fact table. With a key, the joined rows are stored once and the median is read from there; without, it comes from per-order counts."""
     rows = fact_rows(raw, customers, products)
-    return project_fact(impute_review(surrogate_key(rows) if with_key else rows))
+    return project_fact(impute_review(surrogate_key(rows)) if with_key else impute_review(rows, review_median(raw)))
 
 
 def customer_dim(raw: RawTables) -> DataFrame:

@@ -93,7 +93,7 @@ def churn_recent_revenue(fact: DataFrame) -> DataFrame:
 
 
 def _spend_totals(fact: DataFrame, as_of: str) -> DataFrame:
-    """Additive measures per customer. Months and years are counted as bits (a customer's years span less than 64)."""
+    """Additive measures per customer. Months are counted as bits."""
     delay, score = F.col("delivery_delay_days"), F.col("review_score")
     return (
         _delivered(fact)
@@ -110,7 +110,6 @@ def _spend_totals(fact: DataFrame, as_of: str) -> DataFrame:
             round_to(F.min("price"), 2).alias("min_order_value"),
             F.sum(_flag(score >= 4)).alias("positive_reviews"),
             F.sum(_flag(score <= 2)).alias("negative_reviews"),
-            F.bit_count(F.bit_or(F.expr("shiftleft(1L, pmod(order_year, 64))"))).alias("active_years"),
             F.bit_count(F.bit_or(F.expr("shiftleft(1, order_month)"))).alias("active_months"),
             F.datediff(F.max("order_date"), F.min("order_date")).alias("customer_lifetime_days"),
             days_since(as_of, F.max("order_date")).alias("recency_days"),
@@ -119,7 +118,7 @@ def _spend_totals(fact: DataFrame, as_of: str) -> DataFrame:
 
 
 def _variety(fact: DataFrame) -> DataFrame:
-    """Distinct orders, products and categories per customer, over just those columns.
+    """Distinct orders, products, categories and years per customer, over just those columns.
 
     Spark repeats each row once per distinct column, so the measures are kept out of this
     aggregate; the values are spread over (customer, value) before they are counted.
@@ -128,6 +127,7 @@ def _variety(fact: DataFrame) -> DataFrame:
         F.count_distinct("order_id").alias("frequency"),
         F.count_distinct("category").alias("unique_categories"),
         F.count_distinct("product_id").alias("unique_products"),
+        F.count_distinct("order_year").alias("active_years"),
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from storelens.operators.joins import broadcast_if_small
 from storelens.operators.ranking import distributed_rank
 
 # Hex digits of the hash that are counted before the cut is located: 65,536 cells per class.
@@ -68,7 +67,7 @@ def label_codes(df: DataFrame, column: str, missing: str = "unknown") -> DataFra
 
 def label_encode(df: DataFrame, column: str, codes: DataFrame, name: str, missing: str = "unknown") -> DataFrame:
     """Add the code of ``column``; a value not seen at fit time gets code 0."""
-    lookup = broadcast_if_small(codes.withColumnsRenamed({"value": "_value", "code": "_code"}))
+    lookup = codes.withColumnsRenamed({"value": "_value", "code": "_code"})
     keyed = df.withColumn("_key", F.coalesce(F.col(column), F.lit(missing)))
     joined = keyed.join(lookup, F.col("_key") == F.col("_value"), "left")
     return joined.withColumn(name, F.coalesce("_code", F.lit(0))).drop("_key", "_value", "_code")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storelens.functions.numeric import mean_of, pct_of_rows, round_to, safe_div
@@ -43,66 +44,88 @@ def _zero_if_null(df: DataFrame) -> DataFrame:
     return df.select([F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in df.columns])
 
 
-def kpi_summary(fact: DataFrame) -> DataFrame:
-    return _zero_if_null(
-        fact.agg(
-            _distinct("order_id").alias("total_orders"),
-            _distinct("customer_id").alias("unique_customers"),
-            _total("revenue").alias("total_revenue"),
-            _mean("price").alias("avg_order_value"),
-            _mean("review_score").alias("avg_review_score"),
-            _total("freight_value").alias("total_freight"),
-            round_to(pct_of_rows(F.col("is_delivered") == 1), 2).alias("delivery_rate_pct"),
-        )
-    )
+def _sums(*columns: str) -> list[Column]:
+    """Sums and counts that can be added up again: of the columns, of rows, and of delivered, late and punctual rows."""
+    flags = {"rows": F.lit(True), "delivered": F.col("is_delivered") == 1, "late": _late(), "on_time": _on_time()}
+    return [
+        *[F.sum(c).alias(f"s_{c}") for c in columns], *[F.count(c).alias(f"n_{c}") for c in columns],
+        *[F.sum(F.when(f, 1).otherwise(0)).alias(f"n_{k}") for k, f in flags.items()],
+    ]
+
+
+def _cells(fact: DataFrame, keys: list[Column], *columns: str) -> DataFrame:
+    """One row per key and order, with the order's customer. Reports count its rows instead of distinct order ids, so
+    that no fact row is repeated for a distinct count."""
+    return fact.groupBy(*keys, "order_id").agg(F.min("customer_id").alias("customer_id"), *_sums(*columns))
+
+
+def _added(col: str, digits: int = 2) -> Column:
+    return round_to(F.sum(f"s_{col}"), digits)
+
+
+def _added_mean(col: str, digits: int = 2) -> Column:
+    return round_to(F.sum(f"s_{col}").cast("double") / F.sum(f"n_{col}"), digits)
+
+
+def _added_pct(part: str, digits: int = 2) -> Column:
+    return round_to(F.sum(f"n_{part}").cast("double") * 100 / F.sum("n_rows"), digits)
 
 
 def eda_kpis(fact: DataFrame) -> DataFrame:
-    """The same without freight; nulls are kept."""
-    return fact.agg(
-        _distinct("order_id").alias("total_orders"),
+    """Orders, customers, money, scores and delivery in one row; nulls are kept."""
+    return _kpis(fact).drop("total_freight")
+
+
+def _kpis(fact: DataFrame) -> DataFrame:
+    return _cells(fact, [], "revenue", "price", "review_score", "freight_value").agg(
+        _rows().alias("total_orders"),
         _distinct("customer_id").alias("unique_customers"),
-        _total("revenue").alias("total_revenue"),
-        _mean("price").alias("avg_order_value"),
-        _mean("review_score").alias("avg_review_score"),
-        round_to(pct_of_rows(F.col("is_delivered") == 1), 2).alias("delivery_rate_pct"),
+        _added("revenue").alias("total_revenue"),
+        _added_mean("price").alias("avg_order_value"),
+        _added_mean("review_score").alias("avg_review_score"),
+        _added("freight_value").alias("total_freight"),
+        _added_pct("delivered").alias("delivery_rate_pct"),
     )
 
 
+def kpi_summary(fact: DataFrame) -> DataFrame:
+    return _zero_if_null(_kpis(fact))
+
+
 def monthly_revenue(fact: DataFrame) -> DataFrame:
-    months = fact.groupBy(F.col("order_year").alias("year"), F.col("order_month").alias("month"), "yyyymm").agg(
-        _total("revenue").alias("revenue"),
-        _total("freight_value").alias("freight"),
-        _distinct("order_id").alias("orders"),
+    keys = [F.col("order_year").alias("year"), F.col("order_month").alias("month"), F.col("yyyymm")]
+    months = _cells(fact, keys, "revenue", "freight_value").groupBy("year", "month", "yyyymm").agg(
+        _added("revenue").alias("revenue"),
+        _added("freight_value").alias("freight"),
+        _rows().alias("orders"),
         _distinct("customer_id").alias("customers"),
     )
     return add_growth(months, "revenue", ["year", "month"], "mom_growth_pct").orderBy("year", "month")
 
 
 def yoy_comparison(fact: DataFrame) -> DataFrame:
-    years = fact.groupBy(F.col("order_year").alias("year")).agg(
-        _total("revenue").alias("revenue"),
-        _distinct("order_id").alias("orders"),
+    years = _cells(fact, [F.col("order_year").alias("year")], "revenue", "review_score").groupBy("year").agg(
+        _added("revenue").alias("revenue"),
+        _rows().alias("orders"),
         _distinct("customer_id").alias("customers"),
-        _mean("review_score").alias("avg_review"),
+        _added_mean("review_score").alias("avg_review"),
     )
     return add_growth(years, "revenue", ["year"], "yoy_growth").orderBy("year")
 
 
 def category_performance(fact: DataFrame) -> DataFrame:
     """Share is of all revenue, rows without a category included."""
-    total = fact.agg(F.sum("revenue")).scalar()
-    share = safe_div(F.sum("revenue").cast("double") * 100, total)
+    categories = fact.groupBy("category").agg(
+        _distinct("order_id").alias("orders"),
+        F.sum("revenue").alias("part"),
+        _mean("price").alias("avg_price"),
+        _mean("review_score").alias("avg_review"),
+    )
+    whole = F.sum("part").over(W.partitionBy())  # a row a category
+    shares = categories.withColumn("revenue_share_pct", round_to(safe_div(F.col("part").cast("double") * 100, whole), 2))
     return (
-        fact.filter(F.col("category").isNotNull())
-        .groupBy("category")
-        .agg(
-            _distinct("order_id").alias("orders"),
-            _total("revenue").alias("revenue"),
-            _mean("price").alias("avg_price"),
-            _mean("review_score").alias("avg_review"),
-            round_to(share, 2).alias("revenue_share_pct"),
-        )
+        shares.filter(F.col("category").isNotNull())
+        .select("category", "orders", round_to(F.col("part"), 2).alias("revenue"), "avg_price", "avg_review", "revenue_share_pct")
         .orderBy(F.desc("revenue"), "category")
     )
 
@@ -139,19 +162,22 @@ def seller_leaderboard(fact: DataFrame, sellers: DataFrame, n: int = 10) -> Data
     )
 
 
-def _by_state(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    return fact.drop("state").join(customers.select("customer_id", "state"), "customer_id").groupBy("state")
+def _by_state(fact: DataFrame, customers: DataFrame, *columns: str):
+    """Per-customer sums joined to the customers' states: rows of the fact are added up before anything is joined.
+    An order has one customer, so orders add up too."""
+    per_customer = fact.groupBy("customer_id").agg(_distinct("order_id").alias("n_orders"), *_sums(*columns))
+    return per_customer.join(customers.select("customer_id", "state"), "customer_id").groupBy("state")
 
 
 def state_performance(fact: DataFrame, customers: DataFrame) -> DataFrame:
     return (
-        _by_state(fact, customers)
+        _by_state(fact, customers, "revenue", "review_score", "delivery_delay_days")
         .agg(
-            _distinct("order_id").alias("orders"),
-            _distinct("customer_id").alias("customers"),
-            _total("revenue").alias("revenue"),
-            _mean("review_score").alias("avg_review"),
-            _mean("delivery_delay_days", 1).alias("avg_delay_days"),
+            F.sum("n_orders").alias("orders"),
+            _rows().alias("customers"),
+            _added("revenue").alias("revenue"),
+            _added_mean("review_score").alias("avg_review"),
+            _added_mean("delivery_delay_days", 1).alias("avg_delay_days"),
         )
         .orderBy(F.desc("revenue"), "state")
     )
@@ -159,8 +185,8 @@ def state_performance(fact: DataFrame, customers: DataFrame) -> DataFrame:
 
 def top_states(fact: DataFrame, customers: DataFrame, n: int = 12) -> DataFrame:
     return (
-        _by_state(fact, customers)
-        .agg(_distinct("order_id").alias("orders"), _total("revenue").alias("revenue"))
+        _by_state(fact, customers, "revenue")
+        .agg(F.sum("n_orders").alias("orders"), _added("revenue").alias("revenue"))
         .orderBy(F.desc("revenue"), "state")
         .limit(n)
     )
@@ -212,12 +238,12 @@ def delivery_counts(fact: DataFrame) -> DataFrame:
 
 def late_by_state(fact: DataFrame, customers: DataFrame, n: int = 15) -> DataFrame:
     return (
-        _by_state(_delivered(fact), customers)
+        _by_state(_delivered(fact), customers, "delivery_delay_days")
         .agg(
-            _rows().alias("total_orders"),
-            F.sum(F.when(_late(), 1).otherwise(0)).alias("late_orders"),
-            _mean("delivery_delay_days", 1).alias("avg_delay_days"),
-            round_to(pct_of_rows(_late()), 1).alias("late_pct"),
+            F.sum("n_rows").alias("total_orders"),
+            F.sum("n_late").alias("late_orders"),
+            _added_mean("delivery_delay_days", 1).alias("avg_delay_days"),
+            _added_pct("late", 1).alias("late_pct"),
         )
         .orderBy(F.desc("late_pct"), "state")
         .limit(n)

@@ -12,6 +12,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storelens.operators.neighbours import smote
@@ -40,7 +41,7 @@ SEED = 42
 
 @dataclass
 class Search:
-    """How much to search. ``cap`` lowers tree counts and depths, for trial runs."""
+    """How much to search. ``cap`` leaves larger tree counts and depths out of the grids, for trial runs; what is drawn stays distinct."""
 
     n_iter: int
     folds: int = 5
@@ -51,6 +52,11 @@ class Search:
         cap = self.cap or {}
         return {k: min(v, cap[k]) if k in cap else v for k, v in settings.items()}
 
+    def grid(self, grid: dict[str, list]) -> dict[str, list]:
+        """Values above the cap become the cap, each value once."""
+        cap = self.cap or {}
+        return {k: list(dict.fromkeys(min(v, cap[k]) for v in values)) if k in cap else values for k, values in grid.items()}
+
 
 @dataclass
 class Trained:
@@ -90,15 +96,26 @@ def random_draws(grid: dict[str, list], n_iter: int, seed: int = SEED) -> list[d
     return [combination(i) for i in random.Random(seed).sample(range(total), min(n_iter, total))]
 
 
+def stratified_folds(df: DataFrame, label: str, folds: int, seed: int = SEED, name: str = "fold") -> DataFrame:
+    """Add the fold of each row, 0..folds-1: rows of a class in hash order take turns, so that folds keep the class shares.
+
+    The order is a hash of the whole row; the class and a slice of the hash bound each window, and turns go on from slice to slice.
+    """
+    hashed = df.withColumn("_h", F.xxhash64(*[c for c in df.columns if c != "features"], *([F.md5(vector_to_array("features").cast("string"))] if "features" in df.columns else []), F.lit(seed)))
+    sliced = materialize(hashed.withColumn("_s", F.pmod(F.col("_h"), F.lit(64))))
+    sizes = sliced.groupBy(label, "_s").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select(label, "_s", (F.sum("n").over(W.partitionBy(label).orderBy("_s")) - F.col("n")).alias("_before"))
+    within = F.row_number().over(W.partitionBy(label, "_s").orderBy("_h")) - 1
+    return sliced.withColumn("_k", within).join(F.broadcast(before), [label, "_s"]).withColumn(name, F.pmod(F.col("_before") + F.col("_k"), F.lit(folds)).cast("int")).select(*df.columns, name)
+
+
 def random_search(estimator, grid: dict[str, list], evaluator: Evaluator, train: DataFrame, search: Search):
-    """Best model of the drawn settings by cross-validation, and its mean score."""
-    maps = []
-    for draw in random_draws(grid, search.n_iter):
-        maps.append({estimator.getParam(k): v for k, v in search.limit(draw).items()})
+    """Best model of the drawn settings by cross-validation over stratified folds, and its mean score."""
+    maps = [{estimator.getParam(k): v for k, v in draw.items()} for draw in random_draws(search.grid(grid), search.n_iter)]
     validator = CrossValidator(
-        estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, numFolds=search.folds, seed=SEED, parallelism=search.parallelism
+        estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, numFolds=search.folds, foldCol="fold", seed=SEED, parallelism=search.parallelism
     )
-    fitted = validator.fit(train)
+    fitted = validator.fit(materialize(stratified_folds(train, "label", search.folds)))
     scores = fitted.avgMetrics
     return fitted.bestModel, float(max(scores) if evaluator.isLargerBetter() else min(scores))
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from storelens.operators import neighbours
 from storelens.plans import customers, dims, etl, evaluate, explore, fact, features, forecast, prep, reports, scoring, training
-from storelens.session import shared_dir
+from storelens.session import scratch_path
 from storelens.shared_warehouse import warehouse_for
 from storelens.sources import raw as raw_source
 from storelens.sources import warehouse as wh
@@ -22,7 +22,6 @@ from storelens.sources.warehouse import Warehouse
 # The test tables cover other years and a thousand times larger prices than the real dump.
 SPEND_LIMIT = 2_000_000
 AS_OF = "2001-08-02"
-CALENDAR = ("1995-01-01", "2001-12-31")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,24 +48,24 @@ def _raw(build: Callable[[SparkSession, RawTables], DataFrame]) -> Query:
 
 
 def _stored(build: Callable[[Warehouse], DataFrame]) -> Query:
-    return lambda spark, directory: portable(build(warehouse_for(spark, directory, *CALENDAR)))
+    return lambda spark, directory: portable(build(warehouse_for(spark, directory)))
 
 
 def _fresh_path(spark: SparkSession, kind: str) -> str:
-    return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    return scratch_path(spark, kind)
 
 
 def _run_etl(spark: SparkSession, raw: RawTables) -> DataFrame:
-    return fact.project_fact(etl.run_etl(spark, raw, _fresh_path(spark, "etl"), *CALENDAR).fact_orders)
+    return fact.project_fact(etl.run_etl(spark, raw, _fresh_path(spark, "etl")).fact_orders)
 
 
 def _scan_csv(spark: SparkSession, raw: RawTables) -> DataFrame:
     path = _fresh_path(spark, "csv")
     items = raw.order_items.withColumn("shipping_limit_date", F.lit(None).cast("string"))
-    wh.write_csv(items.select("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"), path)
+    wh.write_csv(items.select("price", "seller_id", "order_item_id", "shipping_limit_date", "freight_value", "order_id", "product_id"), path)  # columns are found by name
     scanned = raw_source.scan_csv(spark, path, "order_items")
     ids = {c: F.col(c).cast("bigint") for c in ("order_id", "product_id", "seller_id")}
-    return scanned.withColumns(ids).drop("_order", "shipping_limit_date")
+    return scanned.withColumns(ids).drop("_order", "_corrupt", "shipping_limit_date")
 
 
 def _joined(raw: RawTables) -> DataFrame:
@@ -88,7 +87,7 @@ def _scan_table(w: Warehouse) -> DataFrame:
 
 
 def _etl_audit(spark: SparkSession, directory: str) -> DataFrame:
-    return portable(etl.etl_audit(bind_test_tables(spark, directory), warehouse_for(spark, directory, *CALENDAR)))
+    return portable(etl.etl_audit(bind_test_tables(spark, directory), warehouse_for(spark, directory)))
 
 
 def _records(w: Warehouse) -> DataFrame:
@@ -134,7 +133,7 @@ def _etl_queries() -> dict[str, Query]:
             lambda spark, raw: dims.translate_categories(raw.products, raw.category_translation).select("product_id", "category")
         ),
         "dim_products": _raw(lambda spark, raw: fact.product_dim(raw)),
-        "dim_date": lambda spark, directory: portable(dims.dim_date(spark, *CALENDAR)),
+        "dim_date": _raw(lambda spark, raw: dims.dim_date(dims.calendar_range(raw.orders))),
         "payments_per_order": _raw(lambda spark, raw: fact.payments_per_order(raw.order_payments)),
         "reviews_best_per_order": _raw(lambda spark, raw: fact.best_review_per_order(raw.order_reviews)),
         "fact_join": _item_stage(lambda df: df, joined_columns),

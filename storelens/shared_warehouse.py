@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import SparkSession
 
 from storelens.plans.etl import run_etl
-from storelens.session import shared_dir
+from storelens.session import files_fingerprint, remove, scratch_path
 from storelens.sources.binding import bind_test_tables
 from storelens.sources.warehouse import Warehouse, open_warehouse
 
-_built: dict[tuple[str, str], str] = {}
+_built: dict[tuple[str, str], tuple[str, str]] = {}
 
 
-def warehouse_for(spark: SparkSession, directory: str, start: str, end: str) -> Warehouse:
-    """Run the ETL on first use in an application, then read its tables back."""
-    app = spark.sparkContext.applicationId
-    key = (app, directory)
-    if key not in _built:
-        folder = hashlib.md5(directory.encode()).hexdigest()[:12]
-        path = f"{shared_dir(spark)}/warehouse-{app}-{folder}"
+def warehouse_for(spark: SparkSession, directory: str, start: str | None = None, end: str | None = None) -> Warehouse:
+    """Run the ETL on first use in an application and whenever files of the folder have changed, then read its tables back."""
+    key = (spark.sparkContext.applicationId, directory)
+    files = files_fingerprint(spark, directory)
+    known, path = _built.get(key, ("", ""))
+    if known != files:
+        if path:
+            remove(spark, path)
+        path = scratch_path(spark, "warehouse")
         run_etl(spark, bind_test_tables(spark, directory), path, start, end)
-        _built[key] = path
-    return open_warehouse(spark, _built[key])
+        _built[key] = (files, path)
+    return open_warehouse(spark, path)

@@ -48,18 +48,34 @@ class RawTables:
         return [(f.name, getattr(self, f.name)) for f in fields(self)]
 
 
+#: Column with the whole line where it does not fit the schema (a field too many or too few, a number that is none); else null.
+CORRUPT = "_corrupt"
+
+
+def _schema_by_header(spark: SparkSession, path: str, name: str) -> str:
+    """The declared types in the order of the file's header. Columns that are not declared are read as text and left out later."""
+    declared = dict(c.split(" ", 1) for c in RAW_SCHEMAS[name].split(", "))
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    missing = [c for c in declared if c not in header]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)} of {name}")
+    return ", ".join(f"`{c}` {declared.get(c, 'string')}" for c in header)
+
+
 def scan_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Scan one raw CSV with its declared schema.
+    """Scan one raw CSV, its columns found by name; every file of a folder has to have the same header.
 
     The read order (file, block, row) is kept as a struct so that 'first row of a key'
     means the first one in the file. Quoted fields may hold line breaks in reviews only,
-    so the other files stay splittable.
+    so the other files stay splittable. Lines that do not fit keep what could be read; see CORRUPT.
     """
-    reader = spark.read.schema(RAW_SCHEMAS[name]).option("header", True).option("escape", '"')
+    schema = f"{_schema_by_header(spark, path, name)}, {CORRUPT} string"
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"').option("columnNameOfCorruptRecord", CORRUPT)
     if name == "order_reviews":
         reader = reader.option("multiLine", True)
     read_order = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
-    return reader.csv(path).withColumn(READ_ORDER, read_order)
+    known = [c.split(" ")[0] for c in RAW_SCHEMAS[name].split(", ")]
+    return reader.csv(path).select(*known, CORRUPT, read_order.alias(READ_ORDER))
 
 
 def extract(spark: SparkSession, directory: str, files: dict[str, str] | None = None) -> RawTables:
@@ -75,3 +91,18 @@ def row_counts(tables: list[tuple[str, DataFrame]]) -> DataFrame:
     for c in counts[1:]:
         out = out.unionByName(c)
     return out
+
+
+def corrupt_counts(tables: list[tuple[str, DataFrame]]) -> DataFrame | None:
+    """(table_name, row_count) of lines that did not fit their schema, for scanned tables; None if no table was scanned."""
+
+    def broken(df: DataFrame) -> DataFrame:
+        # a field is checked only if it is read, so the count has to depend on all of them
+        read = F.xxhash64(*[c for c in df.columns if c not in (CORRUPT, READ_ORDER)]) >= F.lit(-(1 << 63))
+        return df.agg(F.count_if(F.col(CORRUPT).isNotNull() & read).alias("row_count"))
+
+    counts = [broken(df).select(F.lit(n).alias("table_name"), "row_count") for n, df in tables if CORRUPT in df.columns]
+    out = counts[0] if counts else None
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out

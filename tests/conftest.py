@@ -34,7 +34,6 @@ def sf():
 
 @pytest.fixture(scope="session")
 def stored(spark, sf):
-    from storelens.registry import CALENDAR
     from storelens.shared_warehouse import warehouse_for
 
-    return warehouse_for(spark, sf, *CALENDAR)
+    return warehouse_for(spark, sf)

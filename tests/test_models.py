@@ -57,6 +57,32 @@ def test_smote_balances_and_interpolates(spark):
         assert on_a_line
 
 
+def test_smote_balances_every_class(spark):
+    rng = np.random.default_rng(3)
+    rows = [(c, [float(x) for x in rng.normal(loc=10 * c, size=2)]) for c, n in ((0, 6), (1, 9), (2, 48)) for _ in range(n)]
+    frame = spark.createDataFrame(rows, "label int, vec array<double>")
+    made = neighbours.smote(frame, "label", "vec")
+    assert {r["label"]: r["count"] for r in made.groupBy("label").count().collect()} == {0: 48, 1: 48, 2: 48}
+    assert all(abs(r.vec[0] - 10 * r.label) < 6 for r in made.filter("synthetic = 1").collect())
+    with pytest.raises(ValueError):
+        neighbours.smote(spark.createDataFrame([(None, [1.0]), (1, [1.0])], "label int, vec array<double>"), "label", "vec")
+
+
+def test_draws_are_distinct_under_a_cap():
+    search = training.Search(n_iter=10, cap={"numTrees": 20, "maxDepth": 5})
+    for grid in (training.DELIVERY_FOREST_GRID, training.SENTIMENT_FOREST_GRID):
+        draws = training.random_draws(search.grid(grid), search.n_iter)
+        assert len({tuple(sorted(d.items())) for d in draws}) == len(draws) and all(d["numTrees"] == 20 for d in draws)
+
+
+def test_folds_keep_the_class_shares(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    df = spark.range(503).select((F.col("id") % 10 == 0).cast("double").alias("label"), array_to_vector(F.array(F.col("id").cast("double"))).alias("features"))
+    counts = {(r["label"], r["fold"]): r["count"] for r in training.stratified_folds(df, "label", 5).groupBy("label", "fold").count().collect()}
+    assert all(counts[0.0, k] in (90, 91) and counts[1.0, k] in (10, 11) for k in range(5))
+
+
 def test_split_is_exact_and_stable(spark):
     df = spark.range(1003).withColumn("y", (F.col("id") % 10 == 0).cast("int"))
     split = prep.stratified_split(df, "y", ["id"])

@@ -1,13 +1,14 @@
 """ETL traps on hand-made raw tables, and invariants of the stored schema."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from storelens.plans import customers, dims, etl, fact, features, reports
 from storelens.sources import warehouse as wh
-from storelens.sources.raw import RAW_SCHEMAS, RawTables, extract, scan_csv
+from storelens.sources.raw import RAW_SCHEMAS, RawTables, corrupt_counts, extract, scan_csv
 
 ORDERS = [
     # order, customer, status, purchased, delivered, promised
@@ -55,7 +56,7 @@ def raw(spark):
 
 @pytest.fixture(scope="module")
 def tables(spark, raw):
-    return etl.transform(spark, raw)
+    return etl.transform(spark, raw, "2016-01-01", "2018-12-31")
 
 
 def test_geolocation_keeps_smallest_state(tables):
@@ -176,7 +177,7 @@ def test_csv_files_to_stored_tables(spark, raw, tables, tmp_path):
         columns = [c.split()[0] for c in RAW_SCHEMAS[name].split(", ")]
         ordered = df.orderBy("_order") if "_order" in df.columns else df
         ordered.toPandas().convert_dtypes().reindex(columns=columns).to_csv(tmp_path / f"{name}.csv", index=False)
-    loaded = etl.run_etl(spark, extract(spark, str(tmp_path)), str(tmp_path / "out"))
+    loaded = etl.run_etl(spark, extract(spark, str(tmp_path)), str(tmp_path / "out"), "2016-01-01", "2018-12-31")
     names = [c for c in tables.fact_orders.columns if c not in ("total_payment", "payment_installments")]
     want = sorted(map(str, tables.fact_orders.select(names).collect()))
     assert sorted(map(str, loaded.fact_orders.select(names).collect())) == want
@@ -185,6 +186,49 @@ def test_csv_files_to_stored_tables(spark, raw, tables, tmp_path):
     }
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "sellers.csv"
+    path.write_text("seller_state,note,seller_id,seller_city,seller_zip_code_prefix\nSP,x,s1,a city,01234\nRJ,y,s2,b,20000\n")
+    rows = scan_csv(spark, str(path), "sellers").orderBy("seller_id").collect()
+    assert [(r.seller_id, r.seller_zip_code_prefix, r.seller_city, r.seller_state) for r in rows] == [("s1", "01234", "a city", "SP"), ("s2", "20000", "b", "RJ")]
+    path.write_text("seller_state,seller_city,seller_zip_code_prefix\nSP,a,1\n")
+    with pytest.raises(ValueError, match="seller_id"):
+        scan_csv(spark, str(path), "sellers")
+
+
+def test_broken_csv_lines_are_kept_and_counted(spark, tmp_path):
+    path = tmp_path / "order_payments.csv"
+    header = "order_id,payment_sequential,payment_type,payment_installments,payment_value"
+    path.write_text(f"{header}\no1,1,boleto,1,10.50\no2,1,boleto,1,1.2.3\no3,1,boleto,1,5.00,extra\no4,1\n")
+    scanned = scan_csv(spark, str(path), "order_payments")
+    assert {r.order_id: (r.payment_value, r._corrupt is not None) for r in scanned.collect()} == {
+        "o1": (Decimal("10.50"), False), "o2": (None, True), "o3": (Decimal("5.00"), True), "o4": (None, True),
+    }
+    assert {r.table_name: r.row_count for r in corrupt_counts([("order_payments", scanned), ("other", spark.range(3))]).collect()} == {"order_payments": 3}
+
+
+def test_changed_files_are_loaded_again(spark, sf, tmp_path):
+    import shutil
+
+    from storelens.shared_warehouse import warehouse_for
+
+    folder = tmp_path / "tables"
+    shutil.copytree(sf, folder)
+    before = warehouse_for(spark, str(folder)).dim_customers.count()
+    assert warehouse_for(spark, str(folder)).dim_customers.count() == before
+    customers = spark.read.parquet(f"{folder}/customer.parquet").filter("c_custkey % 2 = 0").toPandas()
+    (folder / "customer.parquet").chmod(0o644)
+    customers.to_parquet(folder / "customer.parquet")
+    assert warehouse_for(spark, str(folder)).dim_customers.count() == len(customers)
+
+
+def test_calendar_covers_the_years_of_the_orders(spark):
+    orders = spark.createDataFrame([("2017-03-04 10:00:00",), ("nonsense",), ("2019-01-01 00:00:00",), (None,)], "order_purchase_timestamp string")
+    days = dims.dim_date(dims.calendar_range(orders))
+    assert (days.count(), days.agg({"date_id": "min"}).first()[0], days.agg({"date_id": "max"}).first()[0]) == (1095, 20170101, 20191231)
+    assert dims.dim_date(dims.calendar_range(orders.limit(0))).count() == 0
+
+
 def test_records_and_bounds(spark):
     df = spark.createDataFrame([("a", float("nan"), 1.5)], "k string, x double, y double")
     assert wh.to_records(df).first()["record"] == '{"k":"a","x":null,"y":1.5}'
