@@ -2,44 +2,25 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from storelens.session import shared_dir
+from storelens.session import stored
+
+__all__ = ["each_slice", "packed", "slices", "stored", "task_keys", "unpacked"]
 
 #: Bytes of text that a Python task works on at a time; one longer text is a slice of its own.
 SLICE_BYTES = 1 << 21
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session is already gone; the folder is left to the cluster's clean-up
-        return
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: later stages, and retries after
-    a lost executor, see the same rows. The folder goes when the driver ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def packed(docs: DataFrame, text: str = "text") -> DataFrame:
     """``_text`` (null stays null) and ``_row`` with all other columns, so that no name can clash."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
