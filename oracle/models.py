@@ -173,7 +173,43 @@ _REPORT = """
   UNION ALL SELECT 'weighted avg', (precision_0 * n0 + precision_1 * n1) / n, (recall_0 * n0 + recall_1 * n1) / n,
     (f0 * n0 + f1 * n1) / n, cast(n AS bigint) FROM measured"""
 
+# Scores by formula: z is a weighted sum, the probability z / (1 + |z|) moved to 0..1.
+_P = "cast(0.5 AS double) + z / (1 + abs(z)) * 0.5"
+_BAND = "if(p >= 0.7, 'High', if(p >= 0.4, 'Medium', 'Low'))"
+_PAID_RATIO = """if(cast(price AS double) + cast(freight_value AS double) > 0,
+    cast(freight_value AS double) / (cast(price AS double) + cast(freight_value AS double)), 0)"""
+_DELIVERY_REQUESTS = f"""WITH asked AS (
+  SELECT order_id, order_item_id, coalesce(f.state, 'SP') AS buyer, coalesce(s.seller_state, 'SP') AS sender, {_PAID_RATIO} AS freight_ratio,
+    coalesce(f.payment_installments, 1) AS parts, cast(f.order_month >= 11 AS integer) AS peak_season, coalesce(p.weight_g, 500) AS weight,
+    coalesce(p.length_cm, 20) * coalesce(p.height_cm, 10) * coalesce(p.width_cm, 15) AS volume_cm3
+  FROM fact_orders f LEFT JOIN dim_products p USING (product_id) LEFT JOIN dim_sellers s USING (seller_id)
+)"""
+_SENTIMENT_REQUESTS = f"""WITH given AS (
+  SELECT *, coalesce(delivery_delay_days, 0) AS days, cast(price AS double) AS pays, coalesce(payment_installments, 1) AS parts FROM fact_orders
+), asked AS (
+  SELECT order_id, order_item_id, cast(days > 0 AS integer) AS is_late, {_PAID_RATIO} AS freight_ratio, if(parts > 0, pays / parts, pays) AS price_per_installment,
+    cast(days > 7 AS integer) AS very_late, cast(days <= 0 AS integer) AS early_delivery, cast(abs(days) AS double) AS abs_delay_days,
+    cast(days > 0 AND pays > 200 AS integer) AS late_and_expensive, cast(days > 14 AS integer) AS very_very_late
+  FROM given
+)"""
+
 SQL = {
+    "score_churn_formula": f"""{_CHURN}, z AS (SELECT customer_id, cast(3 AS double) - 0.125 * cast(frequency AS double) + 0.25 * cast(late_deliveries AS double)
+        - 0.5 * cast(coalesce(avg_review_score, 4) AS double) - 0.25 * cast(active_years AS double) + 0.125 * cast(coalesce(revenue_trend, 0) AS double) AS z FROM churn),
+      p AS (SELECT customer_id, {_P} AS p FROM z)
+      SELECT customer_id, cast(p >= 0.5 AS integer) AS churned, {rounded('p', 4)} AS churn_probability, {_BAND} AS risk_level FROM p""",
+    "score_delivery_formula": f"""{_DELIVERY_REQUESTS}, z AS (SELECT order_id, order_item_id, cast(-1 AS double) + 8 * freight_ratio
+        + 0.5 * cast(buyer != sender AS integer) - 0.125 * cast(parts AS double) + 0.75 * peak_season + 0.0001220703125 * cast(weight AS double) AS z FROM asked),
+      p AS (SELECT order_id, order_item_id, {_P} AS p FROM z)
+      SELECT order_id, order_item_id, p >= 0.5 AS will_be_late, {rounded('p', 4)} AS late_probability, {_BAND} AS risk_level FROM p""",
+    "score_sentiment_formula": f"""{_SENTIMENT_REQUESTS}, z AS (SELECT order_id, order_item_id, cast(0.75 AS double) - 1.5 * is_late - 4 * freight_ratio
+        - 0.5 * very_late + 0.5 * early_delivery + 0.0000152587890625 * price_per_installment AS z FROM asked),
+      p AS (SELECT order_id, order_item_id, {_P} AS p FROM z)
+      SELECT order_id, order_item_id, if(p > 1 - p, 'Positive', 'Not Positive') AS sentiment, {rounded('greatest(p, 1 - p)', 4)} AS confidence,
+        {rounded('p', 4)} AS positive_probability FROM p""",
+    "delivery_request_features": f"""{_DELIVERY_REQUESTS} SELECT order_id, order_item_id, cast(buyer != sender AS integer) AS cross_state, freight_ratio,
+        cast(volume_cm3 AS double) AS volume_cm3, peak_season, 0 AS weekend_order FROM asked""",
+    "sentiment_request_features": f"{_SENTIMENT_REQUESTS} SELECT * FROM asked",
     "churn_recent_orders": f"""{_CHURN} SELECT customer_id, i."order" AS order_id, i.item AS order_item_id, cast(i.day AS varchar) AS order_date,
         cast(i.paid AS double) AS revenue, order_rank, total_orders
         FROM (SELECT customer_id, unnest(items) AS i, generate_subscripts(items, 1) AS order_rank, len(items) AS total_orders FROM mine)""",

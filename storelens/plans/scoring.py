@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +33,20 @@ SENTIMENT_DEFAULTS = {
 DECISION = 0.5
 
 
+class FormulaModel:
+    """A model written down as weights: probability 1/2 + z / (2 (1 + |z|)) with z the weighted sum of features and a bias."""
+
+    def __init__(self, weights: dict[str, float], bias: float):
+        self.weights, self.bias = weights, bias
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        z = F.lit(self.bias)
+        for name, weight in self.weights.items():
+            z = z + F.lit(weight) * F.col(name)
+        p = F.lit(0.5) + z / (F.lit(1.0) + F.abs(z)) * F.lit(0.5)
+        return df.withColumn("probability", array_to_vector(F.array(F.lit(1.0) - p, p)))
+
+
 def scoring_inputs(requests: DataFrame, defaults: dict) -> DataFrame:
     """Fill missing request fields, whether null or absent."""
     absent = {c: F.lit(v) for c, v in defaults.items() if c not in requests.columns}
@@ -52,12 +66,12 @@ def _number(name: str) -> Column:
     return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
 
 
-def _apply(model: PipelineModel, df: DataFrame, features: list[str]) -> DataFrame:
+def _apply(model: PipelineModel | FormulaModel, df: DataFrame, features: list[str]) -> DataFrame:
     ready = fill_zero(_with_columns(df, features), features)
     return model.transform(ready).withColumn("_p", vector_to_array("probability"))
 
 
-def score_churn(model: PipelineModel, requests: DataFrame, keys: list[str]) -> DataFrame:
+def score_churn(model: PipelineModel | FormulaModel, requests: DataFrame, keys: list[str]) -> DataFrame:
     p = F.col("_p")[1]
     out = _apply(model, scoring_inputs(requests, CHURN_DEFAULTS), CHURN_FEATURES)
     return out.select(*keys, (p >= DECISION).cast("int").alias("churned"), round_to(p, 4).alias("churn_probability"), risk_band(p).alias("risk_level"))
@@ -76,9 +90,11 @@ def derive_delivery(requests: DataFrame) -> DataFrame:
     })
 
 
-def score_delivery(model: PipelineModel, indexer: StringIndexerModel, requests: DataFrame, keys: list[str]) -> DataFrame:
+def score_delivery(model: PipelineModel | FormulaModel, indexer: StringIndexerModel | None, requests: DataFrame, keys: list[str]) -> DataFrame:
+    """Without an indexer the state codes count as zero."""
     p = F.col("_p")[1]
-    out = _apply(model, encode_states(indexer, derive_delivery(requests)), DELIVERY_FEATURES)
+    derived = derive_delivery(requests)
+    out = _apply(model, encode_states(indexer, derived) if indexer else derived, DELIVERY_FEATURES)
     return out.select(*keys, (p >= DECISION).alias("will_be_late"), round_to(p, 4).alias("late_probability"), risk_band(p).alias("risk_level"))
 
 
@@ -97,7 +113,7 @@ def derive_sentiment(requests: DataFrame) -> DataFrame:
     })
 
 
-def score_sentiment(model: PipelineModel, requests: DataFrame, keys: list[str]) -> DataFrame:
+def score_sentiment(model: PipelineModel | FormulaModel, requests: DataFrame, keys: list[str]) -> DataFrame:
     p = F.col("_p")
     out = _apply(model, derive_sentiment(requests), SENTIMENT_FEATURES)
     return out.select(

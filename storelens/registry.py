@@ -413,10 +413,20 @@ def _score_delivery(w: Warehouse) -> DataFrame:
     return scoring.score_delivery(_reloaded(w, trained), indexer, _requests(w), ITEM)
 
 
-def _score_sentiment(w: Warehouse) -> DataFrame:
-    requests = w.fact_orders.select(*ITEM, "price", "freight_value", "delivery_delay_days", "payment_installments", "is_delivered",
-                                    "order_month", "order_quarter", "order_year")
-    scored = scoring.score_sentiment(_sentiment_model(w).model, requests, ITEM)
+# Models as formulas, so that scoring itself (defaults, derived fields, bands, labels) can be checked in SQL.
+CHURN_FORMULA = scoring.FormulaModel({"frequency": -0.125, "late_deliveries": 0.25, "avg_review_score": -0.5, "active_years": -0.25, "revenue_trend": 0.125}, 3.0)
+DELIVERY_FORMULA = scoring.FormulaModel({"freight_ratio": 8.0, "cross_state": 0.5, "payment_installments": -0.125, "peak_season": 0.75, "weight_g": 0.0001220703125}, -1.0)
+SENTIMENT_FORMULA = scoring.FormulaModel({"is_late": -1.5, "freight_ratio": -4.0, "very_late": -0.5, "early_delivery": 0.5, "price_per_installment": 0.0000152587890625}, 0.75)
+DELIVERY_DERIVED = ["cross_state", "freight_ratio", "volume_cm3", "peak_season", "weekend_order"]
+SENTIMENT_DERIVED = ["is_late", "freight_ratio", "price_per_installment", "very_late", "early_delivery", "abs_delay_days", "late_and_expensive", "very_very_late"]
+
+
+def _sentiment_requests(w: Warehouse) -> DataFrame:
+    return w.fact_orders.select(*ITEM, "price", "freight_value", "delivery_delay_days", "payment_installments", "is_delivered", "order_month", "order_quarter", "order_year")
+
+
+def _score_sentiment(w: Warehouse, model=None) -> DataFrame:
+    scored = scoring.score_sentiment(model or _sentiment_model(w).model, _sentiment_requests(w), ITEM)
     positive = F.element_at("probabilities", F.lit("Positive"))
     return scored.withColumn("positive_probability", positive).drop("probabilities")
 
@@ -451,6 +461,11 @@ def _model_queries() -> dict[str, Query]:
         "scoring_inputs": _stored(_scoring_inputs),
         "score_churn": _stored(lambda w: scoring.score_churn(_reloaded(w, _churn_model(w)), _churn(w), ["customer_id"])),
         "score_delivery": _stored(_score_delivery),
+        "score_churn_formula": _stored(lambda w: scoring.score_churn(CHURN_FORMULA, _churn(w), ["customer_id"])),
+        "score_delivery_formula": _stored(lambda w: scoring.score_delivery(DELIVERY_FORMULA, None, _requests(w), ITEM)),
+        "score_sentiment_formula": _stored(lambda w: _score_sentiment(w, SENTIMENT_FORMULA)),
+        "delivery_request_features": _stored(lambda w: scoring.derive_delivery(_requests(w)).select(*ITEM, *DELIVERY_DERIVED)),
+        "sentiment_request_features": _stored(lambda w: scoring.derive_sentiment(_sentiment_requests(w)).select(*ITEM, *SENTIMENT_DERIVED)),
         "score_sentiment": _stored(_score_sentiment),
         "train_forecast": _stored(_forecast_rows),
         "forecast_cv": _stored(lambda w: forecast.forecast_cv(_monthly(w))),
