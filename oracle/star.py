@@ -8,12 +8,13 @@ raw_orders AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id,
     CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' ELSE 'processing' END AS order_status,
     o_orderdate AS order_purchase_timestamp,
-    CASE WHEN o_orderstatus = 'F' THEN delivered END AS order_delivered_customer_date,
+    CASE WHEN o_orderstatus = 'F' AND o_orderkey % 89 <> 0 THEN delivered END AS order_delivered_customer_date,
     o_orderdate + to_days(1900) + to_hours(12) AS order_estimated_delivery_date
   FROM orders LEFT JOIN shipped ON o_orderkey = l_orderkey
 ),
 raw_items AS (
-  SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id, l_suppkey AS seller_id,
+  SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
+    CASE WHEN (l_orderkey + l_linenumber) % 101 <> 0 THEN l_suppkey END AS seller_id,
     cast(l_extendedprice AS decimal(12,2)) AS price,
     cast(cast(l_extendedprice AS decimal(12,2)) * cast(l_tax AS decimal(4,2)) AS decimal(12,2)) AS freight_value
   FROM lineitem

@@ -26,16 +26,17 @@ def bind_test_tables(spark: SparkSession, directory: str) -> RawTables:
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.when(status == "F", "delivered").when(status == "O", "shipped").otherwise("processing").alias("order_status"),
-        F.col("o_orderdate").alias("order_purchase_timestamp"),
-        F.when(status == "F", F.col("delivered")).alias("order_delivered_customer_date"),
-        F.expr("o_orderdate + make_dt_interval(1900, 12)").alias("order_estimated_delivery_date"),
+        # dates are text, as in the files; some delivery dates are none
+        F.col("o_orderdate").cast("string").alias("order_purchase_timestamp"),
+        F.when(F.col("o_orderkey") % 89 == 0, "2018-13-40 unknown").when(status == "F", F.col("delivered").cast("string")).alias("order_delivered_customer_date"),
+        F.expr("o_orderdate + make_dt_interval(1900, 12)").cast("string").alias("order_estimated_delivery_date"),
     )
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     raw_items = lines.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
+        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 101 != 0, F.col("l_suppkey")).alias("seller_id"),  # some items have no seller
         price.alias("price"),
         (price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(12,2)").alias("freight_value"),
     )
