@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from storelens.functions.numeric import round_to
 from storelens.plans.evaluate import forecast_metrics
 from storelens.plans.features import future_frame
+from storelens.plans.training import log_metrics
 from storelens.session import materialize
-from storelens.sources.warehouse import bounded_n
+from storelens.sources.warehouse import bounded_n, write_csv
 
 # Season length and order, trend flexibility, interval width, CV windows in days.
 PERIOD, ORDER = 30.5, 3
@@ -159,3 +160,18 @@ def fit_error(predicted: DataFrame, actual: DataFrame) -> DataFrame:
     """Absolute percent error of each month that has both values."""
     both = actual.select("series_key", "ds", "y").join(predicted.select("series_key", "ds", "yhat"), ["series_key", "ds"])
     return both.withColumn("error_pct", F.abs(F.col("yhat") - F.col("y")) / F.nullif(F.col("y"), F.lit(0.0)) * 100)
+
+
+def record_forecast(monthly: DataFrame, metrics_path: str, csv_path: str, run_id: str, periods: int = 6) -> DataFrame:
+    """Fit, validate and predict; append parameters and errors of the run to the metrics table, write the predicted rows as CSV.
+
+    Errors are the means over the series. Returns the predicted rows.
+    """
+    spark = monthly.sparkSession
+    monthly = materialize(monthly)
+    predicted = materialize(forecast(monthly, periods))
+    errors = forecast_cv(monthly).agg(F.count(F.lit(1)).alias("series"), *[F.avg(m).alias(m) for m in ("mae", "rmse", "mape")]).first()
+    params = {"initial_days": INITIAL, "step_days": STEP, "horizon_days": HORIZON, "periods": periods, "series": errors["series"]}
+    log_metrics(spark, metrics_path, run_id, "forecast", params, {m: errors[m] or 0.0 for m in ("mae", "rmse", "mape")})
+    write_csv(predicted.select("series_key", "ds", "yhat", "yhat_lower", "yhat_upper"), csv_path)
+    return predicted

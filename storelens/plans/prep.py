@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from storelens.operators.ranking import distributed_rank
 
-# Hex digits of the hash that are counted before the cut is located: 65,536 cells per class.
-_PREFIX = 4
+# Hex digits of the hash that are counted at a time, and how often: 65,536 cells per class, then as many inside the cell
+# with the cut. The rows left to sort are one in four thousand million.
+_DIGITS = 4
+_LEVELS = 2
 
 
 def row_hash(keys: list[str], seed: int) -> Column:
@@ -24,26 +26,32 @@ def _class_map(df: DataFrame, label: str, value: str) -> Column:
     return df.agg(F.map_from_entries(F.collect_list(F.struct(label, value)))).scalar()
 
 
+def _cut_cell(cells: DataFrame, label: str, wanted: Column) -> DataFrame:
+    """(label, cut): per class the cell of (label, _cell, n) in which the row number ``wanted`` lies, and its number inside that cell."""
+    whole = W.partitionBy(label)
+    summed = cells.withColumns({"cum": F.sum("n").over(whole.orderBy("_cell")), "wanted": wanted})
+    found = summed.filter((F.col("cum") >= F.col("wanted")) & (F.col("cum") - F.col("n") < F.col("wanted")))
+    return found.select(label, F.struct("_cell", (F.col("wanted") - F.col("cum") + F.col("n")).alias("left")).alias("cut"))
+
+
 def stratified_split(df: DataFrame, label: str, keys: list[str], train_share: str = "0.8", seed: int = 42) -> DataFrame:
     """Add ``is_train``: exactly ceil(share * n) rows of each class, chosen by hash order.
 
-    The position of the cut is found by counting hash prefixes, so no row is shuffled or
-    sorted except the handful that share the prefix at the cut.
+    The position of the cut is found by counting hash prefixes, then longer ones inside the cell of the cut,
+    so no row is shuffled or sorted except the handful that share the long prefix at the cut.
     """
     hashed = df.withColumn("_hash", row_hash(keys, seed))
-    slim = hashed.select(label, "_hash").withColumn("_prefix", F.substring("_hash", 1, _PREFIX))
-    per_prefix = slim.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("n"))
-    whole = W.partitionBy(label)
-    cells = per_prefix.withColumn("cum", F.sum("n").over(whole.orderBy("_prefix"))).withColumn(
-        "wanted", F.ceil(F.sum("n").over(whole) * F.lit(Decimal(train_share)))
-    )
-    cut_cell = cells.filter((F.col("cum") >= F.col("wanted")) & (F.col("cum") - F.col("n") < F.col("wanted")))
-    spec = cut_cell.select(label, F.struct("_prefix", (F.col("wanted") - F.col("cum") + F.col("n")).alias("left")).alias("cut"))
-    at_cut = slim.withColumn("_cut", F.element_at(_class_map(spec, label, "cut"), F.col(label))).filter(
-        F.col("_prefix") == F.col("_cut._prefix")
-    )
+    rows = hashed.select(label, "_hash")
+    wanted = F.ceil(F.sum("n").over(W.partitionBy(label)) * F.lit(Decimal(train_share)))
+    for level in range(_LEVELS):
+        rows = rows.withColumn("_cell", F.substring("_hash", 1 + level * _DIGITS, _DIGITS))
+        grouped = rows.groupBy(label, "_cell")
+        cells = grouped.agg(F.count(F.lit(1)).alias("n")) if level == 0 else grouped.agg(F.count(F.lit(1)).alias("n"), F.max("_left").alias("_left"))
+        cut = F.element_at(_class_map(_cut_cell(cells, label, wanted), label, "cut"), F.col(label))
+        rows = rows.withColumn("_cut", cut).filter(F.col("_cell") == F.col("_cut._cell")).select(label, "_hash", F.col("_cut.left").alias("_left"))
+        wanted = F.col("_left")
     position = F.row_number().over(W.partitionBy(label).orderBy("_hash"))
-    limits = at_cut.withColumn("_rn", position).filter(F.col("_rn") == F.col("_cut.left")).select(label, F.col("_hash").alias("limit"))
+    limits = rows.withColumn("_rn", position).filter(F.col("_rn") == F.col("_left")).select(label, F.col("_hash").alias("limit"))
     return hashed.withColumn("is_train", (F.col("_hash") <= F.element_at(_class_map(limits, label, "limit"), F.col(label))).cast("int")).drop("_hash")
 
 

@@ -265,3 +265,13 @@ def test_unseen_state_is_code_zero(spark):
     indexer = training._state_indexer(seen)
     got = training.encode_states(indexer, spark.createDataFrame([("SP", "XX"), ("ZZ", None)], "customer_state string, seller_state string"))
     assert [(r["customer_state_enc"], r["seller_state_enc"]) for r in got.collect()] == [(1.0, 0.0), (0.0, 1.0)]
+
+
+def test_forecast_run_is_recorded(spark, tmp_path):
+    months = pd.date_range("2019-01-01", periods=30, freq="MS")
+    rows = [("a", d.date(), 100.0 + 3 * i, i % 4 + 1, i % 5 + 1, i % 6 + 1, i + 1, (i % 4) / 3, (i % 5) / 4, (i % 6) / 5, i / 29) for i, d in enumerate(months)]
+    columns = "series_key string, ds date, y double, n_sellers bigint, n_products bigint, n_orders bigint, month_num bigint, n_sellers_norm double, n_products_norm double, n_orders_norm double, month_num_norm double"
+    predicted = forecast.record_forecast(spark.createDataFrame(rows, columns), str(tmp_path / "metrics"), str(tmp_path / "csv"), "run1")
+    logged = {(r.kind, r.key): r.value for r in training.read_metrics(spark, str(tmp_path / "metrics")).collect()}
+    assert {k for kind, k in logged if kind == "metric"} == {"mae", "rmse", "mape"} and logged["param", "periods"] == "6" and logged["param", "series"] == "1"
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == predicted.count() == 36

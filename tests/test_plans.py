@@ -56,3 +56,17 @@ def test_same_result_for_any_partitioning(spark, stored, sf, key):
 def test_no_plan_needs_a_global_window_over_rows(stored):
     text = plan(features.churn_features(stored.fact_orders, AS_OF))
     assert "Exchange SinglePartition" not in text
+
+
+def test_reports_repeat_no_fact_row_and_add_up_before_joins(spark, stored):
+    """No Expand over fact rows, and customers are joined to one row each, not to fact rows."""
+    from storelens.plans import reports
+
+    for build in (reports.kpi_summary, reports.eda_kpis, reports.monthly_revenue, reports.yoy_comparison, reports.category_performance):
+        assert "Expand" not in build(stored.fact_orders)._jdf.queryExecution().executedPlan().toString()
+    for build in (reports.state_performance, reports.top_states, reports.late_by_state):
+        plan = build(stored.fact_orders, stored.dim_customers)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan
+        joined = plan[plan.index("Join Inner") :]
+        assert joined.index("Aggregate [customer_id") < joined.index("Relation")
+
