@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 
 #: Pieces remembered by one Python worker; then it starts anew. Bounds memory, not results.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: A pre-token of the byte-level pattern never goes on over white space that follows a visible
 #: character, so a text may be cut in front of such a space without changing its ids.
 _CUT = re.compile(r"(?<=\S) ")
@@ -34,6 +35,10 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Each character of a byte-level token stands for one byte.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.remembered = remembered
         self._forget()
 
@@ -45,61 +50,83 @@ class PieceEncoder:
         self.count = np.zeros(1 << 14, np.int64)
         self.n, self.used = 0, 0
 
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row and the number of each, for pieces that begin with a space and end visibly: they are
+        encoded as one text, as no pre-token crosses from one to the next, and told apart by their bytes."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, np.uint32)
+        at = np.cumsum(self.bytes[ids])
+        ends = np.cumsum(np.fromiter((len(p.encode("utf-8", "surrogatepass")) for p in pieces), np.int64, len(pieces)))
+        last = np.searchsorted(at, ends)
+        if len(pieces) and not (at[last] == ends).all():
+            raise ValueError("this tokenizer does not keep to the bytes of a text")
+        return ids, np.diff(last, prepend=-1)
+
     def _learn(self, known: dict[str, int], keys: list[str], prefix: str) -> None:
-        for k in range(0, len(keys), 4096):
-            some = keys[k : k + 4096]
-            for key, made in zip(some, self.tokenizer.encode_batch_fast([prefix + p for p in some], add_special_tokens=False)):
-                ids = made.ids
-                if self.n == len(self.start):
-                    self.start, self.count = np.resize(self.start, 2 * self.n), np.resize(self.count, 2 * self.n)
-                while self.used + len(ids) > len(self.ids):
-                    self.ids = np.resize(self.ids, 2 * len(self.ids))
-                self.ids[self.used : self.used + len(ids)] = ids
-                self.start[self.n], self.count[self.n] = self.used, len(ids)
-                known[key] = self.n
-                self.n, self.used = self.n + 1, self.used + len(ids)
-
-    def _numbers(self, known: dict[str, int], pieces: list[str], prefix: str) -> list[int]:
-        found = list(map(known.get, pieces))
-        missing = list(dict.fromkeys(p for p, n in zip(pieces, found) if n is None))
-        if missing:
-            self._learn(known, missing, prefix)
-            found = list(map(known.__getitem__, pieces))
+        whole = [prefix + p for p in keys]
+        joined = [k for k, p in enumerate(whole) if p[:1] == " " and not p[-1:].isspace()]
+        alone = sorted(set(range(len(whole))).difference(joined))
+        order, ids, counts = joined + alone, [], []
+        for k in range(0, len(joined), 2048):
+            made, n = self._encoded([whole[i] for i in joined[k : k + 2048]])
+            ids.append(made)
+            counts.append(n)
+        made = [x.ids for x in self.tokenizer.encode_batch_fast([whole[i] for i in alone], add_special_tokens=False)]
+        ids.append(np.fromiter(chain.from_iterable(made), np.uint32))
+        counts.append(np.fromiter(map(len, made), np.int64, len(made)))
+        ids, counts = np.concatenate(ids), np.concatenate(counts)
+        while self.n + len(counts) > len(self.start):
+            self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.start[self.n : self.n + len(counts)] = self.used + np.cumsum(counts) - counts
+        self.count[self.n : self.n + len(counts)] = counts
+        known.update(zip((keys[i] for i in order), range(self.n, self.n + len(order))))
+        self.n, self.used = self.n + len(counts), self.used + len(ids)
+
+    def _numbers(self, known: dict[str, int], pieces: list[str], prefix: str) -> np.ndarray:
+        found = np.array(list(map(known.get, pieces, repeat(-1))), np.int64)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            missing = [pieces[i] for i in new.tolist()]
+            self._learn(known, list(dict.fromkeys(missing)), prefix)
+            found[new] = list(map(known.__getitem__, missing))
         return found
 
-    def numbers(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """For each text the numbers of its pieces and their characters. Valid until the next call."""
+    def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers and characters of the pieces of all texts in a row, and how many pieces each text has. Valid until the next call."""
         if self.n > self.remembered:
             self._forget()
-        plain = [not _UNSAFE.search(t) for t in texts]
-        split = [t.split(" ") if p else split_pieces(t) for t, p in zip(texts, plain)]
-        heads = [s[:1] if p else s for s, p in zip(split, plain)]
-        of_heads = iter(self._numbers(self.whole, [x for h in heads for x in h], ""))
-        of_tails = iter(self._numbers(self.after_space, [x for s, p in zip(split, plain) if p for x in s[1:]], " "))
-        numbers, sizes = [], []
-        for s, p in zip(split, plain):
-            if p:
-                row = np.fromiter((next(of_heads), *(next(of_tails) for _ in range(len(s) - 1))), np.int64, len(s))
-                size = np.fromiter(map(len, s), np.int64, len(s))
-                size[1:] += 1
+        whole, after, split, counts = [], [], [], []
+        for text in texts:
+            if _UNSAFE.search(text):
+                parts = split_pieces(text)
+                whole += parts
+                split.append(len(parts))
             else:
-                row = np.fromiter((next(of_heads) for _ in s), np.int64, len(s))
-                size = np.fromiter(map(len, s), np.int64, len(s))
-            numbers.append(row)
-            sizes.append(size)
-        return numbers, sizes
+                parts = text.split(" ")
+                whole.append(parts[0])
+                after += parts[1:]
+                split.append(1)
+            counts.append(len(parts))
+        counts = np.array(counts, np.int64)
+        # Of each text the first pieces are looked up as they are (all of them where white space is odd), the rest without their space.
+        nth = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        leads = nth < np.repeat(np.array(split, np.int64), counts)
+        numbers, sizes = np.empty(len(leads), np.int64), np.empty(len(leads), np.int64)
+        numbers[leads], numbers[~leads] = self._numbers(self.whole, whole, ""), self._numbers(self.after_space, after, " ")
+        sizes[leads], sizes[~leads] = np.fromiter(map(len, whole), np.int64, len(whole)), np.fromiter(map(len, after), np.int64, len(after)) + 1
+        return numbers, sizes, counts
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts in a row (uint32), and the number of ids of each text."""
-        numbers, _ = self.numbers(texts)
-        every = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
+        every, _, pieces = self.numbers(texts)
         counts = self.count[every]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
         at = np.arange(total) + np.repeat(self.start[every] - (ends - counts), counts)
-        of_text = np.concatenate([[0], np.cumsum([len(x) for x in numbers])]).astype(np.int64)
         reached = np.concatenate([[0], ends])
-        return self.ids[at], np.diff(reached[of_text])
+        return self.ids[at], np.diff(reached[np.concatenate([[0], np.cumsum(pieces)])])
 
 
 @lru_cache(maxsize=2)

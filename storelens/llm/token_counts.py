@@ -68,8 +68,9 @@ def _leaves(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def text_leaves(made: PieceEncoder, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    numbers, sizes = made.numbers(texts)
-    return [_leaves(made.count[n], s) for n, s in zip(numbers, sizes)]
+    numbers, sizes, pieces = made.numbers(texts)
+    edges, tokens = np.concatenate([[0], np.cumsum(pieces)]), made.count[numbers]
+    return [_leaves(tokens[a:b], sizes[a:b]) for a, b in zip(edges, edges[1:])]
 
 
 def apply_edit(made: PieceEncoder, text: str, tree: TokenTree, pos: int, deleted: int, inserted: str) -> tuple[str, TokenTree, int]:
