@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from storelens.operators.ranking import distributed_rank, running_totals
 from storelens.session import materialize
 
-MAX_PIVOTS = 1024
+# Points of a cell that are compared in one piece, and distances held in memory at a time.
 BLOCK = 1024
+_DISTANCES = 1 << 21
 _ROWS_AT_ONCE = 64
 _CANDIDATES = "id bigint, neighbour bigint, distance double"
 
@@ -44,34 +45,52 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def n_pivots(n: int, block: int = BLOCK) -> int:
+    """Cells of about ``block`` points while there are few; from block ** 2 points on the square root of their number, so that
+    a point is compared with as many pivots as points of its cell, and work grows with the power 1.5 of the table at most
+    where cells are even."""
+    return max(1, min(math.ceil(n / block), max(block, math.isqrt(n))))
+
+
+def _in_parts(vecs: pd.Series, width: int) -> Iterator[tuple[slice, np.ndarray]]:
+    step = max(1, _DISTANCES // max(width, 1))
+    for at in range(0, len(vecs), step):
+        part = slice(at, at + step)
+        yield part, np.stack(vecs.iloc[part].to_numpy())
+
+
 def _assign(pivots: np.ndarray):
     @F.pandas_udf("cell int, reach double")
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for vecs in batches:
-            d = _distances(np.stack(vecs.to_numpy()), pivots)
-            cell = d.argmin(axis=1)
-            yield pd.DataFrame({"cell": cell.astype("int32"), "reach": d[np.arange(len(d)), cell]})
+            cells, reach = np.empty(len(vecs), "int32"), np.empty(len(vecs))
+            for part, some in _in_parts(vecs, len(pivots)):
+                d = _distances(some, pivots)
+                cells[part] = d.argmin(axis=1)
+                reach[part] = d.min(axis=1)
+            yield pd.DataFrame({"cell": cells, "reach": reach})
 
     return nearest
 
 
 def _reachable(pivots: np.ndarray, radius: np.ndarray):
     """Other cells whose nearest possible point is not beyond the current k-th distance."""
-    between = _distances(pivots, pivots)
 
     @F.pandas_udf("array<int>")
     def cells(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for vecs, own, limit in batches:
-            d = _distances(np.stack(vecs.to_numpy()), pivots)
-            home = own.to_numpy()
-            to_home = d[np.arange(len(d)), home][:, None]
-            gap = between[home]
-            half_plane = np.divide(d**2 - to_home**2, 2 * gap, out=np.zeros_like(d), where=gap > 0)
-            nearest_possible = np.maximum(d - radius[None, :], half_plane)
-            reach = limit.to_numpy()[:, None]
-            keep = nearest_possible <= reach * (1 + 1e-9) + 1e-12
-            keep[np.arange(len(d)), home] = False
-            yield pd.Series([np.flatnonzero(row).astype("int32") for row in keep])
+            found: list[np.ndarray] = []
+            for part, some in _in_parts(vecs, len(pivots)):
+                d, home = _distances(some, pivots), own.iloc[part].to_numpy()
+                homes, which = np.unique(home, return_inverse=True)
+                gap = _distances(pivots[homes], pivots)[which]
+                to_home = d[np.arange(len(d)), home][:, None]
+                half_plane = np.divide(d**2 - to_home**2, 2 * gap, out=np.zeros_like(d), where=gap > 0)
+                nearest_possible = np.maximum(d - radius[None, :], half_plane)
+                keep = nearest_possible <= limit.iloc[part].to_numpy()[:, None] * (1 + 1e-9) + 1e-12
+                keep[np.arange(len(d)), home] = False
+                found += [np.flatnonzero(row).astype("int32") for row in keep]
+            yield pd.Series(found)
 
     return cells
 
@@ -100,22 +119,20 @@ def _best(candidates: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _lookup(values: dict[int, int]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-
-
-def _tiles(queries: DataFrame, placed: DataFrame, query_blocks: dict[int, int], point_blocks: dict[int, int], k: int) -> DataFrame:
-    """Compare every (query, cell) row with the points of that cell, block by block."""
-    q_of, p_of = _lookup(query_blocks)[F.col("cell")], _lookup(point_blocks)[F.col("cell")]
+def _tiles(queries: DataFrame, placed: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
+    """Compare every (query, cell) row with the points of that cell, block by block. ``blocks``: (cell, q_blocks, p_blocks)."""
 
-    def block(blocks: Column) -> Column:
-        return F.pmod(F.xxhash64("id"), blocks.cast("bigint")).cast("int")
+    def block(n: str) -> Column:
+        return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
 
-    def every(blocks: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), blocks - 1))
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
 
-    left = queries.select("id", "vec", "cell", block(q_of).alias("q"), every(p_of).alias("p"))
-    right = placed.filter(F.col("cell").isin(list(query_blocks))).select("id", "vec", "cell", every(q_of).alias("q"), block(p_of).alias("p"))
+    left = queries.join(blocks, "cell").select("id", "vec", "cell", block("q_blocks").alias("q"), every("p_blocks").alias("p"))
+    # columns of its own, as both sides may come from one table
+    points = placed.select(*[F.col(c).alias(f"_{c}") for c in ("id", "vec", "cell")]).join(blocks.withColumnRenamed("cell", "_cell"), "_cell")
+    right = points.select(F.col("_id").alias("id"), F.col("_vec").alias("vec"), F.col("_cell").alias("cell"), every("q_blocks").alias("q"),
+                          F.pmod(F.xxhash64("_id"), F.col("p_blocks")).cast("int").alias("p"))
     keys = ["cell", "q", "p"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_compare(k), _CANDIDATES)
 
@@ -123,35 +140,31 @@ def _tiles(queries: DataFrame, placed: DataFrame, query_blocks: dict[int, int],
 def nearest_neighbours(points: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
     """(id, neighbour, distance, rank) for the k nearest other points of every (id, vec) row.
 
-    Equal distances are ordered by the neighbour's id. The driver sees pivots and per-cell
-    counts only, at most MAX_PIVOTS rows.
+    Equal distances are ordered by the neighbour's id. The driver sees the pivots and one radius per
+    cell, the square root of the table's rows at most (see ``n_pivots``).
     """
     stored = materialize(points.select("id", "vec"))
     n = stored.count()
     if n == 0:
         return stored.sparkSession.createDataFrame([], _CANDIDATES + ", rank int")
-    pivot_rows = stored.orderBy(F.md5(F.col("id").cast("string"))).limit(min(MAX_PIVOTS, math.ceil(n / block))).collect()
+    pivot_rows = stored.orderBy(F.md5(F.col("id").cast("string"))).limit(n_pivots(n, block)).collect()
     pivots = np.array([r["vec"] for r in pivot_rows], dtype="float64")
     placed = materialize(stored.withColumn("_at", _assign(pivots)("vec")).select("id", "vec", "_at.*"))
-    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius")).collect()
-    radius = np.full(len(pivots), -np.inf)
-    for c in cells:
-        radius[c["cell"]] = c["radius"]
-    point_blocks = {c["cell"]: math.ceil(c["n"] / block) for c in cells}
+    cells = materialize(placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("p_blocks"), F.max("reach").alias("radius")))
 
-    own = _best(_tiles(placed, placed, point_blocks, point_blocks, k), k)
+    own = _best(_tiles(placed, placed, cells.select("cell", F.col("p_blocks").alias("q_blocks"), "p_blocks"), k), k)
     if len(pivots) == 1:
         return own
+    radius = np.full(len(pivots), -np.inf)
+    for c in cells.select("cell", "radius").collect():
+        radius[c["cell"]] = c["radius"]
     own = materialize(own)
     limits = own.groupBy("id").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).otherwise(float("inf")).alias("limit"))
     searching = placed.join(limits, "id", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
     reach = _reachable(pivots, radius)(F.col("vec"), F.col("cell"), F.col("limit"))
     visits = materialize(searching.select("id", "vec", F.explode(reach).alias("cell")))
-    query_blocks = {r["cell"]: math.ceil(r["count"] / block) for r in visits.groupBy("cell").count().collect() if r["cell"] in point_blocks}
-    if not query_blocks:
-        return own
-    visits = visits.filter(F.col("cell").isin(list(query_blocks)))
-    others = _tiles(visits, placed, query_blocks, point_blocks, k)
+    asked = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("q_blocks"))
+    others = _tiles(visits, placed, materialize(asked.join(cells.select("cell", "p_blocks"), "cell")), k)
     return _best(own.drop("rank").unionByName(others), k)
 
 

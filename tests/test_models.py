@@ -32,6 +32,13 @@ def test_neighbours_match_brute_force(spark, block):
     assert got == brute_force(vectors, list(range(300)), 5)
 
 
+def test_cells_and_pivots_both_grow_slower_than_the_table():
+    for n in (10**6, 10**8, 10**10):
+        pivots = neighbours.n_pivots(n)
+        assert pivots + n / pivots <= 2.1 * max(n**0.5, neighbours.BLOCK)
+    assert neighbours.n_pivots(0) == neighbours.n_pivots(5) == 1
+
+
 def test_few_points(spark):
     points = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id bigint, vec array<double>")
     assert [tuple(r)[:2] for r in neighbours.nearest_neighbours(points, 5).orderBy("id").collect()] == [(1, 2), (2, 1)]
