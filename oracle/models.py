@@ -193,7 +193,44 @@ _SENTIMENT_REQUESTS = f"""WITH given AS (
   FROM given
 )"""
 
+_INPUTS = ["price", "freight_value", "freight_ratio", "order_month", "order_year", "payment_installments", "volume_cm3"]
+
+
+def _uniform(kind: str) -> str:
+    return f"cast(cast('0x' || left(md5(concat_ws('|', id, turn, '{kind}42')), 12) AS bigint) AS double) / 281474976710656"
+
+
+# Oversampling: neighbours by comparing all pairs of the rarer class, turns and draws from the same hashes.
+_SMOTE = f"""{_DELIVERY}, given AS (
+  SELECT is_late AS label, [{', '.join(f'cast(coalesce({c}, 0) AS double)' for c in _INPUTS)}] AS vec FROM delivery
+), rare AS (
+  SELECT label, n, (max(n) OVER ()) - n AS missing FROM (SELECT label, count(*) AS n FROM given GROUP BY label) QUALIFY missing > 0
+), points AS (
+  SELECT label, n, missing, vec, copies, row_number() OVER (PARTITION BY label ORDER BY vec) AS id
+  FROM (SELECT label, vec, count(*) AS copies FROM given GROUP BY ALL) JOIN rare USING (label)
+), near AS (
+  SELECT a.label, a.id, b.vec AS other, b.copies AS others,
+    row_number() OVER (PARTITION BY a.label, a.id ORDER BY sqrt({' + '.join(f'(a.vec[{i}] - b.vec[{i}]) * (a.vec[{i}] - b.vec[{i}])' for i in range(1, 8))}), b.id) AS place
+  FROM points a JOIN points b ON a.label = b.label AND a.id <> b.id QUALIFY place <= 5
+), beside AS (
+  SELECT label, id, flatten(list(list_transform(range(least(others, 5)), lambda x: other) ORDER BY place)) AS slots FROM near GROUP BY label, id
+), turns AS (
+  SELECT *, sum(copies) OVER (PARTITION BY label ORDER BY md5(concat_ws('|', id, '42')), id) AS through FROM points
+), planned AS (
+  SELECT t.label, t.id, t.vec, copies * (missing // n) + greatest(0, least(through, missing % n) - (through - copies)) AS wanted,
+    list_concat(list_transform(range(least(copies - 1, 5)), lambda x: t.vec), coalesce(slots, []))[1:5] AS slots
+  FROM turns t LEFT JOIN beside USING (label, id)
+), drawn AS (SELECT *, unnest(range(cast(wanted AS bigint))) AS turn FROM planned),
+made AS (
+  SELECT label, vec, {_uniform('u')} AS step, coalesce(slots[cast(floor({_uniform('n')} * len(slots)) AS bigint) + 1], vec) AS target FROM drawn
+), balanced AS (
+  SELECT label, 0 AS synthetic, vec FROM given
+  UNION ALL SELECT label, 1, list_transform(range(1, 8), lambda i: vec[i] + step * (target[i] - vec[i])) FROM made
+)"""
+
 SQL = {
+    "smote": f"""{_SMOTE} SELECT label, synthetic, array_to_string(list_transform(vec, lambda v: cast(cast(v AS decimal(28,6)) AS varchar)), ',') AS vec
+        FROM balanced""",
     "score_churn_formula": f"""{_CHURN}, z AS (SELECT customer_id, cast(3 AS double) - 0.125 * cast(frequency AS double) + 0.25 * cast(late_deliveries AS double)
         - 0.5 * cast(coalesce(avg_review_score, 4) AS double) - 0.25 * cast(active_years AS double) + 0.125 * cast(coalesce(revenue_trend, 0) AS double) AS z FROM churn),
       p AS (SELECT customer_id, {_P} AS p FROM z)

@@ -287,7 +287,7 @@ def _prep_queries() -> dict[str, Query]:
         "balanced_weights": _stored(lambda w: _rounded(prep.balanced_weights(_delivery(w).select(*ITEM, "is_late"), "is_late"), ["weight"], 9)),
         "scale_pos_weight": _stored(lambda w: _rounded(prep.scale_pos_weight(_delivery(w), "is_late"), ["scale_pos_weight"], 9)),
         "knn": _knn,
-        "smote": _stored(lambda w: _balanced(w).select("label", "synthetic", F.concat_ws(",", F.transform("vec", lambda v: F.round(v, 6).cast("string"))).alias("vec"))),
+        "smote": _stored(lambda w: _balanced(w).select("label", "synthetic", F.concat_ws(",", F.transform("vec", lambda v: v.cast("decimal(28,6)").cast("string"))).alias("vec"))),
         "smote_balance": _stored(lambda w: _balanced(w).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))),
     }
 
