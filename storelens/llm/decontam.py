@@ -81,22 +81,48 @@ def _frequencies(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def _anchors(terms: DataFrame, window: int) -> DataFrame:
-    """(item_no, anchor_pos, term_no): the rarest term of every window of every item."""
+    """(item_no, anchor_pos, term_no): the rarest term of every window of every item, of those that occur in the documents."""
     listed = terms.groupBy("item_no").agg(F.sort_array(F.collect_list(F.struct("pos", "freq", "term_no"))).alias("ws"))
-    rare = F.transform("ws", lambda w: F.struct(w["freq"], w["pos"], w["term_no"]))
+    rare = F.transform("ws", lambda w: F.struct(w["freq"] == 0, w["freq"], w["pos"], w["term_no"]))
     last = F.greatest(F.size("ws") - F.lit(window - 1), F.lit(1))
     picks = F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda s: F.array_min(F.slice(rare, s, window))))
     return listed.select("item_no", F.explode(picks).alias("w")).select("item_no", F.col("w.pos").alias("anchor_pos"), F.col("w.term_no").alias("term_no"))
 
 
-def _index(docs: DataFrame, vocabulary: Vocabulary, anchors: np.ndarray, window: int, keep: list[str]) -> DataFrame:
+class Neighbours:
+    """Which terms stand beside an anchor in some item. A window with an anchor holds at least one of its neighbours, unless
+    it is that one word; an anchor with neither beside it is part of no match."""
+
+    def __init__(self, block: DataFrame, anchors: DataFrame, terms: int):
+        beside = block.select("item_no", F.col("pos").alias("at"), F.col("term_no").alias("other"))
+        pairs = anchors.join(beside, "item_no").where(F.abs(F.col("at") - F.col("anchor_pos")) == 1)
+        rows = pairs.select("term_no", "other", (F.col("at") < F.col("anchor_pos")).alias("left")).distinct().toPandas()  # of one block
+        code = rows["term_no"].to_numpy(np.int64) * terms + rows["other"].to_numpy(np.int64)
+        left = rows["left"].to_numpy(bool)
+        alone = anchors.join(block.where("n = 1").select("item_no").distinct(), "item_no").select("term_no").distinct().collect()
+        self.terms, self.left, self.right = terms, np.sort(code[left]), np.sort(code[~left])
+        self.anchors = np.unique(np.array([r.term_no for r in anchors.select("term_no").distinct().collect()], np.int64))
+        self.alone = np.unique(np.array([r.term_no for r in alone], np.int64))
+
+    def hits(self, found: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Places of anchors that can be part of a match; ``first``: the first word of each text."""
+        hit = np.flatnonzero(np.isin(found, self.anchors))
+        if not len(hit):
+            return hit
+        doc = np.searchsorted(first, hit, "right") - 1
+        before, after = np.maximum(hit - 1, 0), np.minimum(hit + 1, len(found) - 1)
+        left = np.where(hit > first[doc], found[before], -1)
+        right = np.where(hit + 1 < first[doc + 1], found[after], -1)
+        fits = (left >= 0) & np.isin(found[hit] * self.terms + left, self.left) | (right >= 0) & np.isin(found[hit] * self.terms + right, self.right)
+        return hit[fits | np.isin(found[hit], self.alone)]
+
+
+def _index(docs: DataFrame, vocabulary: Vocabulary, neighbours: Neighbours, window: int, keep: list[str]) -> DataFrame:
     """The positional index by document: n_words and the postings (term_no, pos) that can be part of a match.
 
     A window holds at least one anchor, so a posting more than ``window`` - 1 words away from
     every anchor of its document is never asked for and is not stored.
     """
-    is_anchor = np.zeros(len(vocabulary.keys) + 1, bool)
-    is_anchor[anchors] = True  # the last place, reached by -1, stays false
     fields = [T.StructField("uid", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("places", T.ArrayType(T.IntegerType()))]
     state: dict = {}
 
@@ -105,7 +131,7 @@ def _index(docs: DataFrame, vocabulary: Vocabulary, anchors: np.ndarray, window:
         starts, ends, first = W.spans(data, offsets)
         found = vocabulary.look_up(W.hashes(data, starts, ends))
         edge = np.zeros(len(starts) + 1, np.int64)
-        hit = np.flatnonzero(is_anchor[found])
+        hit = neighbours.hits(found, first)
         doc = np.searchsorted(first, hit, "right") - 1
         np.add.at(edge, np.maximum(hit - window + 1, first[doc]), 1)
         np.add.at(edge, np.minimum(hit + window, first[doc + 1]), -1)
@@ -155,18 +181,8 @@ def _blocks(spark: SparkSession, terms: DataFrame) -> list[DataFrame]:
     return [terms] if n <= 1 else [terms.where(F.pmod(F.hash("item_no"), F.lit(n)) == k) for k in range(n)]
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, near: int = NEAR,
-                   carry: tuple[str, ...] = ("_text", "_row")) -> tuple[DataFrame, DataFrame]:
-    """(documents, matches): every row of ``docs`` as ``carry`` (``_text``, ``_row``, see ``tables.packed``) with the columns RESULT, and
-    (uid, item_no, item_id, pos) of every word inside an exact match.
-
-    A window is ``window`` consecutive words of an item, or the whole of a shorter item. n_hit counts the
-    words of a document inside any occurrence of a window, n_items the distinct item ids found;
-    n_near those with ``near`` of the words of a window in place (proximity; exact ones included).
-    Null and empty texts have no words and no hits. Items without words match nothing. Repeated
-    rows of documents are judged one by one; repeated items count once by id. With no items or no
-    documents nothing is hit. Texts are whole; no list of postings or candidates is cut.
-    """
+def _search(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, window: int, near: int, carry: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The index with ``carry``, the words of exact matches, and the proximity matches, over all blocks of items."""
     spark = docs.sparkSession
     terms = stored(item_words(items, item_id, item_text))
     rows, parts = packed(docs, text), []
@@ -178,19 +194,35 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
         freq = _frequencies(rows, vocabulary)
         block = stored(block.join(numbers, "term").join(freq, "term_no", "left").fillna(0, ["freq"]))
         anchors = stored(_anchors(block, window))
-        chosen = np.array([r.term_no for r in anchors.select("term_no").distinct().collect()], np.int64)
-        this = stored(_index(rows, vocabulary, chosen, window, list(carry) if index is None else []))
+        neighbours = Neighbours(block, anchors, len(vocabulary.keys))
+        this = stored(_index(rows, vocabulary, neighbours, window, list(carry) if index is None else []))
         parts.append(_matches(this, block, anchors, window, near))
         index = this if index is None else index
-    exact = stored(_union([e for e, _ in parts]))
-    close = _union([c for _, c in parts])
+    return index, stored(_union([e for e, _ in parts])), _union([c for _, c in parts])
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, near: int = NEAR,
+                  carry: tuple[str, ...] = ("_text", "_row")) -> tuple[DataFrame, DataFrame]:
+    """(documents, matches): every row of ``docs`` as ``carry`` (``_text``, ``_row``, see ``tables.packed``) with the columns RESULT, and
+    (uid, item_no, item_id, pos) of every word inside an exact match.
+
+    A window is ``window`` consecutive words of an item, or the whole of a shorter item. n_hit counts the
+    words of a document inside any occurrence of a window, n_items the distinct item ids found;
+    n_near those with ``near`` of the words of a window in place, among them its rarest word that occurs at all and a
+    word beside it (proximity; exact matches included).
+    Null and empty texts have no words and no hits. Items without words match nothing. Repeated
+    rows of documents are judged one by one; repeated items count once by id. With no items or no
+    documents nothing is hit. Texts are whole; no list of postings or candidates is cut.
+    """
+    index, exact, close = _search(docs, items, text, item_id, item_text, window, near, carry)
     words_hit = exact.select("uid", "pos").distinct().groupBy("uid").agg(F.count("*").alias("n_hit"))
     ids = exact.select("uid", "item_id").distinct().groupBy("uid").agg(F.sort_array(F.collect_list("item_id")).alias("ids"))
     loose = close.distinct().groupBy("uid").agg(F.count("*").alias("n_near"))
-    out = index.join(words_hit, "uid", "left").join(ids, "uid", "left").join(loose, "uid", "left")
+    found = words_hit.join(ids, "uid").join(loose, "uid", "full")
     ids = F.coalesce("ids", F.array().cast("array<string>"))
-    out = out.select("uid", *carry, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
-                     F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"))
+    none = F.lit(0).cast("long")
+    out = index.join(found, "uid", "left").select("uid", *carry, "n_words", F.coalesce("n_hit", none).alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
+                                                  F.coalesce("n_near", none).alias("n_near"), F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"))
     return out.withColumn("contaminated", F.col("n_hit") > 0), exact
 
 
@@ -203,5 +235,6 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no window of any item, all columns as they were."""
-    judged, _ = decontaminate(docs, items, text)
-    return unpacked(judged.where(~F.col("contaminated")), docs.columns, text)
+    index, exact, _ = _search(docs, items, text, "item_id", "text", WINDOW, NEAR, ("_text", "_row"))
+    hit = stored(exact.select("uid").distinct())  # few rows against the documents, whose texts need not move to lose them
+    return unpacked(index.join(hit, "uid", "left_anti"), docs.columns, text)
