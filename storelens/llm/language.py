@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,9 +18,11 @@ from storelens.llm.tables import each_slice, packed, slices, stored, unpacked
 SYMBOLS = 40
 ORDER = 4
 UNKNOWN = "und"
-#: A text is foreign to its language if its surprise, for its length, exceeds SLACK times what all but this share of the learned rows have.
+#: A text is foreign to its language if its surprise above the mean, times the root of its symbols (STEADY at most: longer texts do not
+#: get steadier, as they hold passages of other kinds), exceeds SLACK times what all but REJECTED of the learned rows have, and one nat at STEADY.
 REJECTED = 1e-4
 SLACK = 2.0
+STEADY = 50
 _BINS = 64
 _GRAMS = SYMBOLS**ORDER
 _CONTEXTS = SYMBOLS ** (ORDER - 1)
@@ -179,6 +181,10 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _excess() -> Column:
+    return (F.col("entropy") - F.col("mean")) * F.sqrt(F.least("n_symbols", F.lit(STEADY)))
+
+
 def _calibration(table: DataFrame) -> tuple[np.ndarray, dict[str, tuple[float, float]]]:
     """From learned rows: how often the best language is right by margin (rising), and for each language mean and limit of surprise."""
     learned = table.where("_learn and best is not null")
@@ -194,7 +200,7 @@ def _calibration(table: DataFrame) -> tuple[np.ndarray, dict[str, tuple[float, f
     shares = np.concatenate([np.full(int(k), (right + 1) / (n + 2)) for right, n, k in blocks])
     agreed = learned.where("best = _lang")
     means = agreed.groupBy("best").agg(F.avg("entropy").alias("mean"))
-    excess = (F.col("entropy") - F.col("mean")) * F.sqrt("n_symbols")
+    excess = _excess()
     limits = agreed.join(means, "best").groupBy("best", "mean").agg(F.percentile_approx(excess, F.lit(1 - REJECTED), F.lit(100_000)).alias("limit"))
     return shares, {r["best"]: (r["mean"], r["limit"]) for r in limits.collect()}  # one row a language
 
@@ -234,12 +240,15 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: st
         names = [model.languages[b] if ok else None for b, ok in zip(best.tolist(), some)]
         return [names, np.where(some, ordered[:, 0], np.nan), bins, sizes]
 
-    table = stored(each_slice(rows, compute, fields, [*carry, "_id", "_lang", "_learn"]))
+    ids = ["_id", "_lang", "_learn"]
+    table = stored(each_slice(rows, compute, fields, ids))
     shares, limits = _calibration(table)
+    if carry:  # texts are scored once more as they pass, so that no copy of them is stored
+        table = each_slice(rows, compute, fields, [*carry, *ids])
     score = F.element_at(F.array(*[F.lit(float(s)) for s in shares]), (F.col("bin") + 1).cast("int"))
     known = spark.createDataFrame([(k, float(m), float(z)) for k, (m, z) in limits.items()], "best string, mean double, limit double")
     out = table.join(F.broadcast(known), "best", "left")  # one row a language
-    foreign = (F.col("entropy") - F.col("mean")) * F.sqrt("n_symbols") > SLACK * F.greatest(F.col("limit"), F.lit(1.0))
+    foreign = _excess() > F.greatest(SLACK * F.col("limit"), F.lit(STEADY**0.5))
     return out.select(*carry, "_id", F.col("_learn").alias("learned"), F.coalesce("best", F.lit(UNKNOWN)).alias("lang_pred"),
                       F.when(F.col("best").isNull(), 0.0).otherwise(score).alias("score"), "entropy",
                       (F.col("best").isNull() | F.coalesce(foreign, F.lit(False))).alias("rejected"))

@@ -53,7 +53,7 @@ def op4_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     from storelens.llm.rules import judge
 
     docs = _table(spark, directory, "documents").select("doc_id", "text", "lang")
-    judged = judge(docs, _table(spark, directory, "labels"), carry=("_row",))
+    judged = judge(docs, _table(spark, directory, "labels"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return judged.select(F.col("_row.doc_id").alias("doc_id"), *base, F.concat_ws(",", "failed_rules").alias("failed_rules"))
 

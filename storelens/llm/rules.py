@@ -120,29 +120,47 @@ def cutoffs(labelled: DataFrame, strata: int, risk: float = RISK, failure: float
     return counted.groupBy("stratum", "rule").applyInPandas(choose, "stratum string, rule string, cutoff double")
 
 
-def judge(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", stratum: str = "lang", carry: tuple[str, ...] = ("_text", "_row")) -> DataFrame:
-    """Every row of ``docs`` as ``carry`` with COUNTS, base_failed, failed_rules and kept.
+def _figures() -> dict:
+    return {name: F.expr(f"cast({figure} as double)") for name, figure, _ in RULES}
+
+
+def _with_stratum(table: DataFrame, stratum: str) -> DataFrame:
+    return table.withColumn("_stratum", F.coalesce(F.col(f"_row.{stratum}").cast("string"), F.lit("")))
+
+
+def fit_cutoffs(table: DataFrame, labels: DataFrame, doc_id: str) -> DataFrame:
+    """(_stratum, _cutoffs): proven cutoffs by rule for each stratum, from measured documents and labels (doc_id, quality)."""
+    good = labels.where("quality = 1").select(F.col("doc_id").alias("_id")).distinct()
+    labelled = table.where("not base_failed").select(F.col(f"_row.{doc_id}").alias("_id"), F.col("_stratum").alias("stratum"), *[f.alias(n) for n, f in _figures().items()])
+    strata = table.select("_stratum").distinct().count()
+    chosen = stored(cutoffs(labelled.join(good, "_id"), strata))
+    return chosen.groupBy(F.col("stratum").alias("_stratum")).agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cutoffs"))
+
+
+def _decided(table: DataFrame, chosen: DataFrame) -> DataFrame:
+    out = table.join(chosen, "_stratum", "left")
+    failed = F.filter(F.array(*[F.when(f > F.try_element_at("_cutoffs", F.lit(n)), F.lit(n)) for n, f in _figures().items()]), lambda x: x.isNotNull())
+    return out.withColumn("failed_rules", failed).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+
+def judge(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", stratum: str = "lang") -> DataFrame:
+    """Every row of ``docs`` as ``_row`` (see ``tables.packed``) with COUNTS, base_failed, failed_rules and kept.
 
     ``labels`` (doc_id, quality): rows with quality 1 are the holdout of good documents; documents that the base rule
     rejects are left out, as the cutoffs judge the others. A null stratum is a stratum of its own. Where
     too few are labelled to prove a rule's limit, the rule is off in that stratum and only the base rule acts.
     Null and empty texts have no words and fail the base rule. Repeated rows and ids are judged one by one.
     """
-    table = stored(measured(docs, text, carry))
-    table = table.withColumn("_stratum", F.coalesce(F.col(f"_row.{stratum}").cast("string"), F.lit("")))
-    figures = {name: F.expr(f"cast({figure} as double)") for name, figure, _ in RULES}
-    good = labels.where("quality = 1").select(F.col("doc_id").alias("_id")).distinct()
-    labelled = table.where("not base_failed").select(F.col(f"_row.{doc_id}").alias("_id"), F.col("_stratum").alias("stratum"), *[f.alias(n) for n, f in figures.items()]).join(good, "_id")
-    strata = table.select("_stratum").distinct().count()
-    chosen = stored(cutoffs(labelled, strata))
-    wide = chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cutoffs"))  # a row a stratum
-    out = table.join(wide.withColumnRenamed("stratum", "_stratum"), "_stratum", "left")
-    failed = F.filter(F.array(*[F.when(f > F.try_element_at("_cutoffs", F.lit(n)), F.lit(n)) for n, f in figures.items()]), lambda x: x.isNotNull())
-    out = out.withColumn("failed_rules", failed)
-    kept = ~F.col("base_failed") & (F.size("failed_rules") == 0)
-    return out.select(*carry, *([] if "_row" in carry else ["_row"]), *COUNTS, "base_failed", "failed_rules", kept.alias("kept"))
-
-
-def good_documents(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns as they were."""
-    return unpacked(judge(docs, labels, text).where("kept"), docs.columns, text)
+    table = _with_stratum(stored(measured(docs, text, ("_row",))), stratum)
+    return _decided(table, fit_cutoffs(table, labels, doc_id)).select("_row", *COUNTS, "base_failed", "failed_rules", "kept")
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", stratum: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns as they were.
+
+    Cutoffs come from a table of figures without texts; texts are then measured once more as they pass, so no copy of them is stored.
+    """
+    slim = docs.select(*dict.fromkeys([doc_id, stratum, text]))
+    chosen = fit_cutoffs(_with_stratum(stored(measured(slim, text, ("_row",))), stratum), labels, doc_id)
+    passing = _with_stratum(measured(docs, text), stratum)
+    return unpacked(_decided(passing, chosen).where("kept"), docs.columns, text)

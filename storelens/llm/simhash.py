@@ -145,15 +145,8 @@ def links(fps: DataFrame, group: int = GROUP) -> DataFrame:
     return found
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ("_text", "_row")) -> DataFrame:
-    """Every row of ``docs`` as ``carry`` (see ``tables.packed``) with uid, fp (long), component_id and first_uid.
-
-    component_id is the smallest ``doc_id`` whose fingerprint can be reached over links of at most MAX_BITS
-    differing bits, the row's own included (null if no row of the component has an id);
-    first_uid marks one row of the component that has this id. Equal fingerprints are one
-    node. Null, empty and white texts have fingerprint zero and are linked like any other.
-    Repeated rows each come back. An empty table gives an empty table.
-    """
+def _groups(docs: DataFrame, doc_id: str, text: str, carry: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Documents with uid and fingerprint, and (fp, component_id, first_uid) of every fingerprint."""
     rows = packed(docs, text).withColumn("_id", F.col(f"_row.{doc_id}"))
     state: dict = {}
     fields = [T.StructField("uid", T.LongType()), T.StructField("fp", T.LongType())]
@@ -165,10 +158,24 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", car
     tree = stored(tree)
     least = tree.groupBy("root").agg(F.min("first").alias("first"))
     of_class = tree.select("fp", "root").join(least, "root").select("fp", F.col("first._id").alias("component_id"), F.col("first.uid").alias("first_uid"))
+    return table, of_class
+
+
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ("_text", "_row")) -> DataFrame:
+    """Every row of ``docs`` as ``carry`` (see ``tables.packed``) with uid, fp (long), component_id and first_uid.
+
+    component_id is the smallest ``doc_id`` whose fingerprint can be reached over links of at most MAX_BITS
+    differing bits, the row's own included (null if no row of the component has an id);
+    first_uid marks one row of the component that has this id. Equal fingerprints are one
+    node. Null, empty and white texts have fingerprint zero and are linked like any other.
+    Repeated rows each come back. An empty table gives an empty table.
+    """
+    table, of_class = _groups(docs, doc_id, text, carry)
     return table.join(of_class, "fp").select(*carry, "_id", "uid", "fp", "component_id", "first_uid")
 
 
 def distinct_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row of each component of near copies (the one with the smallest doc_id), all columns as they were."""
-    found = near_copies(docs, text=text)
-    return unpacked(found.where("uid = first_uid"), docs.columns, text)
+    table, of_class = _groups(docs, "doc_id", text, ("_text", "_row"))
+    copies = stored(table.select("uid", "fp").join(of_class, "fp").where("uid <> first_uid").select("uid"))  # texts need not move to lose them
+    return unpacked(table.join(copies, "uid", "left_anti"), docs.columns, text)
