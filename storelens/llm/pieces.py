@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 from itertools import chain, repeat
 
 import numpy as np
 
+from storelens.llm.tables import held
+
 #: Pieces remembered by one Python worker; then it starts anew. Bounds memory, not results.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: A pre-token of the byte-level pattern never goes on over white space that follows a visible
 #: character, so a text may be cut in front of such a space without changing its ids.
 _CUT = re.compile(r"(?<=\S) ")
@@ -129,7 +130,6 @@ class PieceEncoder:
         return self.ids[at], np.diff(reached[np.concatenate([[0], np.cumsum(pieces)])])
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> PieceEncoder:
-    """One encoder for each Python worker, kept over its tasks."""
-    return PieceEncoder(path)
+    """One encoder for each Python worker, kept over its tasks until another operator works there."""
+    return held(path, lambda: PieceEncoder(path))

@@ -15,10 +15,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from storelens.session import stored
 
-__all__ = ["each_slice", "packed", "slices", "stored", "task_keys", "unpacked"]
+__all__ = ["each_slice", "held", "packed", "slices", "stored", "task_keys", "unpacked"]
 
-#: Bytes of text that a Python task works on at a time; one longer text is a slice of its own.
-SLICE_BYTES = 1 << 21
+#: Bytes of text that a Python task works on at a time; one longer text is a slice of its own. Batches that Spark sends
+#: are bounded by spark.sql.execution.arrow.maxBytesPerBatch.
+SLICE_BYTES = 1 << 20
 
 
 def packed(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -44,13 +45,33 @@ def slices(batch: pa.RecordBatch, column: str = "_text", limit: int = SLICE_BYTE
         yield batch.slice(a, b - a)
 
 
-def each_slice(df: DataFrame, compute: Callable[[pa.RecordBatch], list], fields: list[T.StructField], keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``df`` and, beside them, the arrays that ``compute`` returns for each slice of rows."""
+_held: dict[str, object] = {}
+
+
+def held(key: str, make: Callable[[], object]) -> object:
+    """One large object that a Python worker keeps over its tasks; asking for another one lets it go."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go(but: str = "") -> None:
+    """Forget what ``held`` keeps in this worker, unless it is ``but``."""
+    if but not in _held:
+        _held.clear()
+
+
+def each_slice(df: DataFrame, compute: Callable[[pa.RecordBatch], list], fields: list[T.StructField], keep: list[str], holds: str = "") -> DataFrame:
+    """Columns ``keep`` of ``df`` and, beside them, the arrays that ``compute`` returns for each slice of rows. ``holds``: key of what
+    ``compute`` asks ``held`` for; workers let go of anything else first."""
     schema = T.StructType([*(df.schema[c] for c in keep), *fields])
     kinds = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(holds)  # by name, as this function travels without its module's state
         for batch in batches:
+            pa.default_memory_pool().release_unused()  # a worker lives on after its task
             for part in slices(batch):
                 new = [a if isinstance(a, pa.Array) else pa.array(a, kind) for a, kind in zip(compute(part), kinds)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *new], names=schema.names)
