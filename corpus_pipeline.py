@@ -29,8 +29,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The remaining documents as pieces of token sequences."""
-    return packing.pack(docs)
+    """The remaining documents as pieces of token sequences. Executors that have done the other stages have less memory left for pieces."""
+    return packing.pack(docs, remembered=400_000)
 
 
 STAGES = [

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from storelens.llm.pieces import encoder, tokenizer_path
+from storelens.llm.pieces import REMEMBERED, encoder, tokenizer_path
 from storelens.llm.tables import packed, slices, stored
 
 CAPACITY = 2048
@@ -83,11 +83,11 @@ def _places(packs: list[tuple[tuple[tuple[int, int], ...], int]]) -> dict[str, n
     return table
 
 
-def token_pieces(docs: DataFrame, text: str, doc_id: str, path: str, capacity: int, end_id: int) -> DataFrame:
+def token_pieces(docs: DataFrame, text: str, doc_id: str, path: str, capacity: int, end_id: int, remembered: int) -> DataFrame:
     """Every document's ids with the end id, cut after each ``capacity`` ids: one row per piece (PIECE)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = encoder(path)
+        made = encoder(path, remembered)
         for batch in batches:
             for part in slices(batch):
                 ids, counts = made.encode([t or "" for t in part.column("_text").to_pylist()])
@@ -115,16 +115,18 @@ def _salted(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(PARTS)))
 
 
-def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID,
+         remembered: int = REMEMBERED) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_size) for every piece of every document.
 
     Documents are cut after each ``capacity`` ids; a sequence holds whole pieces without gaps from offset 0.
     sequence_size is the ids it holds where that is a power of two, else ``capacity`` (the rest is padding).
     Null and empty texts are the end id alone. A null doc_id stays null. Repeated rows are packed one by
-    one. An empty table gives an empty table. Only the histogram (one count per length) reaches the driver.
+    one. An empty table gives an empty table. ``remembered`` pieces stay in a worker's memory: fewer take more time.
+    Only the histogram (one count per length) reaches the driver.
     """
     path = tokenizer or tokenizer_path()
-    pieces = stored(_salted(token_pieces(docs, text, doc_id, path, capacity, end_id)))
+    pieces = stored(_salted(token_pieces(docs, text, doc_id, path, capacity, end_id, remembered)))
     by_part = stored(pieces.groupBy("length", "part").agg(F.count("*").alias("n")))
     counts = np.zeros(capacity + 1, np.int64)
     for row in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `capacity` rows

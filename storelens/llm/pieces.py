@@ -11,7 +11,7 @@ import numpy as np
 from storelens.llm.tables import held
 
 #: Pieces remembered by one Python worker; then it starts anew. Bounds memory, not results.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 #: A pre-token of the byte-level pattern never goes on over white space that follows a visible
 #: character, so a text may be cut in front of such a space without changing its ids.
 _CUT = re.compile(r"(?<=\S) ")
@@ -130,6 +130,10 @@ class PieceEncoder:
         return self.ids[at], np.diff(reached[np.concatenate([[0], np.cumsum(pieces)])])
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder_key(path: str, remembered: int = REMEMBERED) -> str:
+    return f"{path} {remembered}"
+
+
+def encoder(path: str, remembered: int = REMEMBERED) -> PieceEncoder:
     """One encoder for each Python worker, kept over its tasks until another operator works there."""
-    return held(path, lambda: PieceEncoder(path))
+    return held(encoder_key(path, remembered), lambda: PieceEncoder(path, remembered))

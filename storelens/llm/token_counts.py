@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storelens.llm.pieces import PieceEncoder, encoder, tokenizer_path
+from storelens.llm.pieces import PieceEncoder, encoder, encoder_key, tokenizer_path
 from storelens.llm.tables import each_slice, packed
 
 #: Characters that a leaf holds at least, where the text can be cut; a leaf grown beyond the second figure is split.
@@ -118,7 +118,7 @@ def count_tokens(docs: DataFrame, text: str = "text", tokenizer: str | None = No
         trees = text_leaves(encoder(path), [t or "" for t in part.column("_text").to_pylist()])
         return [[int(t.sum()) for _, t in trees], [c for c, _ in trees], [t for _, t in trees]]
 
-    return each_slice(packed(docs, text), compute, fields, ["_text", "_row"], path)
+    return each_slice(packed(docs, text), compute, fields, ["_text", "_row"], encoder_key(path))
 
 
 def apply_edits(trees: DataFrame, edits: str, tokenizer: str | None = None, carry: tuple[str, ...] = ("_text", "_row")) -> DataFrame:
@@ -145,4 +145,4 @@ def apply_edits(trees: DataFrame, edits: str, tokenizer: str | None = None, carr
         return [list(c) for c in zip(*rows)]
 
     given = trees.withColumn("_edits", F.expr(edits).cast(EDITS))
-    return each_slice(given, compute, fields, [*carry, "n_tokens"], path)
+    return each_slice(given, compute, fields, [*carry, "n_tokens"], encoder_key(path))
