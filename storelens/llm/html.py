@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -12,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens.llm.tables import each_slice, packed, stored
+from storelens.operators.joins import skew_join
 
-#: A subtree is a site template if so many different pages of a host have it, and this share of them.
+#: A subtree is a site template if so many different pages of a host have it, however many pages the host has.
 LEAST_PAGES = 5
-LEAST_SHARE = 0.02
-#: Templates that are sent to every executor as they are (at most 8 bytes each and the host); more are joined by a shuffle.
+#: Templates of all hosts that are sent to every executor as they are (8 bytes each); more are joined by a shuffle.
 SENT_TEMPLATES = 2_000_000
 
 #: Elements by their part in a page.
@@ -124,8 +125,9 @@ def _is_noise(node: Node, inside: bool) -> bool:
     return not parts.isdisjoint(COMMENTS if node.tag == "article" or node.tag in _INLINE else _NOISE)
 
 
-def subtree_hashes(root: Node) -> dict[int, int]:
-    """A hash of tag, attributes and content for every element that can be a site template, by the node's identity."""
+def subtree_hashes(root: Node, host: str = "") -> dict[int, int]:
+    """A hash of host, tag, attributes and content for every element that can be a site template, by the node's identity."""
+    seed = xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass"))
     out: dict[int, int] = {}
     todo: list[tuple[Node, list[str] | None]] = [(root, None)]
     made: dict[int, str] = {}
@@ -135,7 +137,7 @@ def subtree_hashes(root: Node) -> dict[int, int]:
             todo.append((node, []))
             todo.extend((x, None) for x in node.items if isinstance(x, Node))
             continue
-        whole = xxhash.xxh64(f"{node.tag} {' '.join(node.attributes.split())}>")
+        whole = xxhash.xxh64(f"{node.tag} {' '.join(node.attributes.split())}>", seed)
         for x in node.items:
             whole.update(made.pop(id(x)) if isinstance(x, Node) else " ".join(x.split()))
         digest = whole.intdigest()
@@ -160,11 +162,27 @@ def _roots(page: Node) -> list[Node]:
     return articles or mains[:1] or [page]
 
 
-def main_text(html: str | None, templates: set[int] = frozenset()) -> str:
+class Templates:
+    """Sorted hashes of templates."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def __contains__(self, tree: int | None) -> bool:
+        if tree is None:
+            return False
+        at = int(np.searchsorted(self.keys, tree))
+        return at < len(self.keys) and int(self.keys[at]) == tree
+
+
+def main_text(html: str | None, templates: Templates | frozenset[int] = frozenset(), host: str = "") -> str:
     """The article's text: no menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments, and no subtree in
     ``templates``. White space is one space, blocks are joined by one space in page order. Null is empty."""
     page = parse(html or "")
-    hashes = subtree_hashes(page) if templates else {}
+    hashes = subtree_hashes(page, host) if templates else {}
     roots = _roots(page)
     inside, parts = roots != [page], []
     for root in roots:
@@ -185,24 +203,22 @@ def main_text(html: str | None, templates: set[int] = frozenset()) -> str:
     return " ".join("".join(parts).split())
 
 
-def site_templates(rows: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(_host, _templates): hashes of subtrees that recur on the pages of each host, from rows (_host, _text).
-
-    Exact copies of a page count once. As a template needs a share of a host's pages, a host has at most 1 / least_share times
-    as many of them as a page has subtrees. Counting combines before the shuffle, so a host with a third of all pages is no single group.
-    """
-    fields = [T.StructField("page", T.LongType()), T.StructField("trees", T.ArrayType(T.LongType()))]
+def page_trees(rows: DataFrame) -> DataFrame:
+    """(_page, trees): the hashes of the subtrees of each page of rows (_host, _text, _page), where exact copies of a page count once."""
 
     def compute(part: pa.RecordBatch) -> list:
-        pages = [t or "" for t in part.column("_text").to_pylist()]
-        keys = [xxhash.xxh64_intdigest(p.encode("utf-8", "surrogatepass")) >> 1 for p in pages]
-        return [keys, [sorted(set(subtree_hashes(parse(p)).values())) for p in pages]]
+        given = zip(part.column("_text").to_pylist(), part.column("_host").to_pylist())
+        return [[sorted(set(subtree_hashes(parse(t or ""), host).values())) for t, host in given]]
+
+    return each_slice(rows, compute, [T.StructField("trees", T.ArrayType(T.LongType()))], ["_page"]).distinct()
+
 
-    seen = stored(each_slice(rows, compute, fields, ["_host"]).distinct())
-    pages = seen.groupBy("_host").agg(F.count("*").alias("pages"))
-    counts = seen.select("_host", F.explode("trees").alias("tree")).groupBy("_host", "tree").agg(F.count("*").alias("n"))
-    often = counts.where(F.col("n") >= least_pages).join(pages, "_host").where(F.col("n") >= least_share * F.col("pages"))
-    return often.groupBy("_host").agg(F.collect_list("tree").alias("_templates"))
+def site_templates(seen: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """(tree, n): subtrees that recur on ``least_pages`` pages of a host, from ``page_trees``; the hash of a subtree holds its host.
+
+    The number of pages is the same for every host. Counting combines before the shuffle, so a host with a third of all pages is no single group.
+    """
+    return seen.select(F.explode("trees").alias("tree")).groupBy("tree").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
 
 
 def extract_pages(pages: DataFrame, html: str = "html", url: str = "url", carry: tuple[str, ...] = ("_row",)) -> DataFrame:
@@ -214,14 +230,24 @@ def extract_pages(pages: DataFrame, html: str = "html", url: str = "url", carry:
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(f"_row.{url}").cast("string"), _HOST, 1)), F.lit(""))
     rows = packed(pages, html).withColumn("_host", host)
-    templates = stored(site_templates(rows.select("_host", "_text")))
-    total = templates.agg(F.sum(F.size("_templates"))).first()[0] or 0
-    rows = rows.join(F.broadcast(templates) if total <= SENT_TEMPLATES else templates, "_host", "left")
+    rows = rows.withColumn("_page", F.xxhash64("_host", F.coalesce("_text", F.lit(""))))
+    seen = stored(page_trees(rows.select("_host", "_text", "_page")))
+    templates = stored(site_templates(seen))
+    sent, shared = templates.count() <= SENT_TEMPLATES, None
+    if sent:
+        keys = templates.select("tree").toArrow().column("tree").to_numpy()
+        shared = pages.sparkSession.sparkContext.broadcast(np.sort(keys))
+    else:
+        # Each page with those of its subtrees that are templates, at most as many as it has; pages and copies too many for a task are salted.
+        trees = seen.select("_page", F.explode("trees").alias("tree"))
+        marked = skew_join(trees, templates.select("tree"), ["tree"], "inner", templates)
+        rows = skew_join(rows, stored(marked.groupBy("_page").agg(F.collect_list("tree").alias("_templates"))), ["_page"])
     fields = [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
 
     def compute(part: pa.RecordBatch) -> list:
-        given = zip(part.column("_text").to_pylist(), part.column("_templates").to_pylist())
-        texts = [main_text(t, frozenset(h or ())) for t, h in given]
-        return [texts, list(map(len, texts))]
+        texts, hosts = part.column("_text").to_pylist(), part.column("_host").to_pylist()
+        own = [Templates(shared.value)] * len(texts) if sent else [frozenset(t or ()) for t in part.column("_templates").to_pylist()]
+        out = [main_text(*page) for page in zip(texts, own, hosts)]
+        return [out, list(map(len, out))]
 
     return each_slice(rows, compute, fields, list(carry))

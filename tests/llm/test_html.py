@@ -40,6 +40,17 @@ def test_templates_are_counted_by_host_and_deleted(spark):
     assert got[200] == "copied page"  # copies of one page are no template
 
 
+@pytest.mark.parametrize("sent", [html.SENT_TEMPLATES, 0])
+def test_templates_of_large_hosts(spark, monkeypatch, sent):
+    monkeypatch.setattr(html, "SENT_TEMPLATES", sent)
+    rows = [(k, "http://a.example/%d" % k, f"<article><p>own {k}</p>" + (f"<div class=x>Section {k % 100}</div>" if k < 500 else "") + "</article>") for k in range(1000)]
+    rows += [(2000 + k, "http://b.example/%d" % k, f"<article><p>own {k}</p><div class=x>Section 0</div></article>") for k in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r[0]: r[1] for r in html.extract_pages(pages).select("_row.page_id", "text").collect()}
+    assert all(got[k] == f"own {k}" for k in range(1000))  # 100 templates on 5 of 1,000 pages each
+    assert all(got[2000 + k] == f"own {k} Section 0" for k in range(4))  # on four pages of this host only
+
+
 def test_awkward_pages(spark):
     rows = [(k, None if k % 2 else f"http://h{k}/", p) for k, (p, _) in enumerate(PAGES)] + [(0, "http://h0/", PAGES[0][0]), (None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
