@@ -356,8 +356,8 @@ def _evaluation_queries() -> dict[str, Query]:
     }
 
 
-# Searches of the registered training queries: few draws and small ensembles over the whole tables.
-TRIAL = training.Search(n_iter=2, folds=2, cap={"maxIter": 10, "numTrees": 20, "maxDepth": 5})
+# Searches of the registered training queries: all draws and folds, whole grids.
+CHURN_SEARCH, DELIVERY_SEARCH, SENTIMENT_SEARCH = training.Search(n_iter=25), training.Search(n_iter=15), training.Search(n_iter=15)
 _trained: dict[tuple, object] = {}
 
 
@@ -370,15 +370,15 @@ def _once(w: Warehouse, name: str, build: Callable[[], object]):
 
 
 def _churn_model(w: Warehouse) -> training.Trained:
-    return _once(w, "churn", lambda: training.train_churn(_churn_labelled(w), TRIAL))
+    return _once(w, "churn", lambda: training.train_churn(_churn_labelled(w), CHURN_SEARCH))
 
 
 def _delivery_model(w: Warehouse):
-    return _once(w, "delivery", lambda: training.train_delivery(_delivery(w), TRIAL))
+    return _once(w, "delivery", lambda: training.train_delivery(_delivery(w), DELIVERY_SEARCH))
 
 
 def _sentiment_model(w: Warehouse) -> training.Trained:
-    return _once(w, "sentiment", lambda: training.train_sentiment(features.sentiment_features(w.fact_orders), TRIAL))
+    return _once(w, "sentiment", lambda: training.train_sentiment(features.sentiment_features(w.fact_orders), SENTIMENT_SEARCH))
 
 
 def _logged(w: Warehouse, trained: training.Trained, inputs: list[str]) -> DataFrame:

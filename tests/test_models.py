@@ -282,3 +282,18 @@ def test_forecast_run_is_recorded(spark, tmp_path):
     logged = {(r.kind, r.key): r.value for r in training.read_metrics(spark, str(tmp_path / "metrics")).collect()}
     assert {k for kind, k in logged if kind == "metric"} == {"mae", "rmse", "mape"} and logged["param", "periods"] == "6" and logged["param", "series"] == "1"
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == predicted.count() == 36
+
+
+def test_registered_training_searches_in_full(monkeypatch):
+    from storelens import registry
+
+    searches = {}
+    monkeypatch.setattr(registry, "_once", lambda w, name, build: build())
+    for name in ("_churn_labelled", "_delivery"):
+        monkeypatch.setattr(registry, name, lambda w: None)
+    monkeypatch.setattr(registry.features, "sentiment_features", lambda fact: None)
+    for name in ("churn", "delivery", "sentiment"):
+        monkeypatch.setattr(registry.training, f"train_{name}", lambda rows, search, name=name: searches.update({name: search}))
+    for model in (registry._churn_model, registry._delivery_model, registry._sentiment_model):
+        model(type("Warehouse", (), {"fact_orders": None}))
+    assert {n: (s.n_iter, s.folds, s.cap) for n, s in searches.items()} == {"churn": (25, 5, None), "delivery": (15, 5, None), "sentiment": (15, 5, None)}
