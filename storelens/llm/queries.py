@@ -22,6 +22,15 @@ def op8_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
     return judged.select(F.col("_row.doc_id").alias("doc_id"), *[c for c in RESULT if c != "n_near"])
 
 
+def op8_proximity(spark: SparkSession, directory: str) -> DataFrame:
+    """Benchmark items near to each document, exact matches included; beside op8_decontaminate, whose columns its SQL fixes."""
+    from storelens.llm.decontam import decontaminate
+
+    docs = _table(spark, directory, "documents").select("doc_id", "text")
+    judged, _ = decontaminate(docs, _table(spark, directory, "benchmark"), carry=("_row",))
+    return judged.select(F.col("_row.doc_id").alias("doc_id"), "n_near")
+
+
 def op1_quality(spark: SparkSession, directory: str) -> DataFrame:
     from storelens.llm.quality import score_quality
 
@@ -102,4 +111,4 @@ def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {"op1_quality": op1_quality, "op2_chat": op2_chat, "op3_licenses": op3_licenses, "op4_quality_rules": op4_quality_rules, "op5_pack": op5_pack, "op6_html": op6_html, "op7_language": op7_language, "op8_decontaminate": op8_decontaminate, "op9_token_counts": op9_token_counts, "op10_simhash": op10_simhash}
+    return {"op1_quality": op1_quality, "op2_chat": op2_chat, "op3_licenses": op3_licenses, "op4_quality_rules": op4_quality_rules, "op5_pack": op5_pack, "op6_html": op6_html, "op7_language": op7_language, "op8_decontaminate": op8_decontaminate, "op8_proximity": op8_proximity, "op9_token_counts": op9_token_counts, "op10_simhash": op10_simhash}

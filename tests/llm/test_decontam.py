@@ -79,6 +79,49 @@ def test_proximity_takes_a_changed_word(spark):
     assert {r["doc_id"]: (r.n_hit, r.n_near) for r in judged.select("_row.doc_id", "n_hit", "n_near").collect()} == {1: (0, 1), 2: (0, 0)}
 
 
+def brute_near(docs, items, window=10, near=8):
+    out = {}
+    for doc, text in docs:
+        w, found = words(text), set()
+        for item, given in items:
+            v = words(given)
+            shift = decontam.SHIFT if len(v) >= near else 0
+            for s in range(max(len(v) - window, 0) + 1 if v else 0):
+                for d in range(-len(v), len(w)):
+                    best = {}  # longest chain of words in order that ends on a place of the document
+                    for p in range(s, min(s + window, len(v))):
+                        new = {p + o: 1 + max((c for q, c in best.items() if q < p + o), default=0) for o in range(d, d + shift + 1) if 0 <= p + o < len(w) and w[p + o] == v[p]}
+                        best |= {q: max(c, best.get(q, 0)) for q, c in new.items()}
+                    if max(best.values(), default=0) >= min(near, len(v)):
+                        found.add(str(item))
+        out[doc] = len(found)
+    return out
+
+
+def test_proximity_like_brute_force(spark):
+    from random import Random
+
+    draw = Random(5)
+    rare = [f"w{k}" for k in range(60)]
+    items = [(k, " ".join(draw.choice(rare + ["the", "of"] * 8) for _ in range(n))) for k, n in enumerate([10, 10, 10, 12, 14, 9, 8, 7, 3, 1, 10, 10])]
+    docs = [(900, " ".join(rare)), (901, "the of " * 20), (902, "")]
+    for k, text in items:
+        for changes in range(6):
+            w = text.split()
+            for _ in range(changes):
+                at, kind = draw.randrange(len(w) + 1), draw.randrange(3)
+                w[at : at + (kind > 0)] = [draw.choice(rare)] if kind < 2 else []
+            docs.append((10 * k + changes, " ".join(["x", *draw.sample(rare, 3), *w, *draw.sample(rare, 2)])))
+    ten = items[0][1].split()
+    docs += [(1000 + k, " ".join([*ten[:k], "changed", *ten[k + 1 :]])) for k in range(10)]  # the rarest word is one of them
+    docs += [(1010 + k, " ".join([*ten[:k], "changed", ten[k + 1], "changed", *ten[k + 3 :]])) for k in range(8)]  # both words beside one
+    docs += [(1020 + k, " ".join([*ten[:k], "put", *ten[k:]])) for k in range(11)]
+    judged, _ = decontam.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), carry=("_row",))
+    got = {r.doc_id: r.n_near for r in judged.select("_row.doc_id", "n_near").collect()}
+    assert got == brute_near(docs, items)
+    assert all(got[k] for k in range(1000, 1031) if k not in (1018, 1019))
+
+
 def test_clean_documents_keep_their_columns(spark):
     docs = cases.documents(spark)
     clean = decontam.clean_documents(docs, cases.benchmark(spark))
