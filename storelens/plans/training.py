@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -10,7 +12,6 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -109,15 +110,24 @@ def stratified_folds(df: DataFrame, label: str, folds: int, seed: int = SEED, na
     return sliced.withColumn("_k", within).join(F.broadcast(before), [label, "_s"]).withColumn(name, F.pmod(F.col("_before") + F.col("_k"), F.lit(folds)).cast("int")).select(*df.columns, name)
 
 
-def random_search(estimator, grid: dict[str, list], evaluator: Evaluator, train: DataFrame, search: Search):
-    """Best model of the drawn settings by cross-validation over stratified folds, and its mean score."""
+def random_search(estimator, grid: dict[str, list], evaluator: Evaluator, train: DataFrame, search: Search, balance: Callable[[DataFrame], DataFrame] | None = None):
+    """Best model of the drawn settings by cross-validation over stratified folds, and its mean score.
+
+    ``balance`` is applied to what a model is fitted on: the other folds, in the end all rows. Folds hold given rows only,
+    so that no row made from a fold takes part in training for it.
+    """
     maps = [{estimator.getParam(k): v for k, v in draw.items()} for draw in random_draws(search.grid(grid), search.n_iter)]
-    validator = CrossValidator(
-        estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, numFolds=search.folds, foldCol="fold", seed=SEED, parallelism=search.parallelism
-    )
-    fitted = validator.fit(materialize(stratified_folds(train, "label", search.folds)))
-    scores = fitted.avgMetrics
-    return fitted.bestModel, float(max(scores) if evaluator.isLargerBetter() else min(scores))
+    folded = materialize(stratified_folds(train, "label", search.folds))
+    balance = balance or (lambda rows: rows)
+    sums = [0.0] * len(maps)
+    for k in range(search.folds):
+        fitted_on, held = balance(folded.filter(F.col("fold") != k).drop("fold")), folded.filter(F.col("fold") == k)
+        with ThreadPoolExecutor(search.parallelism) as pool:
+            scores = pool.map(lambda m: evaluator.evaluate(estimator.fit(fitted_on, m).transform(held)), maps)
+            sums = [a + b for a, b in zip(sums, scores)]
+    means = [x / search.folds for x in sums]
+    best = (max if evaluator.isLargerBetter() else min)(range(len(maps)), key=lambda i: means[i])
+    return estimator.fit(balance(train), maps[best]), float(means[best])
 
 
 def split_sets(df: DataFrame, label: str, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -133,6 +143,11 @@ def oversample(prepared: DataFrame) -> DataFrame:
     return materialize(balanced.select("label", array_to_vector("vec").alias("features")))
 
 
+def oversample_weighted(prepared: DataFrame) -> DataFrame:
+    """The balanced training vectors with their class weights."""
+    return materialize(prep.balanced_weights(oversample(prepared), "label"))
+
+
 def score(model, prepared: DataFrame, keys: list[str]) -> DataFrame:
     out = model.transform(prepared)
     return out.select(
@@ -167,10 +182,10 @@ def train_churn(features: DataFrame, search: Search | None = None, use_value_wei
     prepared = prepare.transform(train)
     trees = GBTClassifier(seed=SEED)
     if use_value_weights:
-        rows, trees = prepared.select("label", "features", "sample_weight"), trees.setWeightCol("sample_weight")
+        rows, balance, trees = prepared.select("label", "features", "sample_weight"), None, trees.setWeightCol("sample_weight")
     else:
-        rows = oversample(prepared)
-    best, cv = random_search(trees, CHURN_GRID, BinaryClassificationEvaluator(metricName="areaUnderROC"), rows, search)
+        rows, balance = prepared.select("label", "features"), oversample
+    best, cv = random_search(trees, CHURN_GRID, BinaryClassificationEvaluator(metricName="areaUnderROC"), rows, search, balance)
     model = PipelineModel(stages=[*prepare.stages, best])
     scored = materialize(score(model, test, ["customer_id"]))
     threshold = evaluate.threshold_balanced(scored).first()["threshold"]
@@ -204,15 +219,14 @@ def train_delivery(features: DataFrame, search: Search | None = None) -> tuple[T
     indexer = _state_indexer(features)
     train, test = split_sets(prep.fill_zero(encode_states(indexer, features), DELIVERY_FEATURES), "is_late", keys)
     assembler = _assembled(DELIVERY_FEATURES)
-    balanced = oversample(assembler.transform(train))
-    weighted = materialize(prep.balanced_weights(balanced, "label"))
+    rows = assembler.transform(train).select("label", "features")
     f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
 
     candidates: dict[str, tuple[object, float]] = {}
-    candidates["GradientBoosting"] = random_search(GBTClassifier(seed=SEED, weightCol="weight"), DELIVERY_GBT_GRID, f1, weighted, search)
-    candidates["RandomForest"] = random_search(RandomForestClassifier(seed=SEED, weightCol="weight"), DELIVERY_FOREST_GRID, f1, weighted, search)
+    candidates["GradientBoosting"] = random_search(GBTClassifier(seed=SEED, weightCol="weight"), DELIVERY_GBT_GRID, f1, rows, search, oversample_weighted)
+    candidates["RandomForest"] = random_search(RandomForestClassifier(seed=SEED, weightCol="weight"), DELIVERY_FOREST_GRID, f1, rows, search, oversample_weighted)
     fixed = GBTClassifier(seed=SEED, weightCol="weight", **search.limit(DELIVERY_FIXED))
-    candidates["WeightedBoosting"] = (fixed.fit(prep.positive_weight(balanced, "label")), float("nan"))
+    candidates["WeightedBoosting"] = (fixed.fit(prep.positive_weight(oversample(rows), "label")), float("nan"))
 
     scored = {n: materialize(score(PipelineModel(stages=[assembler, m]), test, keys)) for n, (m, _) in candidates.items()}
     auc = {n: evaluate.roc_auc(s).first()["roc_auc"] for n, s in scored.items()}
@@ -230,12 +244,11 @@ def train_sentiment(features: DataFrame, search: Search | None = None) -> Traine
     labelled = features.withColumn("positive", (F.col("sentiment") == "Positive").cast("int"))
     train, test = split_sets(prep.fill_zero(labelled, SENTIMENT_FEATURES), "positive", keys)
     assembler = _assembled(SENTIMENT_FEATURES)
-    balanced = oversample(assembler.transform(train))
-    weighted = materialize(prep.balanced_weights(balanced, "label"))
+    rows = assembler.transform(train).select("label", "features")
     macro = MacroF1()
     candidates = {
-        "RandomForest": random_search(RandomForestClassifier(seed=SEED, weightCol="weight"), SENTIMENT_FOREST_GRID, macro, weighted, search),
-        "GradientBoosting": random_search(GBTClassifier(seed=SEED), SENTIMENT_GBT_GRID, macro, balanced, search),
+        "RandomForest": random_search(RandomForestClassifier(seed=SEED, weightCol="weight"), SENTIMENT_FOREST_GRID, macro, rows, search, oversample_weighted),
+        "GradientBoosting": random_search(GBTClassifier(seed=SEED), SENTIMENT_GBT_GRID, macro, rows, search, oversample),
     }
     scored = {n: materialize(score(PipelineModel(stages=[assembler, m]), test, keys)) for n, (m, _) in candidates.items()}
     quality = {n: evaluate.f1_macro(s).first()["f1_macro"] for n, s in scored.items()}

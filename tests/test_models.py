@@ -284,6 +284,14 @@ def test_forecast_run_is_recorded(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == predicted.count() == 36
 
 
+def test_rows_are_balanced_inside_each_fold(churn_rows, monkeypatch):
+    seen = []
+    plain = training.oversample
+    monkeypatch.setattr(training, "oversample", lambda rows: seen.append(rows.count()) or plain(rows))
+    training.train_churn(churn_rows, TINY)
+    assert len(seen) == 3 and abs(seen[0] - seen[1]) <= 2 and seen[0] + seen[1] == seen[2]  # two folds of given rows, then all
+
+
 def test_registered_training_searches_in_full(monkeypatch):
     from storelens import registry
 
