@@ -110,5 +110,23 @@ def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return found.select(F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: What a leaf of the manifest is made of.
+OP11_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle(spark: SparkSession, directory: str) -> DataFrame:
+    """Proofs of all documents, checked against a copy of the table in which every third document is tampered with."""
+    from storelens.llm.merkle import folded, leaf, manifest, proof_digest, tampered
+
+    docs = _table(spark, directory, "documents").select(*OP11_FIELDS)
+    changed = leaf([tampered(F.col(c)) if c == "text" else F.col(c) for c in OP11_FIELDS])
+    later = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, changed)
+    built = manifest(docs, OP11_FIELDS, carry={"later": later})
+    rows = built.proofs()
+    rows = rows.select(F.col("key").alias("doc_id"), "leaf", "subroot", F.lit(built.root).cast("string").alias("root"), proof_digest(F.col("path")).alias("proof_sha256"),
+                       folded(F.coalesce("later", "leaf"), F.col("path")).alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def registered() -> dict[str, Query]:
-    return {"op1_quality": op1_quality, "op2_chat": op2_chat, "op3_licenses": op3_licenses, "op4_quality_rules": op4_quality_rules, "op5_pack": op5_pack, "op6_html": op6_html, "op7_language": op7_language, "op8_decontaminate": op8_decontaminate, "op8_proximity": op8_proximity, "op9_token_counts": op9_token_counts, "op10_simhash": op10_simhash}
+    return {"op1_quality": op1_quality, "op2_chat": op2_chat, "op3_licenses": op3_licenses, "op4_quality_rules": op4_quality_rules, "op5_pack": op5_pack, "op6_html": op6_html, "op7_language": op7_language, "op8_decontaminate": op8_decontaminate, "op8_proximity": op8_proximity, "op9_token_counts": op9_token_counts, "op10_simhash": op10_simhash, "op11_merkle": op11_merkle}

@@ -75,5 +75,62 @@ FROM d LEFT JOIN base USING (u) LEFT JOIN every USING (u)
 OP3 = _op3()
 
 
+#: CRC-32 of decimal digits, over a table of 256 entries made from its polynomial.
+_CRC_TABLE = "list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END))"
+_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"""
+
+
+def _op11(levels: int = 10) -> str:
+    """Trees of eight, level by level; ``levels`` hold 8 ** levels rows a language and as many languages."""
+
+    def written(c: str) -> str:
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join([*map(written, ("doc_id", "source", "lang", "n_chars")), written(text)]) + ")"
+
+    def tree(name: str, leaves: str) -> str:
+        """CTEs name_k(g, pos, m, d): the nodes of level k; and name_run_k(g, run, ds), those with siblings, in runs."""
+        out = [f"{name}_0 AS ({leaves})"]
+        for k in range(levels):
+            out.append(f"{name}_run_{k} AS (SELECT g, pos // 8 AS run, max(m) AS m, list(d ORDER BY pos) AS ds FROM {name}_{k} WHERE m > 1 GROUP BY g, pos // 8)")
+            out.append(f"{name}_{k + 1} AS (SELECT g, run AS pos, (m + 7) // 8 AS m, sha256(array_to_string(ds, '')) AS d FROM {name}_run_{k} "
+                       f"UNION ALL SELECT * FROM {name}_{k} WHERE m = 1)")
+        return ",\n".join(out)
+
+    def climb(name: str, first: str) -> str:
+        """CTEs up_<name>_k: every row with its digest folded up to level k, and the siblings so far."""
+        out, before = [], first
+        for k in range(levels):
+            i, run = f"b.p // {8**k} % 8 + 1", f"b.p // {8 ** (k + 1)}"
+            out.append(
+                f"up_{name}_{k} AS (SELECT b.* EXCLUDE (h, proof), "
+                f"CASE WHEN r.ds IS NULL THEN b.h ELSE sha256(array_to_string(r.ds[:{i} - 1], '') || b.h || array_to_string(r.ds[{i} + 1:], '')) END AS h, "
+                f"CASE WHEN r.ds IS NULL THEN b.proof ELSE b.proof || array_to_string(r.ds[:{i} - 1], '') || array_to_string(r.ds[{i} + 1:], '') END AS proof "
+                f"FROM {before} b LEFT JOIN {name}_run_{k} r ON r.g = b.g AND r.run = {run})"
+            )
+            before = f"up_{name}_{k}"
+        return ",\n".join(out)
+
+    return f"""
+WITH t AS (SELECT {_CRC_TABLE} AS t),
+d AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {leaf("text")} AS leaf, CASE WHEN {_CRC} % 3 = 0 THEN {leaf(_LOWER.format("text"))} END AS later FROM documents, t),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY g) AS m FROM d),
+{tree("n", "SELECT g, p AS pos, m, leaf AS d FROM placed")},
+subroots AS (SELECT g AS lang_key, d AS subroot, row_number() OVER (ORDER BY g) - 1 AS q, count(*) OVER () AS m FROM n_{levels}),
+{tree("s", "SELECT '' AS g, q AS pos, m, subroot AS d FROM subroots")},
+start AS (SELECT doc_id, g, p, leaf, coalesce(later, leaf) AS h, '' AS proof FROM placed),
+{climb("n", "start")},
+middle AS (SELECT u.doc_id, u.leaf, u.h, u.proof, s.subroot, '' AS g, s.q AS p FROM up_n_{levels - 1} u JOIN subroots s ON s.lang_key = u.g),
+{climb("s", "middle")}
+SELECT doc_id, leaf, subroot, s_{levels}.d AS root, sha256(proof) AS proof_sha256, h AS folded_root, h = s_{levels}.d AS verified
+FROM up_s_{levels - 1}, s_{levels}
+"""
+
+
+OP11 = _op11()
+
+
 def statements() -> dict[str, str]:
-    return {"op2_chat": OP2, "op3_licenses": OP3, "op8_decontaminate": OP8}
+    return {"op2_chat": OP2, "op3_licenses": OP3, "op8_decontaminate": OP8, "op11_merkle": OP11}
