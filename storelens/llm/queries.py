@@ -128,5 +128,11 @@ def op11_merkle(spark: SparkSession, directory: str) -> DataFrame:
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_whitening(spark: SparkSession, directory: str) -> DataFrame:
+    from storelens.llm.whitening import whiten
+
+    return whiten(_table(spark, directory, "embeddings").select("vec_id", "embedding"))
+
+
 def registered() -> dict[str, Query]:
-    return {"op1_quality": op1_quality, "op2_chat": op2_chat, "op3_licenses": op3_licenses, "op4_quality_rules": op4_quality_rules, "op5_pack": op5_pack, "op6_html": op6_html, "op7_language": op7_language, "op8_decontaminate": op8_decontaminate, "op8_proximity": op8_proximity, "op9_token_counts": op9_token_counts, "op10_simhash": op10_simhash, "op11_merkle": op11_merkle}
+    return {"op1_quality": op1_quality, "op2_chat": op2_chat, "op3_licenses": op3_licenses, "op4_quality_rules": op4_quality_rules, "op5_pack": op5_pack, "op6_html": op6_html, "op7_language": op7_language, "op8_decontaminate": op8_decontaminate, "op8_proximity": op8_proximity, "op9_token_counts": op9_token_counts, "op10_simhash": op10_simhash, "op11_merkle": op11_merkle, "op12_whitening": op12_whitening}
