@@ -134,5 +134,12 @@ def op12_whitening(spark: SparkSession, directory: str) -> DataFrame:
     return whiten(_table(spark, directory, "embeddings").select("vec_id", "embedding"))
 
 
+def op13_minhash(spark: SparkSession, directory: str) -> DataFrame:
+    from storelens.llm.minhash import near_copies
+
+    found = near_copies(_table(spark, directory, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def registered() -> dict[str, Query]:
-    return {"op1_quality": op1_quality, "op2_chat": op2_chat, "op3_licenses": op3_licenses, "op4_quality_rules": op4_quality_rules, "op5_pack": op5_pack, "op6_html": op6_html, "op7_language": op7_language, "op8_decontaminate": op8_decontaminate, "op8_proximity": op8_proximity, "op9_token_counts": op9_token_counts, "op10_simhash": op10_simhash, "op11_merkle": op11_merkle, "op12_whitening": op12_whitening}
+    return {"op1_quality": op1_quality, "op2_chat": op2_chat, "op3_licenses": op3_licenses, "op4_quality_rules": op4_quality_rules, "op5_pack": op5_pack, "op6_html": op6_html, "op7_language": op7_language, "op8_decontaminate": op8_decontaminate, "op8_proximity": op8_proximity, "op9_token_counts": op9_token_counts, "op10_simhash": op10_simhash, "op11_merkle": op11_merkle, "op12_whitening": op12_whitening, "op13_minhash": op13_minhash}

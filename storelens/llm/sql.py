@@ -132,5 +132,20 @@ FROM up_s_{levels - 1}, s_{levels}
 OP11 = _op11()
 
 
+OP13 = rf"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS u, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT u, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+c AS (SELECT list_sort(s) AS s, min(u) AS c, min(doc_id) AS least FROM s WHERE len(s) > 0 GROUP BY list_sort(s)),
+p AS (SELECT c, len(s) AS n, unnest(s) AS x FROM c),
+links AS (SELECT a.c AS a, b.c AS b FROM p a JOIN p b ON a.x = b.x AND a.c <> b.c GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(a, b) AS (SELECT c, c FROM c UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+component AS (SELECT r.a, min(c.least) AS component_id FROM reach r JOIN c ON c.c = r.b GROUP BY r.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, CASE WHEN len(s.s) = 0 THEN s.doc_id ELSE component_id END AS component_id,
+       s.doc_id IS NOT DISTINCT FROM (CASE WHEN len(s.s) = 0 THEN s.doc_id ELSE component_id END) AS kept
+FROM s LEFT JOIN c ON c.s = list_sort(s.s) LEFT JOIN component k ON k.a = c.c
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op2_chat": OP2, "op3_licenses": OP3, "op8_decontaminate": OP8, "op11_merkle": OP11}
+    return {"op2_chat": OP2, "op3_licenses": OP3, "op8_decontaminate": OP8, "op11_merkle": OP11, "op13_minhash": OP13}
