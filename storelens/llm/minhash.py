@@ -8,7 +8,7 @@ signature as filter. So all links between components are found, without pairing
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -96,13 +96,18 @@ def _described(part: pa.RecordBatch) -> list[pa.Array]:
         signs.append(signature[row].astype(np.uint32).tobytes() if len(s) else None)
         row += bool(len(s))
     return [pa.array([len(s) for s in sets], pa.int64()), pa.array([int(m[0]) for m in marks], pa.int64()), pa.array([int(m[1]) for m in marks], pa.int64()),
-            pa.array(key_lists, pa.list_(pa.int64())), pa.array(signs, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+            pa.array(key_lists, pa.list_(pa.int64())), pa.array(signs, pa.binary())]
 
 
 _FIELDS = [
     T.StructField("uid", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()),
-    T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("signature", T.BinaryType()), T.StructField("shingles", T.BinaryType()),
+    T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("signature", T.BinaryType()),
 ]
+_SETS = [T.StructField("shingles", T.BinaryType())]
+
+
+def _set_bytes(part: pa.RecordBatch) -> list[pa.Array]:
+    return [pa.array([s.tobytes() for s in shingle_sets(part.column("_text"))], pa.binary())]
 
 
 # -- links ----------------------------------------------------------------------------------------------------------------
@@ -117,7 +122,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) pairs whose full sets are similar. ``sets``: (node, shingles). A node of very many pairs is salted."""
+    """The (a, b) pairs whose full sets are similar. ``sets``: (node, shingles)."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,11 +130,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = [similar(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent) for x, y in zip(ours, theirs)]
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
 
+    return stored(_beside(pairs, sets, "shingles").mapInArrow(check, "a long, b long"))
+
+
+def _beside(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """(a, b, sa, sb): ``column`` of both nodes of a pair. A node of very many pairs is salted."""
     pairs = stored(pairs)
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    joined = skew_join(left, right, ["b"], "inner", pairs.groupBy("b").agg(F.count("*").alias("n")), _HOT)
-    return stored(joined.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long"))
+    left = pairs.join(table.select(F.col("node").alias("a"), F.col(column).alias("sa")), "a")
+    right = table.select(F.col("node").alias("b"), F.col(column).alias("sb"))
+    return skew_join(left, right, ["b"], "inner", pairs.groupBy("b").agg(F.count("*").alias("n")), _HOT).select("a", "b", "sa", "sb")
 
 
 def _leaders(postings: DataFrame, turn: int) -> DataFrame:
@@ -143,6 +152,18 @@ def _leaders(postings: DataFrame, turn: int) -> DataFrame:
     return shared.groupBy(F.col("node").alias("a")).agg(best.alias("best")).select("a", F.col("best.b").alias("b"))
 
 
+def _agreeing_leaders(pairs: DataFrame, signs: DataFrame, least: int) -> DataFrame:
+    """Pairs with enough equal signature values."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ours, theirs = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, VALUES) for c in ("sa", "sb"))
+            keep = pa.array((ours == theirs).sum(axis=1) >= least)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+
+    return _beside(pairs, signs, "signature").mapInArrow(check, "a long, b long")
+
+
 def _agreeing(a: tuple, b: tuple, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of different components with enough equal signature values; the shorter side is gone through."""
     if len(a[0]) > len(b[0]):
@@ -197,16 +218,17 @@ def _crossing(postings: DataFrame, nodes: DataFrame, least: int, block: int = BL
     return signed.groupBy("key", "i", "j").applyInPandas(_across(least), "a long, b long").distinct()
 
 
-def links(nodes: DataFrame, percent: int = LINK, least: int = LEAST, few: int = FEW, block: int = BLOCK) -> DataFrame:
+def links(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = LINK, least: int = LEAST, few: int = FEW, block: int = BLOCK) -> DataFrame:
     """(node, root) for every node that is linked with another one, over confirmed links.
 
-    ``nodes``: (node, keys, signature, shingles), stored, sets distinct and not empty.
+    ``nodes``: (node, keys, signature) of distinct sets that are not empty. ``sets_of`` gives (node, shingles) for a table of nodes; it is
+    asked once, for those that share a bucket with another node.
     """
     every = nodes.select("node", F.explode("keys").alias("key"))
-    shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stored(shared)
+    shared = stored(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     postings = stored(skew_join(every, shared.select("key"), ["key"], "inner", shared, _HOT))
-    active = stored(nodes.select("node", "signature", "shingles").join(postings.select("node").distinct(), "node"))
+    active = stored(postings.select("node").distinct())
+    signs, sets = stored(nodes.select("node", "signature").join(active, "node")), stored(sets_of(active))
     found, roots, turn = None, None, 0
     while True:
         if roots is None:
@@ -221,8 +243,8 @@ def links(nodes: DataFrame, percent: int = LINK, least: int = LEAST, few: int =
             return roots if roots is not None else postings.select("node", F.col("node").alias("root")).limit(0)
         postings = stored(skew_join(rooted, open_keys.select("key"), ["key"], "inner", open_keys.select("key", "n"), _HOT))
         last = turn > 0 and (work <= few * size or not grown)
-        pairs = _crossing(postings, active, least, block) if last else _leaders(postings, turn)
-        new = confirmed(pairs, active, percent)
+        pairs = _crossing(postings, signs, least, block) if last else _agreeing_leaders(_leaders(postings, turn), signs, least)
+        new = confirmed(pairs, sets, percent)
         grown = not new.isEmpty()
         if grown:
             found = new if found is None else found.unionByName(new)
@@ -244,13 +266,20 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     are linked. Repeated rows each come back. An empty table gives an empty table. Other columns may have any name.
     """
     rows = packed(docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_t")), "_t").select("_text", F.col("_row._id").alias("_id"))
+    rows = rows.withColumns({"t1": F.xxhash64("_id", "_text"), "t2": F.xxhash64("_text", "_id", F.lit(2))})  # finds a row again, in any scan
     state: dict = {}
-    table = stored(each_slice(rows, lambda part: [task_keys(state, part.num_rows), *_described(part)], _FIELDS, ["_id"]))
+    table = stored(each_slice(rows, lambda part: [task_keys(state, part.num_rows), *_described(part)], _FIELDS, ["_id", "t1", "t2"]))
+    full = table.where("n_shingles > 0")
     first = F.min(F.struct(F.col("_id").isNull(), "_id", "uid")).alias("first")
-    classes = stored(table.where("n_shingles > 0").groupBy("h1", "h2").agg(first, F.count("*").alias("n")).withColumn("node", F.col("first.uid")))
-    heavy = table.where("n_shingles > 0").select(F.col("uid").alias("node"), "keys", "signature", "shingles")
-    nodes = heavy.join(classes.select("node"), "node", "left_semi")
-    roots = links(stored(nodes), percent)
+    classes = stored(full.groupBy("h1", "h2").agg(first, F.count("*").alias("n")).withColumn("node", F.col("first.uid")))
+
+    def sets_of(active: DataFrame) -> DataFrame:
+        wanted = stored(full.select(F.col("uid").alias("node"), "t1", "t2").join(active, "node"))
+        sizes = full.groupBy("t1", "t2").agg(F.count("*").alias("n"))
+        texts = skew_join(rows.select("_text", "t1", "t2"), wanted, ["t1", "t2"], "inner", sizes, _HOT).select("node", "_text")
+        return each_slice(texts.dropDuplicates(["node"]), _set_bytes, _SETS, ["node"])
+
+    roots = links(full.select(F.col("uid").alias("node"), "keys", "signature").join(classes.select("node"), "node"), sets_of, percent)
     tree = stored(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     least = tree.groupBy("root").agg(F.min("first").alias("least"))
     sizes = tree.groupBy("root").agg(F.count("*").alias("n"))

@@ -85,7 +85,8 @@ def nodes_of(spark, rows):
             seen.add(s.tobytes())
             sign = minhash.signatures([s])
             out.append((d, minhash.band_keys(sign)[0].view(np.int64).tolist(), sign[0].astype(np.uint32).tobytes(), s.tobytes()))
-    return spark.createDataFrame(out, "node long, keys array<long>, signature binary, shingles binary")
+    table = spark.createDataFrame(out, "node long, keys array<long>, signature binary, shingles binary")
+    return table.drop("shingles"), lambda active: table.select("node", "shingles").join(active, "node")
 
 
 def test_chains_like_brute_force(spark):
@@ -97,13 +98,13 @@ def test_chains_like_brute_force(spark):
 def test_leaders_and_tiles_lose_no_link(spark, few, block):
     """More turns of leaders, or buckets cut into blocks of two and three nodes: the same components."""
     rows = list({plain_set(t): (d, t) for d, t in chains(2)}.values())
-    roots = {r["node"]: r["root"] for r in minhash.links(nodes_of(spark, rows), few=few, block=block).collect()}
+    roots = {r["node"]: r["root"] for r in minhash.links(*nodes_of(spark, rows), few=few, block=block).collect()}
     want = {d: c for d, _, c, _ in plain(rows)}
     assert all(roots.get(d, d) == c for d, c in want.items())
 
 
 def test_pairs_of_one_component_are_not_compared(spark):
-    nodes = nodes_of(spark, chains(3))
+    nodes, _ = nodes_of(spark, chains(3))
     postings = nodes.select(F.explode("keys").alias("key"), "node", F.lit(0).cast("long").alias("root"))
     assert minhash._crossing(postings, nodes, 0).count() == 0
 
