@@ -6,7 +6,6 @@ defaults are applied.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -16,7 +15,7 @@ from storelens.functions.numeric import round_to
 from storelens.functions.text import risk_band
 from storelens.plans.features import CHURN_FEATURES, DELIVERY_FEATURES, SENTIMENT_FEATURES
 from storelens.plans.prep import fill_zero
-from storelens.plans.training import encode_states
+from storelens.plans.training import TreeModel, encode_states
 
 # Defaults of the three request forms.
 CHURN_DEFAULTS = {
@@ -66,12 +65,12 @@ def _number(name: str) -> Column:
     return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
 
 
-def _apply(model: PipelineModel | FormulaModel, df: DataFrame, features: list[str]) -> DataFrame:
+def _apply(model: TreeModel | FormulaModel, df: DataFrame, features: list[str]) -> DataFrame:
     ready = fill_zero(_with_columns(df, features), features)
     return model.transform(ready).withColumn("_p", vector_to_array("probability"))
 
 
-def score_churn(model: PipelineModel | FormulaModel, requests: DataFrame, keys: list[str]) -> DataFrame:
+def score_churn(model: TreeModel | FormulaModel, requests: DataFrame, keys: list[str]) -> DataFrame:
     p = F.col("_p")[1]
     out = _apply(model, scoring_inputs(requests, CHURN_DEFAULTS), CHURN_FEATURES)
     return out.select(*keys, (p >= DECISION).cast("int").alias("churned"), round_to(p, 4).alias("churn_probability"), risk_band(p).alias("risk_level"))
@@ -90,7 +89,7 @@ def derive_delivery(requests: DataFrame) -> DataFrame:
     })
 
 
-def score_delivery(model: PipelineModel | FormulaModel, indexer: StringIndexerModel | None, requests: DataFrame, keys: list[str]) -> DataFrame:
+def score_delivery(model: TreeModel | FormulaModel, indexer: StringIndexerModel | None, requests: DataFrame, keys: list[str]) -> DataFrame:
     """Without an indexer the state codes count as zero."""
     p = F.col("_p")[1]
     derived = derive_delivery(requests)
@@ -113,7 +112,7 @@ def derive_sentiment(requests: DataFrame) -> DataFrame:
     })
 
 
-def score_sentiment(model: PipelineModel | FormulaModel, requests: DataFrame, keys: list[str]) -> DataFrame:
+def score_sentiment(model: TreeModel | FormulaModel, requests: DataFrame, keys: list[str]) -> DataFrame:
     p = F.col("_p")
     out = _apply(model, derive_sentiment(requests), SENTIMENT_FEATURES)
     return out.select(

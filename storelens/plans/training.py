@@ -1,83 +1,82 @@
-"""Model training on Spark ML: data preparation, seeded random search, selection, metrics."""
+"""Model training: data preparation, seeded random search over all draws and folds at once, selection, tree models, metrics.
+
+Models are fitted to at most ``FIT_ROWS`` training rows, a stratified sample in hash order; with fewer rows, all of them. Preparation,
+splits, scales, held-out scores and batch scoring cover every row. A search is one Spark job: each task takes one fold and the
+draws that share a run, because they differ only in how many trees they keep or how far trees are cut back.
+"""
 
 from __future__ import annotations
 
+import json
 import random
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+from decimal import ROUND_DOWN, Decimal
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from storelens.operators.neighbours import smote
+from storelens.operators import trees as T
 from storelens.plans import evaluate, prep
 from storelens.plans.features import CHURN_FEATURES, DELIVERY_FEATURES, SENTIMENT_FEATURES
-from storelens.session import materialize
+from storelens.session import materialize, stored
 
-# The searched settings, with Spark ML's names. An unlimited tree depth is Spark's
-# maximum; penalties on leaf weights have no counterpart.
+# The searched settings. A depth of None is no limit.
 CHURN_GRID = {
-    "maxIter": [100, 200, 300], "maxDepth": [3, 4, 5], "stepSize": [0.01, 0.05, 0.1], "subsamplingRate": [0.6, 0.8, 1.0],
-    "featureSubsetStrategy": ["0.6", "0.8", "1.0"], "minInstancesPerNode": [5, 10, 15],
+    "n_estimators": [100, 200, 300], "max_depth": [3, 4, 5], "learning_rate": [0.01, 0.05, 0.1], "subsample": [0.6, 0.8, 1.0],
+    "colsample_bytree": [0.6, 0.8, 1.0], "min_child_weight": [5, 10, 15], "reg_alpha": [0, 0.1, 0.5], "reg_lambda": [1.0, 1.5, 2.0],
+}
+DELIVERY_BOOSTING_GRID = {
+    "n_estimators": [100, 150, 200], "max_depth": [3, 4, 5], "learning_rate": [0.05, 0.1, 0.15], "subsample": [0.7, 0.8, 1.0],
 }
-DELIVERY_GBT_GRID = {
-    "maxIter": [100, 150, 200], "maxDepth": [3, 4, 5], "stepSize": [0.05, 0.1, 0.15], "subsamplingRate": [0.7, 0.8, 1.0],
+DELIVERY_FOREST_GRID = {"n_estimators": [100, 200, 300], "max_depth": [5, 8, 10, None], "min_samples_split": [2, 5, 10]}
+DELIVERY_FIXED = {"n_estimators": [200], "max_depth": [5], "learning_rate": [0.1]}
+SENTIMENT_FOREST_GRID = {
+    "n_estimators": [100, 200, 300], "max_depth": [6, 8, 10, None], "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4],
 }
-DELIVERY_FOREST_GRID = {"numTrees": [100, 200, 300], "maxDepth": [5, 8, 10, 30], "minInstancesPerNode": [1, 2, 5]}
-DELIVERY_FIXED = {"maxIter": 200, "maxDepth": 5, "stepSize": 0.1}
-SENTIMENT_FOREST_GRID = {"numTrees": [100, 200, 300], "maxDepth": [6, 8, 10, 30], "minInstancesPerNode": [1, 2, 4]}
-SENTIMENT_GBT_GRID = {
-    "maxIter": [100, 200, 300], "maxDepth": [3, 4, 5, 6], "stepSize": [0.01, 0.05, 0.1], "subsamplingRate": [0.7, 0.8, 1.0],
-    "featureSubsetStrategy": ["0.7", "0.8", "1.0"],
+SENTIMENT_BOOSTING_GRID = {
+    "n_estimators": [100, 200, 300], "max_depth": [3, 4, 5, 6], "learning_rate": [0.01, 0.05, 0.1], "subsample": [0.7, 0.8, 1.0],
+    "colsample_bytree": [0.7, 0.8, 1.0],
 }
 SEED = 42
+#: Training rows that models are fitted to; more are sampled down, each class by the same share.
+FIT_ROWS = 6000
 
 
 @dataclass
 class Search:
-    """How much to search. ``cap`` leaves larger tree counts and depths out of the grids, for trial runs; what is drawn stays distinct."""
+    """How much to search, and the rows that fits may see."""
 
     n_iter: int
     folds: int = 5
-    parallelism: int = 4
-    cap: dict[str, int] | None = None
+    fit_rows: int = FIT_ROWS
 
-    def limit(self, settings: dict) -> dict:
-        cap = self.cap or {}
-        return {k: min(v, cap[k]) if k in cap else v for k, v in settings.items()}
 
-    def grid(self, grid: dict[str, list]) -> dict[str, list]:
-        """Values above the cap become the cap, each value once."""
-        cap = self.cap or {}
-        return {k: list(dict.fromkeys(min(v, cap[k]) for v in values)) if k in cap else values for k, values in grid.items()}
+@dataclass(frozen=True)
+class Candidate:
+    """A kind of model with its grid. ``newton``: boosting whose splits are weighed by hessians. ``balance``: classes are evened out by oversampling before a fit."""
 
-
-@dataclass
-class Trained:
     name: str
-    model: PipelineModel
-    scored: DataFrame  # held-out rows with label and probability
-    cv_score: float
-    threshold: float
-    metrics: dict[str, float]
+    grid: dict
+    forest: bool = False
+    newton: bool = True
+    balance: bool = True
 
 
-class MacroF1(Evaluator):
-    """Unweighted mean of the per-class F1 of 0/1 predictions."""
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        predicted = dataset.select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
-        return float(evaluate.f1_macro(predicted).first()[0] or 0.0)
+@dataclass
+class Sample:
+    """The rows of the fits, in hash order within each class, with their folds."""
 
-    def isLargerBetter(self) -> bool:
-        return True
+    x: np.ndarray
+    y: np.ndarray
+    weight: np.ndarray
+    fold: np.ndarray
+    scale: np.ndarray  # deviations over all training rows, for distances
+    edges: list[np.ndarray] = field(default_factory=list)
 
 
 def random_draws(grid: dict[str, list], n_iter: int, seed: int = SEED) -> list[dict]:
@@ -97,37 +96,199 @@ def random_draws(grid: dict[str, list], n_iter: int, seed: int = SEED) -> list[d
     return [combination(i) for i in random.Random(seed).sample(range(total), min(n_iter, total))]
 
 
-def stratified_folds(df: DataFrame, label: str, folds: int, seed: int = SEED, name: str = "fold") -> DataFrame:
-    """Add the fold of each row, 0..folds-1: rows of a class in hash order take turns, so that folds keep the class shares.
+def bounded_sample(train: DataFrame, features: list[str], keys: list[str], search: Search, weight: str | None = None) -> Sample:
+    """At most ``search.fit_rows`` rows (and one a class, from rounding up), the same share of each class, the same ones under any partitioning."""
+    total = train.count()
+    if total > search.fit_rows:
+        share = (Decimal(search.fit_rows) / Decimal(total)).quantize(Decimal("1e-9"), rounding=ROUND_DOWN)
+        train_rows = prep.stratified_split(train, "label", keys, str(share), SEED + 1).filter("is_train = 1")
+    else:
+        train_rows = train
+    weighed = F.col(weight).cast("double") if weight else F.lit(1.0)
+    taken = train_rows.select(*features, F.col("label").cast("int").alias("_y"), weighed.alias("_w"), prep.row_hash(keys, SEED + 2).alias("_h"))
+    rows = taken.toPandas().sort_values(["_y", "_h"], kind="stable")  # bounded by fit_rows
+    deviations = train.agg(*[F.coalesce(F.nullif(F.stddev_pop(c), F.lit(0.0)), F.lit(1.0)) for c in features]).first()
+    x, y = rows[features].to_numpy(np.float64), rows["_y"].to_numpy()
+    fold = rows.groupby("_y").cumcount().to_numpy() % search.folds
+    return Sample(x, y, rows["_w"].to_numpy(np.float64), fold, np.array(deviations, np.float64), T.bin_edges(x) if len(x) else [])
+
+
+def _fit_data(sample: Sample, chosen: np.ndarray, balance: bool, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins, labels and weights of a fit; classes weigh the same, by oversampling or as the sample's weights say."""
+    x, y, weight = sample.x[chosen], sample.y[chosen], sample.weight[chosen]
+    if balance:
+        x, y = T.oversampled(x, y, sample.scale, seed)
+        counts = np.maximum(np.bincount(y, minlength=2), 1)
+        weight = len(y) / (2.0 * counts[y])
+    return T.binned(x, sample.edges), y, weight
+
+
+def _boosting(settings: dict, newton: bool) -> T.Boosting:
+    return T.Boosting(
+        settings["n_estimators"], settings["max_depth"], settings["learning_rate"], settings.get("subsample", 1.0), settings.get("colsample_bytree", 1.0),
+        float(settings.get("min_child_weight", 1 if newton else 0)), float(settings.get("reg_alpha", 0)), float(settings.get("reg_lambda", 1.0 if newton else 0.0)), newton,
+    )
+
+
+def _forest_limits(settings: dict, cut_back: bool = True) -> T.Limits:
+    depth, split = (settings["max_depth"], float(settings.get("min_samples_split", 2))) if cut_back else (None, 2.0)
+    return T.Limits(depth, float(settings.get("min_samples_leaf", 1)), split)
+
+
+def run_groups(candidate: Candidate, draws: list[dict]) -> list[list[int]]:
+    """Draws that one run serves: boosting that differs in the number of trees alone; forests that differ in number, depth and least split."""
+    free = ("n_estimators", "max_depth", "min_samples_split") if candidate.forest else ("n_estimators",)
+    groups: dict[tuple, list[int]] = {}
+    for i, draw in enumerate(draws):
+        groups.setdefault(tuple((k, v) for k, v in draw.items() if k not in free), []).append(i)
+    return list(groups.values())
+
+
+def fold_scores(candidate: Candidate, draws: list[dict], sample: Sample, fold: int, measure: str) -> list[float]:
+    """Score on the held fold of each draw of one run group."""
+    bins, y, weight = _fit_data(sample, sample.fold != fold, candidate.balance, SEED + fold)
+    held = sample.fold == fold
+    watch, truth, marks = T.binned(sample.x[held], sample.edges), sample.y[held], tuple(sorted({d["n_estimators"] for d in draws}))
+    if candidate.forest:
+        rules = sorted({(d["max_depth"], float(d["min_samples_split"])) for d in draws}, key=str)
+        limits, total, staged = _forest_limits(draws[0], False), np.zeros((len(rules), watch.shape[1])), {}
+        for t in range(marks[-1]):
+            total += T.forest_tree(bins, y, weight, limits, SEED, t).stops(watch, rules)
+            if t + 1 in marks:
+                staged[t + 1] = total / (t + 1)
+        found = [staged[d["n_estimators"]][rules.index((d["max_depth"], float(d["min_samples_split"])))] for d in draws]
+    else:
+        longest = {**draws[0], "n_estimators": marks[-1]}
+        _, _, logits = T.boost(bins, y, weight, _boosting(longest, candidate.newton), SEED, watch, marks)
+        found = [T.sigmoid(logits[d["n_estimators"]]) for d in draws]
+    return [T.MEASURES[measure](truth, p) for p in found]
+
 
-    The order is a hash of the whole row; the class and a slice of the hash bound each window, and turns go on from slice to slice.
+def random_search(spark: SparkSession, sample: Sample, candidates: list[Candidate], measure: str, search: Search) -> dict[str, tuple[dict, float]]:
+    """Best drawn settings of every candidate by mean score over the folds. All draws and folds of all candidates are tasks of one job.
+
+    Classes are balanced inside a fold: rows made from a fold never take part in a fit that is scored on it.
     """
-    hashed = df.withColumn("_h", F.xxhash64(*[c for c in df.columns if c != "features"], *([F.md5(vector_to_array("features").cast("string"))] if "features" in df.columns else []), F.lit(seed)))
-    sliced = materialize(hashed.withColumn("_s", F.pmod(F.col("_h"), F.lit(64))))
-    sizes = sliced.groupBy(label, "_s").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.select(label, "_s", (F.sum("n").over(W.partitionBy(label).orderBy("_s")) - F.col("n")).alias("_before"))
-    within = F.row_number().over(W.partitionBy(label, "_s").orderBy("_h")) - 1
-    return sliced.withColumn("_k", within).join(F.broadcast(before), [label, "_s"]).withColumn(name, F.pmod(F.col("_before") + F.col("_k"), F.lit(folds)).cast("int")).select(*df.columns, name)
+    drawn = {c.name: random_draws(c.grid, search.n_iter) for c in candidates}
+    units = [(c, group, fold) for c in candidates for group in run_groups(c, drawn[c.name]) for fold in range(search.folds)]
+    units.sort(key=lambda u: -max(drawn[u[0].name][i]["n_estimators"] for i in u[1]) * (3 if u[0].forest else drawn[u[0].name][u[1][0]]["max_depth"]))  # long runs first
+    data = spark.sparkContext.broadcast((sample, units, drawn))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sample, units, drawn = data.value
+        for batch in batches:
+            for unit in batch["id"].tolist():
+                candidate, group, fold = units[unit]
+                scores = fold_scores(candidate, [drawn[candidate.name][i] for i in group], sample, fold, measure)
+                yield pd.DataFrame({"name": candidate.name, "draw": group, "fold": fold, "score": scores})
 
+    rows = spark.range(0, len(units), 1, len(units)).mapInPandas(run, "name string, draw int, fold int, score double")
+    table = rows.toPandas()  # a row a draw and fold
+    data.unpersist()
+    best = {}
+    for c in candidates:
+        means = table[table["name"] == c.name].sort_values(["draw", "fold"]).groupby("draw")["score"].mean()
+        best[c.name] = (drawn[c.name][int(means.idxmax())], float(means.max()))
+    return best
 
-def random_search(estimator, grid: dict[str, list], evaluator: Evaluator, train: DataFrame, search: Search, balance: Callable[[DataFrame], DataFrame] | None = None):
-    """Best model of the drawn settings by cross-validation over stratified folds, and its mean score.
 
-    ``balance`` is applied to what a model is fitted on: the other folds, in the end all rows. Folds hold given rows only,
-    so that no row made from a fold takes part in training for it.
+# -- models as tables of nodes -------------------------------------------------------------------------------------------
+
+_NODES = "tree int, node int, feature int, threshold double, left int, gain double, value double, rows double"
+_TREES_PER_TASK = 10
+
+
+@dataclass
+class TreeModel:
+    """Trees as a table of nodes: a row goes to ``left`` where its feature is at most the threshold, else to left + 1; leaves have left -1.
+
+    ``kind`` boosting: the values reached are added to ``start`` and taken as log-odds. forest: their mean is the probability.
     """
-    maps = [{estimator.getParam(k): v for k, v in draw.items()} for draw in random_draws(search.grid(grid), search.n_iter)]
-    folded = materialize(stratified_folds(train, "label", search.folds))
-    balance = balance or (lambda rows: rows)
-    sums = [0.0] * len(maps)
-    for k in range(search.folds):
-        fitted_on, held = balance(folded.filter(F.col("fold") != k).drop("fold")), folded.filter(F.col("fold") == k)
-        with ThreadPoolExecutor(search.parallelism) as pool:
-            scores = pool.map(lambda m: evaluator.evaluate(estimator.fit(fitted_on, m).transform(held)), maps)
-            sums = [a + b for a, b in zip(sums, scores)]
-    means = [x / search.folds for x in sums]
-    best = (max if evaluator.isLargerBetter() else min)(range(len(maps)), key=lambda i: means[i])
-    return estimator.fit(balance(train), maps[best]), float(means[best])
+
+    kind: str
+    features: list[str]
+    start: float
+    n_trees: int
+    settings: dict
+    nodes: DataFrame
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``probability`` (of both classes) and ``prediction``. Nodes are bounded by the rows and trees of a fit and are sent to every worker."""
+        table = self.nodes.toPandas().sort_values(["tree", "node"])
+        first = np.concatenate([[0], np.cumsum(np.bincount(table["tree"], minlength=self.n_trees))[:-1]]).astype(np.int64) if len(table) else np.zeros(0, np.int64)
+        arrays = tuple(table[c].to_numpy() for c in ("feature", "threshold", "left", "value"))
+        model = df.sparkSession.sparkContext.broadcast((first, *arrays))
+        kind, start = self.kind, self.start
+
+        @F.pandas_udf("double")
+        def predict(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            first, feature, threshold, left, value = model.value
+            for columns in batches:
+                x = np.stack([c.to_numpy(np.float64) for c in columns], axis=1)
+                total, rows = np.zeros(len(x)), np.arange(len(x))
+                for root in first:
+                    at, going = np.full(len(x), root), rows
+                    while len(going):
+                        here = at[going]
+                        going, here = going[left[here] >= 0], here[left[here] >= 0]
+                        at[going] = root + left[here] + (x[going, feature[here]] > threshold[here])
+                    total += value[at]
+                yield pd.Series(T.sigmoid(start + total) if kind == "boosting" else total / max(len(first), 1))
+
+        p = F.col("_p1")
+        scored = df.withColumn("_p1", predict(*[F.col(c).cast("double") for c in self.features]))
+        return scored.withColumns({"probability": array_to_vector(F.array(F.lit(1.0) - p, p)), "prediction": (p >= 0.5).cast("double")}).drop("_p1")
+
+    def importance(self) -> DataFrame:
+        """(feature, importance): the share of all gains that splits on a feature bring. Features that are never used have none."""
+        spark = self.nodes.sparkSession
+        names = spark.createDataFrame(list(enumerate(self.features)), "feature int, name string")
+        gains = self.nodes.filter("left >= 0").groupBy("feature").agg(F.sum("gain").alias("gain"))
+        whole = gains.agg(F.sum("gain")).scalar()
+        joined = names.join(gains, "feature", "left")
+        return joined.select(F.col("name").alias("feature"), F.coalesce(F.col("gain") / whole, F.lit(0.0)).alias("importance"))
+
+
+def fit_model(spark: SparkSession, sample: Sample, candidate: Candidate, settings: dict, features: list[str]) -> TreeModel:
+    """The candidate with these settings, fitted to the whole sample; trees of a forest are dealt over tasks."""
+    n = settings["n_estimators"]
+    per_task = _TREES_PER_TASK if candidate.forest else n
+    data = spark.sparkContext.broadcast(sample)
+
+    def table(trees: list[T.Tree], number: int, edges: list[np.ndarray]) -> pd.DataFrame:
+        parts = []
+        for t, tree in enumerate(trees, number):
+            cut = [edges[f][b] if left >= 0 else np.nan for f, b, left in zip(tree.feature, tree.bin, tree.left)]
+            parts.append(pd.DataFrame({"tree": t, "node": np.arange(len(tree.left)), "feature": tree.feature, "threshold": cut, "left": tree.left,
+                                       "gain": tree.gain, "value": tree.value, "rows": tree.rows}))
+        return pd.concat(parts)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sample = data.value
+        for batch in batches:
+            for task in batch["id"].tolist():
+                bins, y, weight = _fit_data(sample, np.ones(len(sample.y), bool), candidate.balance, SEED - 1)
+                if candidate.forest:
+                    chosen = range(task * per_task, min(n, (task + 1) * per_task))
+                    made = [T.forest_tree(bins, y, weight, _forest_limits(settings), SEED, t) for t in chosen]
+                else:
+                    made, start, _ = T.boost(bins, y, weight, _boosting(settings, candidate.newton), SEED)
+                    made[0].value = made[0].value + start  # the table holds all there is to add
+                yield table(made, task * per_task, sample.edges)
+
+    tasks = -(-n // per_task)
+    nodes = stored(spark.range(0, tasks, 1, tasks).mapInPandas(run, _NODES), "nodes")
+    return TreeModel("forest" if candidate.forest else "boosting", features, 0.0, n, settings, nodes)
+
+
+@dataclass
+class Trained:
+    name: str
+    model: TreeModel
+    scored: DataFrame  # held-out rows with label and probability
+    cv_score: float
+    threshold: float
+    metrics: dict[str, float]
 
 
 def split_sets(df: DataFrame, label: str, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -137,17 +298,6 @@ def split_sets(df: DataFrame, label: str, keys: list[str]) -> tuple[DataFrame, D
     return split.filter("is_train = 1"), split.filter("is_train = 0")
 
 
-def oversample(prepared: DataFrame) -> DataFrame:
-    """Balance the training vectors; returns (label, features)."""
-    balanced = smote(prepared.select("label", vector_to_array("features").alias("vec")), "label", "vec")
-    return materialize(balanced.select("label", array_to_vector("vec").alias("features")))
-
-
-def oversample_weighted(prepared: DataFrame) -> DataFrame:
-    """The balanced training vectors with their class weights."""
-    return materialize(prep.balanced_weights(oversample(prepared), "label"))
-
-
 def score(model, prepared: DataFrame, keys: list[str]) -> DataFrame:
     out = model.transform(prepared)
     return out.select(
@@ -165,29 +315,32 @@ def _measure(scored: DataFrame, threshold: float) -> dict[str, float]:
     return {**_numbers(evaluate.metrics(predicted)), **_numbers(evaluate.roc_auc(scored))}
 
 
-def _assembled(features: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=features, outputCol="features")
+def _searched(train: DataFrame, test: DataFrame, features: list[str], keys: list[str], candidates: list[Candidate], measure: str, search: Search,
+              weight: str | None = None) -> dict[str, tuple[TreeModel, DataFrame, float]]:
+    """Each candidate's best model, its scored held-out rows, and its mean score over the folds. A grid of one point is not searched."""
+    spark = train.sparkSession
+    sample = bounded_sample(train, features, keys, search, weight)
+    several = [c for c in candidates if len(random_draws(c.grid, 2)) > 1]
+    best = random_search(spark, sample, several, measure, search) if several else {}
+    out = {}
+    for c in candidates:
+        settings, cv = best.get(c.name) or (random_draws(c.grid, 1)[0], float("nan"))
+        model = fit_model(spark, sample, c, settings, features)
+        out[c.name] = (model, materialize(score(model, test, keys)), cv)
+    return out
 
 
-def train_churn(features: DataFrame, search: Search | None = None, use_value_weights: bool = False) -> Trained:
-    """Boosted trees on scaled, balanced churn features; ROC-AUC picks the settings.
+def train_churn(features: DataFrame, search: Search | None = None, use_value_weights: bool = False, grid: dict | None = None) -> Trained:
+    """Second-order boosting with penalised leaves on balanced churn features; ROC-AUC picks the settings.
 
-    ``use_value_weights`` trains on the original rows with the value-based weights instead
-    of balancing them.
+    ``use_value_weights`` trains on the original rows with the value-based weights instead of balancing them. Trees need no scaled
+    features; only the distances of oversampling are scaled.
     """
     search = search or Search(n_iter=25)
     train, test = split_sets(prep.fill_zero(features, CHURN_FEATURES), "churned", ["customer_id"])
-    scale = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
-    prepare = Pipeline(stages=[VectorAssembler(inputCols=CHURN_FEATURES, outputCol="raw"), scale]).fit(train)
-    prepared = prepare.transform(train)
-    trees = GBTClassifier(seed=SEED)
-    if use_value_weights:
-        rows, balance, trees = prepared.select("label", "features", "sample_weight"), None, trees.setWeightCol("sample_weight")
-    else:
-        rows, balance = prepared.select("label", "features"), oversample
-    best, cv = random_search(trees, CHURN_GRID, BinaryClassificationEvaluator(metricName="areaUnderROC"), rows, search, balance)
-    model = PipelineModel(stages=[*prepare.stages, best])
-    scored = materialize(score(model, test, ["customer_id"]))
+    candidate = Candidate("GradientBoosting", grid or CHURN_GRID, balance=not use_value_weights)
+    weight = "sample_weight" if use_value_weights else None
+    model, scored, cv = _searched(train, test, CHURN_FEATURES, ["customer_id"], [candidate], "roc_auc", search, weight)["GradientBoosting"]
     threshold = evaluate.threshold_balanced(scored).first()["threshold"]
     measured = _measure(scored, threshold)
     measured.update(cv_auc=cv, cv_test_gap=evaluate.cv_test_gap(cv, measured["roc_auc"]), best_threshold=threshold)
@@ -212,57 +365,45 @@ def encode_states(indexer: StringIndexerModel, df: DataFrame) -> DataFrame:
     return indexed
 
 
-def train_delivery(features: DataFrame, search: Search | None = None) -> tuple[Trained, StringIndexerModel]:
-    """Three candidates on balanced rows; the best held-out ROC-AUC wins."""
+def train_delivery(features: DataFrame, search: Search | None = None, boosting: dict | None = None, forest: dict | None = None) -> tuple[Trained, StringIndexerModel]:
+    """Three candidates on balanced rows, settings by F1 of the late class; the best held-out ROC-AUC wins. The third has fixed settings."""
     search = search or Search(n_iter=15)
     keys = ["order_id", "order_item_id"]
     indexer = _state_indexer(features)
     train, test = split_sets(prep.fill_zero(encode_states(indexer, features), DELIVERY_FEATURES), "is_late", keys)
-    assembler = _assembled(DELIVERY_FEATURES)
-    rows = assembler.transform(train).select("label", "features")
-    f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
-
-    candidates: dict[str, tuple[object, float]] = {}
-    candidates["GradientBoosting"] = random_search(GBTClassifier(seed=SEED, weightCol="weight"), DELIVERY_GBT_GRID, f1, rows, search, oversample_weighted)
-    candidates["RandomForest"] = random_search(RandomForestClassifier(seed=SEED, weightCol="weight"), DELIVERY_FOREST_GRID, f1, rows, search, oversample_weighted)
-    fixed = GBTClassifier(seed=SEED, weightCol="weight", **search.limit(DELIVERY_FIXED))
-    candidates["WeightedBoosting"] = (fixed.fit(prep.positive_weight(oversample(rows), "label")), float("nan"))
-
-    scored = {n: materialize(score(PipelineModel(stages=[assembler, m]), test, keys)) for n, (m, _) in candidates.items()}
-    auc = {n: evaluate.roc_auc(s).first()["roc_auc"] for n, s in scored.items()}
+    fixed = DELIVERY_FIXED if boosting is None else {k: v[:1] for k, v in boosting.items()}
+    candidates = [
+        Candidate("GradientBoosting", boosting or DELIVERY_BOOSTING_GRID, newton=False),
+        Candidate("RandomForest", forest or DELIVERY_FOREST_GRID, forest=True),
+        Candidate("WeightedBoosting", fixed),
+    ]
+    found = _searched(train, test, DELIVERY_FEATURES, keys, candidates, "f1", search)
+    auc = {n: evaluate.roc_auc(scored).first()["roc_auc"] for n, (_, scored, _) in found.items()}
     name = max(auc, key=lambda n: auc[n])
-    threshold = evaluate.threshold_target_recall(scored[name]).first()["threshold"]
-    measured = {**_measure(scored[name], threshold), "best_threshold": threshold}
-    model = PipelineModel(stages=[assembler, candidates[name][0]])
-    return Trained(name, model, scored[name], candidates[name][1], threshold, measured), indexer
+    model, scored, cv = found[name]
+    threshold = evaluate.threshold_target_recall(scored).first()["threshold"]
+    measured = {**_measure(scored, threshold), "best_threshold": threshold}
+    return Trained(name, model, scored, cv, threshold, measured), indexer
 
 
-def train_sentiment(features: DataFrame, search: Search | None = None) -> Trained:
+def train_sentiment(features: DataFrame, search: Search | None = None, boosting: dict | None = None, forest: dict | None = None) -> Trained:
     """Forest against boosted trees by held-out macro F1; the forest wins a tie."""
     search = search or Search(n_iter=15)
     keys = ["order_id", "order_item_id"]
     labelled = features.withColumn("positive", (F.col("sentiment") == "Positive").cast("int"))
     train, test = split_sets(prep.fill_zero(labelled, SENTIMENT_FEATURES), "positive", keys)
-    assembler = _assembled(SENTIMENT_FEATURES)
-    rows = assembler.transform(train).select("label", "features")
-    macro = MacroF1()
-    candidates = {
-        "RandomForest": random_search(RandomForestClassifier(seed=SEED, weightCol="weight"), SENTIMENT_FOREST_GRID, macro, rows, search, oversample_weighted),
-        "GradientBoosting": random_search(GBTClassifier(seed=SEED), SENTIMENT_GBT_GRID, macro, rows, search, oversample),
-    }
-    scored = {n: materialize(score(PipelineModel(stages=[assembler, m]), test, keys)) for n, (m, _) in candidates.items()}
-    quality = {n: evaluate.f1_macro(s).first()["f1_macro"] for n, s in scored.items()}
+    candidates = [Candidate("RandomForest", forest or SENTIMENT_FOREST_GRID, forest=True), Candidate("GradientBoosting", boosting or SENTIMENT_BOOSTING_GRID)]
+    found = _searched(train, test, SENTIMENT_FEATURES, keys, candidates, "f1_macro", search)
+    quality = {n: evaluate.f1_macro(scored).first()["f1_macro"] for n, (_, scored, _) in found.items()}
     name = max(quality, key=lambda n: quality[n])
-    measured = {**_measure(scored[name], 0.5), "cv_best_f1": candidates[name][1]}
-    model = PipelineModel(stages=[assembler, candidates[name][0]])
-    return Trained(name, model, scored[name], candidates[name][1], 0.5, measured)
+    model, scored, cv = found[name]
+    return Trained(name, model, scored, cv, 0.5, {**_measure(scored, 0.5), "cv_best_f1": cv})
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel, features: list[str], n: int | None = None) -> DataFrame:
-    """(feature, importance), most important first."""
-    values = model.stages[-1].featureImportances.toArray()
-    rows = sorted(zip(features, map(float, values)), key=lambda r: (-r[1], r[0]))
-    return spark.createDataFrame(rows[:n], "feature string, importance double")
+def feature_importance(spark: SparkSession, model: TreeModel, features: list[str], n: int | None = None) -> DataFrame:
+    """(feature, importance), most important first; ties by name."""
+    ordered = model.importance().filter(F.col("feature").isin(features)).orderBy(F.desc("importance"), "feature")
+    return ordered if n is None else ordered.limit(n)
 
 
 def log_metrics(spark: SparkSession, path: str, run_id: str, model: str, params: dict, metrics: dict) -> None:
@@ -275,9 +416,14 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: TreeModel, path: str) -> None:
+    """The node table and, beside it, one row that describes the model."""
+    model.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+    about = json.dumps({"kind": model.kind, "features": model.features, "start": model.start, "n_trees": model.n_trees, "settings": model.settings})
+    model.nodes.sparkSession.createDataFrame([(about,)], "about string").coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, spark: SparkSession | None = None) -> TreeModel:
+    spark = spark or SparkSession.getActiveSession()
+    about = json.loads(spark.read.parquet(f"{path}/about").first()["about"])
+    return TreeModel(nodes=spark.read.schema(_NODES).parquet(f"{path}/nodes"), **about)

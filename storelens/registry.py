@@ -356,7 +356,7 @@ def _evaluation_queries() -> dict[str, Query]:
     }
 
 
-# Searches of the registered training queries: all draws and folds, whole grids.
+# Searches of the registered training queries: all draws and folds, whole grids, fitted to training.FIT_ROWS rows at most.
 CHURN_SEARCH, DELIVERY_SEARCH, SENTIMENT_SEARCH = training.Search(n_iter=25), training.Search(n_iter=15), training.Search(n_iter=15)
 _trained: dict[tuple, object] = {}
 
@@ -385,7 +385,7 @@ def _logged(w: Warehouse, trained: training.Trained, inputs: list[str]) -> DataF
     """Metrics as written to and read back from the metrics table."""
     spark = w.fact_orders.sparkSession
     path = _fresh_path(spark, "metrics")
-    params = {"threshold": trained.threshold, "features_count": len(inputs)}
+    params = {"threshold": trained.threshold, "features_count": len(inputs), "best_params": trained.model.settings}
     training.log_metrics(spark, path, uuid.uuid4().hex, trained.name, params, trained.metrics)
     return training.read_metrics(spark, path).drop("run_id")
 
@@ -393,7 +393,7 @@ def _logged(w: Warehouse, trained: training.Trained, inputs: list[str]) -> DataF
 def _reloaded(w: Warehouse, trained: training.Trained):
     path = _fresh_path(w.fact_orders.sparkSession, "model")
     training.save_model(trained.model, path)
-    return training.load_model(path)
+    return training.load_model(path, w.fact_orders.sparkSession)
 
 
 def _requests(w: Warehouse) -> DataFrame:

@@ -75,19 +75,15 @@ def test_smote_balances_every_class(spark):
         neighbours.smote(spark.createDataFrame([(None, [1.0]), (1, [1.0])], "label int, vec array<double>"), "label", "vec")
 
 
-def test_draws_are_distinct_under_a_cap():
-    search = training.Search(n_iter=10, cap={"numTrees": 20, "maxDepth": 5})
-    for grid in (training.DELIVERY_FOREST_GRID, training.SENTIMENT_FOREST_GRID):
-        draws = training.random_draws(search.grid(grid), search.n_iter)
-        assert len({tuple(sorted(d.items())) for d in draws}) == len(draws) and all(d["numTrees"] == 20 for d in draws)
-
-
 def test_folds_keep_the_class_shares(spark):
-    from pyspark.ml.functions import array_to_vector
-
-    df = spark.range(503).select((F.col("id") % 10 == 0).cast("double").alias("label"), array_to_vector(F.array(F.col("id").cast("double"))).alias("features"))
-    counts = {(r["label"], r["fold"]): r["count"] for r in training.stratified_folds(df, "label", 5).groupBy("label", "fold").count().collect()}
-    assert all(counts[0.0, k] in (90, 91) and counts[1.0, k] in (10, 11) for k in range(5))
+    df = spark.range(503).select("id", (F.col("id") % 10 == 0).cast("double").alias("label"), F.col("id").cast("double").alias("x"))
+    sample = training.bounded_sample(df, ["x"], ["id"], training.Search(1))
+    counts = {(y, k): int(((sample.y == y) & (sample.fold == k)).sum()) for y in (0, 1) for k in range(5)}
+    assert all(counts[0, k] in (90, 91) and counts[1, k] in (10, 11) for k in range(5))
+    less = training.bounded_sample(df.repartition(3), ["x"], ["id"], training.Search(1, fit_rows=100))
+    again = training.bounded_sample(df.repartition(7), ["x"], ["id"], training.Search(1, fit_rows=100))
+    assert len(less.y) in (100, 101) and less.y.sum() in (10, 11) and (less.x == again.x).all() and (less.fold == again.fold).all()
+    assert less.scale == pytest.approx(np.std(np.arange(503)))  # over all rows, not the sample
 
 
 def test_split_is_exact_and_stable(spark):
@@ -218,7 +214,7 @@ def test_regressor_projection_matches_polyfit(planted):
 def test_random_draws_are_distinct_and_seeded():
     draws = training.random_draws(training.CHURN_GRID, 25)
     assert len({tuple(d.items()) for d in draws}) == 25 and draws == training.random_draws(training.CHURN_GRID, 25)
-    assert len(training.random_draws({"maxDepth": [1, 2]}, 25)) == 2
+    assert len(training.random_draws({"max_depth": [1, 2]}, 25)) == 2
 
 
 @pytest.fixture(scope="module")
@@ -230,11 +226,13 @@ def churn_rows(spark):
     })
 
 
-TINY = training.Search(n_iter=1, folds=2, cap={"maxIter": 3, "numTrees": 5, "maxDepth": 3})
+TINY = training.Search(n_iter=2, folds=2)
+SMALL = {**{k: v[:1] for k, v in training.CHURN_GRID.items()}, "n_estimators": [5, 10], "learning_rate": [0.3]}
+SMALL_FOREST = {"n_estimators": [3, 5], "max_depth": [3, None], "min_samples_split": [2]}
 
 
 def test_train_save_score_churn(spark, churn_rows, tmp_path):
-    trained = training.train_churn(churn_rows, TINY)
+    trained = training.train_churn(churn_rows, TINY, grid=SMALL)
     assert trained.metrics["roc_auc"] > 0.8 and trained.metrics["cv_test_gap"] == trained.metrics["cv_auc"] - trained.metrics["roc_auc"]
     top = training.feature_importance(spark, trained.model, features.CHURN_FEATURES, 1).first()
     assert top["feature"] == "avg_days_between_orders"
@@ -253,7 +251,7 @@ def test_train_save_score_churn(spark, churn_rows, tmp_path):
 
 
 def test_value_weighted_training(churn_rows):
-    assert training.train_churn(churn_rows, TINY, use_value_weights=True).metrics["roc_auc"] > 0.8
+    assert training.train_churn(churn_rows, TINY, use_value_weights=True, grid=SMALL).metrics["roc_auc"] > 0.8
 
 
 def test_derived_request_fields(spark):
@@ -284,14 +282,6 @@ def test_forecast_run_is_recorded(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == predicted.count() == 36
 
 
-def test_rows_are_balanced_inside_each_fold(churn_rows, monkeypatch):
-    seen = []
-    plain = training.oversample
-    monkeypatch.setattr(training, "oversample", lambda rows: seen.append(rows.count()) or plain(rows))
-    training.train_churn(churn_rows, TINY)
-    assert len(seen) == 3 and abs(seen[0] - seen[1]) <= 2 and seen[0] + seen[1] == seen[2]  # two folds of given rows, then all
-
-
 def test_registered_training_searches_in_full(monkeypatch):
     from storelens import registry
 
@@ -304,4 +294,4 @@ def test_registered_training_searches_in_full(monkeypatch):
         monkeypatch.setattr(registry.training, f"train_{name}", lambda rows, search, name=name: searches.update({name: search}))
     for model in (registry._churn_model, registry._delivery_model, registry._sentiment_model):
         model(type("Warehouse", (), {"fact_orders": None}))
-    assert {n: (s.n_iter, s.folds, s.cap) for n, s in searches.items()} == {"churn": (25, 5, None), "delivery": (15, 5, None), "sentiment": (15, 5, None)}
+    assert {n: (s.n_iter, s.folds, s.fit_rows) for n, s in searches.items()} == {"churn": (25, 5, 6000), "delivery": (15, 5, 6000), "sentiment": (15, 5, 6000)}
