@@ -26,11 +26,13 @@ _MARKED = re.compile(r"\\(\\|###|</turn>)")
 @dataclass(frozen=True)
 class Mapping:
     """How one layout becomes turns. Steps in order: ("each", list, role field, text field), or (role, field, ...) whose
-    texts that are present are joined by an empty line to one turn. ``optional`` paths may be missing from a record."""
+    texts that are present are joined by an empty line to one turn. ``optional`` paths may be missing from a record.
+    ``aliases``: roles go by other names too in this layout; elsewhere a role is taken as it stands."""
 
     name: str
     steps: tuple[tuple[str, ...], ...]
     optional: tuple[str, ...] = ()
+    aliases: bool = False
 
     def paths(self) -> list[str]:
         out = []
@@ -42,13 +44,13 @@ class Mapping:
 #: Layouts that are known, most of them after public instruction data sets.
 LAYOUTS = [
     Mapping("rows", (("each", "turns", "role", "text"),)),
-    Mapping("messages", (("each", "messages", "role", "content"),)),
-    Mapping("conversations", (("system", "system"), ("each", "conversations", "from", "value")), ("system",)),
+    Mapping("messages", (("each", "messages", "role", "content"),), aliases=True),
+    Mapping("conversations", (("system", "system"), ("each", "conversations", "from", "value")), ("system",), aliases=True),
     Mapping("instruction", (("system", "system"), ("user", "instruction", "input"), ("assistant", "output")), ("system", "input")),
     Mapping("completion", (("system", "system"), ("user", "prompt"), ("assistant", "completion")), ("system",)),
     Mapping("response", (("system", "system_prompt"), ("user", "prompt"), ("assistant", "response")), ("system_prompt",)),
     Mapping("question", (("user", "context", "question"), ("assistant", "answer")), ("context",)),
-    Mapping("prompt messages", (("each", "prompt", "role", "content"), ("each", "completion", "role", "content"))),
+    Mapping("prompt messages", (("each", "prompt", "role", "content"), ("each", "completion", "role", "content")), aliases=True),
 ]
 
 
@@ -90,7 +92,7 @@ def canonical_turns(record: dict, mapping: Mapping) -> list[tuple[str, str]]:
         if kind == "each":
             for item in record.get(fields[0]) or []:
                 role = text(item.get(fields[1]))
-                turns.append((ALIASES.get(role, role), text(item.get(fields[2]))))
+                turns.append((ALIASES.get(role, role) if mapping.aliases else role, text(item.get(fields[2]))))
         else:
             present = [text(record[f]) for f in fields if record.get(f) is not None and record.get(f) != ""]
             if present:
@@ -119,6 +121,14 @@ def format_turns(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int
     return "".join(parts), spans
 
 
+def _escaped_at(formatted: str, at: int) -> bool:
+    """Whether an odd number of backslashes stands before ``at``."""
+    start = at
+    while start and formatted[start - 1] == "\\":
+        start -= 1
+    return (at - start) % 2 == 1
+
+
 def parse_turns(formatted: str) -> list[tuple[str, str]]:
     """The turns of a formatted conversation, as they were."""
     turns, at, decoder = [], 0, json.JSONDecoder()
@@ -131,7 +141,7 @@ def parse_turns(formatted: str) -> list[tuple[str, str]]:
             role, at = formatted[at:stop].lower(), stop
         at += 2
         end = formatted.index(END, at)
-        while (end - at - len(formatted[at:end].rstrip("\\"))) % 2:  # an odd number of backslashes: escaped
+        while _escaped_at(formatted, end):
             end = formatted.index(END, end + 1)
         turns.append((role, unescaped(formatted[at:end])))
         at = end + len(END)

@@ -65,3 +65,21 @@ def test_conversations_with_nulls_ties_and_repeats(spark):
     assert (got[2].n_turns, got[2].turns_sha256, got[2].loss_sha256) == (2, sha("\nx\nassistant\n\n"), sha(""))
     assert got[None].n_turns == 1 and got[3].loss_chars == 200_000
     assert chat.digests(chat.format_records(chat.conversation_records(frame.limit(0)))).count() == 0
+
+
+def test_roles_of_rows_stay_as_they_are(spark):
+    """Names that stand for a role elsewhere are roles of their own in the table, as in the SQL."""
+    for role in ("human", "gpt", "bot", "ai", "model", "prompter", "User"):
+        mapping = chat.Layouts().find({"turns": [{"role": role, "text": "t"}]})[1]
+        assert chat.canonical_turns({"turns": [{"role": role, "text": "t"}]}, mapping) == [(role, "t")]
+        assert chat.parse_turns(chat.format_turns([(role, "t"), ("assistant", "u")])[0]) == [(role, "t"), ("assistant", "u")]
+    shared = {"conversations": [{"from": "human", "value": "a"}, {"from": "gpt", "value": "b"}]}
+    assert chat.canonical_turns(shared, chat.Layouts().find(shared)[1]) == [("user", "a"), ("assistant", "b")]
+
+
+def test_reading_back_takes_time_in_proportion():
+    import time
+
+    text = "</turn>\n" * 1_300_000 + "\\" * 100_000  # 10 MB of control strings
+    start = time.time()
+    assert chat.parse_turns(chat.format_turns([("user", text)])[0]) == [("user", text)] and time.time() - start < 20
