@@ -34,12 +34,18 @@ NOISE = ["ad", "ads", "advert", "adverts", "advertisement", "advertising", "bann
          "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "sidebar", "menu", "nav",
          "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "contentinfo", "complementary", "search", "comment", "comments", "disqus",
          "replies", "respond", "share", "sharing", "social", "related", "recommended", "widget", "pagination", "pager", "toolbar", "skip"]
+#: What may stand beside such a word in a compound name (share-buttons, cookie_notice_box); other compounds (share-price) are names of their own.
+BESIDE = ["area", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "content", "footer", "form", "header", "icon", "icons", "inner", "item", "items",
+          "left", "link", "links", "list", "main", "outer", "page", "panel", "posts", "right", "row", "section", "site", "slot", "space", "text", "title", "top", "unit",
+          "wrap", "wrapper"]
+#: Text of an article whatever its names say.
+TEXT = ["h1", "h2", "h3", "h4", "h5", "h6", "p", "pre", "blockquote"]
 COMMENTS = ["comment", "comments", "disqus", "replies", "reply"]
 #: A start tag ends an open element of these kinds, up to a container that holds them apart.
 CLOSES = {"li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "tr": ["tr", "td", "th"], "td": ["td", "th"], "th": ["td", "th"], "option": ["option"]}
 SCOPES = ["ul", "ol", "dl", "table", "select", "html", "body", "article", "section", "div"]
 
-_RAW, _VOID, _DROPPED, _CONTAINERS, _INLINE, _UNSEEN, _NOISE = map(frozenset, (RAW, VOID, DROPPED, CONTAINERS, INLINE, UNSEEN, NOISE))
+_RAW, _VOID, _DROPPED, _CONTAINERS, _INLINE, _UNSEEN, _NOISE, _BESIDE, _TEXT, _SCOPES = map(frozenset, (RAW, VOID, DROPPED, CONTAINERS, INLINE, UNSEEN, NOISE, BESIDE, TEXT, SCOPES))
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"']++)*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
@@ -57,56 +63,69 @@ class Node:
         self.tag, self.attributes, self.items = tag, attributes, []
 
 
+class _Open:
+    """The open elements, and where the last one of each tag, the last block and the last scope stand, so that no tag looks through them all."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.by_tag, self.blocks, self.scopes = [root], {}, [], []
+
+    def add(self, node: Node) -> None:
+        at = len(self.nodes)
+        self.nodes.append(node)
+        self.by_tag.setdefault(node.tag, []).append(at)
+        if node.tag not in _INLINE:
+            self.blocks.append(at)
+        if node.tag in _SCOPES:
+            self.scopes.append(at)
+
+    def close(self, at: int) -> None:
+        """Everything from ``at`` on."""
+        while len(self.nodes) > at:
+            node = self.nodes.pop()
+            self.by_tag[node.tag].pop()
+            if node.tag not in _INLINE:
+                self.blocks.pop()
+            if node.tag in _SCOPES:
+                self.scopes.pop()
+
+    def last(self, tags: list[str]) -> int:
+        return max((self.by_tag[t][-1] for t in tags if self.by_tag.get(t)), default=0)
+
+
 def parse(html: str) -> Node:
-    """A forgiving tree of elements and texts (still with character references)."""
+    """A forgiving tree of elements and texts (still with character references), in time that grows with the text alone."""
     root = Node("#page")
-    open_, at = [root], 0
+    open_, at = _Open(root), 0
     while True:
         m = _TAG.search(html, at)
         stop = m.start() if m else len(html)
         if stop > at:
-            open_[-1].items.append(html[at:stop])
+            open_.nodes[-1].items.append(html[at:stop])
         if not m:
             return root
         at = m.end()
         slash, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not name:
             if m[0].startswith("<![CDATA["):
-                open_[-1].items.append(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+                open_.nodes[-1].items.append(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
         name = name.lower()
         if slash:
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag == name:
-                    del open_[k:]
-                    break
-                if name in _INLINE and open_[k].tag not in _INLINE:  # an inline end tag closes no block
-                    break
+            last, block = open_.last([name]), open_.blocks[-1] if open_.blocks else 0
+            if last and (name not in _INLINE or last > block):  # an inline end tag closes no block
+                open_.close(last)
             continue
-        if name not in _INLINE and name not in _VOID and name not in _UNSEEN or name == "hr":
-            _end_paragraph(open_)
-        for k in range(len(open_) - 1, 0, -1):
-            if open_[k].tag in CLOSES.get(name, ()):
-                del open_[k:]
-                break
-            if open_[k].tag in SCOPES:
-                break
+        if (name not in _INLINE and name not in _VOID and name not in _UNSEEN or name == "hr") and open_.blocks and open_.nodes[open_.blocks[-1]].tag == "p":
+            open_.close(open_.blocks[-1])
+        if name in CLOSES and (last := open_.last(CLOSES[name])) > (open_.scopes[-1] if open_.scopes else 0):
+            open_.close(last)
         node = Node(name, attributes)
-        open_[-1].items.append(node)
+        open_.nodes[-1].items.append(node)
         if name in _RAW:
             end = re.compile(rf"</{name}[^>]*(?:>|\Z)", re.I).search(html, at)
             at = end.end() if end else len(html)
         elif name not in _VOID and not attributes.endswith("/"):
-            open_.append(node)
-
-
-def _end_paragraph(open_: list[Node]) -> None:
-    for k in range(len(open_) - 1, 0, -1):
-        if open_[k].tag == "p":
-            del open_[k:]
-            return
-        if open_[k].tag not in _INLINE:
-            return
+            open_.add(node)
 
 
 def _attributes(node: Node) -> dict[str, str]:
@@ -121,30 +140,61 @@ def _is_noise(node: Node, inside: bool) -> bool:
     found = _attributes(node)
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower():
         return True
-    parts = set(_PART.findall(f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".lower()))
-    return not parts.isdisjoint(COMMENTS if node.tag == "article" or node.tag in _INLINE else _NOISE)
+    names = f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".lower().split()
+    if inside and node.tag in _TEXT:
+        return False
+    words = frozenset(COMMENTS) if node.tag == "article" or node.tag in _INLINE else _NOISE
+    return any(_says(words, name) for name in names)
+
 
+def _says(words: frozenset[str], name: str) -> bool:
+    """Whether a class name is one of ``words`` or a compound of them with words that only say what kind of element it is."""
+    parts = {p.rstrip("0123456789") for p in _PART.findall(name)} - {""}
+    return not parts.isdisjoint(words) and parts <= words | _BESIDE | _NOISE
 
-def subtree_hashes(root: Node, host: str = "") -> dict[int, int]:
-    """A hash of host, tag, attributes and content for every element that can be a site template, by the node's identity."""
+
+def subtree_hashes(root: Node, host: str = "") -> tuple[dict[int, int], set[int]]:
+    """A hash of host, tag, attributes and content for every element that can be a site template, by the node's identity; and
+    which of these nodes are mostly links."""
     seed = xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass"))
     out: dict[int, int] = {}
+    links: set[int] = set()
     todo: list[tuple[Node, list[str] | None]] = [(root, None)]
-    made: dict[int, str] = {}
+    made: dict[int, tuple[str, int, int]] = {}
     while todo:  # children first, without recursion: pages can be nested deeply
         node, seen = todo.pop()
         if seen is None:
             todo.append((node, []))
             todo.extend((x, None) for x in node.items if isinstance(x, Node))
             continue
-        whole = xxhash.xxh64(f"{node.tag} {' '.join(node.attributes.split())}>", seed)
+        whole, size, linked = xxhash.xxh64(f"{node.tag} {' '.join(node.attributes.split())}>", seed), 0, 0
         for x in node.items:
-            whole.update(made.pop(id(x)) if isinstance(x, Node) else " ".join(x.split()))
+            written, n, of_links = made.pop(id(x)) if isinstance(x, Node) else (" ".join(x.split()), len(x.strip()), 0)
+            whole.update(written)
+            size, linked = size + n, linked + of_links
+        if node.tag == "a":
+            linked = size
         digest = whole.intdigest()
-        made[id(node)] = f"<{digest:016x}>"
+        made[id(node)] = (f"<{digest:016x}>", size, linked)
         if node.tag in _CONTAINERS:
             out[id(node)] = digest - (1 << 64) if digest >> 63 else digest
-    return out
+            if 2 * linked >= size:
+                links.add(id(node))
+    return out, links
+
+
+def template_hashes(page: Node, host: str = "") -> set[int]:
+    """Hashes of the subtrees that speak for a template where they recur: those outside the article and, inside it, those that are mostly
+    links. An article's own parts may stand on any number of pages (copies, pages of one text, lists of parts) and stay text."""
+    hashes, links = subtree_hashes(page, host)
+    roots, inside = _roots(page), set()
+    if roots != [page]:
+        todo = list(roots)
+        while todo:
+            x = todo.pop()
+            inside.add(id(x))
+            todo.extend(c for c in x.items if isinstance(c, Node))
+    return {h for node, h in hashes.items() if node not in inside or node in links}
 
 
 def _roots(page: Node) -> list[Node]:
@@ -182,7 +232,7 @@ def main_text(html: str | None, templates: Templates | frozenset[int] = frozense
     """The article's text: no menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments, and no subtree in
     ``templates``. White space is one space, blocks are joined by one space in page order. Null is empty."""
     page = parse(html or "")
-    hashes = subtree_hashes(page, host) if templates else {}
+    hashes = subtree_hashes(page, host)[0] if templates else {}
     roots = _roots(page)
     inside, parts = roots != [page], []
     for root in roots:
@@ -204,11 +254,11 @@ def main_text(html: str | None, templates: Templates | frozenset[int] = frozense
 
 
 def page_trees(rows: DataFrame) -> DataFrame:
-    """(_page, trees): the hashes of the subtrees of each page of rows (_host, _text, _page), where exact copies of a page count once."""
+    """(_page, trees): the template hashes of each page of rows (_host, _text, _page), where exact copies of a page count once."""
 
     def compute(part: pa.RecordBatch) -> list:
         given = zip(part.column("_text").to_pylist(), part.column("_host").to_pylist())
-        return [[sorted(set(subtree_hashes(parse(t or ""), host).values())) for t, host in given]]
+        return [[sorted(template_hashes(parse(t or ""), host)) for t, host in given]]
 
     return each_slice(rows, compute, [T.StructField("trees", T.ArrayType(T.LongType()))], ["_page"]).distinct()
 
@@ -225,8 +275,8 @@ def extract_pages(pages: DataFrame, html: str = "html", url: str = "url", carry:
     """Every row of ``pages`` as ``carry`` (see ``tables.packed``) with text and n_chars (code points).
 
     Null and empty html, and pages without an article text, give the empty text. Rows without a url form one host.
-    Repeated rows are extracted one by one. Text inside the article is kept even where it recurs:
-    only whole containers (lists, divisions, tables and the like) can be templates, never paragraphs.
+    Repeated rows are extracted one by one. Text inside the article is kept even where it recurs: only whole containers (lists, divisions,
+    tables and the like) can be templates, never paragraphs, and those inside an article only where they are mostly links or recur outside articles too.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(f"_row.{url}").cast("string"), _HOST, 1)), F.lit(""))
     rows = packed(pages, html).withColumn("_host", host)

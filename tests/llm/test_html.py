@@ -1,5 +1,8 @@
+import re
+
 import cases
 import pytest
+from pyspark.sql import functions as F
 
 from storelens.llm import html
 
@@ -29,7 +32,7 @@ def test_main_text(page, text):
 def test_templates_are_counted_by_host_and_deleted(spark):
     rows = []
     for k in range(12):
-        body = f"<article><p>own text {k}</p><p>shared line</p><div class=x>Read more at our site</div></article><div>Imprint of the host</div>"
+        body = f"<article><p>own text {k}</p><p>shared line</p><div class=x>Read more <a href=/s>at our site</a></div></article><div>Imprint of the host</div>"
         rows.append((k, "http://a.example/%d" % k, body))
         rows.append((100 + k, "https://b.example/%d" % k, body if k == 0 else f"<div>plain {k}</div>"))
         rows.append((200 + k, "http://c.example/", "<article><div>copied page</div></article>"))
@@ -43,14 +46,58 @@ def test_templates_are_counted_by_host_and_deleted(spark):
 @pytest.mark.parametrize("sent", [html.SENT_TEMPLATES, 0])
 def test_templates_of_large_hosts(spark, monkeypatch, sent):
     monkeypatch.setattr(html, "SENT_TEMPLATES", sent)
-    rows = [(k, "http://a.example/%d" % k, f"<article><p>own {k}</p>" + (f"<div class=x>Section {k % 100}</div>" if k < 500 else "") + "</article>") for k in range(1000)]
-    rows += [(2000 + k, "http://b.example/%d" % k, f"<article><p>own {k}</p><div class=x>Section 0</div></article>") for k in range(4)]
+    rows = [(k, "http://a.example/%d" % k, f"<article><p>own {k}</p>" + (f"<div class=x><a href=/s>Section {k % 100}</a></div>" if k < 500 else "") + "</article>") for k in range(1000)]
+    rows += [(2000 + k, "http://b.example/%d" % k, f"<article><p>own {k}</p><div class=x><a href=/s>Section 0</a></div></article>") for k in range(4)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r[0]: r[1] for r in html.extract_pages(pages).select("_row.page_id", "text").collect()}
     assert all(got[k] == f"own {k}" for k in range(1000))  # 100 templates on 5 of 1,000 pages each
     assert all(got[2000 + k] == f"own {k} Section 0" for k in range(4))  # on four pages of this host only
 
 
+def test_articles_shared_by_pages_stay(spark):
+    """One body under five titles, a list of parts on every page, a box that also stands outside articles, and a list of links."""
+    body = "<div class=content><p>Long shared body.</p><ul><li>flour<li>salt</ul><table><tr><td>w<td>3</table></div>"
+    rows = [(k, "http://a.example/%d" % k, f"<div>Call us</div><article><h1>Title {k}</h1>{body}<div>Call us</div><ul><li><a href=/x>More of this</a></ul></article>") for k in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r[0]: r[1] for r in html.extract_pages(pages).select("_row.page_id", "text").collect()}
+    assert got == {k: f"Title {k} Long shared body. flour salt w 3" for k in range(9)}
+
+
+def test_templates_counted_by_hand(spark):
+    """Subtrees outside articles and link lists inside, counted over different pages of a host by plain Python."""
+    from collections import Counter
+
+    d = cases.table("pages")
+    seen = {(re.sub(r"^https?://([^/:]*).*", r"\1", u or "").lower(), h or "") for u, h in zip(d["url"], d["html"])}
+    counts = Counter(x for host, h in seen for x in html.template_hashes(html.parse(h), host))
+    rows = html.packed(spark.read.parquet(f"{cases.SF}/pages.parquet"), "html").withColumn("_host", F.coalesce(F.lower(F.regexp_extract("_row.url", html._HOST, 1)), F.lit("")))
+    found = html.site_templates(html.page_trees(rows.withColumn("_page", F.xxhash64("_host", F.coalesce("_text", F.lit("")))).select("_host", "_text", "_page")))
+    assert {r["tree"]: r["n"] for r in found.collect()} == {x: n for x, n in counts.items() if n >= html.LEAST_PAGES}
+
+
+NAMES = [
+    ("<h2 id='Related_work'>Related work</h2>", True), ("<section id='social-history'>s</section>", True), ("<div class='share-price'>s</div>", True),
+    ("<p class='notice'>s</p>", True), ("<div class='share-buttons'>s</div>", False), ("<div class='cookie_notice_box'>s</div>", False), ("<div class='x ad'>s</div>", False),
+    ("<div id=comments-2>s</div>", False), ("<div class='ad-slot top'>s</div>", False), ("<div class='advertisement_policy_history'>s</div>", True),
+]
+
+
+@pytest.mark.parametrize("part, kept", NAMES)
+def test_names_inside_an_article(part, kept):
+    text = html.main_text(f"<article>T {part} x</article>")
+    assert text == ("T " + re.sub("<[^>]*>", "", part) + " x" if kept else "T x")
+
+
+def test_time_grows_with_the_text():
+    import time
+
+    hostile = ["<span>" * 150_000 + "<p>x" * 150_000, "<b>x</div>" * 200_000, "<b><div>" + "<span>" * 150_000 + "</b>" * 150_000, "<li>" * 200_000 + "</td>" * 200_000, "<table>" * 90_000 + "<tr><td>" * 90_000]
+    for page in hostile:
+        start = time.time()
+        html.main_text(f"<article>{page}</article>")
+        assert time.time() - start < 20
+
+
 def test_awkward_pages(spark):
     rows = [(k, None if k % 2 else f"http://h{k}/", p) for k, (p, _) in enumerate(PAGES)] + [(0, "http://h0/", PAGES[0][0]), (None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
