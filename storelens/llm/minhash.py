@@ -2,8 +2,9 @@
 
 A permutation of the 64-bit shingle hashes gives two signature values, its minimum and its maximum, each equal in two documents with the
 probability of their similarity. Bands of four values are postings. Texts with equal sets are one node. Groups of near copies
-are contracted first: each node is confirmed against one leader of its buckets, then only pairs across components are left to look at, in blocks, with the
-signature as filter. So all links between components are found, without pairing off the members of one.
+are contracted first: each node is confirmed against one leader of its buckets. Nodes of buckets that still hold several components then meet by single
+values, in blocks that carry their sets and only compare across components; a link found there makes two components one at once. So all
+components are found, without pairing off the members of one. Every link that is used was confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens.llm.components import components
-from storelens.llm.tables import each_slice, packed, stored, task_keys
+from storelens.llm.tables import each_slice, packed, slices, stored, task_keys
 from storelens.llm.words import buffers, hashes, mixed, spans
 from storelens.operators.joins import skew_join
 
@@ -32,8 +33,8 @@ VALUES = 2 * PERMUTATIONS
 BANDS = VALUES // BAND
 #: Equal signature values below which a pair is not confirmed: 5.4 standard deviations under what a pair at 85 % has.
 LEAST = 87
-#: Nodes of a bucket that one task compares with as many others; pairs across components per posting up to which no further leaders are tried.
-BLOCK, FEW = 1024, 64
+#: Single values by which nodes of different components meet; nodes of a bucket that one task compares with as many others; sets compared at a time.
+SINGLE, BLOCK, _AT_ONCE = 12, 512, 64
 #: Rows that may share a key of a join before it is salted.
 _HOT = 50_000
 
@@ -164,94 +165,123 @@ def _agreeing_leaders(pairs: DataFrame, signs: DataFrame, least: int) -> DataFra
     return _beside(pairs, signs, "signature").mapInArrow(check, "a long, b long")
 
 
-def _agreeing(a: tuple, b: tuple, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of different components with enough equal signature values; the shorter side is gone through."""
-    if len(a[0]) > len(b[0]):
-        a, b = b, a
-    for node, root, signature in zip(*a):
-        other = np.flatnonzero(b[1] != root)
-        near = other[(b[2][other] == signature).sum(axis=1) >= least]
-        if len(near):
-            yield np.full(len(near), node), b[0][near]
-
-
-def _across(least: int):
-    """Candidate pairs of a tile: block i of a bucket with block j, nodes of the largest component not with each other."""
-
-    def rows(part: pd.DataFrame) -> tuple:
-        return part["node"].to_numpy(), part["root"].to_numpy(), np.frombuffer(b"".join(part["signature"]), "<u4").reshape(-1, VALUES)
-
-    def tile(group: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        major = group["root"].mode().iloc[0]
-        i, j = group["i"].iloc[0], group["j"].iloc[0]
-        many, few = group[group["root"] == major], group[group["root"] != major]
-        if i == j:
-            yield from _agreeing(rows(few), rows(many), least)
-            node, root, signature = rows(few)
-            for k in range(len(node) - 1):
-                yield from _agreeing((node[k : k + 1], root[k : k + 1], signature[k : k + 1]), (node[k + 1 :], root[k + 1 :], signature[k + 1 :]), least)
-        else:
-            for x in (few, many):
-                for y in (few, many):
-                    if x is few or y is few:
-                        yield from _agreeing(rows(x[x["block"] == i]), rows(y[y["block"] == j]), least)
+_COMPACT = [T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("signs", T.BinaryType()), T.StructField("small", T.BinaryType())]
+
+
+def _compact(part: pa.RecordBatch) -> list[pa.Array]:
+    """What a tile needs of a node: a key for each single value that is looked up, these values and the low bytes of all, the set in 32 bits."""
+    signature = np.frombuffer(b"".join(part.column("signature").to_pylist()), "<u4").reshape(-1, VALUES)
+    single = np.ascontiguousarray(signature[:, :VALUES:2][:, :SINGLE])
+    keys = single.astype(np.int64) | np.arange(SINGLE, dtype=np.int64) << 32
+    low, small = signature.astype(np.uint8), [np.unique(np.frombuffer(x, "<u8") >> np.uint64(32)).astype("<u4").tobytes() for x in part.column("shingles").to_pylist()]
+    return [pa.array(list(keys), pa.list_(pa.int64())), pa.array([x.tobytes() + y.tobytes() for x, y in zip(single, low)], pa.binary()), pa.array(small, pa.binary())]
+
+
+def _shared(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many values of the sorted set ``own`` each of ``others`` has."""
+    joined = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+    return np.add.reduceat((own[at] == joined).astype(np.int64), np.cumsum([0, *map(len, others[:-1])]))
+
+
+def _across(least: int, percent: int):
+    """Links of a tile: nodes of block i of a bucket with those of block j, if of different components.
+
+    A pair is looked at in the first bucket that it shares. Nodes that turn out to be linked are one component from there on, so a tile gives fewer links than
+    it has components, however many pairs are similar.
+    """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        found = list(tile(group))
-        if not found:
-            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-        a, b = (np.concatenate(x) for x in zip(*found))
-        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+        one, band = group["i"].iloc[0] == group["j"].iloc[0], int(group["key"].iloc[0]) >> 32
+        group = group.sort_values(["block", "node"])
+        node, label, block = group["node"].to_numpy(), group["root"].to_numpy().copy(), group["block"].to_numpy()
+        signs = np.frombuffer(b"".join(group["signs"]), np.uint8).reshape(len(node), -1)
+        single, low = signs[:, : 4 * SINGLE].copy().view("<u4"), signs[:, 4 * SINGLE :]
+        sets = [np.frombuffer(x, "<u4") for x in group["small"]]
+        sizes, found = np.array([len(x) for x in sets]), []
+        for i in range(len(node) if one else int((block == block[0]).sum())):
+            other = np.flatnonzero(label != label[i])
+            other = other[(other > i) & (one | (block[other] != block[i]))]
+            other = other[100 * np.minimum(sizes[other], sizes[i]) >= percent * np.maximum(sizes[other], sizes[i])]
+            if not len(other):
+                continue
+            alike = (low[other] == low[i]).sum(axis=1)
+            near = np.flatnonzero((alike >= least) & ~(single[other, :band] == single[i, :band]).any(axis=1))
+            near = other[near[np.argsort(-alike[near], kind="stable")]]
+            for k in range(0, len(near), _AT_ONCE):
+                some = near[k : k + _AT_ONCE]
+                some = some[label[some] != label[i]]
+                if not len(some):
+                    continue
+                both = _shared(sets[i], [sets[x] for x in some])
+                some = some[100 * both >= percent * (sizes[i] + sizes[some] - both)]
+                for root, first in zip(*np.unique(label[some], return_index=True)):
+                    found.append((node[i], node[some[first]]))
+                    label[label == root] = label[i]
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     return run
 
 
-def _crossing(postings: DataFrame, nodes: DataFrame, least: int, block: int = BLOCK) -> DataFrame:
-    """(a, b): all pairs of one bucket in different components that agree in ``least`` signature values. A bucket's blocks of nodes meet in tiles."""
-    sizes = stored(postings.groupBy("key").agg(F.count("*").alias("n")))
+def _crossing(nodes: DataFrame, least: int, percent: int, block: int = BLOCK) -> DataFrame:
+    """(a, b): links that join all components that have a similar pair. ``nodes``: (node, root, keys, signs, small).
+
+    Buckets of single values: a pair at 85 % shares none with probability 1e-10. A bucket's blocks of nodes meet in tiles.
+    """
+    postings = nodes.select("node", "root", F.explode("keys").alias("key"))
+    sizes = postings.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = stored(sizes.where("low <> high").select("key", "n"))
     cut = sizes.select("key", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks"))
     dealt = skew_join(postings, cut, ["key"], "inner", sizes, _HOT)
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = dealt.withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
-    signed = skew_join(dealt, nodes.select("node", "signature"), ["node"], "inner", None, _HOT)
-    return signed.groupBy("key", "i", "j").applyInPandas(_across(least), "a long, b long").distinct()
+    tiles = dealt.join(nodes.select("node", "signs", "small"), "node").groupBy("key", "i", "j")
+    return tiles.applyInPandas(_across(least, percent), "a long, b long").distinct()
 
 
-def links(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = LINK, least: int = LEAST, few: int = FEW, block: int = BLOCK) -> DataFrame:
+def links(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = LINK, least: int = LEAST, block: int = BLOCK, large: int = 8 * BLOCK) -> DataFrame:
     """(node, root) for every node that is linked with another one, over confirmed links.
 
     ``nodes``: (node, keys, signature) of distinct sets that are not empty. ``sets_of`` gives (node, shingles) for a table of nodes; it is
-    asked once, for those that share a bucket with another node.
+    asked once, for those that share a bucket with another node. Leaders have one turn, and more while a bucket across components has over ``large`` nodes.
     """
     every = nodes.select("node", F.explode("keys").alias("key"))
     shared = stored(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    postings = stored(skew_join(every, shared.select("key"), ["key"], "inner", shared, _HOT))
+    postings = stored(skew_join(every, shared.select("key"), ["key"], "inner", shared, _HOT)).withColumn("root", F.col("node"))
     active = stored(postings.select("node").distinct())
     signs, sets = stored(nodes.select("node", "signature").join(active, "node")), stored(sets_of(active))
-    found, roots, turn = None, None, 0
+    found, turn, grown = confirmed(_agreeing_leaders(_leaders(postings, 0), signs, least), sets, percent), 0, True
     while True:
-        if roots is None:
-            rooted = postings.withColumn("root", F.col("node"))
-        else:
-            known = roots.withColumnRenamed("root", "_root")
-            rooted = postings.join(known, "node", "left").select("key", "node", F.coalesce("_root", "node").alias("root"))
-        cells = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
-        open_keys = stored(cells.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("c")).where("c > 1"))
-        work, size = open_keys.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.sum("n")).first()
-        if not size:  # every bucket lies in one component
-            return roots if roots is not None else postings.select("node", F.col("node").alias("root")).limit(0)
-        postings = stored(skew_join(rooted, open_keys.select("key"), ["key"], "inner", open_keys.select("key", "n"), _HOT))
-        last = turn > 0 and (work <= few * size or not grown)
-        pairs = _crossing(postings, signs, least, block) if last else _agreeing_leaders(_leaders(postings, turn), signs, least)
-        new = confirmed(pairs, sets, percent)
-        grown = not new.isEmpty()
-        if grown:
-            found = new if found is None else found.unionByName(new)
-            roots = stored(components(found))
-        if last:
-            return roots if roots is not None else postings.select("node", "root").limit(0)
-        postings, turn = postings.drop("root"), turn + 1
+        roots = stored(components(found))
+        known = roots.withColumnRenamed("root", "_root")
+        rooted = postings.drop("root").join(known, "node", "left").select("key", "node", F.coalesce("_root", "node").alias("root"))
+        open_keys = rooted.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+        open_keys = stored(open_keys.where("low <> high").select("key", "n"))
+        largest = open_keys.agg(F.max("n")).first()[0]
+        if largest is None:  # every bucket lies in one component
+            return roots
+        postings = stored(skew_join(rooted, open_keys.select("key"), ["key"], "inner", open_keys, _HOT))
+        if largest <= large or not grown:
+            break
+        turn += 1
+        new = confirmed(_agreeing_leaders(_leaders(postings, turn), signs, least), sets, percent)
+        found, grown = found.unionByName(new), not new.isEmpty()
+    left = postings.select("node", "root").distinct()
+    together = signs.join(sets, "node").join(left, "node").select("node", "root", "signature", "shingles")
+    tiles = stored(_each_batch(together, _compact, _COMPACT, ["node", "root"]))
+    return stored(components(found.unionByName(confirmed(_crossing(tiles, least, percent, block), sets, percent))))
+
+
+def _each_batch(df: DataFrame, compute: Callable[[pa.RecordBatch], list[pa.Array]], fields: list[T.StructField], keep: list[str]) -> DataFrame:
+    schema = T.StructType([*(df.schema[c] for c in keep), *fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "shingles"):
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *compute(part)], names=schema.names)
+
+    return df.mapInArrow(run, schema)
 
 
 # -- documents ------------------------------------------------------------------------------------------------------------

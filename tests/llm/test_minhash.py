@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from storelens.llm import minhash
+from storelens.llm.components import components
 
 
 def plain_set(text):
@@ -94,19 +95,34 @@ def test_chains_like_brute_force(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == plain(rows)
 
 
-@pytest.mark.parametrize("few, block", [(0, 1024), (64, 3), (10**9, 2)])
-def test_leaders_and_tiles_lose_no_link(spark, few, block):
+@pytest.mark.parametrize("large, block", [(10**9, 512), (10**9, 3), (2, 2)])
+def test_leaders_and_tiles_lose_no_link(spark, large, block):
     """More turns of leaders, or buckets cut into blocks of two and three nodes: the same components."""
     rows = list({plain_set(t): (d, t) for d, t in chains(2)}.values())
-    roots = {r["node"]: r["root"] for r in minhash.links(*nodes_of(spark, rows), few=few, block=block).collect()}
+    roots = {r["node"]: r["root"] for r in minhash.links(*nodes_of(spark, rows), block=block, large=large).collect()}
     want = {d: c for d, _, c, _ in plain(rows)}
     assert all(roots.get(d, d) == c for d, c in want.items())
 
 
+def tiled(spark, rows, root):
+    nodes, sets_of = nodes_of(spark, rows)
+    together = nodes.join(sets_of(nodes.select("node")), "node").withColumn("root", root)
+    return minhash._each_batch(together, minhash._compact, minhash._COMPACT, ["node", "root"])
+
+
 def test_pairs_of_one_component_are_not_compared(spark):
-    nodes, _ = nodes_of(spark, chains(3))
-    postings = nodes.select(F.explode("keys").alias("key"), "node", F.lit(0).cast("long").alias("root"))
-    assert minhash._crossing(postings, nodes, 0).count() == 0
+    assert minhash._crossing(tiled(spark, chains(3), F.lit(0).cast("long")), 0, 1).count() == 0
+
+
+def test_tiles_give_fewer_links_than_nodes(spark):
+    """All of a group of similar texts are joined, by one link for each component that goes."""
+    r = random.Random(8)
+    base = cases.prose(200, 77).split()
+    rows = [(i, " ".join(changed(base, 0.004, r))) for i in range(40)]
+    tiles = tiled(spark, rows, F.col("node"))
+    n = tiles.count()
+    found = minhash._crossing(tiles, minhash.LEAST, 85)
+    assert n - 1 <= found.count() <= 3 * n and components(found).select("root").distinct().count() == 1
 
 
 def test_both_ends_estimate_similarity():
