@@ -35,6 +35,8 @@ BANDS = VALUES // BAND
 LEAST = 87
 #: Single values by which nodes of different components meet; nodes of a bucket that one task compares with as many others; sets compared at a time.
 SINGLE, BLOCK, _AT_ONCE = 12, 512, 64
+#: Bits of the bitmap that says which texts are wanted again (8 MB).
+MARKS = 1 << 26
 #: Rows that may share a key of a join before it is salted.
 _HOT = 50_000
 
@@ -284,6 +286,24 @@ def _each_batch(df: DataFrame, compute: Callable[[pa.RecordBatch], list[pa.Array
     return df.mapInArrow(run, schema)
 
 
+def _marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` whose t1 may be in ``wanted``, so that the texts of the others need not move. A bitmap of hashes says so: MARKS bits whatever the
+    size of the tables, put together by Spark from its words. Where very many are wanted it keeps more; the join that follows decides."""
+    at = F.pmod(F.col("t1"), F.lit(MARKS))
+    words = wanted.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(t1, {MARKS}) % 64 as int))")).alias("bits")).toArrow()
+    bitmap = np.zeros(MARKS // 64, np.uint64)
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared.value
+        for batch in batches:
+            place = np.mod(batch.column("t1").to_numpy(), MARKS).astype(np.uint64)
+            yield batch.filter(pa.array(bitmap[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) == 1))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
 # -- documents ------------------------------------------------------------------------------------------------------------
 
 
@@ -306,7 +326,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     def sets_of(active: DataFrame) -> DataFrame:
         wanted = stored(full.select(F.col("uid").alias("node"), "t1", "t2").join(active, "node"))
         sizes = full.groupBy("t1", "t2").agg(F.count("*").alias("n"))
-        texts = skew_join(rows.select("_text", "t1", "t2"), wanted, ["t1", "t2"], "inner", sizes, _HOT).select("node", "_text")
+        texts = skew_join(_marked(rows.select("_text", "t1", "t2"), wanted), wanted, ["t1", "t2"], "inner", sizes, _HOT).select("node", "_text")
         return each_slice(texts.dropDuplicates(["node"]), _set_bytes, _SETS, ["node"])
 
     roots = links(full.select(F.col("uid").alias("node"), "keys", "signature").join(classes.select("node"), "node"), sets_of, percent)

@@ -145,3 +145,12 @@ def test_bands_hold_pairs_at_the_limit():
         keys = minhash.band_keys(minhash.signatures([np.concatenate([both, a]), np.concatenate([both, b])]))
         missed += not (keys[0] == keys[1]).any()
     assert missed == 0
+
+
+def test_bitmap_keeps_all_that_is_wanted(spark, monkeypatch):
+    rows = spark.range(2000).select(F.xxhash64("id").alias("t1"), F.lit("x").alias("_text"))
+    wanted = rows.limit(50)
+    kept = minhash._marked(rows, wanted)
+    assert kept.join(wanted, "t1", "left_semi").count() == 50 and kept.count() < 60
+    monkeypatch.setattr(minhash, "MARKS", 64)
+    assert minhash._marked(rows, wanted).join(wanted, "t1", "left_semi").count() == 50
