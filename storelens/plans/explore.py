@@ -33,6 +33,10 @@ def describe(df: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
     return both.select("column", "count", *[F.round(c, digits).alias(c) for c in measures])
 
 
+#: Classes whose ranges are sent to every executor; with more, rows meet them by a shuffle.
+MOST_SENT = 100_000
+
+
 def histogram(df: DataFrame, column: str, bins: int, upper: float | None = None, by: str | None = None) -> DataFrame:
     """Equal-width bins, empty ones included; values above ``upper`` count as ``upper``.
 
@@ -50,6 +54,7 @@ def histogram(df: DataFrame, column: str, bins: int, upper: float | None = None,
     if by:
         span = materialize(span)  # one row per class, used for placing and for the grid
         ranges = span.withColumnRenamed(by, "_by")
+        ranges = F.broadcast(ranges) if span.count() <= MOST_SENT else ranges  # counting then combines before the only shuffle
         placed = values.join(ranges, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
     else:
         one = span.select(F.struct("low", "high")).scalar()
