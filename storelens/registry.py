@@ -439,6 +439,22 @@ def _forecast_rows(w: Warehouse) -> DataFrame:
     return forecast.forecast(_monthly(w))
 
 
+def _recorded_forecast(w: Warehouse) -> DataFrame:
+    """The logged parameters and errors of a run beside the rows of its CSV, both read back from storage."""
+    spark, monthly = w.fact_orders.sparkSession, _monthly(w)
+    metrics, csv = _fresh_path(spark, "forecast_metrics"), _fresh_path(spark, "forecast_csv")
+    forecast.record_forecast(monthly, metrics, csv, "forecast")
+    logged = training.read_metrics(spark, metrics).select("kind", "key", "value")
+    written = spark.read.option("header", True).csv(csv)
+    return logged.unionByName(written.agg(F.lit("csv").alias("kind"), F.lit("rows").alias("key"), F.count(F.lit(1)).cast("string").alias("value")))
+
+
+def _model_error(w: Warehouse) -> DataFrame:
+    """Error of the fitted forecast for every month of the history."""
+    monthly = _monthly(w)
+    return forecast.fit_error(forecast.forecast(monthly), monthly)
+
+
 def _score_forecast(w: Warehouse) -> DataFrame:
     """Coefficients are stored as rows and read back before scoring."""
     spark, monthly = w.fact_orders.sparkSession, _monthly(w)
@@ -470,6 +486,8 @@ def _model_queries() -> dict[str, Query]:
         "train_forecast": _stored(_forecast_rows),
         "forecast_cv": _stored(lambda w: forecast.forecast_cv(_monthly(w))),
         "score_forecast": _stored(_score_forecast),
+        "record_forecast": _stored(_recorded_forecast),
+        "forecast_model_error": _stored(_model_error),
     }
 
 
