@@ -12,20 +12,20 @@ from storelens.llm import language
 def test_symbols_fold_case_and_runs():
     s, first = language.symbols(["Ab, ..c", "", "é1É"])
     lead = [0] * (language.ORDER - 1)
-    accent = 27 + ord("é") % (language.SYMBOLS - 27)
-    assert s.tolist() == [*lead, 1, 2, 0, 3, *lead, *lead, accent, 0, accent]
+    a, b, c, accent = map(ord, "abcé")
+    assert s.tolist() == [*lead, a, b, 0, c, *lead, *lead, accent, 0, accent]
     assert first.tolist() == [0, 7, 10, 16]
 
 
 def test_grams_end_at_each_symbol():
     key, first = language.grams(["ab", "", "c"])
-    b = language.SYMBOLS
-    assert key.tolist() == [1, b + 2, 3] and first.tolist() == [0, 2, 2, 3]
+    a, b, c = map(ord, "abc")
+    assert key.tolist() == [a, (a << language.BITS) + b, c] and first.tolist() == [0, 2, 2, 3]
 
 
 def plain_model(texts):
     """Interpolated Kneser-Ney as in the textbook, with dictionaries."""
-    order, size = language.ORDER, language.SYMBOLS
+    order, size = language.ORDER, 1 << language.BITS
     counts = [Counter()]
     for t in texts:
         s, _ = language.symbols([t])
@@ -61,23 +61,24 @@ def test_probabilities_are_kneser_neys():
     rows = []
     for name, given in texts.items():
         keys, n = np.unique(np.concatenate([language.grams([t])[0] for t in given]), return_counts=True)
-        rows += [(name, int(k), int(c)) for k, c in zip(keys, n)]
+        rows += [(name, int(k), int(c)) for k, c in zip(keys.view(np.int64), n)]
     model = language.fit(pa.table({"lang": [r[0] for r in rows], "gram": [r[1] for r in rows], "n": [r[2] for r in rows]}))
-    index = np.full(language.SYMBOLS**language.ORDER, -1, np.int32)
-    index[model.keys] = np.arange(len(model.keys))
-    for probe in ["zebra la", "qqq xyz", cases.prose(20, 5), "où 12"]:
-        means, sizes = language.entropies(model, [probe, ""], index)
+    for probe in ["zebra la", "qqq xyz", cases.prose(20, 5), "où 12", "мир 𐐀𐐨 ça"]:
+        means, sizes = language.entropies(model, [probe, ""])
         for j, name in enumerate(model.languages):
             want = plain_model(texts[name])(probe)
             assert sizes[0] == len(want) and abs(means[0, j] - np.mean(want)) < 1e-4
-    total = np.exp(model.shorter).reshape(-1, language.SYMBOLS, len(model.languages)).sum(axis=1)
+    # all symbols together have probability one after a context that one language has and the other has not
+    every = np.arange(1 << language.BITS, dtype=np.uint64)
+    context = np.uint64((ord("z") << 2 * language.BITS) + (ord("e") << language.BITS) + ord("b")) << np.uint64(language.BITS)
+    total = np.exp(model.log_probabilities(context + every).astype(np.float64)).sum(axis=0)
     assert np.allclose(total, 1, atol=1e-3)
 
 
 def test_counts_cover_the_table(spark):
     rows = [(cases.prose(30, k), ["x", "y"][k % 2]) for k in range(40)] + [("", "x")]
     got = {(r.lang, r.gram): r.n for r in language.gram_counts(spark.createDataFrame(rows, "_text string, _lang string").repartition(5)).collect()}
-    want = Counter((lang, int(k)) for t, lang in rows for k in language.grams([t])[0])
+    want = Counter((lang, int(k)) for t, lang in rows for k in language.grams([t])[0].view(np.int64))
     assert got == dict(want)
 
 
@@ -114,3 +115,36 @@ def test_foreign_text_is_rejected(spark):
     rows += [(1000, " ".join("qzxjkwvq" for _ in range(80)), None), (1001, cases.prose(60, 999), None)]
     found = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert {r[0] for r in found.where("rejected").select("_row.doc_id").collect()} == {1000}
+
+
+def _words(alphabet: str, seed: int, n: int = 60) -> str:
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(rng.choice(list(alphabet), rng.integers(2, 8))) for _ in range(n))
+
+
+def test_letters_of_one_script_are_told_apart(spark):
+    """Languages that differ in some letters of one script only, and letters that a fold by code point would merge."""
+    kinds = {"ru": "абвгдежзиклмнопрстуыэё", "uk": "абвгдежзиклмнопрстуіїєґ", "zh": "的一是不了人我在有他这为", "ja": "のにをはがでとたしいるな一人有", "hi": "कखगघचजतदनपबमािीुूे"}
+    rows = [(100 * j + k, _words(letters, 100 * j + k), lang) for j, (lang, letters) in enumerate(kinds.items()) for k in range(60)]
+    found = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = {r[0]: r[1] for r in found.where("not learned").select("_row.doc_id", "lang_pred").collect()}
+    assert got and all(got[i] == lang for i, _, lang in rows if i in got)
+    a, b = language.grams(["мама дам"])[0], language.grams(["щнщн снщ"])[0]
+    assert len(a) == len(b) and not set(a) & set(b)
+
+
+def test_a_script_that_was_not_learned_is_rejected(spark):
+    rows = [(k, cases.prose(60, k), "en") for k in range(300)]
+    rows += [(1000, _words("абвгдежзиклмнопрст", 1), None), (1001, _words("的一是不了人我在有", 2), None), (1002, cases.prose(60, 998), None)]
+    found = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r[0] for r in found.where("rejected").select("_row.doc_id").collect()} == {1000, 1001}
+
+
+def test_calibration_rows_are_not_counted(spark, monkeypatch):
+    counted = []
+    inner = language.gram_counts
+    monkeypatch.setattr(language, "gram_counts", lambda rows: (counted.append(rows.count()), inner(rows))[1])
+    rows = [(k, cases.prose(40, k), "en") for k in range(400)]
+    found = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    learned = found.where("learned").count()
+    assert 0.8 * learned < counted[0] < learned
