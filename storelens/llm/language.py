@@ -28,6 +28,8 @@ STEADY = 50
 #: One in so many learned rows is left out of the counts; margins, means and limits are measured on these.
 CALIBRATION = 10
 _BINS = 64
+#: Grams looked up, and grams held while counting, at a time: both bound a worker's memory, not what is scored or counted.
+_AT_ONCE, _HELD = 1 << 17, 500_000
 _PRIVATE, _N_PRIVATE = 0xE000, 0x1900
 
 
@@ -178,13 +180,16 @@ def entropies(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.diff(first)
     total = np.zeros((len(texts), len(model.languages)))
     full = np.flatnonzero(sizes)
-    if len(full):
-        total[full] = -np.add.reduceat(model.log_probabilities(key), first[:-1][full], axis=0, dtype=np.float64)
+    starts = first[:-1][full]
+    for a in range(0, len(key), _AT_ONCE):  # a text may lie in several parts
+        p = model.log_probabilities(key[a : a + _AT_ONCE])
+        inside = slice(np.searchsorted(starts, a, "right") - 1, np.searchsorted(starts, a + len(p)))
+        total[full[inside]] -= np.add.reduceat(p, np.maximum(starts[inside] - a, 0), axis=0, dtype=np.float64)
     return total / np.maximum(sizes, 1)[:, None], sizes
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """(lang, gram, n) over all rows (_text, _lang). A task hands on its sums whenever it holds two million, so it stays small on any corpus."""
+    """(lang, gram, n) over all rows (_text, _lang). A task hands on its sums whenever it holds many, so it stays small on any corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -214,9 +219,9 @@ def gram_counts(rows: DataFrame) -> DataFrame:
                     found = np.unique(grams(texts)[0], return_counts=True)
                     held.setdefault(name, []).append(found)
                     waiting += len(found[0])
-                if waiting > 2_000_000:
+                if waiting > _HELD:
                     waiting = merge()
-                    if waiting > 1_000_000:
+                    if waiting > _HELD // 2:
                         yield from handed_on()
                         waiting = 0
         merge()

@@ -148,3 +148,17 @@ def test_calibration_rows_are_not_counted(spark, monkeypatch):
     found = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     learned = found.where("learned").count()
     assert 0.8 * learned < counted[0] < learned
+
+
+def test_parts_of_texts_add_up(spark, monkeypatch):
+    """Lookups and counts in small parts give what whole texts give."""
+    texts = [cases.prose(50, 1), "", cases.prose(3, 2), "1", cases.prose(90, 3)]
+    rows = spark.createDataFrame([(t, "ab"[k % 2]) for k, t in enumerate(texts)], "_text string, _lang string").coalesce(1)
+    counts = language.gram_counts(rows).toArrow()
+    model = language.fit(counts)
+    whole, sizes = language.entropies(model, texts)
+    monkeypatch.setattr(language, "_AT_ONCE", 7)
+    parts, again = language.entropies(model, texts)
+    assert np.allclose(whole, parts, atol=1e-6) and (sizes == again).all()
+    for k, t in enumerate(texts):
+        assert np.allclose(language.entropies(model, [t])[0][0], whole[k], atol=1e-6)
