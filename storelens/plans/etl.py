@@ -24,7 +24,7 @@ def dimensions(spark: SparkSession, raw: RawTables, start: str | None = None, en
 
 def transform(spark: SparkSession, raw: RawTables, start: str | None = None, end: str | None = None,
               with_key: bool = True) -> Warehouse:
-    """All six tables, unwritten. With a key, the fact is checkpointed once while it is assigned."""
+    """All six tables, unwritten. Of the fact only the rows per order are stored beforehand."""
     found = dimensions(spark, raw, start, end)
     return Warehouse(fact_orders=fact.fact_orders(raw, found["dim_customers"], found["dim_products"], with_key), **found)
 

@@ -4,17 +4,23 @@ Order-level inputs are joined first, at order grain, and the item table joins th
 once, with very large orders split. Joins to stored dimensions read both sides straight
 from a shuffle, which lets adaptive execution split a hot product or customer. Items are
 reduced to their key columns, cleaned and deduplicated before any join.
+
+One table of rows per order, counted from the key columns, tells which orders are large,
+where the numbers of each order begin and how often its score counts. So fact rows are
+numbered while they pass and are never stored but in the fact itself.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storelens.functions.time import coerce_timestamp, floor_days
-from storelens.operators.joins import skew_join
+from storelens.operators.joins import ROWS_PER_TASK, hot_keys, skew_join
 from storelens.operators.keep_first import READ_ORDER, keep_first
-from storelens.operators.ranking import distributed_rank
+from storelens.operators.ranking import distributed_rank, grouped_rank, running_totals
+from storelens.session import stored
 from storelens.sources.raw import RawTables
 from storelens.plans import dims
 
@@ -73,9 +79,9 @@ def order_header(orders: DataFrame, reviews: DataFrame, payments: DataFrame, cus
     )
 
 
-def fact_join(items: DataFrame, header: DataFrame, products: DataFrame) -> DataFrame:
+def fact_join(items: DataFrame, header: DataFrame, products: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Every item row with its order header and category (null where unknown)."""
-    return skew_join(items, header, ["order_id"]).join(products.select("product_id", "category"), "product_id", "left")
+    return skew_join(items, header, ["order_id"], counts=sizes).join(products.select("product_id", "category"), "product_id", "left")
 
 
 def add_date_parts(df: DataFrame) -> DataFrame:
@@ -102,15 +108,36 @@ def add_delivery_delay(df: DataFrame) -> DataFrame:
     return df.withColumn("delivery_delay_days", delay)
 
 
-def review_median(raw: RawTables) -> Column:
-    """Median score over the fact's rows, from one row per order: its best score counts once for each of its items."""
+def order_sizes(raw: RawTables) -> DataFrame:
+    """``n`` clean items per order, and whether the order has a customer, from key columns; stored, because several steps read it."""
     items = drop_null_keys(raw.order_items.select("order_id", "order_item_id", "product_id", "seller_id")).select(*ITEM_KEYS).distinct()
-    sizes = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
-    owned = raw.orders.filter(F.col("customer_id").isNotNull()).select("order_id")
-    scored = best_review_per_order(raw.order_reviews).join(sizes, "order_id").join(owned, "order_id")
+    owners = raw.orders.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.max(F.col("customer_id").isNotNull()).alias("owned"))
+    counted = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).join(owners, "order_id", "left")
+    return stored(counted.withColumn("owned", F.coalesce("owned", F.lit(False))), "order-sizes")
+
+
+def review_median(sizes: DataFrame, reviews: DataFrame) -> Column:
+    """Median score over the fact's rows, from one row per order: its best score counts once for each of its items."""
+    scored = best_review_per_order(reviews).join(sizes.filter("owned"), "order_id")
     return scored.agg(F.percentile("review_score", F.lit(0.5), F.col("n"))).scalar()
 
 
+def order_starts(sizes: DataFrame) -> DataFrame:
+    """How many fact rows stand before each order's, in order of order_id."""
+    cum = running_totals(sizes.filter("owned").select("order_id", "n"), ["order_id"], ["n"])
+    return cum.select("order_id", (F.col("cum_n") - F.col("n")).alias("_start"))
+
+
+def numbered_items(items: DataFrame, sizes: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``_item`` = 1.. in each order by item; orders too large for a task are ranked over several."""
+    in_order = F.row_number().over(W.partitionBy("order_id").orderBy("order_item_id"))
+    large = hot_keys(sizes.select("order_id", "n"), "n", rows_per_task).select("order_id")
+    if large.isEmpty():
+        return items.withColumn("_item", in_order)
+    small = items.join(large, "order_id", "left_anti").withColumn("_item", in_order)
+    return small.unionByName(grouped_rank(items.join(large, "order_id", "left_semi"), ["order_id"], ["order_item_id"], "_item"))
+
+
 def impute_review(df: DataFrame, median: Column | None = None) -> DataFrame:
     """Null review scores become the median score, of the table itself unless it is given."""
     if median is None:
@@ -137,19 +164,26 @@ def joined_rows(raw: RawTables, customers: DataFrame, products: DataFrame) -> Da
     return fact_join(raw.order_items, header, products)
 
 
-def fact_rows(raw: RawTables, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Clean, deduplicated, derived fact rows; scores not imputed, no surrogate key."""
+def clean_items(raw: RawTables) -> DataFrame:
+    """Item rows with all their keys, one per (order, item)."""
     columns = [*ITEM_KEYS, "product_id", "seller_id", "price", "freight_value"]
     kept = [*columns, READ_ORDER] if READ_ORDER in raw.order_items.columns else columns
-    items = dedupe_items(drop_null_keys(raw.order_items.select(kept))).select(columns)
-    header = order_header(raw.orders, raw.order_reviews, raw.order_payments, customers)
-    return project_fact(derive(drop_null_keys(fact_join(items, header, products))))
+    return dedupe_items(drop_null_keys(raw.order_items.select(kept))).select(columns)
 
 
-def fact_orders(raw: RawTables, customers: DataFrame, products: DataFrame, with_key: bool = True) -> DataFrame:
-    """The fact table. With a key, the joined rows are stored once and the median is read from there; without, it comes from per-order counts."""
-    rows = fact_rows(raw, customers, products)
-    return project_fact(impute_review(surrogate_key(rows)) if with_key else impute_review(rows, review_median(raw)))
+def fact_orders(raw: RawTables, customers: DataFrame, products: DataFrame, with_key: bool = True,
+                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The fact table. Orders are unique on their id. With a key, fact_id = position in (order, item) order: the rows before the order plus the item's own."""
+    sizes = order_sizes(raw)
+    items = clean_items(raw)
+    header = order_header(raw.orders, raw.order_reviews, raw.order_payments, customers)
+    if with_key:
+        items = numbered_items(items, sizes, rows_per_task)
+        header = header.join(order_starts(sizes), "order_id", "left")
+    rows = derive(drop_null_keys(fact_join(items, header, products, sizes.select("order_id", "n"))))
+    if with_key:
+        rows = rows.withColumn("fact_id", F.col("_start") + F.col("_item"))
+    return project_fact(impute_review(rows, review_median(sizes, raw.order_reviews)))
 
 
 def customer_dim(raw: RawTables) -> DataFrame:

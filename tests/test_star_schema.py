@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from storelens.plans import customers, dims, etl, fact, features, reports
 from storelens.sources import warehouse as wh
+from storelens.sources.binding import bind_test_tables
 from storelens.sources.raw import RAW_SCHEMAS, RawTables, corrupt_counts, extract, scan_csv
 
 ORDERS = [
@@ -234,3 +235,30 @@ def test_records_and_bounds(spark):
     assert wh.to_records(df).first()["record"] == '{"k":"a","x":null,"y":1.5}'
     with pytest.raises(ValueError):
         wh.bounded_n(51, 1, 50)
+
+
+def test_numbers_of_large_orders_equal_a_global_rank(spark, sf):
+    """Orders beyond one task's rows are ranked over several; the numbers are the same, and no fact row is stored for them."""
+    raw = bind_test_tables(spark, sf)
+    dims = fact.customer_dim(raw), fact.product_dim(raw)
+    plain = fact.fact_orders(raw, *dims)
+    split = fact.fact_orders(raw, *dims, rows_per_task=5)
+    columns = ["fact_id", *fact.ITEM_KEYS]
+    expected = sorted((r.order_id, r.order_item_id) for r in plain.select(*fact.ITEM_KEYS).collect())
+    for df in (plain, split):
+        assert sorted(tuple(r) for r in df.select(*columns).collect()) == [(i + 1, *key) for i, key in enumerate(expected)]
+    assert len(expected) > 1000
+    scans = [line for line in plain._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation" in line]
+    assert not any("delivery_delay_days" in line for line in scans)
+
+
+def test_unowned_orders_take_no_numbers(spark, sf):
+    from dataclasses import replace
+
+    raw = bind_test_tables(spark, sf)
+    some = F.col("order_id") % 3 == 0
+    orders = raw.orders.withColumn("customer_id", F.when(~some, F.col("customer_id"))).filter("order_id % 7 != 0")
+    raw = replace(raw, orders=orders)
+    found = fact.fact_orders(raw, fact.customer_dim(raw), fact.product_dim(raw)).agg(F.min("fact_id"), F.max("fact_id"), F.countDistinct("fact_id"), F.count("*")).first()
+    assert found[0] == 1 and found[1] == found[2] == found[3] > 0
+    assert fact.fact_orders(replace(raw, orders=orders.limit(0)), fact.customer_dim(raw), fact.product_dim(raw)).count() == 0
