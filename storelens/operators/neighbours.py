@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storelens.operators.ranking import distributed_rank, running_totals
 from storelens.session import materialize
@@ -59,37 +60,49 @@ def _in_parts(vecs: pd.Series, width: int) -> Iterator[tuple[slice, np.ndarray]]
         yield part, np.stack(vecs.iloc[part].to_numpy())
 
 
-def _assign(pivots: np.ndarray):
+def _by_group(groups: pd.Series) -> Iterator[tuple[int, np.ndarray]]:
+    values = groups.to_numpy()
+    for g in np.unique(values):
+        yield int(g), np.flatnonzero(values == g)
+
+
+def _assign(pivots: dict[int, np.ndarray], first: dict[int, int]):
+    """Nearest pivot of the row's own group. Cells are numbered through all groups, those of a group from ``first`` on."""
+
     @F.pandas_udf("cell int, reach double")
-    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for vecs in batches:
+    def nearest(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for vecs, groups in batches:
             cells, reach = np.empty(len(vecs), "int32"), np.empty(len(vecs))
-            for part, some in _in_parts(vecs, len(pivots)):
-                d = _distances(some, pivots)
-                cells[part] = d.argmin(axis=1)
-                reach[part] = d.min(axis=1)
+            for g, rows in _by_group(groups):
+                for part, some in _in_parts(vecs.iloc[rows], len(pivots[g])):
+                    d = _distances(some, pivots[g])
+                    cells[rows[part]] = first[g] + d.argmin(axis=1)
+                    reach[rows[part]] = d.min(axis=1)
             yield pd.DataFrame({"cell": cells, "reach": reach})
 
     return nearest
 
 
-def _reachable(pivots: np.ndarray, radius: np.ndarray):
-    """Other cells whose nearest possible point is not beyond the current k-th distance."""
+def _reachable(pivots: dict[int, np.ndarray], first: dict[int, int], radius: dict[int, np.ndarray]):
+    """Other cells of the group whose nearest possible point is not beyond the current k-th distance."""
 
     @F.pandas_udf("array<int>")
-    def cells(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for vecs, own, limit in batches:
-            found: list[np.ndarray] = []
-            for part, some in _in_parts(vecs, len(pivots)):
-                d, home = _distances(some, pivots), own.iloc[part].to_numpy()
-                homes, which = np.unique(home, return_inverse=True)
-                gap = _distances(pivots[homes], pivots)[which]
-                to_home = d[np.arange(len(d)), home][:, None]
-                half_plane = np.divide(d**2 - to_home**2, 2 * gap, out=np.zeros_like(d), where=gap > 0)
-                nearest_possible = np.maximum(d - radius[None, :], half_plane)
-                keep = nearest_possible <= limit.iloc[part].to_numpy()[:, None] * (1 + 1e-9) + 1e-12
-                keep[np.arange(len(d)), home] = False
-                found += [np.flatnonzero(row).astype("int32") for row in keep]
+    def cells(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for vecs, groups, own, limit in batches:
+            found: list[np.ndarray] = [np.empty(0, "int32")] * len(vecs)
+            for g, rows in _by_group(groups):
+                for part, some in _in_parts(vecs.iloc[rows], len(pivots[g])):
+                    at = rows[part]
+                    d, home = _distances(some, pivots[g]), own.iloc[at].to_numpy() - first[g]
+                    homes, which = np.unique(home, return_inverse=True)
+                    gap = _distances(pivots[g][homes], pivots[g])[which]
+                    to_home = d[np.arange(len(d)), home][:, None]
+                    half_plane = np.divide(d**2 - to_home**2, 2 * gap, out=np.zeros_like(d), where=gap > 0)
+                    nearest_possible = np.maximum(d - radius[g][None, :], half_plane)
+                    keep = nearest_possible <= limit.iloc[at].to_numpy()[:, None] * (1 + 1e-9) + 1e-12
+                    keep[np.arange(len(d)), home] = False
+                    for i, row in zip(at, keep):
+                        found[i] = (np.flatnonzero(row) + first[g]).astype("int32")
             yield pd.Series(found)
 
     return cells
@@ -137,31 +150,52 @@ def _tiles(queries: DataFrame, placed: DataFrame, blocks: DataFrame, k: int) ->
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_compare(k), _CANDIDATES)
 
 
-def nearest_neighbours(points: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
+def _share(column: str) -> Column:
+    """Repeatable number in [0, 1) from an id."""
+    return F.pmod(F.xxhash64(column), F.lit(1 << 40)) / float(1 << 40)
+
+
+def _pivots(points: DataFrame, block: int) -> dict[int, np.ndarray]:
+    """About ``n_pivots`` points of every group, one at least, picked by a hash of their id: two scans and no sort, however many groups."""
+    least = F.min_by("vec", F.xxhash64("id", F.lit("pivot")))
+    groups = points.groupBy("part").agg(F.count(F.lit(1)).alias("n"), least.alias("vec")).collect()  # a row a group
+    found = {g["part"]: [g["vec"]] for g in groups}
+    rates = [(g["part"], (n_pivots(g["n"], block) - 1) / g["n"]) for g in groups]
+    crowded = [(part, rate) for part, rate in rates if rate > 0]
+    if crowded:
+        rate = F.broadcast(points.sparkSession.createDataFrame(crowded, "part int, rate double"))
+        for row in points.join(rate, "part").filter(_share("id") < F.col("rate")).select("part", "vec").orderBy("part", "vec").collect():
+            found[row["part"]].append(row["vec"])
+    return {part: np.unique(np.array(vecs, dtype="float64"), axis=0) for part, vecs in sorted(found.items())}
+
+
+def nearest_neighbours(points: DataFrame, k: int = 5, block: int = BLOCK, group: str | None = None) -> DataFrame:
     """(id, neighbour, distance, rank) for the k nearest other points of every (id, vec) row.
 
-    Equal distances are ordered by the neighbour's id. The driver sees the pivots and one radius per
-    cell, the square root of the table's rows at most (see ``n_pivots``).
+    With ``group``, an integer column, neighbours have the row's own group; all groups go through the
+    same jobs. Ids are unique over all groups. Equal distances are ordered by the neighbour's id. The
+    driver sees the pivots and one radius per cell, the square root of a group's rows at most (see ``n_pivots``).
     """
-    stored = materialize(points.select("id", "vec"))
-    n = stored.count()
-    if n == 0:
+    stored = materialize(points.select("id", "vec", (F.lit(0) if group is None else F.col(group)).cast("int").alias("part")))
+    pivots = _pivots(stored, block)
+    if not pivots:
         return stored.sparkSession.createDataFrame([], _CANDIDATES + ", rank int")
-    pivot_rows = stored.orderBy(F.md5(F.col("id").cast("string"))).limit(n_pivots(n, block)).collect()
-    pivots = np.array([r["vec"] for r in pivot_rows], dtype="float64")
-    placed = materialize(stored.withColumn("_at", _assign(pivots)("vec")).select("id", "vec", "_at.*"))
+    ends = np.cumsum([len(p) for p in pivots.values()]).tolist()
+    first = {part: end - len(p) for (part, p), end in zip(pivots.items(), ends)}
+    placed = materialize(stored.withColumn("_at", _assign(pivots, first)("vec", "part")).select("id", "vec", "part", "_at.*"))
     cells = materialize(placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("p_blocks"), F.max("reach").alias("radius")))
 
     own = _best(_tiles(placed, placed, cells.select("cell", F.col("p_blocks").alias("q_blocks"), "p_blocks"), k), k)
-    if len(pivots) == 1:
+    if ends[-1] == len(pivots):
         return own
-    radius = np.full(len(pivots), -np.inf)
+    reaches = np.full(ends[-1], -np.inf)
     for c in cells.select("cell", "radius").collect():
-        radius[c["cell"]] = c["radius"]
+        reaches[c["cell"]] = c["radius"]
+    radius = {part: reaches[first[part] : first[part] + len(p)] for part, p in pivots.items()}
     own = materialize(own)
     limits = own.groupBy("id").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).otherwise(float("inf")).alias("limit"))
     searching = placed.join(limits, "id", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
-    reach = _reachable(pivots, radius)(F.col("vec"), F.col("cell"), F.col("limit"))
+    reach = _reachable(pivots, first, radius)(F.col("vec"), F.col("part"), F.col("cell"), F.col("limit"))
     visits = materialize(searching.select("id", "vec", F.explode(reach).alias("cell")))
     asked = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("q_blocks"))
     others = _tiles(visits, placed, materialize(asked.join(cells.select("cell", "p_blocks"), "cell")), k)
@@ -188,41 +222,50 @@ def smote(df: DataFrame, label: str, vec: str, k: int = 5, seed: int = 42) -> Da
     if None in sizes:
         raise ValueError(f"{label} has null values")
     original = df.select(F.col(label).alias("label"), F.col(vec).cast("array<double>").alias("vec"), F.lit(0).alias("synthetic"))
-    out, largest = original, max(sizes.values(), default=0)
+    largest, plan, before = max(sizes.values(), default=0), [], 0
     for rare in sorted(c for c in sizes if sizes[c] < largest):
-        own = original.filter(F.col("label") == rare)
-        out = out.unionByName(_synthetic(own, sizes[rare], largest - sizes[rare], F.lit(rare).cast(df.schema[label].dataType), k, seed))
-    return out
-
-
-def _synthetic(own: DataFrame, size: int, missing: int, label: Column, k: int, seed: int) -> DataFrame:
-    """``missing`` new rows from the ``size`` rows of one class."""
-    rounds, extra = divmod(missing, size)
-
+        rounds, extra = divmod(largest - sizes[rare], sizes[rare])
+        plan.append((rare, len(plan), before, rounds, extra))
+        before += sizes[rare]
+    if not plan:
+        return original
+    kinds = T.StructType([
+        T.StructField("label", df.schema[label].dataType), T.StructField("part", T.IntegerType()),
+        *[T.StructField(c, T.LongType()) for c in ("before", "rounds", "extra")],
+    ])
+    return original.unionByName(_synthetic(original, df.sparkSession.createDataFrame(plan, kinds), k, seed))
+
+
+def _synthetic(original: DataFrame, classes: DataFrame, k: int, seed: int) -> DataFrame:
+    """The new rows of all ``classes``: (label, part, rows of the classes before, rounds, extra rows), a row a class. Their class is part of every key,
+    so the number of jobs does not depend on the number of classes."""
     # distinct vectors are numbered in their own order, so the draws do not depend on partitioning
-    distinct = own.groupBy("vec").agg(F.count(F.lit(1)).alias("copies"))
-    points = materialize(distributed_rank(distinct, ["vec"], "id"))
-    near = nearest_neighbours(points, k)
+    distinct = original.join(F.broadcast(classes.select("label", "part")), "label").groupBy("part", "vec").agg(F.count(F.lit(1)).alias("copies"))
+    ranked = distributed_rank(distinct, ["part", "vec"], "id")
+    starts = ranked.groupBy("part").agg((F.min("id") - 1).alias("start"))
+    points = materialize(ranked.join(F.broadcast(starts), "part").withColumn("number", F.col("id") - F.col("start")).drop("start"))
+    near = nearest_neighbours(points, k, group="part")
     known = near.join(points.select(F.col("id").alias("neighbour"), F.col("vec").alias("n_vec"), F.col("copies").alias("n_copies")), "neighbour")
     lists = known.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "n_copies", "n_vec"))).alias("near"))
-    # base rows take turns in hash order; the first `extra` rows are used once more
-    order = F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit(str(seed))))
-    turns = running_totals(points.withColumn("_order", order), ["_order", "id"], ["copies"])
-    once_more = F.greatest(F.lit(0), F.least(F.col("cum_copies"), F.lit(extra)) - (F.col("cum_copies") - F.col("copies")))
-    planned = turns.withColumn("wanted", F.col("copies") * rounds + once_more).filter(F.col("wanted") > 0).join(lists, "id", "left")
+    # base rows take turns in hash order; the first `extra` rows of a class are used once more
+    order = F.md5(F.concat_ws("|", F.col("number").cast("string"), F.lit(str(seed))))
+    turns = running_totals(points.withColumn("_order", order), ["part", "_order", "id"], ["copies"]).join(F.broadcast(classes), "part")
+    so_far = F.col("cum_copies") - F.col("before")
+    once_more = F.greatest(F.lit(0), F.least(so_far, F.col("extra")) - (so_far - F.col("copies")))
+    planned = turns.withColumn("wanted", F.col("copies") * F.col("rounds") + once_more).filter(F.col("wanted") > 0).join(lists, "id", "left")
     twins = F.array_repeat(F.col("vec"), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))
     others = F.flatten(F.transform(F.coalesce("near", F.array()), lambda e: F.array_repeat(e["n_vec"], F.least(e["n_copies"], F.lit(k)).cast("int"))))
     slots = F.slice(F.concat(twins, others), 1, k)
-    chunks = planned.select("id", "vec", "wanted", slots.alias("slots"),
+    chunks = planned.select("label", "id", "number", "vec", "wanted", slots.alias("slots"),
                             F.explode(F.sequence(F.lit(0), F.floor((F.col("wanted") - 1) / _ROWS_PER_CHUNK))).alias("chunk"))
     first = F.col("chunk") * _ROWS_PER_CHUNK
     last = F.least(first + _ROWS_PER_CHUNK, F.col("wanted")) - 1
     drawn = chunks.repartition("id", "chunk").withColumn("turn", F.explode(F.sequence(first, last)))
-    pick = uniform(F.col("id").cast("string"), F.col("turn").cast("string"), F.lit(f"n{seed}"))
-    step = uniform(F.col("id").cast("string"), F.col("turn").cast("string"), F.lit(f"u{seed}"))
+    pick = uniform(F.col("number").cast("string"), F.col("turn").cast("string"), F.lit(f"n{seed}"))
+    step = uniform(F.col("number").cast("string"), F.col("turn").cast("string"), F.lit(f"u{seed}"))
     chosen = F.coalesce(F.get("slots", F.floor(pick * F.size("slots")).cast("int")), F.col("vec"))
     return drawn.withColumns({"_to": chosen, "_step": step}).select(
-        label.alias("label"),
+        "label",
         F.expr("zip_with(vec, _to, (a, b) -> a + _step * (b - a))").alias("vec"),
         F.lit(1).alias("synthetic"),
     )

@@ -75,6 +75,51 @@ def test_smote_balances_every_class(spark):
         neighbours.smote(spark.createDataFrame([(None, [1.0]), (1, [1.0])], "label int, vec array<double>"), "label", "vec")
 
 
+@pytest.mark.parametrize("block", [25, 4096])
+def test_neighbours_within_groups_match_brute_force(spark, block):
+    """Overlapping groups, one with most rows and a dense cluster, one with two rows, one with one."""
+    rng = np.random.default_rng(8)
+    groups = np.array([3] * 200 + [1] * 60 + [7] * 2 + [4])
+    vectors = rng.normal(scale=5, size=(len(groups), 2))
+    vectors[:90] = vectors[0] + rng.normal(scale=1e-3, size=(90, 2))
+    rows = [(i, int(g), [float(x) for x in v]) for i, (g, v) in enumerate(zip(groups, vectors))]
+    points = spark.createDataFrame(rows, "id bigint, g int, vec array<double>")
+    got = {}
+    for r in neighbours.nearest_neighbours(points, 5, block, group="g").orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["neighbour"])
+    expected = {}
+    for g in np.unique(groups):
+        ids = np.flatnonzero(groups == g)
+        expected |= {i: n for i, n in brute_force(vectors[ids], [int(i) for i in ids], 5).items() if n}
+    assert got == expected
+    assert neighbours.nearest_neighbours(points.limit(0), 5, block, group="g").count() == 0
+
+
+def test_smote_of_many_classes_is_that_of_each_in_as_many_jobs(spark):
+    """A class gets the same rows whether others are there or not, and more classes need no more jobs."""
+    rng = np.random.default_rng(4)
+    rows = [(c, [float(x) for x in rng.normal(scale=3, size=2)]) for c, n in enumerate((50, 7, 11, 1, 23, 50, 19)) for _ in range(n)]
+
+    def balanced(classes):
+        frame = spark.createDataFrame([r for r in rows if r[0] in classes], "label int, vec array<double>")
+        name = f"smote-{len(classes)}"
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            made = neighbours.smote(frame, "label", "vec").filter("synthetic = 1").collect()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return sorted((r["label"], tuple(r["vec"])) for r in made), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    together, jobs = balanced(range(7))
+    alone = []
+    for c in (1, 2, 3, 4, 6):
+        found, single = balanced({0, c})
+        alone += found
+    assert together == sorted(alone)
+    assert {c: sum(label == c for label, _ in together) for c in range(7)} == {0: 0, 1: 43, 2: 39, 3: 49, 4: 27, 5: 0, 6: 31}
+    assert 0 < jobs <= single / 5 * 1.5  # the five runs of two classes share a job group
+
+
 def test_folds_keep_the_class_shares(spark):
     df = spark.range(503).select("id", (F.col("id") % 10 == 0).cast("double").alias("label"), F.col("id").cast("double").alias("x"))
     sample = training.bounded_sample(df, ["x"], ["id"], training.Search(1))
