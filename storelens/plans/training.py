@@ -248,6 +248,33 @@ class TreeModel:
         joined = names.join(gains, "feature", "left")
         return joined.select(F.col("name").alias("feature"), F.coalesce(F.col("gain") / whole, F.lit(0.0)).alias("importance"))
 
+    def sql(self, rows: str, nodes: str, key: str) -> str:
+        """SQL with the same probabilities, as (key, probability), from a table of complete feature rows and the stored nodes: rows walk one level a step."""
+        own, carried = (", ".join(f'{side}."{f}"' for f in self.features) for side in "rw")
+        value = "CASE w.feature " + " ".join(f'WHEN {i} THEN w."{f}"' for i, f in enumerate(self.features)) + " END"
+        total = f"{self.start!r} + sum(value)"
+        probability = f"1 / (1 + exp(-({total})))" if self.kind == "boosting" else f"sum(value) / {max(self.n_trees, 1)}"
+        return f"""
+            WITH RECURSIVE walk AS (
+                SELECT r."{key}", {own}, n.tree, n.feature, n.threshold, n."left" AS down, n.value
+                FROM {rows} r JOIN {nodes} n ON n.node = 0
+                UNION ALL
+                SELECT w."{key}", {carried}, n.tree, n.feature, n.threshold, n."left", n.value
+                FROM walk w JOIN {nodes} n ON n.tree = w.tree AND n.node = w.down + CASE WHEN {value} > w.threshold THEN 1 ELSE 0 END
+                WHERE w.down >= 0
+            )
+            SELECT "{key}", {probability} AS probability FROM walk WHERE down < 0 GROUP BY "{key}"
+        """
+
+    def importance_sql(self, nodes: str) -> str:
+        """SQL with the same (feature, importance) from the stored nodes."""
+        names = ", ".join(f"({i}, '{f}')" for i, f in enumerate(self.features))
+        return f"""
+            SELECT f.name AS feature, coalesce(sum(n.gain) / (SELECT sum(gain) FROM {nodes} WHERE "left" >= 0), 0) AS importance
+            FROM (VALUES {names}) f(number, name) LEFT JOIN {nodes} n ON n.feature = f.number AND n."left" >= 0
+            GROUP BY f.name
+        """
+
 
 def fit_model(spark: SparkSession, sample: Sample, candidate: Candidate, settings: dict, features: list[str]) -> TreeModel:
     """The candidate with these settings, fitted to the whole sample; trees of a forest are dealt over tasks."""

@@ -1,5 +1,6 @@
 """Trees, boosting, forests and the search against plain versions on small rows."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -206,6 +207,26 @@ def test_model_table_scores_like_its_trees(spark, candidate, tmp_path):
     assert sum(shares.values()) == pytest.approx(1.0) and set(shares) == set(names)
 
 
+@pytest.mark.parametrize("candidate", GRIDS, ids=lambda c: c.name)
+def test_model_table_scores_like_its_sql(spark, candidate, tmp_path):
+    """DuckDB walks the stored node table to the same probabilities and importances, at thresholds too."""
+    x, y = rows(400, 4, 6)
+    sample, names = sample_of(x, y), ["a", "b", "c", "left"]
+    model = training.fit_model(spark, sample, candidate, training.random_draws(candidate.grid, 2)[-1], names)
+    training.save_model(model, str(tmp_path / "m"))
+    loaded = training.load_model(str(tmp_path / "m"))
+    cuts = [r["threshold"] for r in loaded.nodes.filter("left >= 0").select("threshold").distinct().collect()]
+    cells = [*x, *[[c] * 4 for c in cuts], [-1e300] * 4, [1e300] * 4]
+    frame = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(cells)], "i long, a double, b double, c double, left double")
+    frame.write.parquet(str(tmp_path / "rows"))
+    con = duckdb.connect()
+    table, nodes = f"'{tmp_path}/rows/*.parquet'", f"'{tmp_path}/m/nodes/*.parquet'"
+    got = loaded.transform(frame).select("i", training.vector_to_array("probability")[1].alias("p")).collect()
+    assert {r["i"]: pytest.approx(r["p"], abs=1e-12) for r in got} == dict(con.execute(loaded.sql(table, nodes, "i")).fetchall())
+    shares = dict(con.execute(loaded.importance_sql(nodes)).fetchall())
+    assert {r["feature"]: pytest.approx(r["importance"], abs=1e-12) for r in loaded.importance().collect()} == shares
+
+
 def test_delivery_and_sentiment_with_small_grids(spark, stored):
     from storelens import registry
 
