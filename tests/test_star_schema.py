@@ -262,3 +262,21 @@ def test_unowned_orders_take_no_numbers(spark, sf):
     found = fact.fact_orders(raw, fact.customer_dim(raw), fact.product_dim(raw)).agg(F.min("fact_id"), F.max("fact_id"), F.countDistinct("fact_id"), F.count("*")).first()
     assert found[0] == 1 and found[1] == found[2] == found[3] > 0
     assert fact.fact_orders(replace(raw, orders=orders.limit(0)), fact.customer_dim(raw), fact.product_dim(raw)).count() == 0
+
+
+def test_items_are_dealt_by_order_once_and_copies_are_dropped(spark, tmp_path):
+    """Duplicates, numbers and the join with the header share one shuffle and one sort of the items; no map task sorts them, nor does the write shuffle them."""
+    rows = [(1, 2, 7, 5, 3.0), (1, 2, 7, 4, 9.0), (1, 1, 8, 4, 1.0), (1, 1, 8, 4, 1.0), (2, None, 8, 4, 2.0), (2, None, 8, None, 1.0), (3, 1, 9, 9, 9.0)]
+    items = spark.createDataFrame(rows, "order_id bigint, order_item_id int, product_id bigint, seller_id bigint, price double")
+    sizes = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("rows"))
+    rest = ["product_id", "seller_id", "price"]
+    expected = [(1, 1, 8, 4, 1.0, 1), (1, 2, 7, 4, 9.0, 2), (2, None, 8, None, 1.0, 1), (3, 1, 9, 9, 9.0, 1)]
+    for limit in (1, 3, 100):  # all orders but one large, one large, none
+        found = fact.numbered_items(items, sizes, rest, limit).select(*items.columns, "_item").collect()
+        assert sorted(map(tuple, found), key=lambda r: (r[0], r[5])) == expected
+    plan = fact.numbered_items(items, sizes, rest)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1 and "SortAggregate" not in plan
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    years = spark.range(40).select((F.col("id") % 20).alias("order_year"), "id")
+    assert wh.write_table(years, str(tmp_path), "fact_orders").agg(F.count("*"), F.sum("id")).first()[:] == (40, 780)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
