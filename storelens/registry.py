@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from storelens.operators import neighbours
 from storelens.plans import customers, dims, etl, evaluate, explore, fact, features, forecast, prep, reports, scoring, training
-from storelens.session import scratch_path
+from storelens.session import materialize, scratch_path
 from storelens.shared_warehouse import warehouse_for
 from storelens.sources import raw as raw_source
 from storelens.sources import warehouse as wh
@@ -207,7 +207,8 @@ def _delivery(w: Warehouse) -> DataFrame:
 
 
 def _monthly(w: Warehouse, key: str | None = "state") -> DataFrame:
-    return features.forecast_monthly(w.fact_orders, key)
+    """A row a series and month, computed from the fact once: what follows reads it several times."""
+    return materialize(features.forecast_monthly(w.fact_orders, key))
 
 
 def _csv_regressors(w: Warehouse) -> DataFrame:

@@ -127,3 +127,11 @@ def test_quantiles_of_paths_with_noise(spark, noise):
             share = np.mean([NormalDist(d, noise).cdf(middle) for d in drifts])
             low, high = (middle, high) if share < p else (low, middle)
         assert value == pytest.approx(low, abs=max(1e-4 * noise, 1e-5 if noise < 1e-3 else 0))
+
+
+def test_months_are_added_up_from_the_fact_once(spark, stored):
+    """What fits, validates and predicts reads the stored months, not the fact again."""
+    from storelens.registry import _monthly
+
+    plan = _monthly(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" in plan and "parquet" not in plan.lower()
