@@ -239,3 +239,30 @@ def test_delivery_and_sentiment_with_small_grids(spark, stored):
     assert scores.count() == stored.fact_orders.count()
     sentiment = training.train_sentiment(features.sentiment_features(stored.fact_orders), search, boosting, forest)
     assert sentiment.name in ("RandomForest", "GradientBoosting") and 0 <= sentiment.metrics["cv_best_f1"] <= 1
+
+
+def test_walker_reaches_the_leaves_that_a_plain_walk_reaches():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(800, 5))
+    y = (x[:, 0] * x[:, 1] + rng.normal(size=800) > 0).astype(int)
+    edges = T.bin_edges(x)
+    made = [T.forest_tree(T.binned(x, edges), y, np.ones(800), T.Limits(depth, 1.0, 2.0), 42, t) for t, depth in enumerate((None, 3, 0, None))]
+    cuts = [np.array([edges[f][b] if n >= 0 else np.nan for f, b, n in zip(t.feature, t.bin, t.left)]) for t in made]
+    first = np.concatenate([[0], np.cumsum([len(t.left) for t in made])[:-1]]).astype(np.int64)
+    feature, left, value = (np.concatenate([getattr(t, c) for t in made]) for c in ("feature", "left", "value"))
+    walker = T.Walker(5, first, feature, np.concatenate(cuts), left, value)
+    rows = rng.normal(size=(5000, 5))
+    rows[::7, 2], rows[::11, 0], rows[3] = np.nan, np.inf, cuts[0][0]
+
+    def plain(row):
+        total = 0.0
+        for tree, cut in zip(made, cuts):
+            at = 0
+            while tree.left[at] >= 0:
+                at = tree.left[at] + int(row[tree.feature[at]] > cut[at])
+            total += tree.value[at]
+        return total
+
+    assert walker.depth[0] > T._WALK_LEVELS and walker.depth[2] == 0
+    assert walker.sums(rows).tolist() == [plain(r) for r in rows]
+    assert T.Walker(5, first[:0], feature[:0], cuts[0][:0], left[:0], value[:0]).sums(rows[:2]).tolist() == [0.0, 0.0]
