@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from storelens.llm.pieces import REMEMBERED, encoder, tokenizer_path
+from storelens.llm.pieces import REMEMBERED, PieceEncoder, encoder, tokenizer_path
 from storelens.llm.tables import packed, slices, stored
 
 CAPACITY = 2048
 END_ID = 1
 #: Parts that the pieces of one length are numbered in, so that a very common length is no single group.
 PARTS = 256
+#: Bytes of text whose different units are looked up at once.
+LOOKUP_BYTES = 1 << 23
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long"
 
 
@@ -83,14 +85,25 @@ def _places(packs: list[tuple[tuple[tuple[int, int], ...], int]]) -> dict[str, n
     return table
 
 
+def encoded(made: PieceEncoder, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of a batch with the ids of their texts in a row and how many each text has. Units of many slices are looked up at once,
+    so that common ones are looked up less often."""
+    for block in slices(batch, limit=LOOKUP_BYTES):
+        numbers, edges = made.unit_numbers_of(block.column("_text"))
+        at = 0
+        for part in slices(block):
+            of = edges[at : at + part.num_rows + 1]
+            yield part, *made.ids_of(numbers[of[0] : of[-1]], of - of[0])
+            at += part.num_rows
+
+
 def token_pieces(docs: DataFrame, text: str, doc_id: str, path: str, capacity: int, end_id: int, remembered: int) -> DataFrame:
     """Every document's ids with the end id, cut after each ``capacity`` ids: one row per piece (PIECE)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(path, remembered)
         for batch in batches:
-            for part in slices(batch):
-                ids, counts = made.encode([t or "" for t in part.column("_text").to_pylist()])
+            for part, ids, counts in encoded(made, batch):
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id).astype("<u4")
                 totals = counts + 1

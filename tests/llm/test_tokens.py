@@ -34,6 +34,75 @@ def test_pieces_give_the_tokenizers_ids(plain):
     assert all("".join(split_pieces(t)) == t for t in texts)
 
 
+def test_units_give_the_tokenizers_ids(plain):
+    signs = ["a", "Bc", "ll", "s", "t", "re", "7", "42", "'", ".", ",", "|", "-", "<", "|>", "<|endoftext|>", " ", " ", " ", "\n", "\n", "\t", "\r", "\x0b", "\x00", "\x1c", "\x7f"]
+    signs += ["\x85", "\xa0", "\u1680", "\u180e", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\u200b", "é", "e\u0301", "日本", "。", "٣", "½", "\U0001f600", "ǅ"]
+    r, made = random.Random(8), PieceEncoder(tokenizer_path(), remembered=3000)
+    for _ in range(60):
+        some = r.sample(signs, r.choice([3, 6, len(signs)]))
+        texts = ["".join(r.choices(some, k=r.choice([0, 1, 2, 5, 40]))) for _ in range(60)]
+        ids, counts = made.encode(texts)
+        at = np.cumsum([0, *counts])
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [plain(t) for t in texts]
+
+
+def test_units_of_another_pattern_are_cut_at_spaces_only(tmp_path):
+    from tokenizers import Regex, Tokenizer, pre_tokenizers
+
+    other = Tokenizer.from_file(tokenizer_path())
+    split = pre_tokenizers.Split(Regex(r" ?[^\s]+[\r\n]*|\s+(?!\S)|\s+"), "isolated")
+    other.pre_tokenizer = pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    other.save(str(tmp_path / "other.json"))
+    texts = ["it's 12ab.\n\nNext, one\n two  three\n", " a.b", "x", "", "日本 語。 z"]
+    ids, counts = PieceEncoder(str(tmp_path / "other.json")).encode(texts)
+    assert ids.tolist() == [i for t in texts for i in other.encode(t, add_special_tokens=False).ids]
+    assert counts.tolist() == [len(other.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+class Counting:
+    """A tokenizer that counts the characters it encodes."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.chars = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **how):
+        self.chars += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def test_words_are_encoded_once_whatever_stands_beside_them(plain):
+    words = ["".join(p) for p in zip("abcdefghijklmnopqrst" * 2, "tion" * 10, "hereandthere" * 4)]
+    texts = [f"{a}{sign}{b}" for a in words for sign in (".\n", ", ", "\n\n", " | ") for b in words]
+    made = PieceEncoder(tokenizer_path())
+    made.tokenizer = Counting(made.tokenizer)
+    ids, _ = made.encode(texts)
+    assert ids.tolist() == [i for t in texts for i in plain(t)]
+    assert made.tokenizer.chars < 10 * sum(map(len, words))  # not once for every text
+
+
+def test_long_units_are_forgotten_by_their_bytes(plain):
+    made = PieceEncoder(tokenizer_path(), remembered=50)
+    for k in range(20):
+        text = "日本" * 300 + str(k) + "語" * 300
+        assert made.encode([text])[0].tolist() == plain(text)
+    assert made.units.nbytes < 3 * 50 * 64 + 6000
+
+
+def test_slices_of_a_batch_keep_their_texts(plain, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "LOOKUP_BYTES", 3000)
+    texts = [None, "", *(t for t in cases.TEXTS), *(cases.prose(200, k) for k in range(40)), None, " x"]
+    made, seen = PieceEncoder(tokenizer_path()), []
+    for kind in (pa.string(), pa.large_string()):
+        batch = pa.RecordBatch.from_arrays([pa.array([None, "cut off", *texts, "off"], kind)], names=["_text"]).slice(2, len(texts))
+        for part, ids, counts in packing.encoded(made, batch):
+            assert ids.tolist() == [i for t in part.column("_text").to_pylist() for i in plain(t)]
+            assert counts.tolist() == [len(plain(t)) for t in part.column("_text").to_pylist()]
+            seen += part.column("_text").to_pylist()
+    assert seen == texts * 2
+
+
 def check_packing(rows, docs, plain, capacity=2048):
     ids = [(d, np.array([*plain(t), 1], "<u4")) for d, t in docs]
     want = Counter((d, s, min(capacity, len(x) - s), zlib.crc32(x[s : s + capacity].tobytes()), len(x)) for d, x in ids for s in range(0, len(x), capacity))
