@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from storelens.llm.tables import held
+from storelens.llm.tables import SLICE_BYTES, held
 
 #: Pieces remembered by one Python worker; then it starts anew. Bounds memory, not results.
 REMEMBERED = 1_000_000
@@ -109,7 +109,7 @@ class PieceEncoder:
         self.after_space: dict[str, int] = {}  # pieces without the space they begin with
         self.whole: dict[str, int] = {}
         self.units = pa.array([], pa.binary())
-        self.unit_numbers = np.zeros(0, np.int64)
+        self.unit_numbers = np.zeros(0, np.int32)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 14, np.int64)
         self.count = np.zeros(1 << 14, np.int64)
@@ -235,7 +235,7 @@ class PieceEncoder:
         order.append(alone)
         ids.append(np.fromiter(chain.from_iterable(made), np.uint32))
         counts.append(np.fromiter(map(len, made), np.int64, len(made)))
-        numbers = np.empty(len(units), np.int64)
+        numbers = np.empty(len(units), np.int32)
         numbers[np.concatenate(order)] = self._keep(np.concatenate(ids), np.concatenate(counts))
         return numbers
 
@@ -246,13 +246,19 @@ class PieceEncoder:
             self._forget()
         texts = pc.fill_null(texts, "")
         edges, data = _bytes(texts)
-        at = self._cuts(texts, edges, data)
-        units = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+        firsts = np.flatnonzero(np.diff(edges[:-1] // SLICE_BYTES, prepend=-1)).tolist()  # cut slice by slice, to hold less at a time
+        found_at = [np.zeros(0, np.int32)]
+        for a, b in zip(firsts, [*firsts[1:], len(texts)]):
+            some = self._cuts(texts.slice(a, b - a), edges[a : b + 1] - edges[a], data[edges[a] : edges[b]])
+            found_at.append((some[:-1] + edges[a]).astype(np.int32))
+        at = np.concatenate([*found_at, np.array([len(data)], np.int32)])
+        del found_at
+        units = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)]).dictionary_encode()
         found = pc.index_in(units.dictionary, value_set=self.units)
         new = units.dictionary.filter(found.is_null())
         if len(new):
             self.unit_numbers = np.concatenate([self.unit_numbers, self._learn_units(new)])
-            numbers = np.asarray(found.fill_null(-1)).astype(np.int64)
+            numbers = np.array(found.fill_null(-1))
             numbers[numbers < 0] = np.arange(len(self.units), len(self.units) + len(new))
             self.units = pa.concat_arrays([self.units, new])
         else:
