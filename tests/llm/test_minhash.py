@@ -154,3 +154,37 @@ def test_bitmap_keeps_all_that_is_wanted(spark, monkeypatch):
     assert kept.join(wanted, "t1", "left_semi").count() == 50 and kept.count() < 60
     monkeypatch.setattr(minhash, "MARKS", 64)
     assert minhash._marked(rows, wanted).join(wanted, "t1", "left_semi").count() == 50
+
+
+def test_few_keys_of_tiles_are_shared_by_texts_little_alike():
+    """Pairs at 85 % meet; pairs at 5 % seldom do, so that tiles do not grow with the square of the table."""
+    r, met, missed = np.random.default_rng(2), 0, 0
+    for _ in range(200):
+        for common, own, percent in ((170, 15, 85), (20, 190, 5)):
+            both, a, b = (r.integers(0, 2**63, k, np.uint64) for k in (common, own, own))
+            sets = [np.unique(np.concatenate([both, x])) for x in (a, b)]
+            signs = [s.astype(np.uint32).tobytes() for s in minhash.signatures(sets)]
+            part = pa.RecordBatch.from_arrays([pa.array(signs, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["signature", "shingles"])
+            x, y = minhash._compact(part)[0].to_pylist()
+            shared = len(set(x) & set(y))
+            missed += percent == 85 and not shared
+            met += shared if percent == 5 else 0
+    assert missed == 0 and met < 40  # single values: about 120
+
+
+def test_tiles_cut_by_batches_are_whole():
+    """A tile whose rows come in several batches gives the links that it gives in one."""
+    r = random.Random(9)
+    texts = [" ".join(changed(cases.prose(200, 60 + g).split(), 0.004, r)) for g in range(3) for _ in range(4)]
+    sets = minhash.shingle_sets(pa.array(texts))
+    signs = [s.astype(np.uint32).tobytes() for s in minhash.signatures(sets)]
+    part = pa.RecordBatch.from_arrays([pa.array(signs, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["signature", "shingles"])
+    _, sign, small = minhash._compact(part)
+    zero, node = pa.array([0] * 12, pa.int32()), pa.array(range(12), pa.int64())
+    rows = pa.RecordBatch.from_arrays([pa.array([0] * 4 + [1] * 8, pa.int64()), zero, zero, zero, node, node, sign, small], names=minhash._TILE)
+
+    def links(*batches):
+        return [x for b in minhash._across(minhash.LEAST, 85)(iter(batches)) for x in zip(*(b.column(c).to_pylist() for c in "ab"))]
+
+    whole = links(rows)
+    assert len(whole) == 9 and whole == links(*[rows.slice(k, 1) for k in range(12)]) == links(rows.slice(0, 6), rows.slice(0, 0), rows.slice(6))
