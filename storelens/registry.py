@@ -266,8 +266,7 @@ def _encoded(w: Warehouse) -> DataFrame:
 
 def _knn(spark: SparkSession, directory: str) -> DataFrame:
     vectors = spark.read.parquet(f"{directory}/embeddings.parquet")
-    points = neighbours.distinct_points(vectors, "vec_id", "embedding")
-    return portable(_rounded(neighbours.nearest_neighbours(points, 5), ["distance"], 6))
+    return portable(_rounded(neighbours.row_neighbours(vectors, "vec_id", "embedding", 5), ["distance"], 6))
 
 
 SMOTE_INPUTS = ["price", "freight_value", "freight_ratio", "order_month", "order_year", "payment_installments", "volume_cm3"]

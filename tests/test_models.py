@@ -372,3 +372,25 @@ def test_points_without_finite_distance_have_no_such_neighbour(spark):
     rows = [(0, [0.0, 0.0]), (1, [1.0, 0.0]), (2, [float("inf"), 0.0]), (3, [0.0, 3.0])]
     found = neighbours.nearest_neighbours(spark.createDataFrame(rows, "id bigint, vec array<double>"), 2).orderBy("id", "rank").collect()
     assert [(r["id"], r["neighbour"]) for r in found] == [(0, 1), (0, 3), (1, 0), (1, 3), (3, 0), (3, 1)]
+
+
+@pytest.mark.parametrize("block", [8, 1024])
+def test_rows_with_equal_vectors_are_neighbours(spark, block):
+    """Copies of a vector, rows that come twice, and an id with several vectors: the nearest of all pairs of rows with different ids."""
+    rng = np.random.default_rng(12)
+    vectors = rng.integers(0, 4, (90, 2)).astype(float) * [1, 7]
+    vectors[:25] = vectors[0]
+    ids = rng.permutation(90).tolist()
+    ids[40], ids[60] = ids[3], ids[50]
+    rows = [(i, v.tolist()) for i, v in zip(ids, vectors)]
+    rows[70] = (ids[70], None)
+    rows += rows[30:45] + [(None, [0.0, 0.0])]
+    want = []
+    for one in {i for i, v in rows if i is not None}:
+        pairs = [(float(np.hypot(*(np.subtract(a, b)))) if a and b else np.inf, j) for i, a in rows if i == one for j, b in rows if j not in (one, None)]
+        want += [(one, j, round(d, 6), k + 1) for k, (d, j) in enumerate(sorted(pairs)[:5])]
+    frame = spark.createDataFrame(rows, "id bigint, vec array<double>")
+    got = neighbours.row_neighbours(frame, "id", "vec", 5, block)
+    assert sorted((r["id"], r["neighbour"], np.inf if r["distance"] is None else round(r["distance"], 6), r["rank"]) for r in got.collect()) == sorted(want)
+    few = neighbours.row_neighbours(frame.where(f"id = {ids[5]} or vec is null or id = {ids[80]}"), "id", "vec", 5, block).orderBy("id", "rank").collect()
+    assert {(r["id"], r["neighbour"], r["distance"] is None) for r in few} == {(i, j, ids[70] in (i, j)) for i in (ids[5], ids[70], ids[80]) for j in (ids[5], ids[70], ids[80]) if i != j}
