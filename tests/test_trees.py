@@ -266,3 +266,94 @@ def test_walker_reaches_the_leaves_that_a_plain_walk_reaches():
     assert walker.depth[0] > T._WALK_LEVELS and walker.depth[2] == 0
     assert walker.sums(rows).tolist() == [plain(r) for r in rows]
     assert T.Walker(5, first[:0], feature[:0], cuts[0][:0], left[:0], value[:0]).sums(rows[:2]).tolist() == [0.0, 0.0]
+
+
+def many_rows(spark, n=900):
+    """More rows than the driver holds in these tests: whole and broken numbers, one class in five, a key that repeats."""
+    x = F.pmod(F.xxhash64("id"), F.lit(7)).cast("double")
+    z = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100_003)) / 7.0
+    y = ((x > 3) & (z > 6000)).cast("int").cast("double")
+    return spark.range(n).select(F.greatest(F.col("id"), F.lit(3)).alias("id"), x.alias("x"), z.alias("z"), y.alias("label"), (x + 1).alias("w"))
+
+
+def test_edges_of_a_stored_table_are_those_of_all_its_rows(spark):
+    table = many_rows(spark).toPandas()[["x", "z"]].to_numpy()
+    table[:50, 1] = 5.0  # equal values over several quantiles
+    frame = spark.createDataFrame([(row.tolist(),) for row in table], "vec array<double>")
+    assert [e.tolist() for e in training.exact_edges(frame.repartition(5), 2)] == [e.tolist() for e in T.bin_edges(table)]
+
+
+def unit_rows(rows, balance):
+    edges = rows.edges
+
+    def shapes(unit, parts):
+        fit, held = training._unit_rows(parts, edges, unit, balance)
+        yield training.pd.DataFrame({"unit": [unit], "fit": fit[0].shape[1], "rare": int(fit[1].sum()), "weight": fit[2].sum(), "held": held[0].shape[1] if held else 0})
+
+    units = list(range(rows.folds + 1))
+    return rows.runs(units, shapes, "unit int, fit long, rare long, weight double, held long").orderBy("unit").toPandas()
+
+
+def test_every_row_is_fitted_and_held_out_once(spark):
+    frame = many_rows(spark)
+    rare = int(frame.agg(F.sum("label")).first()[0])
+    search = training.Search(1, 4, fit_rows=100)
+    even = unit_rows(training.training_rows(frame, ["x", "z"], ["id"], search), True)
+    assert even["held"].sum() == 900 and even["held"].tolist()[4] == 0
+    assert (even["rare"] * 2 == even["fit"]).all() and even["fit"].tolist()[4] == 2 * (900 - rare)
+    plain = unit_rows(training.training_rows(frame, ["x", "z"], ["id"], search, "w", False), False)
+    assert plain["fit"].tolist() == (900 - plain["held"]).tolist() and plain["rare"].tolist()[4] == rare
+    assert plain["weight"].tolist()[4] == frame.agg(F.sum("w")).first()[0]
+    small = training.training_rows(frame, ["x", "z"], ["id"], training.Search(1, 4, fit_rows=900))
+    assert isinstance(small, training.Sample) and len(small.y) == 900
+
+
+@pytest.mark.parametrize("candidate", GRIDS, ids=lambda c: c.name)
+def test_models_of_a_stored_table_do_not_depend_on_its_partitions(spark, candidate):
+    """Search and fit see all rows: the same scores and trees however rows are dealt, and roots with all of them."""
+    found = []
+    for parts in (1, 7):
+        frame = many_rows(spark).repartition(parts)
+        rows = training.training_rows(frame, ["x", "z"], ["id"], training.Search(3, 3, fit_rows=100))
+        best = training.random_search(spark, rows, [candidate], "roc_auc", training.Search(3, 3))[candidate.name]
+        model = training.fit_model(spark, rows, candidate, {**best[0], "subsample": 1.0}, ["x", "z"])
+        found.append((best, [tuple(r)[:5] for r in model.nodes.orderBy("tree", "node").collect() if r["left"] >= 0]))
+    assert found[0] == found[1] and found[0][0][1] > 0.9
+    if not candidate.forest:
+        root = model.nodes.where("node = 0 and tree = 0").first()["rows"]
+        assert root == 2 * frame.where("label = 0").count()
+
+
+def test_training_on_more_rows_than_the_driver_holds(spark):
+    names = training.CHURN_FEATURES
+    base = spark.range(1000).withColumns({c: ((F.col("id") * (i + 3) * 7919) % 101).cast("double") for i, c in enumerate(names)})
+    rows = base.withColumnRenamed("id", "customer_id").withColumn("churned", (F.col("avg_days_between_orders") > 75).cast("int"))
+    grid = {"n_estimators": [4], "max_depth": [2, 3], "learning_rate": [0.3]}
+    trained = training.train_churn(rows, training.Search(2, 2, fit_rows=50), grid=grid)
+    train, _ = training.split_sets(training.prep.fill_zero(rows, names), "churned", ["customer_id"])
+    assert trained.metrics["roc_auc"] > 0.9
+    assert trained.model.nodes.where("node = 0 and tree = 0").first()["rows"] == 2 * train.where("label = 0").count()  # 50 rows before
+
+
+def test_levels_with_many_nodes_are_split_part_by_part(monkeypatch):
+    x, y = rows(700, 5, 11)
+    bins, weight = T.binned(x, T.bin_edges(x)), np.random.default_rng(0).uniform(0.5, 2, 700)
+    want = [T.forest_tree(bins, y, weight, T.Limits(), 3, 0), T.grow(bins, y - 0.5, weight, T.Limits(6, 0.5, 2.0, 0.1, 1.0), np.arange(5))]
+    monkeypatch.setattr(T, "_NODES_AT_ONCE", 3)
+    got = [T.forest_tree(bins, y, weight, T.Limits(), 3, 0), T.grow(bins, y - 0.5, weight, T.Limits(6, 0.5, 2.0, 0.1, 1.0), np.arange(5))]
+    for a, b in zip(want, got):
+        assert all((getattr(a, name) == getattr(b, name)).all() for name in ("feature", "bin", "left", "gain", "value", "rows"))
+
+
+@pytest.mark.parametrize("candidate", GRIDS[1:], ids=lambda c: c.name)
+def test_models_are_sent_in_parts(spark, candidate, monkeypatch):
+    x, y = rows(200, 3, 5)
+    model = training.fit_model(spark, sample_of(x, y), candidate, training.random_draws(candidate.grid, 3)[-1], ["a", "b", "c"])
+    frame = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "i long, a double, b double, c double")
+
+    def scores():
+        return [r["p"] for r in model.transform(frame).orderBy("i").select(training.vector_to_array("probability")[1].alias("p")).collect()]
+
+    want = scores()
+    monkeypatch.setattr(training, "_NODES_SENT", 8)
+    assert scores() == pytest.approx(want, abs=1e-12)
